@@ -13,7 +13,12 @@ STOP_WORDS = (
     "that the their then there these they this to was will with"
 ).split()
 
-_WORD_RUN_EDGES = r"^[\p{L}\p{N}_]+|[\p{L}\p{N}_]+$"
+_WORD = r"[\p{L}\p{N}_]"
+_WORD_RUN_EDGES = rf"^{_WORD}+|{_WORD}+$"
+# One regex yields the index terms directly: a maximal run (no word character
+# before it) of two or more word characters that is not exactly a stop word.
+# Same result as extracting runs and filtering, without a per-element lambda.
+_TERM_PATTERN = rf"(?<!{_WORD})(?!(?:{'|'.join(STOP_WORDS)})(?!{_WORD})){_WORD}{{2,}}"
 
 
 def _col(c) -> Column:
@@ -22,11 +27,8 @@ def _col(c) -> Column:
 
 def tokenize(text, stop_words: bool = True) -> Column:
     """ARRAY<STRING> of lower-cased terms, stop words removed; null text gives []."""
-    toks = F.regexp_extract_all(F.lower(F.coalesce(_col(text), F.lit(""))), F.lit(TOKEN_PATTERN), 0)
-    if not stop_words:
-        return toks
-    stops = F.array(*[F.lit(w) for w in STOP_WORDS])
-    return F.filter(toks, lambda t: ~F.array_contains(stops, t))
+    pattern = _TERM_PATTERN if stop_words else TOKEN_PATTERN
+    return F.regexp_extract_all(F.lower(F.coalesce(_col(text), F.lit(""))), F.lit(pattern), 0)
 
 
 def interior_terms(text) -> Column:

@@ -3,6 +3,7 @@
 Index tables:
   postings     term STRING, doc_id LONG, dl INT, tf LONG
   term_stats   term STRING, df LONG
+  doc_stats    doc_id LONG, dl INT, n_terms LONG          (documents with >= 1 term)
   corpus_stats n_docs LONG, total_len LONG, avgdl DOUBLE   (one row)
 
 N and avgdl reach the scoring expression as scalar subqueries (one value
@@ -29,6 +30,7 @@ class LexicalIndex:
     postings: DataFrame
     term_stats: DataFrame
     corpus_stats: DataFrame
+    doc_stats: DataFrame
 
     def n_docs(self):
         return self.corpus_stats.select(F.col("n_docs").cast("double")).scalar()
@@ -76,13 +78,15 @@ def build_index(corpus: DataFrame, dedupe: str | None = None, materialize: bool
     if materialize:
         postings = _materialize(postings, "postings")
     term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    doc_stats = postings.groupBy("doc_id").agg(F.max("dl").alias("dl"), F.count(F.lit(1)).alias("n_terms"))
     if materialize:
         term_stats = _materialize(term_stats, "term_stats")
+        doc_stats = _materialize(doc_stats, "doc_stats")
     n_docs = docs.select(F.count(F.lit(1)).alias("n_docs"))
     total = postings.select(F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_len"))
     corpus_stats = (n_docs.select(F.col("n_docs"), total.select("total_len").scalar().alias("total_len"))
                     .withColumn("avgdl", F.col("total_len").cast("double") / F.col("n_docs").cast("double")))
-    return LexicalIndex(postings, term_stats, corpus_stats)
+    return LexicalIndex(postings, term_stats, corpus_stats, doc_stats)
 
 
 def query_terms(queries: DataFrame, query_col: str = "query") -> DataFrame:
@@ -109,6 +113,28 @@ def bm25_scores(queries: DataFrame, index: LexicalIndex, k1: float = 1.5, b: flo
             .select("query_id", "doc_id", F.round("raw", digits).alias("score")))
 
 
+def overlap_scores(pairs: DataFrame, queries: DataFrame, index: LexicalIndex,
+                   query_col: str = "query", out: str = "rerank", digits: int = 9) -> DataFrame:
+    """J1 ``token_overlap`` for (query_id, doc_id) pairs, answered from the index.
+
+    Jaccard of distinct terms = m / (|Q| + n_terms(d) - m), m = distinct query
+    terms present in d (matching postings). The document texts are never
+    re-tokenised; only the pairs x query terms meet the postings.
+    """
+    qv = queries.select("query_id", F.array_distinct(tokenize(query_col)).alias("qv"))
+    qterms = qv.select("query_id", F.explode_outer("qv").alias("term")).where(F.col("term").isNotNull())
+    qn = qv.select("query_id", F.size("qv").cast("long").alias("nq"))
+    keys = pairs.select("query_id", "doc_id").distinct()
+    m = (keys.join(qterms, "query_id").join(index.postings.select("term", "doc_id"), ["term", "doc_id"])
+         .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("m")))
+    ds = index.doc_stats.select("doc_id", "n_terms")
+    full = (pairs.join(qn, "query_id", "left").join(ds, "doc_id", "left").join(m, ["query_id", "doc_id"], "left")
+            .fillna(0, subset=["nq", "n_terms", "m"]))
+    union = F.col("nq") + F.col("n_terms") - F.col("m")
+    score = F.when(union > 0, F.col("m").cast("double") / union.cast("double")).otherwise(F.lit(0.0))
+    return full.withColumn(out, F.round(score, digits)).drop("nq", "n_terms", "m")
+
+
 def bm25_search(queries: DataFrame, index: LexicalIndex, k: int = 10, **kw) -> DataFrame:
     """Top-k per query: query_id, doc_id, score, rnk (1-based, ties by doc_id)."""
     return top_k(bm25_scores(queries, index, **kw), k)
@@ -129,3 +155,30 @@ def bm25_search_padded(queries: DataFrame, index: LexicalIndex, corpus: DataFram
             .select("query_id", F.explode(pad_ids).alias("doc_id"), F.lit(0.0).alias("score"))
             .join(scored.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti"))
     return top_k(scored.unionByName(pads), k)
+
+
+def save_index(index: LexicalIndex, path: str, range_parts: int | None = None) -> None:
+    """Persist the index tables as parquet under ``path``.
+
+    Postings are range-partitioned and sorted by term, so each file covers a
+    disjoint term range and parquet min/max statistics let term lookups skip
+    files and row groups.
+    """
+    import os
+
+    spark = index.postings.sparkSession
+    n = range_parts or max(1, spark.sparkContext.defaultParallelism)
+    (index.postings.repartitionByRange(n, "term").sortWithinPartitions("term", "doc_id")
+     .write.mode("overwrite").parquet(os.path.join(path, "postings")))
+    index.term_stats.write.mode("overwrite").parquet(os.path.join(path, "term_stats"))
+    index.doc_stats.write.mode("overwrite").parquet(os.path.join(path, "doc_stats"))
+    index.corpus_stats.coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "corpus_stats"))
+
+
+def load_index(spark, path: str) -> LexicalIndex:
+    """Read an index written by :func:`save_index` (or by the streaming ingest)."""
+    import os
+
+    r = spark.read
+    return LexicalIndex(r.parquet(os.path.join(path, "postings")), r.parquet(os.path.join(path, "term_stats")),
+                        r.parquet(os.path.join(path, "corpus_stats")), r.parquet(os.path.join(path, "doc_stats")))

@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rankfold.functions.scoring import safe_div, softmax_positive
 from rankfold.functions.text import query_slug, tokenize
-from rankfold.operators import encode, evaluate as ev, judge, lexical, rank, training, vectors
-from rankfold.sources import tables as T
+from rankfold.functions.stats import t_p_value
+from rankfold.operators import encode, evaluate as ev, judge, lexical, rank, scorer, training, vectors
+from rankfold.session import checkpoint_path, materialize
+from rankfold.sources import io, tables as T
+from rankfold import streaming
 
 K_SMALL = 10
 K_LARGE = 100
@@ -216,16 +219,10 @@ def rrf_mean_curve(spark, sf):
 
 def _overlap_reranked(spark, sf, base="bm25"):
     docs, qs = _text(spark, sf)
-    if base == "bm25":
-        idx = lexical.build_index(docs)
-        run = lexical.bm25_search(qs, idx, k=K_LARGE)
-    else:
-        idx = None
-        run = _hash_run(spark, sf, K_LARGE)
-    pairs = run.join(qs, "query_id").join(docs, "doc_id")
-    scored = pairs.withColumn("rerank", F.round(encode.token_overlap("query", "text"), 9))
-    out = rank.rerank(scored.select("query_id", "doc_id", "score", "rnk", "rerank"))
-    return docs, qs, idx, out
+    idx = lexical.build_index(docs)
+    run = lexical.bm25_search(qs, idx, k=K_LARGE) if base == "bm25" else _hash_run(spark, sf, K_LARGE)
+    scored = lexical.overlap_scores(run.select("query_id", "doc_id", "score", "rnk"), qs, idx)
+    return docs, qs, idx, rank.rerank(scored)
 
 
 def rerank_overlap(spark, sf):
@@ -251,9 +248,7 @@ def method_comparison_at5(spark, sf):
     lex = lexical.bm25_search(qs, idx, k=K_LARGE)
     vec = _hash_run(spark, sf, K_LARGE)
     fused = rank.rrf_two(lex, vec)
-    pairs = lex.join(qs, "query_id").join(docs, "doc_id")
-    rr = rank.rerank(pairs.withColumn("rerank", F.round(encode.token_overlap("query", "text"), 9))
-                     .select("query_id", "doc_id", "score", "rnk", "rerank"))
+    rr = rank.rerank(lexical.overlap_scores(lex, qs, idx))
     curves = {
         "bm25": ev.mean_curve(ev.evaluate(lex, qrels)),
         "hash_l2": ev.mean_curve(ev.evaluate(vec, qrels)),
@@ -327,6 +322,108 @@ def query_slug_names(spark, sf):
     return qs.select("query_id", query_slug("query").alias("slug"))
 
 
+def bm25_padded_top10(spark, sf):
+    """Q3 pad=True: k rows per query, zero-score documents by doc_id after the matches."""
+    docs, qs = _text(spark, sf)
+    idx = lexical.build_index(docs)
+    return lexical.bm25_search_padded(qs, idx, docs, k=K_SMALL)
+
+
+def score_regression_pvalue(spark, sf):
+    """K4 with the two-sided Student-t p-value (df = n - 2)."""
+    g = score_regression(spark, sf)
+    return g.withColumn("p", F.round(t_p_value(F.col("t"), F.col("n") - 2), 6))
+
+
+# ---------------------------------------------------------------- sinks
+
+def _scratch(spark, name):
+    import uuid
+
+    return checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def answers_tsv_roundtrip(spark, sf):
+    flagged = bm25_flagged(spark, sf)
+    path = _scratch(spark, "answers-tsv")
+    io.write_tsv(flagged, path)
+    schema = "query_id LONG, doc_id LONG, score DOUBLE, rnk INT, relevant STRING, text STRING"
+    return io.read_tsv(spark, path, schema)
+
+
+def answers_jsonl_roundtrip(spark, sf):
+    flagged = bm25_flagged(spark, sf)
+    path = _scratch(spark, "answers-jsonl")
+    io.write_jsonl(flagged, path)
+    schema = "query_id LONG, doc_id LONG, score DOUBLE, rnk INT, relevant STRING, text STRING"
+    return io.read_jsonl(spark, path, schema)
+
+
+def per_query_export(spark, sf):
+    docs, qs, idx, run = _bm25_run(spark, sf, K_SMALL)
+    path = _scratch(spark, "per-query")
+    io.write_per_query(io.with_query_slug(run.join(qs, "query_id")).drop("query"), path, fmt="parquet")
+    back = (spark.read.option("basePath", path).schema(
+        "doc_id LONG, score DOUBLE, rnk INT, query_slug STRING, query_id STRING").parquet(path))
+    return back.select(F.col("query_id").cast("long").alias("query_id"), "query_slug", "doc_id", "score", "rnk")
+
+
+# ---------------------------------------------------------------- learned scorer
+
+def _scored_pairs(spark, sf):
+    docs, qs = _text(spark, sf)
+    idx = lexical.build_index(docs)
+    qrels = judge.containment_qrels(qs, docs, idx)
+    # Written tables cut the lineage: the pair table feeds several branches and
+    # MLlib runs several actions over its input.
+    judged = materialize(judge.judged_table(qs, qrels, docs), "judged")
+    train, _ = training.split_by_query(judged, N_TEST_QUERIES)
+    pairs = materialize(training.training_pairs(train, SEED).select("query_id", "doc_id", "label"), "pairs")
+    tr, va = training.group_split(pairs, 0.25, SEED)
+    tr_f = materialize(scorer.pair_features(tr, qs, idx), "scorer-train")
+    va_f = materialize(scorer.pair_features(va, qs, idx), "scorer-valid")
+    model = scorer.fit_scorer(tr_f)
+    return scorer.score_with(model, va_f)
+
+
+def pair_scorer_predictions(spark, sf):
+    return _scored_pairs(spark, sf).select("query_id", "doc_id", "label", "rerank", "predicted")
+
+
+def pair_scorer_quality(spark, sf):
+    return scorer.quality(_scored_pairs(spark, sf))
+
+
+# ---------------------------------------------------------------- streaming (M1, M2)
+
+def incremental_index_state(spark, sf):
+    """M1: documents streamed in as 4 files, one per trigger; final df equals the batch build."""
+    src = streaming.ingest.stage_files(T.corpus(spark, sf), "ingest-src", 4)
+    root = _scratch(spark, "ingest-index")
+    q = streaming.start_ingest(spark, src, root, max_files_per_trigger=1)
+    q.awaitTermination()
+    return streaming.load_ingested_index(spark, root).term_stats
+
+
+def incremental_corpus_stats(spark, sf):
+    src = streaming.ingest.stage_files(T.corpus(spark, sf), "ingest-src", 4)
+    root = _scratch(spark, "ingest-index")
+    q = streaming.start_ingest(spark, src, root, max_files_per_trigger=1)
+    q.awaitTermination()
+    return streaming.load_ingested_index(spark, root).corpus_stats
+
+
+def stream_answers(spark, sf):
+    """M2: benchmark queries streamed as 4 files against the corpus index; equals bm25_top10."""
+    docs, qs = _text(spark, sf)
+    idx = lexical.build_index(docs)
+    src = streaming.ingest.stage_files(qs, "query-src", 4)
+    out = _scratch(spark, "stream-answers")
+    q = streaming.start_answering(spark, src, idx, out, k=K_SMALL)
+    q.awaitTermination()
+    return streaming.read_answers(spark, out)
+
+
 QUERIES = {
     "tokenize_terms": tokenize_terms,
     "corpus_stats": corpus_stats,
@@ -369,4 +466,14 @@ QUERIES = {
     "frequency_tables": frequency_tables,
     "query_snapshot20": query_snapshot20,
     "query_slug": query_slug_names,
+    "bm25_padded_top10": bm25_padded_top10,
+    "score_regression_pvalue": score_regression_pvalue,
+    "answers_tsv_roundtrip": answers_tsv_roundtrip,
+    "answers_jsonl_roundtrip": answers_jsonl_roundtrip,
+    "per_query_export": per_query_export,
+    "pair_scorer_predictions": pair_scorer_predictions,
+    "pair_scorer_quality": pair_scorer_quality,
+    "incremental_index_state": incremental_index_state,
+    "incremental_corpus_stats": incremental_corpus_stats,
+    "stream_answers": stream_answers,
 }

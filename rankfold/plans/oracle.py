@@ -354,4 +354,27 @@ UNION ALL SELECT 'doc' AS kind, doc_id AS key, count(*)::BIGINT AS n FROM judged
     "query_snapshot20": _with(JUDGED) + """
 SELECT DISTINCT query_id, query, query_docs FROM judged ORDER BY query_docs, query_id LIMIT 20""",
     "query_slug": "SELECT item_id AS query_id, translate(text, ' .', '_') AS slug FROM benchmark",
+    "bm25_padded_top10": _with(INDEX, bm25("run", 10)) + """,
+pad_ids AS (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 10),
+pads AS (
+  SELECT b.item_id AS query_id, p.doc_id, 0.0::DOUBLE AS score
+  FROM benchmark b CROSS JOIN pad_ids p
+  WHERE NOT EXISTS (SELECT 1 FROM run_sc s WHERE s.query_id = b.item_id AND s.doc_id = p.doc_id)),
+allsc AS (SELECT query_id, doc_id, score FROM run_sc UNION ALL SELECT query_id, doc_id, score FROM pads)
+SELECT query_id, doc_id, score, rnk FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC))::INTEGER AS rnk
+  FROM allsc) WHERE rnk <= 10""",
+    "answers_tsv_roundtrip": _with(INDEX, bm25("run", 10), QRELS) + """
+SELECT r.query_id, r.doc_id, r.score, r.rnk, CASE WHEN q.doc_id IS NOT NULL THEN 'yes' ELSE 'no' END AS relevant,
+       d.text
+FROM run r LEFT JOIN qrels q ON q.query_id = r.query_id AND q.doc_id = r.doc_id
+JOIN documents d ON d.doc_id = r.doc_id""",
+    "per_query_export": _with(INDEX, bm25("run", 10)) + """
+SELECT r.query_id, translate(b.text, ' .', '_') AS query_slug, r.doc_id, r.score, r.rnk
+FROM run r JOIN benchmark b ON b.item_id = r.query_id""",
+    "incremental_index_state": _with(INDEX) + "\nSELECT term, df FROM term_stats",
+    "incremental_corpus_stats": _with(INDEX) + """
+SELECT n_docs, total_len, total_len::DOUBLE / n_docs::DOUBLE AS avgdl FROM cstats""",
+    "stream_answers": _with(INDEX, bm25("run", 10)) + "\nSELECT * FROM run",
 }
+ORACLE_SQL["answers_jsonl_roundtrip"] = ORACLE_SQL["answers_tsv_roundtrip"]
