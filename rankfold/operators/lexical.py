@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from rankfold.functions.scoring import bm25_weight, idf
 from rankfold.functions.text import tokenize
 from rankfold.operators.rank import top_k
-from rankfold.session import fits, materialize as _materialize
+from rankfold.session import default_shards, fits, materialize as _materialize, materialize_bucketed
 
 # Query-term tables at most this long are broadcast into the postings scan.
 MAX_BROADCAST_QUERY_TERMS = 2_000_000
@@ -56,32 +56,38 @@ def index_documents(corpus: DataFrame, dedupe: str | None = None) -> DataFrame:
     raise ValueError(f"unknown dedupe rule {dedupe!r}")
 
 
-def build_index(corpus: DataFrame, dedupe: str | None = None, materialize: bool = True) -> LexicalIndex:
-    """I1 + D8: tokenise once, explode, count (doc_id, term) with map-side combine.
+def build_index(corpus: DataFrame, dedupe: str | None = None, materialize: bool = True,
+                shards: int | None = None) -> LexicalIndex:
+    """I1 + D8: a document-sharded inverted index.
 
-    Every token of a document lives in one row, so the partial aggregation
-    before the shuffle already yields the posting list; only postings cross
-    the network. Document length rides along the posting (no second pass).
-    With ``materialize`` the postings and term statistics are written once to
-    the shared checkpoint folder, so the scoring, df and length branches scan
-    files instead of re-tokenising the corpus.
+    Documents are hash-partitioned by doc_id into ``shards`` (one shuffle of the
+    text, which is smaller than the postings it yields); tokenising, exploding
+    and counting (doc_id, term) then happen inside each shard with no further
+    exchange, and document length rides along each posting. With
+    ``materialize`` the postings and per-document stats are written as tables
+    bucketed by doc_id, so searches aggregate per (query, document) inside each
+    shard and only per-shard top-k rows are shuffled. A frequent term's
+    postings are spread over all shards, so hot terms cause no skew.
     """
+    spark = corpus.sparkSession
+    shards = shards or default_shards(spark)
     docs = index_documents(corpus, dedupe)
-    toks = docs.select("doc_id", tokenize("text").alias("tokens"))
+    sharded = docs.repartition(shards, "doc_id")
+    toks = sharded.select("doc_id", tokenize("text").alias("tokens"))
     # explode_outer + null filter: an inner explode makes Catalyst infer
     # size(tokens) > 0 below the projection, which tokenises every row twice.
     postings = (toks.select("doc_id", F.size("tokens").cast("int").alias("dl"),
                             F.explode_outer("tokens").alias("term"))
                 .where(F.col("term").isNotNull())
-                .groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf"))
+                .groupBy("doc_id", "term").agg(F.max("dl").alias("dl"), F.count(F.lit(1)).alias("tf"))
                 .select("term", "doc_id", "dl", "tf"))
     if materialize:
-        postings = _materialize(postings, "postings")
-    term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        postings = materialize_bucketed(postings, "postings", "doc_id", shards)
     doc_stats = postings.groupBy("doc_id").agg(F.max("dl").alias("dl"), F.count(F.lit(1)).alias("n_terms"))
+    term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if materialize:
+        doc_stats = materialize_bucketed(doc_stats, "doc_stats", "doc_id", shards)
         term_stats = _materialize(term_stats, "term_stats")
-        doc_stats = _materialize(doc_stats, "doc_stats")
     n_docs = docs.select(F.count(F.lit(1)).alias("n_docs"))
     total = postings.select(F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_len"))
     corpus_stats = (n_docs.select(F.col("n_docs"), total.select("total_len").scalar().alias("total_len"))

@@ -13,7 +13,7 @@ from rankfold.functions.scoring import safe_div, softmax_positive
 from rankfold.functions.text import query_slug, tokenize
 from rankfold.functions.stats import t_p_value
 from rankfold.operators import encode, evaluate as ev, judge, lexical, rank, scorer, training, vectors
-from rankfold.session import checkpoint_path, materialize
+from rankfold.session import checkpoint_path, materialize, spread
 from rankfold.sources import io, tables as T
 from rankfold import streaming
 
@@ -42,7 +42,7 @@ def _text_qrels(spark, sf, docs=None, qs=None, idx=None):
 
 
 def _hash_vectors(df, id_col, text_col, out_id):
-    return df.select(F.col(id_col).alias(out_id), encode.hash_embed(text_col).alias("embedding"))
+    return spread(df).select(F.col(id_col).alias(out_id), encode.hash_embed(text_col).alias("embedding"))
 
 
 def _hash_run(spark, sf, k, metric="l2"):
@@ -185,7 +185,7 @@ def l2_run_summary(spark, sf):
 # ---------------------------------------------------------------- text vectors (I3, I4) and hybrid
 
 def hash_embed_docs(spark, sf):
-    return encode.hash_embed_cells(T.corpus(spark, sf), "doc_id", "text")
+    return encode.hash_embed_cells(spread(T.corpus(spark, sf)), "doc_id", "text")
 
 
 def hash_l2_top10(spark, sf):

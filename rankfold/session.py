@@ -87,3 +87,24 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``key`` under the shared checkpoint folder.
+
+    Reading it back keeps the hash partitioning on ``key`` known to the planner:
+    joins and aggregations on ``key`` (or on key sets containing it) need no
+    exchange. If ``df`` is already hash-partitioned on ``key`` into ``buckets``
+    partitions, each task writes a single file and nothing is shuffled.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    table = f"rankfold_{name}_{uuid.uuid4().hex[:12]}"
+    (df.write.bucketBy(buckets, key).option("path", checkpoint_path(spark, table))
+     .mode("overwrite").saveAsTable(table))
+    return spark.table(table)
+
+
+def default_shards(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -20,8 +20,8 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id LONG, text STRING."""
-    return spread(load_table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text")))
+    return load_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
 
 
 def text_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
