@@ -32,13 +32,17 @@ def term_hashes(text) -> Column:
 def _hash_vector_udf(dim: int):
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def hash_vectors(hs: pd.Series) -> pd.Series:
-        out = []
-        for h in hs:
-            h = np.asarray(h if h is not None else [], dtype=np.int64)
-            v = np.bincount(h % dim, weights=1.0 - 2.0 * ((h // dim) % 2), minlength=dim)
-            n = np.sqrt((v * v).sum())
-            out.append(v / n if n > 0 else v)
-        return pd.Series(out)
+        # one bincount for the whole Arrow batch: cell = row * dim + h mod dim
+        arrays = [np.asarray(h if h is not None else [], dtype=np.int64) for h in hs]
+        lens = np.fromiter((len(a) for a in arrays), dtype=np.int64, count=len(arrays))
+        flat = np.concatenate(arrays) if len(arrays) else np.zeros(0, dtype=np.int64)
+        rows = np.repeat(np.arange(len(arrays), dtype=np.int64), lens)
+        sign = 1.0 - 2.0 * ((flat // dim) % 2)
+        m = np.bincount(rows * dim + flat % dim, weights=sign, minlength=len(arrays) * dim)
+        m = m.reshape(len(arrays), dim)
+        norms = np.sqrt((m * m).sum(axis=1))
+        m = np.divide(m, norms[:, None], out=m.copy(), where=norms[:, None] > 0)
+        return pd.Series(list(m))
 
     return hash_vectors
 

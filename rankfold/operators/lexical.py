@@ -83,11 +83,11 @@ def build_index(corpus: DataFrame, dedupe: str | None = None, materialize: bool
                 .select("term", "doc_id", "dl", "tf"))
     if materialize:
         postings = materialize_bucketed(postings, "postings", "doc_id", shards)
+    # Both statistics stay lazy over the written postings: doc_stats groups by
+    # the bucket key (no exchange); term_stats is only ever needed for a query
+    # vocabulary, and a left-semi join with it is pushed below the aggregation.
     doc_stats = postings.groupBy("doc_id").agg(F.max("dl").alias("dl"), F.count(F.lit(1)).alias("n_terms"))
     term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    if materialize:
-        doc_stats = materialize_bucketed(doc_stats, "doc_stats", "doc_id", shards)
-        term_stats = _materialize(term_stats, "term_stats")
     n_docs = docs.select(F.count(F.lit(1)).alias("n_docs"))
     total = postings.select(F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_len"))
     corpus_stats = (n_docs.select(F.col("n_docs"), total.select("total_len").scalar().alias("total_len"))
@@ -107,9 +107,10 @@ def bm25_scores(queries: DataFrame, index: LexicalIndex, k1: float = 1.5, b: flo
     """All (query_id, doc_id, score) with at least one shared term; score rounded."""
     qt = query_terms(queries, query_col)
     small = fits(qt, broadcast_limit)
-    # df only for the query vocabulary: a broadcast filter over term_stats.
+    # df only for the query vocabulary: the semi join is pushed below the df
+    # aggregation, so only postings of query terms are counted.
     vocab = qt.select("term").distinct()
-    tdf = index.term_stats.join(F.broadcast(vocab) if small else vocab, "term")
+    tdf = index.term_stats.join(F.broadcast(vocab) if small else vocab, "term", "left_semi")
     weights = (qt.join(F.broadcast(tdf) if small else tdf, "term")
                .withColumn("idf", idf(index.n_docs(), F.col("df").cast("double"))))
     cand = index.postings.join(F.broadcast(weights) if small else weights, "term")
@@ -120,21 +121,25 @@ def bm25_scores(queries: DataFrame, index: LexicalIndex, k1: float = 1.5, b: flo
 
 
 def overlap_scores(pairs: DataFrame, queries: DataFrame, index: LexicalIndex,
-                   query_col: str = "query", out: str = "rerank", digits: int = 9) -> DataFrame:
+                   query_col: str = "query", out: str = "rerank", digits: int = 9,
+                   broadcast_limit: int = MAX_BROADCAST_QUERY_TERMS) -> DataFrame:
     """J1 ``token_overlap`` for (query_id, doc_id) pairs, answered from the index.
 
     Jaccard of distinct terms = m / (|Q| + n_terms(d) - m), m = distinct query
-    terms present in d (matching postings). The document texts are never
-    re-tokenised; only the pairs x query terms meet the postings.
+    terms present in d (matching postings). Document texts are never
+    re-tokenised: the (pair, query term) rows are probed against the postings
+    (broadcast into the postings scan when their size allows).
     """
     qv = queries.select("query_id", F.array_distinct(tokenize(query_col)).alias("qv"))
-    qterms = qv.select("query_id", F.explode_outer("qv").alias("term")).where(F.col("term").isNotNull())
-    qn = qv.select("query_id", F.size("qv").cast("long").alias("nq"))
-    keys = pairs.select("query_id", "doc_id").distinct()
-    m = (keys.join(qterms, "query_id").join(index.postings.select("term", "doc_id"), ["term", "doc_id"])
-         .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("m")))
+    probe = (pairs.select("query_id", "doc_id").join(qv, "query_id")
+             .select("query_id", "doc_id", F.explode("qv").alias("term")))
+    small = fits(probe, broadcast_limit)
+    hits = (index.postings.select("term", "doc_id")
+            .join(F.broadcast(probe) if small else probe, ["term", "doc_id"])
+            .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("m")))
     ds = index.doc_stats.select("doc_id", "n_terms")
-    full = (pairs.join(qn, "query_id", "left").join(ds, "doc_id", "left").join(m, ["query_id", "doc_id"], "left")
+    full = (pairs.join(qv.select("query_id", F.size("qv").cast("long").alias("nq")), "query_id", "left")
+            .join(ds, "doc_id", "left").join(hits, ["query_id", "doc_id"], "left")
             .fillna(0, subset=["nq", "n_terms", "m"]))
     union = F.col("nq") + F.col("n_terms") - F.col("m")
     score = F.when(union > 0, F.col("m").cast("double") / union.cast("double")).otherwise(F.lit(0.0))

@@ -69,7 +69,8 @@ def _block_top_k(qids, Q, dids, D, k, metric, squared, exclude_self, digits):
             approx[qc[:, None] == dids[None, :]] = np.inf
         kk = min(k, len(dids))
         kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
-        qi, di = np.nonzero(approx <= (kth + tol)[:, None])
+        # finite: a block holding only excluded (self) pairs must yield nothing
+        qi, di = np.nonzero((approx <= (kth + tol)[:, None]) & np.isfinite(approx))
         if len(qi) == 0:
             continue
         if metric == "cosine":

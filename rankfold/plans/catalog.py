@@ -221,7 +221,9 @@ def _overlap_reranked(spark, sf, base="bm25"):
     docs, qs = _text(spark, sf)
     idx = lexical.build_index(docs)
     run = lexical.bm25_search(qs, idx, k=K_LARGE) if base == "bm25" else _hash_run(spark, sf, K_LARGE)
-    scored = lexical.overlap_scores(run.select("query_id", "doc_id", "score", "rnk"), qs, idx)
+    # a run is small (queries x k) and is read twice by the scorer: write it once
+    run = materialize(run.select("query_id", "doc_id", "score", "rnk"), "run")
+    scored = lexical.overlap_scores(run, qs, idx)
     return docs, qs, idx, rank.rerank(scored)
 
 
@@ -247,6 +249,7 @@ def method_comparison_at5(spark, sf):
     qrels = judge.containment_qrels(qs, docs, idx)
     lex = lexical.bm25_search(qs, idx, k=K_LARGE)
     vec = _hash_run(spark, sf, K_LARGE)
+    lex = materialize(lex, "run")
     fused = rank.rrf_two(lex, vec)
     rr = rank.rerank(lexical.overlap_scores(lex, qs, idx))
     curves = {
@@ -292,7 +295,8 @@ def negative_pairs(spark, sf):
 
 def group_split(spark, sf):
     train, _ = training.split_by_query(_judged(spark, sf), N_TEST_QUERIES)
-    pairs = training.training_pairs(train, SEED)
+    # the pair table feeds both the sampled ids and the split: write it once
+    pairs = materialize(training.training_pairs(train, SEED), "pairs")
     tr, va = training.group_split(pairs, 0.25, SEED)
     return (tr.select("query_id", "doc_id", "label", F.lit("train").alias("part"))
             .unionByName(va.select("query_id", "doc_id", "label", F.lit("validation").alias("part"))))

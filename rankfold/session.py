@@ -107,4 +107,6 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> Da
 
 
 def default_shards(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Shard count for document-partitioned tables: the shuffle partition count,
+    and at least two tasks per core so uneven documents do not leave cores idle."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
