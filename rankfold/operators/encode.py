@@ -39,7 +39,7 @@ def _hash_vector_udf(dim: int):
         rows = np.repeat(np.arange(len(arrays), dtype=np.int64), lens)
         sign = 1.0 - 2.0 * ((flat // dim) % 2)
         m = np.bincount(rows * dim + flat % dim, weights=sign, minlength=len(arrays) * dim)
-        m = m.reshape(len(arrays), dim)
+        m = m.astype(np.float64).reshape(len(arrays), dim)
         norms = np.sqrt((m * m).sum(axis=1))
         m = np.divide(m, norms[:, None], out=m.copy(), where=norms[:, None] > 0)
         return pd.Series(list(m))
