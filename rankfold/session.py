@@ -27,6 +27,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -110,3 +111,32 @@ def default_shards(spark: SparkSession) -> int:
     """Shard count for document-partitioned tables: the shuffle partition count,
     and at least two tasks per core so uneven documents do not leave cores idle."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rankfold`` importable in every Python worker (``addPyFile`` of a zip).
+
+    Pandas UDFs and ``mapInPandas`` functions are pickled by reference to this
+    package; workers started outside the repository (or on other hosts) need
+    it shipped, as ``--py-files`` would. Done once per SparkContext.
+    """
+    import uuid
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_rankfold_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    ckpt = ensure_checkpoint_dir(spark)
+    local = ckpt if "://" not in ckpt or ckpt.startswith("file:") else tempfile.gettempdir()
+    local = local.replace("file://", "").replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    path = os.path.join(local, f"rankfold-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(path)
+    sc._rankfold_shipped = True
