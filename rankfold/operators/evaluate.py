@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rankfold.functions.scoring import safe_div
+from rankfold.schemas import require_columns
 
 
 def judged_pairs(qrels: DataFrame, min_grade: int | None = None) -> DataFrame:
@@ -63,6 +64,8 @@ def metric_curve(flagged: DataFrame, n_rel: DataFrame, max_num: int = 100,
     recall = tp/n_rel (0 when n_rel = 0), f1 = 2tp/(top_k + n_rel) (0 when tp = 0).
     Only queries present in ``n_rel`` are evaluated (inner semantics).
     """
+    require_columns(flagged, "query_id", rank_col, "relevant", what="flagged run")
+    require_columns(n_rel, "query_id", "n_rel", what="relevant counts")
     w = (Window.partitionBy("query_id").orderBy(rank_col)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     run = (flagged.where(F.col(rank_col) <= max_num)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from rankfold.functions.scoring import bm25_weight, idf
 from rankfold.functions.text import tokenize
 from rankfold.operators.rank import top_k
+from rankfold.schemas import require_columns
 from rankfold.session import default_shards, fits, materialize as _materialize, materialize_bucketed
 
 # Query-term tables at most this long are broadcast into the postings scan.
@@ -46,6 +47,7 @@ def index_documents(corpus: DataFrame, dedupe: str | None = None) -> DataFrame:
     ``'doc_id'`` keeps one row per doc_id (a judged table repeats documents);
     ``'text'`` keeps the smallest doc_id of each distinct text.
     """
+    require_columns(corpus, "doc_id", "text", what="corpus")
     docs = corpus.select("doc_id", "text")
     if dedupe is None:
         return docs
@@ -97,6 +99,7 @@ def build_index(corpus: DataFrame, dedupe: str | None = None, materialize: bool
 
 def query_terms(queries: DataFrame, query_col: str = "query") -> DataFrame:
     """query_id, term, qtf: repeated query words count repeatedly."""
+    require_columns(queries, "query_id", query_col, what="queries")
     return (queries.select("query_id", F.explode(tokenize(query_col)).alias("term"))
             .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
 

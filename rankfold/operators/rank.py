@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rankfold.functions.scoring import rrf_term
+from rankfold.schemas import require_columns
 
 
 def rank_within(df: DataFrame, score: str = "score", descending: bool = True,
@@ -33,6 +34,8 @@ def rrf_two(run1: DataFrame, run2: DataFrame, k: int = 60, rank_base: int = 0,
     contributes nothing (``missing='drop'``). Output: query_id, doc_id,
     rank1, rank2 (DOUBLE), rerank (rounded), rnk.
     """
+    for r in (run1, run2):
+        require_columns(r, "query_id", "doc_id", "rnk", what="ranked list")
     a = run1.select("query_id", "doc_id", (F.col("rnk") - 1 + rank_base).cast("double").alias("rank1"))
     b = run2.select("query_id", "doc_id", (F.col("rnk") - 1 + rank_base).cast("double").alias("rank2"))
     both = a.join(b, ["query_id", "doc_id"], "full_outer")

@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rankfold.operators.rank import top_k
+from rankfold.schemas import require_columns
 from rankfold.session import fits
 
 MAX_BROADCAST_QUERIES = 100_000
@@ -152,6 +153,8 @@ def knn_search(queries: DataFrame, docs: DataFrame, k: int = 10, metric: str = "
     or ``'cosine'`` (similarity, descending; a zero vector scores 0).
     Vectors of unequal length raise. Ties break by doc_id.
     """
+    require_columns(queries, "query_id", "embedding", what="query vectors")
+    require_columns(docs, "doc_id", "embedding", what="document vectors")
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
     if strategy == "auto":
