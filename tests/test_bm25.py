@@ -94,3 +94,22 @@ def test_save_and_load_index(spark, index, queries, tmp_path):
     back = lexical.load_index(spark, str(tmp_path / "idx"))
     a = rows(lexical.bm25_search(queries, index, k=3), "query_id", "doc_id", "score")
     assert rows(lexical.bm25_search(queries, back, k=3), "query_id", "doc_id", "score") == a
+
+
+def test_search_scores_inside_shards(spark):
+    """The materialised index is bucketed by doc_id: scoring aggregates per
+    (query, document) with no exchange of candidate pairs; only per-shard
+    top-k rows are shuffled (by query_id)."""
+    import re
+
+    from rankfold.sources import tables as T
+
+    sf = "/root/testdata/sf0.001"
+    idx = lexical.build_index(T.corpus(spark, sf))
+    run = lexical.bm25_search(T.text_queries(spark, sf), idx, k=10)
+    run.collect()
+    plan = run._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert not re.search(r"Exchange hashpartitioning\(query_id#\d+L, doc_id", plan)
+    assert re.search(r"Exchange hashpartitioning\(query_id#\d+L, \d+\)", plan)
+    assert "WindowGroupLimit" in plan
