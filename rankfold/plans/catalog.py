@@ -192,6 +192,12 @@ def hash_l2_top10(spark, sf):
     return _hash_run(spark, sf, K_SMALL)
 
 
+def hash_l2_missing_docs(spark, sf):
+    """C6 on the vector run: judged documents the hash-vector top-10 misses."""
+    docs, qs = _text(spark, sf)
+    return ev.missing_documents(_hash_run(spark, sf, K_SMALL), _text_qrels(spark, sf, docs, qs))
+
+
 def _fused(spark, sf):
     docs, qs, idx, lex = _bm25_run(spark, sf, K_LARGE)
     vec = _hash_run(spark, sf, K_LARGE)
@@ -454,6 +460,7 @@ QUERIES = {
     "l2_run_summary": l2_run_summary,
     "hash_embed_docs": hash_embed_docs,
     "hash_l2_top10": hash_l2_top10,
+    "hash_l2_missing_docs": hash_l2_missing_docs,
     "rrf_two_lists": rrf_two_lists,
     "rrf_nlists": rrf_nlists,
     "rrf_mean_curve": rrf_mean_curve,

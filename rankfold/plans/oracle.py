@@ -301,6 +301,9 @@ FROM agg a JOIN cur_nrel n USING (query_id)""",
 SELECT c.id AS doc_id, c.dim, round(c.v / n.nrm, 9) AS value
 FROM hd_c c JOIN hd_n n USING (id) WHERE c.v <> 0""",
     "hash_l2_top10": _with(hash_run("run", 10)) + "\nSELECT * FROM run",
+    "hash_l2_missing_docs": _with(hash_run("run", 10), QRELS) + """
+SELECT q.query_id, q.doc_id FROM qrels q
+WHERE NOT EXISTS (SELECT 1 FROM run r WHERE r.query_id = q.query_id AND r.doc_id = q.doc_id)""",
     "rrf_two_lists": _with(INDEX, BM100, HASH100, rrf2("fz", "lex", "vec")) + "\nSELECT * FROM fz",
     "rrf_nlists": _with(INDEX, BM100, HASH100) + """,
 tagged AS (SELECT query_id, doc_id, (rnk - 1)::DOUBLE AS r FROM lex
