@@ -72,8 +72,8 @@ def build_index(corpus: DataFrame, dedupe: str | None = None, materialize: bool
     postings are spread over all shards, so hot terms cause no skew.
     """
     spark = corpus.sparkSession
-    shards = shards or default_shards(spark)
     docs = index_documents(corpus, dedupe)
+    shards = shards or default_shards(spark, docs)
     sharded = docs.repartition(shards, "doc_id")
     toks = sharded.select("doc_id", tokenize("text").alias("tokens"))
     # explode_outer + null filter: an inner explode makes Catalyst infer

@@ -109,10 +109,18 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> Da
     return spark.table(table)
 
 
-def default_shards(spark: SparkSession) -> int:
-    """Shard count for document-partitioned tables: the shuffle partition count,
-    and at least two tasks per core so uneven documents do not leave cores idle."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+def default_shards(spark: SparkSession, df: DataFrame | None = None) -> int:
+    """Shard count for document-partitioned tables.
+
+    Grows with the input (two shards per input split, i.e. per
+    ``maxPartitionBytes`` of files), capped by the shuffle partition setting,
+    and never below two tasks per core so uneven documents leave no core idle.
+    """
+    floor = 2 * spark.sparkContext.defaultParallelism
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if df is None:
+        return max(floor, cap)
+    return max(floor, min(cap, 2 * df.rdd.getNumPartitions()))
 
 
 def ship_package(spark: SparkSession) -> None:
