@@ -7,7 +7,7 @@ rows per query; a final per-query top-k (partial + final WindowGroupLimit)
 merges the partial lists.
 
 Strategies:
-  * ``broadcast``: the query matrix (size-checked) is shipped to every task,
+  * ``broadcast``: the query matrix (at most ``MAX_BROADCAST_BYTES``) is shipped to every task,
     documents are scanned where they lie - no shuffle of the corpus.
   * ``grid``: queries and documents are hashed into blocks; each
     (query-block, doc-block) cell is one cogroup task. Used when the query
@@ -24,7 +24,7 @@ from rankfold.operators.rank import top_k
 from rankfold.schemas import require_columns
 from rankfold.session import fits
 
-MAX_BROADCAST_QUERIES = 100_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024  # query matrix shipped to every task (float64)
 GRID_QUERY_BLOCK = 4_096
 GRID_DOC_BLOCK = 65_536
 _CHUNK_CELLS = 4_000_000  # distance-matrix cells computed at once in a task
@@ -145,7 +145,7 @@ def _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim):
 def knn_search(queries: DataFrame, docs: DataFrame, k: int = 10, metric: str = "l2",
                squared: bool = True, exclude_self: bool = False, digits: int = 6,
                strategy: str = "auto", dim: int | None = None,
-               max_broadcast_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Exact top-k per query: query_id, doc_id, score, rnk.
 
     ``queries``: query_id, embedding; ``docs``: doc_id, embedding.
@@ -158,7 +158,10 @@ def knn_search(queries: DataFrame, docs: DataFrame, k: int = 10, metric: str = "
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
     if strategy == "auto":
-        strategy = "broadcast" if fits(queries, max_broadcast_queries) else "grid"
+        # the broadcast bound is in bytes: rows allowed = bytes / (8 * dim)
+        width = dim or (queries.select(F.size("embedding")).first() or [1])[0]
+        max_rows = max(1, max_broadcast_bytes // (8 * max(1, width)))
+        strategy = "broadcast" if fits(queries, max_rows) else "grid"
     if strategy == "broadcast":
         part = _broadcast_search(queries, docs, k, metric, squared, exclude_self, digits, dim)
     elif strategy == "grid":
