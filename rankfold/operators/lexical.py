@@ -116,7 +116,16 @@ def bm25_scores(queries: DataFrame, index: LexicalIndex, k1: float = 1.5, b: flo
     tdf = index.term_stats.join(F.broadcast(vocab) if small else vocab, "term", "left_semi")
     weights = (qt.join(F.broadcast(tdf) if small else tdf, "term")
                .withColumn("idf", idf(index.n_docs(), F.col("df").cast("double"))))
-    cand = index.postings.join(F.broadcast(weights) if small else weights, "term")
+    if small:
+        cand = index.postings.join(F.broadcast(weights), "term")
+    else:
+        # Too many (query, term) rows to broadcast: shuffle-join on term, but
+        # first cut the postings to the query vocabulary (map-side, when the
+        # vocabulary itself fits), so only those postings are shuffled.
+        postings = index.postings
+        if fits(vocab, broadcast_limit):
+            postings = postings.join(F.broadcast(vocab), "term", "left_semi")
+        cand = postings.join(weights, "term")
     w = bm25_weight(F.col("qtf").cast("double"), F.col("idf"), F.col("tf").cast("double"),
                     F.col("dl").cast("double"), index.avgdl(), k1, b, variant)
     return (cand.groupBy("query_id", "doc_id").agg(F.sum(w).alias("raw"))

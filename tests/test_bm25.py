@@ -113,3 +113,11 @@ def test_search_scores_inside_shards(spark):
     assert not re.search(r"Exchange hashpartitioning\(query_id#\d+L, doc_id", plan)
     assert re.search(r"Exchange hashpartitioning\(query_id#\d+L, \d+\)", plan)
     assert "WindowGroupLimit" in plan
+
+
+def test_large_query_set_path_equals_broadcast_path(index, queries):
+    a = rows(lexical.bm25_search(queries, index, k=3), "query_id", "doc_id", "score", "rnk")
+    b = rows(lexical.bm25_search(queries, index, k=3, broadcast_limit=1), "query_id", "doc_id", "score", "rnk")
+    # 5 (query, term) rows, 3 vocabulary terms: limit 4 takes the pruned-postings path
+    c = rows(lexical.bm25_search(queries, index, k=3, broadcast_limit=4), "query_id", "doc_id", "score", "rnk")
+    assert a == b == c
