@@ -180,28 +180,42 @@ def bm25_search_padded(queries: DataFrame, index: LexicalIndex, corpus: DataFram
     return top_k(scored.unionByName(pads), k)
 
 
-def save_index(index: LexicalIndex, path: str, range_parts: int | None = None) -> None:
-    """Persist the index tables as parquet under ``path``.
-
-    Postings are range-partitioned and sorted by term, so each file covers a
-    disjoint term range and parquet min/max statistics let term lookups skip
-    files and row groups.
+def save_index(index: LexicalIndex, path: str, range_parts: int | None = None,
+               table_prefix: str | None = None, shards: int | None = None) -> None:
+    """Persist the index tables under ``path``.
+
+    With ``table_prefix`` the postings and doc stats become catalog tables
+    bucketed by doc_id (``shards`` buckets), so a later session that shares
+    the catalog searches shard-locally, as right after the build. Without it,
+    postings are plain parquet range-partitioned and sorted by term: each file
+    covers a disjoint term range and parquet min/max statistics let term
+    lookups skip files and row groups.
     """
     import os
 
     spark = index.postings.sparkSession
-    n = range_parts or max(1, spark.sparkContext.defaultParallelism)
-    (index.postings.repartitionByRange(n, "term").sortWithinPartitions("term", "doc_id")
-     .write.mode("overwrite").parquet(os.path.join(path, "postings")))
+    if table_prefix:
+        n = shards or default_shards(spark)
+        for name, df in (("postings", index.postings), ("doc_stats", index.doc_stats)):
+            (df.repartition(n, "doc_id").write.bucketBy(n, "doc_id").mode("overwrite")
+             .option("path", os.path.join(path, name)).saveAsTable(f"{table_prefix}_{name}"))
+    else:
+        n = range_parts or max(1, spark.sparkContext.defaultParallelism)
+        (index.postings.repartitionByRange(n, "term").sortWithinPartitions("term", "doc_id")
+         .write.mode("overwrite").parquet(os.path.join(path, "postings")))
+        index.doc_stats.write.mode("overwrite").parquet(os.path.join(path, "doc_stats"))
     index.term_stats.write.mode("overwrite").parquet(os.path.join(path, "term_stats"))
-    index.doc_stats.write.mode("overwrite").parquet(os.path.join(path, "doc_stats"))
     index.corpus_stats.coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "corpus_stats"))
 
 
-def load_index(spark, path: str) -> LexicalIndex:
+def load_index(spark, path: str, table_prefix: str | None = None) -> LexicalIndex:
     """Read an index written by :func:`save_index` (or by the streaming ingest)."""
     import os
 
     r = spark.read
-    return LexicalIndex(r.parquet(os.path.join(path, "postings")), r.parquet(os.path.join(path, "term_stats")),
-                        r.parquet(os.path.join(path, "corpus_stats")), r.parquet(os.path.join(path, "doc_stats")))
+    if table_prefix:
+        postings, doc_stats = spark.table(f"{table_prefix}_postings"), spark.table(f"{table_prefix}_doc_stats")
+    else:
+        postings, doc_stats = r.parquet(os.path.join(path, "postings")), r.parquet(os.path.join(path, "doc_stats"))
+    return LexicalIndex(postings, r.parquet(os.path.join(path, "term_stats")),
+                        r.parquet(os.path.join(path, "corpus_stats")), doc_stats)

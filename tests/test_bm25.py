@@ -121,3 +121,13 @@ def test_large_query_set_path_equals_broadcast_path(index, queries):
     # 5 (query, term) rows, 3 vocabulary terms: limit 4 takes the pruned-postings path
     c = rows(lexical.bm25_search(queries, index, k=3, broadcast_limit=4), "query_id", "doc_id", "score", "rnk")
     assert a == b == c
+
+
+def test_save_as_bucketed_tables_keeps_shard_local_search(spark, index, queries, tmp_path):
+    lexical.save_index(index, str(tmp_path / "tidx"), table_prefix="rankfold_test_idx", shards=4)
+    back = lexical.load_index(spark, str(tmp_path / "tidx"), table_prefix="rankfold_test_idx")
+    run = lexical.bm25_search(queries, back, k=3)
+    assert rows(run, "query_id", "doc_id", "score") == rows(lexical.bm25_search(queries, index, k=3),
+                                                            "query_id", "doc_id", "score")
+    run.collect()
+    assert "Bucketed: true" in run._jdf.queryExecution().executedPlan().toString()
