@@ -46,6 +46,20 @@ def _as_matrix(values, dim: int | None) -> np.ndarray:
     return np.vstack(rows)
 
 
+def _arrow_matrix(col, dim: int | None) -> np.ndarray:
+    """(n, dim) float64 from an Arrow list column, without per-row Python objects."""
+    import pyarrow.compute as pc
+
+    n = len(col)
+    if n == 0:
+        return np.zeros((0, dim or 0))
+    lens = pc.list_value_length(col).to_numpy(zero_copy_only=False)
+    width = int(lens[0]) if dim is None else dim
+    if (lens != width).any():
+        raise ValueError(f"vector length mismatch: found lengths {sorted(set(lens.tolist()))}, expected {width}")
+    return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, width)
+
+
 def _block_top_k(qids, Q, dids, D, k, metric, squared, exclude_self, digits):
     """Top-k (by rounded score, then doc_id) of one query block x doc block."""
     out = []
@@ -101,7 +115,7 @@ def _broadcast_search(queries, docs, k, metric, squared, exclude_self, digits, d
     spark = docs.sparkSession
     tbl = queries.select("query_id", "embedding").toArrow()
     qids = np.asarray(tbl.column("query_id").to_numpy(zero_copy_only=False), dtype=np.int64)
-    Q = _as_matrix(tbl.column("embedding").to_pylist(), dim)
+    Q = _arrow_matrix(tbl.column("embedding").combine_chunks(), dim)
     bq = spark.sparkContext.broadcast((qids, Q))
 
     def run(batches):
