@@ -121,3 +121,16 @@ def method_table(curves: dict[str, DataFrame], at: int = 5) -> DataFrame:
                                                    "precision", "recall", "f1")
              for name, c in curves.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def attach(run: DataFrame, qrels: DataFrame | None = None, corpus: DataFrame | None = None) -> DataFrame:
+    """Add ``relevant`` (from qrels) and ``text`` (from the corpus) only
+    when the run does not carry them yet; a new DataFrame, the input is unchanged.
+    The corpus side is de-duplicated by doc_id so answers never fan out."""
+    out = run
+    if "relevant" not in out.columns and qrels is not None:
+        out = flag_relevant(out, qrels)
+    if "text" not in out.columns and corpus is not None:
+        texts = corpus.select("doc_id", "text").groupBy("doc_id").agg(F.min("text").alias("text"))
+        out = out.join(texts, "doc_id", "left")
+    return out

@@ -92,3 +92,14 @@ def test_label_judgements_exclude_self(spark):
     flagged, n_rel = ev.flag_by_label(run, q, d)
     assert n_rel.first()["n_rel"] == 1
     assert rows(flagged, "doc_id", "relevant") == [(2, True), (3, False)]
+
+
+def test_attach_adds_only_missing_columns(spark):
+    run = _run(spark, [(1, 10, 1), (1, 11, 2)])
+    qrels = spark.createDataFrame([(1, 11)], "query_id long, doc_id long")
+    corpus = spark.createDataFrame([(10, "a"), (11, "b"), (11, "b")], "doc_id long, text string")
+    out = ev.attach(run, qrels, corpus)
+    assert rows(out, "doc_id", "relevant", "text") == [(10, False, "a"), (11, True, "b")]
+    pre = run.withColumn("relevant", F.lit(True))
+    assert rows(ev.attach(pre, qrels, corpus), "doc_id", "relevant") == [(10, True), (11, True)]
+    assert run.columns == ["query_id", "doc_id", "rnk"]
