@@ -20,7 +20,7 @@ from rankfold.functions.scoring import bm25_weight, idf
 from rankfold.functions.text import tokenize
 from rankfold.operators.rank import top_k
 from rankfold.schemas import require_columns
-from rankfold.session import default_shards, fits, materialize as _materialize, materialize_bucketed
+from rankfold.session import default_shards, fits, materialize_bucketed
 
 # Query-term tables at most this long are broadcast into the postings scan.
 MAX_BROADCAST_QUERY_TERMS = 2_000_000

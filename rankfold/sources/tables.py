@@ -11,7 +11,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankfold.session import spread
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
