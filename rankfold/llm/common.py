@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -51,3 +52,41 @@ def map_batches(df: DataFrame, fn: Callable[..., dict], schema: str, init: Calla
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
 
     return df.mapInArrow(run, schema)
+
+
+_U = np.uint64
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser, in place: neighbouring counters give independent-looking values."""
+    x ^= x >> _U(30)
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
+
+
+def counter_hash(key, *counters) -> np.ndarray:
+    h = np.atleast_1d(np.asarray(key, np.uint64))
+    for c in counters:
+        h = mix(h + np.atleast_1d(c).astype(np.uint64) * _U(0x9E3779B97F4A7C15) + _U(0x632BE59BD9B4E019))
+    return h
+
+
+def to_unit(h: np.ndarray) -> np.ndarray:
+    return ((h >> _U(12)).astype(np.float64) + 0.5) * 2.0 ** -52
+
+
+def uniform(key, *counters) -> np.ndarray:
+    """Numbers in (0, 1) that depend on the key and the counters only."""
+    return to_unit(counter_hash(key, *counters))
+
+
+#: Ids up to this many rows (8 bytes each) are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 4_000_000
+
+
+def ids_side(ids: DataFrame) -> DataFrame:
+    """A one-column table of ids, marked for broadcast if it is known to be small."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

@@ -26,7 +26,7 @@ RULES = {
     "short": "n_words < 50",
     "repeated_windows": "100 * n_repeat_words > 50 * n_words",
     "symbols": "100 * n_symbols > 10 * n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "n_dup_lines > 4 and 100 * n_dup_lines > 50 * n_lines",
     "shouting": "n_upper > n_lower",
     "long_words": "word_chars > 25 * n_words",
 }
@@ -140,7 +140,7 @@ def op1(docs: DataFrame) -> DataFrame:
 ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
-        list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
 tok AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
 win AS (SELECT r, i, word || ' ' || lead(word) OVER p || ' ' || lead(word, 2) OVER p AS k FROM tok
         WINDOW p AS (PARTITION BY r ORDER BY i)),
@@ -152,7 +152,7 @@ m AS (SELECT w.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\
         length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(t, '[^a-z]', '', 'g')) AS n_lower
       FROM w LEFT JOIN cov USING (r)),
 f AS (SELECT *, (n_words < 50)::INT::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::INT
-        + 4 * (100 * n_symbols > 10 * n_words)::INT + 8 * (100 * n_dup_lines > 30 * n_lines)::INT
+        + 4 * (100 * n_symbols > 10 * n_words)::INT + 8 * (n_dup_lines > 4 AND 100 * n_dup_lines > 50 * n_lines)::INT
         + 16 * (n_upper > n_lower)::INT + 32 * (word_chars > 25 * n_words)::INT AS failed FROM m)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, (failed & 3) <> 0 AS base_failed,

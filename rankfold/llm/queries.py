@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankfold.llm import html_text, mixing, quality_rules, quotes, segment_sampling, token_counts
+from rankfold.llm import html_text, jaccard_join, mixing, quality_rules, quotes, segment_sampling, token_counts
 from rankfold.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link(table(spark, sf_dir, "conversations"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.op4(table(spark, sf_dir, "documents"))
+
+
 def op5_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_sampling.sample_segmentations(table(spark, sf_dir, "documents"))
 
@@ -32,8 +36,9 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op10(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_extraction, op3_quotation_linking, op5_sentencepiece_sampling,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_extraction, op3_quotation_linking, op4_ngram_jaccard_join, op5_sentencepiece_sampling,
                                    op9_token_counts, op10_temperature_mixing)}
 
 ORACLE_SQL = {"op1_quality_rules": quality_rules.ORACLE, "op3_quotation_linking": quotes.ORACLE,
+              "op4_ngram_jaccard_join": jaccard_join.ORACLE,
               "op10_temperature_mixing": mixing.ORACLE}

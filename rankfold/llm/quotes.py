@@ -108,7 +108,7 @@ def link(conversations: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 WITH m AS (SELECT conv_id, turn, role, text, md5(text) AS message, string_split(text, chr(10)) AS ls FROM conversations),
-own AS (SELECT *, list_filter(ls, x -> NOT regexp_matches(x, '^([\x20\x09]*>)+')) AS ol FROM m),
+own AS (SELECT *, list_filter(ls, lambda x: NOT regexp_matches(x, '^([\x20\x09]*>)+')) AS ol FROM m),
 unit AS (SELECT DISTINCT conv_id, turn, md5(u) AS hash FROM (
   SELECT conv_id, turn, unnest(list_prepend(array_to_string(ol, ' '), ol)) AS raw FROM own
   WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL) t,
