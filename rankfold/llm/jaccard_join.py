@@ -16,11 +16,11 @@ Steps
    such tokens is joined by the plain order 1 instead, with all other classes.
 3. Tokens with the same members are reduced to one. Groups under ``HOT``
    members give their pairs. Larger ones give a star: every member against one
-   pivot. Members that link to the pivot are connected; what remains is
-   compared pairwise only where the distances to the pivot allow a link
-   (Jaccard distance is a metric) and the two aren't both linked to it.
-4. Pairs passing size and prefix filters are verified on their sorted 64-bit
-   shingle hashes; links are joined to components by smallest id.
+   pivot. Members that link to the pivot are connected; only members that
+   don't are compared with the others of the group.
+4. Pairs that pass the size and prefix filters are bounded on 2 bytes a
+   shingle, and the few that can still link are verified on their 64-bit
+   shingle hashes. Links are joined to components by smallest id.
 
 Documents without words have the empty set, link with nothing and are their own
 component. Null texts are such documents. A null doc_id takes no part: its
@@ -153,35 +153,69 @@ def groups_of(posts: DataFrame) -> DataFrame:
     return posts.join(g, ["part", "tok"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) that pass the filters of orders 2 and 3, with their intersection and union size."""
-    side = lambda k: reps.select(F.col("rep").alias(k), F.col("p2").alias(f"{k}2"), F.col("p3").alias(f"{k}3"))
-    x = pairs.join(side("a"), "a").join(side("b"), "b").where(F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
-    x = written(x.select("a", "b"), "jaccard-candidates")
-    wanted = x.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    text = text_rows(docs, id_col, text_col)
-    text = text.join(ids_side(written(wanted, "jaccard-wanted")), F.col(id_col) == F.col("id"), "left_semi")
+def sets_of(pairs: DataFrame, docs: DataFrame, width: int, id_col: str, text_col: str, short: bool) -> DataFrame:
+    """(id, set) of every document in the pairs: sorted 64-bit hashes, or the 16-bit ends of them."""
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-wanted")
+    text = text_rows(docs, id_col, text_col).join(ids_side(wanted), F.col(id_col) == F.col("id"), "left_semi")
 
-    def sets(memo, cols):
-        return {"id": cols[id_col], "set": [shingles(t, memo, width).tobytes() for t in cols[text_col]]}
+    def run(memo, cols):
+        sets = (shingles(t, memo, width) for t in cols[text_col])
+        return {"id": cols[id_col], "set": [(x.astype(np.uint16) if short else x).tobytes() for x in sets]}
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    s = written(map_batches(text, sets, f"id {kind}, set binary", init=WordHashes).distinct(), "jaccard-sets")
-    x = x.join(s.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(s.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+    return map_batches(text, run, f"id {kind}, set binary", init=WordHashes)
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame, count, out: str) -> DataFrame:
+    """The pairs with ``count`` of their two sets as column ``out``."""
+    kind = pairs.select("a").schema[0].dataType.simpleString()
+    x = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
+    x = x.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb")
+    return map_batches(x, lambda _, c: {"a": c["a"], "b": c["b"], out: [count(p, q) for p, q in zip(c["sa"], c["sb"])]},
+                       f"a {kind}, b {kind}, {out} array<int>")
+
+
+def most_shared(a: bytes, b: bytes) -> list[int]:
+    """[upper bound of the intersection, size of a, size of b] from 16-bit ends: an end that the other lacks is no shared shingle."""
+    x, y = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
+    has = np.zeros((2, 65536), bool)
+    has[0, x] = has[1, y] = True
+    return [int(min(has[1, x].sum(), has[0, y].sum())), len(x), len(y)]
 
-    def check(_, cols):
-        sa, sb = ([np.frombuffer(v, np.uint64) for v in cols[c]] for c in ("sa", "sb"))
-        inter = [len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(sa, sb)]
-        return {"a": cols["a"], "b": cols["b"], "inter": inter, "uni": [len(p) + len(q) - i for p, q, i in zip(sa, sb, inter)]}
 
-    return map_batches(x, check, f"a {kind}, b {kind}, inter long, uni long")
+def shared(a: bytes, b: bytes) -> list[int]:
+    """[intersection, size of a, size of b] of sorted distinct 64-bit hashes."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    return [len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)]
+
+
+def similar(c: str, percent: int):
+    """100 * intersection >= percent * union, for [intersection, size, size]."""
+    i = F.col(c)[0]
+    return i * 100 >= (F.col(c)[1] + F.col(c)[2] - i) * percent
+
+
+def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """The linked pairs (a, b) with j, and those ruled out on their sets with j null.
+
+    Filters in order: prefixes of orders 2 and 3; an upper bound from 2 bytes a shingle; the whole sets, for the
+    few pairs that are left. Only what passed one is sent to the next.
+    """
+    side = lambda k: reps.select(F.col("rep").alias(k), F.col("p2").alias(f"{k}2"), F.col("p3").alias(f"{k}3"))
+    x = pairs.join(side("a"), "a").join(side("b"), "b").where(F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
+    x = written(x.select("a", "b"), "jaccard-candidates")
+    x = overlaps(x, written(sets_of(x, docs, width, id_col, text_col, True), "jaccard-ends"), most_shared, "bound")
+    x = written(x.where(similar("bound", percent)).select("a", "b").distinct(), "jaccard-bounded")
+    x = overlaps(x, written(sets_of(x, docs, width, id_col, text_col, False), "jaccard-sets"), shared, "found")
+    i = F.col("found")[0]
+    return x.where(similar("found", percent)).select("a", "b", (i / (F.col("found")[1] + F.col("found")[2] - i)).alias("j")).distinct()
 
 
 def links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT, width: int = WIDTH, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """Pairs of class representatives (a < b), enough to connect every two that are linked."""
     found = written(groups_of(candidate_postings(reps, percent)), "jaccard-groups")
-    kept = F.col("inter") * 100 >= F.col("uni") * percent
+    check = lambda x: verified(x, docs, reps, percent, width, id_col, text_col)
     small = found.where(F.col("g") < HOT)
     right = small.select("part", "tok", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("seek").alias("seek_b"))
     pairs = small.withColumnsRenamed({"rep": "a", "n": "na"}).join(right, ["part", "tok"]).where(
@@ -189,27 +223,23 @@ def links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT, width: int =
     large = found.where(F.col("g") >= HOT)
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     if large.isEmpty():
-        return written(verified(pairs.distinct(), docs, reps, percent, width, id_col, text_col).where(kept).select("a", "b"), "jaccard-links")
+        return written(check(pairs.distinct()).select("a", "b"), "jaccard-links")
     # one pivot a group: the member sharing most of its tokens with others
     pivots = large.groupBy("part", "tok").agg(F.max(F.struct("share", "n", "rep")).alias("m")).select(
         "part", "tok", F.col("m.rep").alias("pivot"), F.col("m.n").alias("pivot_n"))
     star = written(large.join(pivots, ["part", "tok"]), "jaccard-stars")
     arms = star.where((F.col("rep") != F.col("pivot")) & near_size("n", "pivot_n", percent)).select(*ordered("rep", "pivot"))
-    first = written(verified(pairs.unionByName(arms).distinct(), docs, reps, percent, width, id_col, text_col), "jaccard-first")
-    # members by their similarity to the pivot; null where it was ruled out before verification
-    measured = first.select("a", "b", (F.col("inter") / F.col("uni")).alias("j"), kept.alias("linked"))
-    x = star.withColumns({"a": F.least("rep", "pivot"), "b": F.greatest("rep", "pivot")}).join(measured, ["a", "b"], "left")
-    x = x.withColumn("linked", (F.col("rep") == F.col("pivot")) | F.coalesce("linked", F.lit(False)))
-    x = written(x.select("part", "tok", "rep", "n", "seek", "j", "linked").where("j is null or j < 1"), "jaccard-members")
-    reach = (100 - percent) / 100 + 1e-9
-    loose = x.where("not linked").withColumnsRenamed({"rep": "u", "n": "nu", "seek": "seek_u", "j": "ju"}).drop("linked")
-    near = F.col("j").isNull() | F.col("ju").isNull() | (F.abs(F.col("j") - F.col("ju")) <= reach)
-    rest = loose.join(x.where("j is not null or not linked"), ["part", "tok"]).where(
-        (F.col("u") != F.col("rep")) & (F.col("linked") | (F.col("u") < F.col("rep"))) & (F.col("seek_u") | F.col("seek"))
-        & near_size("nu", "n", percent) & near).select(*ordered("u", "rep")).distinct()
+    first = written(check(pairs.unionByName(arms).distinct()), "jaccard-first")
+    # a member that links to the pivot is connected; j is its similarity to the pivot, null if they don't link
+    x = star.withColumns({"a": F.least("rep", "pivot"), "b": F.greatest("rep", "pivot")}).join(first, ["a", "b"], "left")
+    x = x.where(F.col("rep") != F.col("pivot")).select("part", "tok", "rep", "n", "seek", "j")
+    x = written(x, "jaccard-members")
+    loose = x.where("j is null").withColumnsRenamed({"rep": "u", "n": "nu", "seek": "seek_u"}).drop("j")
+    rest = loose.join(x, ["part", "tok"]).where(
+        (F.col("u") != F.col("rep")) & (F.col("j").isNotNull() | (F.col("u") < F.col("rep"))) & (F.col("seek_u") | F.col("seek"))
+        & near_size("nu", "n", percent) & (F.col("j").isNull() | (F.col("j") < 1))).select(*ordered("u", "rep")).distinct()
     rest = rest.join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = verified(rest, docs, reps, percent, width, id_col, text_col)
-    return written(first.unionByName(second).where(kept).select("a", "b"), "jaccard-links")
+    return written(first.select("a", "b").unionByName(check(rest).select("a", "b")), "jaccard-links")
 
 
 def components(edges: DataFrame) -> DataFrame:
