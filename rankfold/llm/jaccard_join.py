@@ -15,9 +15,13 @@ Steps
    enough tokens to see the new prefix; a class whose extended prefix is mostly
    such tokens is joined by the plain order 1 instead, with all other classes.
 3. Tokens with the same members are reduced to one. Groups under ``HOT``
-   members give their pairs. Larger ones give a star: every member against one
-   pivot. Members that link to the pivot are connected; only members that
-   don't are compared with the others of the group.
+   members give their pairs. The members of larger ones are joined anew among
+   themselves with their tokens in rarest-first order, counted over all of
+   them: a member's place in a group then tells how many tokens it has that
+   hardly anyone shares, and bounds its overlap with the other members. Groups
+   that are still large give a star, every member against the pivot; members
+   linked to the pivot are connected, and only those that aren't are compared
+   with others of the group that the bound allows.
 4. Pairs that pass the size and prefix filters are bounded on 2 bytes a
    shingle, and the few that can still link are verified on their 64-bit
    shingle hashes. Links are joined to components by smallest id.
@@ -32,7 +36,7 @@ empty results.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rankfold.llm.common import ids_side, map_batches, mix, text_rows, written
 
@@ -211,34 +215,64 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int, w
     return x.where(similar("found", percent)).select("a", "b", (i / (F.col("found")[1] + F.col("found")[2] - i)).alias("j")).distinct()
 
 
+def positional(place_a, place_b, percent: int):
+    """Whether sets of na and nb whose first shared token stands at these places (from 0) can still link."""
+    most = F.least(F.col("na") - place_a, F.col("nb") - place_b)
+    return most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+
+
+def rare_first_postings(members: DataFrame, docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(tok, rep, n, own, place) of the members' prefixes under rarest-first order, counted over all members' whole sets.
+
+    ``own`` is the number of a member's tokens that no other member has. They come first in this order.
+    """
+    text = text_rows(docs, id_col, text_col).join(ids_side(members.select(F.col("rep").alias("id"))), F.col(id_col) == F.col("id"), "left_semi")
+    kind = docs.select(id_col).schema[0].dataType.simpleString()
+    sets = map_batches(text, lambda memo, c: {"rep": c[id_col], "set": [shingles(t, memo, width).view(np.int64) for t in c[text_col]]},
+                       f"rep {kind}, set array<long>", init=WordHashes)
+    tokens = written(sets.select("rep", F.explode("set").alias("tok")).distinct(), "jaccard-tokens")
+    df = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    held = tokens.join(df, "tok")
+    order = Window.partitionBy("rep").orderBy("df", "tok")  # the tokens of one document
+    held = held.withColumn("at", F.row_number().over(order)).withColumn("n_held", F.count(F.lit(1)).over(Window.partitionBy("rep")))
+    held = held.join(members, "rep").withColumn("own", F.col("n") - F.col("n_held"))
+    held = held.withColumn("place", (F.col("own") + F.col("at") - 1).cast("int"))
+    return held.where(F.col("place") < _prefix(F.col("n"), percent)).select("tok", "rep", "n", "own", "place")
+
+
 def links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT, width: int = WIDTH, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """Pairs of class representatives (a < b), enough to connect every two that are linked."""
     found = written(groups_of(candidate_postings(reps, percent)), "jaccard-groups")
-    check = lambda x: verified(x, docs, reps, percent, width, id_col, text_col)
+    check = lambda x: verified(x.distinct(), docs, reps, percent, width, id_col, text_col)
+    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     small = found.where(F.col("g") < HOT)
     right = small.select("part", "tok", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("seek").alias("seek_b"))
     pairs = small.withColumnsRenamed({"rep": "a", "n": "na"}).join(right, ["part", "tok"]).where(
         (F.col("a") < F.col("b")) & (F.col("seek") | F.col("seek_b")) & near_size("na", "nb", percent)).select("a", "b")
-    large = found.where(F.col("g") >= HOT)
-    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    if large.isEmpty():
-        return written(check(pairs.distinct()).select("a", "b"), "jaccard-links")
-    # one pivot a group: the member sharing most of its tokens with others
-    pivots = large.groupBy("part", "tok").agg(F.max(F.struct("share", "n", "rep")).alias("m")).select(
-        "part", "tok", F.col("m.rep").alias("pivot"), F.col("m.n").alias("pivot_n"))
-    star = written(large.join(pivots, ["part", "tok"]), "jaccard-stars")
-    arms = star.where((F.col("rep") != F.col("pivot")) & near_size("n", "pivot_n", percent)).select(*ordered("rep", "pivot"))
-    first = written(check(pairs.unionByName(arms).distinct()), "jaccard-first")
-    # a member that links to the pivot is connected; j is its similarity to the pivot, null if they don't link
-    x = star.withColumns({"a": F.least("rep", "pivot"), "b": F.greatest("rep", "pivot")}).join(first, ["a", "b"], "left")
-    x = x.where(F.col("rep") != F.col("pivot")).select("part", "tok", "rep", "n", "seek", "j")
-    x = written(x, "jaccard-members")
-    loose = x.where("j is null").withColumnsRenamed({"rep": "u", "n": "nu", "seek": "seek_u"}).drop("j")
-    rest = loose.join(x, ["part", "tok"]).where(
-        (F.col("u") != F.col("rep")) & (F.col("j").isNotNull() | (F.col("u") < F.col("rep"))) & (F.col("seek_u") | F.col("seek"))
-        & near_size("nu", "n", percent) & (F.col("j").isNull() | (F.col("j") < 1))).select(*ordered("u", "rep")).distinct()
-    rest = rest.join(first.select("a", "b"), ["a", "b"], "left_anti")
+    members = written(found.where(F.col("g") >= HOT).select("rep", "n").distinct(), "jaccard-members")
+    if members.isEmpty():
+        return written(check(pairs).select("a", "b"), "jaccard-links")
+    # members of large groups: joined anew among themselves, rarest tokens first
+    posts = written(rare_first_postings(members, docs, percent, width, id_col, text_col), "jaccard-rare")
+    g = posts.groupBy("tok").agg(F.count(F.lit(1)).alias("g"), F.max(F.struct(-F.col("own") / F.col("n"), "n", "rep")).alias("m")).where("g > 1")
+    # the pivot is the member with the smallest share of tokens of its own
+    posts = written(posts.join(g.select("tok", "g", F.col("m.rep").alias("pivot"), F.col("m.n").alias("pivot_n")), "tok"), "jaccard-rare-groups")
+    few = posts.where(F.col("g") < HOT).withColumnsRenamed({"rep": "a", "n": "na", "place": "pa"}).drop("own", "pivot", "pivot_n", "g")
+    right = posts.where(F.col("g") < HOT).select("tok", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"))
+    few = few.join(right, "tok").where((F.col("a") < F.col("b")) & near_size("na", "nb", percent) & positional(F.col("pa"), F.col("pb"), percent))
+    many = posts.where(F.col("g") >= HOT)
+    arms = many.where((F.col("rep") != F.col("pivot")) & near_size("n", "pivot_n", percent)).select(*ordered("rep", "pivot"))
+    first = written(check(pairs.unionByName(few.select("a", "b")).unionByName(arms)), "jaccard-first")
+    # a member that links to its group's pivot is connected; one that doesn't is compared with the others of the group,
+    # where their places in it, and the tokens of their own, allow a link
+    on = many.withColumns({"a": F.least("rep", "pivot"), "b": F.greatest("rep", "pivot")}).join(first.select("a", "b", "j"), ["a", "b"], "left")
+    on = written(on.where("rep <> pivot").select("tok", "rep", "n", "place", "j"), "jaccard-arms")
+    loose = on.where("j is null").select("tok", F.col("rep").alias("u"), F.col("n").alias("na"), F.col("place").alias("pa"))
+    other = on.where("j is null or j < 1").select("tok", "rep", F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("j"))
+    rest = loose.join(other, "tok").where((F.col("u") != F.col("rep")) & (F.col("j").isNotNull() | (F.col("u") < F.col("rep")))
+                                          & near_size("na", "nb", percent) & positional(F.col("pa"), F.col("pb"), percent))
+    rest = rest.select(*ordered("u", "rep")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
     return written(first.select("a", "b").unionByName(check(rest).select("a", "b")), "jaccard-links")
 
 
