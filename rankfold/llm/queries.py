@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankfold.llm import html_text, jaccard_join, mixing, quality_rules, quotes, segment_sampling, token_counts
+from rankfold.llm import (html_text, jaccard_join, mih, mixing, quality_classifier, quality_rules, quotes, secrets, segment_sampling,
+                          token_counts)
 from rankfold.llm.common import table
 
 
@@ -28,6 +29,18 @@ def op5_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_sampling.sample_segmentations(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.op6(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.op7(table(spark, sf_dir, "documents"))
+
+
+def op8_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mih.op8(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -37,7 +50,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_extraction, op3_quotation_linking, op4_ngram_jaccard_join, op5_sentencepiece_sampling,
-                                   op9_token_counts, op10_temperature_mixing)}
+                                   op6_quality_classifier, op7_secret_scan, op8_multi_index_hashing, op9_token_counts, op10_temperature_mixing)}
 
 ORACLE_SQL = {"op1_quality_rules": quality_rules.ORACLE, "op3_quotation_linking": quotes.ORACLE,
               "op4_ngram_jaccard_join": jaccard_join.ORACLE,
