@@ -8,9 +8,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankfold.llm import jaccard_join, mixing, quality_classifier, secrets, segment_sampling
 from rankfold.llm.common import prepare, table, written
 
-STAGES = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    prepare(spark)
+    return jaccard_join.drop_near_duplicates(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in the texts."""
+    prepare(spark)
+    return secrets.redact(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are left out or repeated as their source's weight says."""
+    prepare(spark)
+    return mixing.mix(docs).select(*[f"`{c}`" for c in docs.columns])
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of every document."""
+    prepare(spark)
+    return segment_sampling.sample_segmentations(docs)
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("secrets", secret_scan), ("mixing", source_mixing),
+          ("encoding", encoding)]
 
 #: The classifier, the tagger and the sampler can't be written in SQL; the pipeline is tested against brute force.
 ORACLE_SQL = None
