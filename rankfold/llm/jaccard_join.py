@@ -12,8 +12,8 @@ Steps
    with equal sets become one class (its smallest doc_id), so copies never meet.
 2. Tokens held by many classes move to the end of order 1 (the order stays
    global: the move depends on the token only). The extended prefix holds
-   enough tokens to see the new prefix; a class whose extended prefix is mostly
-   such tokens is joined by the plain order 1 instead, with all other classes.
+   enough tokens to see the new prefix; where too many of them have moved, the
+   new prefix is taken from the whole set.
 3. Tokens with the same members are reduced to one. Groups under ``HOT``
    members give their pairs. The members of larger ones are joined anew among
    themselves with their tokens in rarest-first order, counted over all of
@@ -121,27 +121,43 @@ def _prefix(n, percent: int):
     return n - F.ceil(n * percent / F.lit(100)).cast("int") + 1
 
 
-def candidate_postings(reps: DataFrame, percent: int) -> DataFrame:
-    """(tok, rep, n, share, seek): the joined prefix tokens. ``seek`` is false for members only sought by others."""
+def candidate_postings(reps: DataFrame, docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(tok, rep, n): prefix tokens under order 1 with hot tokens moved to its end."""
     posts = reps.select("rep", F.posexplode("e").alias("rank", "tok"))
     shared = posts.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     held = written(posts.join(shared, "tok"), "jaccard-held")
-    # per class: which of its extended prefix is hot, and where the others stand
-    hot = held.where(F.col("df") >= HOT).groupBy("rep").agg(F.sort_array(F.collect_list("rank")).alias("hot_ranks"))
-    per = held.groupBy("rep").agg(F.count(F.lit(1)).alias("n_held"))
+    # per class: which of its extended prefix is hot; it is stuck if too little else is left of it
+    ranks = held.where(F.col("df") >= HOT).groupBy("rep").agg(F.sort_array(F.collect_list("rank")).alias("hot_ranks"))
     sizes = reps.select("rep", "n", F.size("e").alias("ne"), _prefix(F.col("n"), percent).alias("p"))
-    per = per.join(sizes, "rep").join(hot, "rep", "left").withColumn("hot_ranks", F.coalesce("hot_ranks", F.array().cast("array<int>")))
-    plain = F.col("ne") - F.size("hot_ranks")
-    per = per.withColumn("plain", plain).withColumn("stuck", (plain < F.col("p")) & (F.col("ne") < F.col("n")))
-    x = held.join(per.select("rep", "n", "ne", "p", "plain", "stuck", "hot_ranks", (F.col("n_held") / F.col("ne")).alias("share")), "rep")
+    per = sizes.join(ranks, "rep", "left").withColumn("hot_ranks", F.coalesce("hot_ranks", F.array().cast("array<int>")))
+    per = per.withColumn("plain", F.col("ne") - F.size("hot_ranks"))
+    per = per.withColumn("stuck", (F.col("plain") < F.col("p")) & (F.col("ne") < F.col("n")))
     earlier = F.size(F.filter("hot_ranks", lambda r: r < F.col("rank")))
-    place = F.when(F.col("df") >= HOT, F.col("plain") + earlier).otherwise(F.col("rank") - earlier)
-    x = written(x.select("tok", "rep", "n", "rank", "p", "stuck", "share", place.alias("place")), "jaccard-places")
-    usual = x.where("not stuck and place < p").select("tok", "rep", "n", "share", F.lit(0).alias("part"), F.lit(True).alias("seek"))
-    plainly = x.where("rank < p")
-    sought = plainly.where("stuck").select("tok").distinct()
-    other = plainly.join(sought, "tok", "left_semi").select("tok", "rep", "n", "share", F.lit(1).alias("part"), F.col("stuck").alias("seek"))
-    return usual.unionByName(other)
+    place = lambda hot: F.when(hot, F.col("plain") + earlier).otherwise(F.col("rank") - earlier)
+    usual = held.join(per.where("not stuck"), "rep").where(place(F.col("df") >= HOT) < F.col("p")).select("tok", "rep", "n")
+    stuck = written(per.where("stuck").select("rep", "n", "p"), "jaccard-stuck")
+    if stuck.isEmpty():
+        return usual
+    # the stuck ones: their prefix from the whole set
+    text = text_rows(docs, id_col, text_col).join(ids_side(stuck.select(F.col("rep").alias("id"))), F.col(id_col) == F.col("id"), "left_semi")
+    kind = docs.select(id_col).schema[0].dataType.simpleString()
+
+    def ordered(memo, cols):
+        sets = (np.sort(mix(shingles(t, memo, width) ^ _ORDERS[0])) for t in cols[text_col])
+        return {"rep": cols[id_col], "e": [r.view(np.uint32)[::2].view(np.int32) for r in sets]}
+
+    whole = map_batches(text, ordered, f"rep {kind}, e array<int>", init=WordHashes).distinct()
+    whole = whole.select("rep", F.posexplode("e").alias("rank", "tok"))
+    hot = held.where(F.col("df") >= HOT).select("tok").distinct().withColumn("hot", F.lit(True))
+    whole = whole.join(stuck, "rep").join(hot, "tok", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    one = Window.partitionBy("rep").orderBy("hot", "rank")  # the tokens of one document
+    deep = whole.withColumn("place", F.row_number().over(one) - 1).where("place < p").select("tok", "rep", "n")
+    deep = written(deep, "jaccard-deep")
+    # tokens of theirs that one other class holds in its prefix
+    known = held.select("tok").distinct()
+    lone = posts.join(deep.select("tok").distinct(), "tok", "left_semi").join(known, "tok", "left_anti")
+    lone = lone.join(per.where("not stuck"), "rep").where(place(F.lit(False)) < F.col("p")).select("tok", "rep", "n")
+    return usual.unionByName(deep).unionByName(lone)
 
 
 def near_size(a: str, b: str, percent: int):
@@ -150,11 +166,10 @@ def near_size(a: str, b: str, percent: int):
 
 def groups_of(posts: DataFrame) -> DataFrame:
     """The postings of one token for each distinct set of members of two or more, with the group's size."""
-    sign = lambda seed: F.xxhash64("rep", "seek", F.lit(seed))
-    g = posts.groupBy("part", "tok").agg(F.count(F.lit(1)).alias("g"), F.max("seek").alias("any"), F.bit_xor(sign(1)).alias("x"),
-                                         F.sum(sign(2).cast("decimal(20,0)")).alias("s")).where("g > 1 and any")
-    g = g.groupBy("part", "g", "x", "s").agg(F.min("tok").alias("tok")).select("part", "tok", "g")
-    return posts.join(g, ["part", "tok"])
+    sign = lambda seed: F.xxhash64("rep", F.lit(seed))
+    g = posts.groupBy("tok").agg(F.count(F.lit(1)).alias("g"), F.bit_xor(sign(1)).alias("x"), F.sum(sign(2).cast("decimal(20,0)")).alias("s"))
+    g = g.where("g > 1").groupBy("g", "x", "s").agg(F.min("tok").alias("tok")).select("tok", "g")
+    return posts.join(g, "tok")
 
 
 def sets_of(pairs: DataFrame, docs: DataFrame, width: int, id_col: str, text_col: str, short: bool) -> DataFrame:
@@ -243,13 +258,14 @@ def rare_first_postings(members: DataFrame, docs: DataFrame, percent: int, width
 def links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT, width: int = WIDTH, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """Pairs of class representatives (a < b), enough to connect every two that are linked."""
-    found = written(groups_of(candidate_postings(reps, percent)), "jaccard-groups")
+    posts = written(candidate_postings(reps, docs, percent, width, id_col, text_col).distinct(), "jaccard-postings")
+    found = written(groups_of(posts), "jaccard-groups")
     check = lambda x: verified(x.distinct(), docs, reps, percent, width, id_col, text_col)
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     small = found.where(F.col("g") < HOT)
-    right = small.select("part", "tok", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("seek").alias("seek_b"))
-    pairs = small.withColumnsRenamed({"rep": "a", "n": "na"}).join(right, ["part", "tok"]).where(
-        (F.col("a") < F.col("b")) & (F.col("seek") | F.col("seek_b")) & near_size("na", "nb", percent)).select("a", "b")
+    right = small.select("tok", F.col("rep").alias("b"), F.col("n").alias("nb"))
+    pairs = small.withColumnsRenamed({"rep": "a", "n": "na"}).join(right, "tok").where(
+        (F.col("a") < F.col("b")) & near_size("na", "nb", percent)).select("a", "b")
     members = written(found.where(F.col("g") >= HOT).select("rep", "n").distinct(), "jaccard-members")
     if members.isEmpty():
         return written(check(pairs).select("a", "b"), "jaccard-links")
