@@ -22,8 +22,8 @@ Steps
    that are still large give a star, every member against the pivot; members
    linked to the pivot are connected, and only those that aren't are compared
    with others of the group that the bound allows.
-4. Pairs that pass the size and prefix filters are bounded on 2 bytes a
-   shingle, and the few that can still link are verified on their 64-bit
+4. Pairs that pass the size and prefix filters are bounded on about a
+   byte a shingle, and the few that can still link are verified on their 64-bit
    shingle hashes. Links are joined to components by smallest id.
 
 Documents without words have the empty set, link with nothing and are their own
@@ -43,7 +43,7 @@ from rankfold.llm.common import ids_side, map_batches, mix, text_rows, written
 PERCENT = 85
 WIDTH = 4
 EXTEND = 1.5
-HOT = 64
+HOT = 20
 MEMO_WORDS = 500_000
 
 _U = np.uint64
@@ -148,11 +148,15 @@ def candidate_postings(reps: DataFrame, docs: DataFrame, percent: int, width: in
 
     whole = map_batches(text, ordered, f"rep {kind}, e array<int>", init=WordHashes).distinct()
     whole = whole.select("rep", F.posexplode("e").alias("rank", "tok"))
-    hot = held.where(F.col("df") >= HOT).select("tok").distinct().withColumn("hot", F.lit(True))
-    whole = whole.join(stuck, "rep").join(hot, "tok", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    one = Window.partitionBy("rep").orderBy("hot", "rank")  # the tokens of one document
-    deep = whole.withColumn("place", F.row_number().over(one) - 1).where("place < p").select("tok", "rep", "n")
-    deep = written(deep, "jaccard-deep")
+    hot = held.where(F.col("df") >= HOT)
+    one = Window.partitionBy("rep").orderBy("rank")  # the tokens of one document
+    cold = whole.join(hot.select("tok").distinct(), "tok", "left_anti").withColumn("at", F.row_number().over(one))
+    cold = written(cold.join(stuck, "rep").select("tok", "rep", "n", "p", "at"), "jaccard-cold")
+    # where other tokens don't fill the prefix, hot ones follow; the extended prefix holds enough of them
+    n_cold = cold.groupBy("rep").agg(F.count(F.lit(1)).alias("n_cold"))
+    after = per.where("stuck").join(n_cold, "rep", "left").withColumn("n_cold", F.coalesce("n_cold", F.lit(0))).where("n_cold < p")
+    warm = hot.join(after, "rep").where(F.col("n_cold") + earlier < F.col("p")).select("tok", "rep", "n")
+    deep = written(cold.where("at <= p").select("tok", "rep", "n").unionByName(warm), "jaccard-deep")
     # tokens of theirs that one other class holds in its prefix
     known = held.select("tok").distinct()
     lone = posts.join(deep.select("tok").distinct(), "tok", "left_semi").join(known, "tok", "left_anti")
@@ -172,14 +176,33 @@ def groups_of(posts: DataFrame) -> DataFrame:
     return posts.join(g, "tok")
 
 
+def packed(h: np.ndarray) -> bytes:
+    """About one byte a shingle: the last bits of the hashes (64 values a shingle), sorted, as steps.
+
+    The first byte is the number of bits; a step of 255 or more is written as 255s and the rest.
+    """
+    bits = min(63, max(6, int(64 * len(h)).bit_length()))
+    low = np.sort(h & _U((1 << bits) - 1)).astype(np.int64)
+    step = np.diff(low, prepend=0)
+    whole = step // 255
+    out = np.full(int(whole.sum()) + len(step), 255, np.uint8)
+    out[np.cumsum(whole + 1) - 1] = step % 255
+    return bytes([bits]) + out.tobytes()
+
+
+def unpacked(b: bytes) -> tuple[int, np.ndarray]:
+    step = np.frombuffer(b, np.uint8, offset=1)
+    return b[0], np.cumsum(step, dtype=np.int64)[step != 255]
+
+
 def sets_of(pairs: DataFrame, docs: DataFrame, width: int, id_col: str, text_col: str, short: bool) -> DataFrame:
-    """(id, set) of every document in the pairs: sorted 64-bit hashes, or the 16-bit ends of them."""
+    """(id, set) of every document in the pairs: sorted 64-bit hashes, or their packed ends."""
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-wanted")
     text = text_rows(docs, id_col, text_col).join(ids_side(wanted), F.col(id_col) == F.col("id"), "left_semi")
 
     def run(memo, cols):
         sets = (shingles(t, memo, width) for t in cols[text_col])
-        return {"id": cols[id_col], "set": [(x.astype(np.uint16) if short else x).tobytes() for x in sets]}
+        return {"id": cols[id_col], "set": [packed(x) if short else x.tobytes() for x in sets]}
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     return map_batches(text, run, f"id {kind}, set binary", init=WordHashes)
@@ -195,11 +218,11 @@ def overlaps(pairs: DataFrame, sets: DataFrame, count, out: str) -> DataFrame:
 
 
 def most_shared(a: bytes, b: bytes) -> list[int]:
-    """[upper bound of the intersection, size of a, size of b] from 16-bit ends: an end that the other lacks is no shared shingle."""
-    x, y = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
-    has = np.zeros((2, 65536), bool)
-    has[0, x] = has[1, y] = True
-    return [int(min(has[1, x].sum(), has[0, y].sum())), len(x), len(y)]
+    """[upper bound of the intersection, size of a, size of b] from packed ends: an end that the other lacks is no shared shingle."""
+    (bits_a, x), (bits_b, y) = unpacked(a), unpacked(b)
+    cut = (1 << min(bits_a, bits_b)) - 1
+    x, y = x & cut, y & cut
+    return [int(min(np.isin(x, y).sum(), np.isin(y, x).sum())), len(x), len(y)]
 
 
 def shared(a: bytes, b: bytes) -> list[int]:
@@ -217,7 +240,7 @@ def similar(c: str, percent: int):
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
     """The linked pairs (a, b) with j, and those ruled out on their sets with j null.
 
-    Filters in order: prefixes of orders 2 and 3; an upper bound from 2 bytes a shingle; the whole sets, for the
+    Filters in order: prefixes of orders 2 and 3; an upper bound from about a byte a shingle; the whole sets, for the
     few pairs that are left. Only what passed one is sent to the next.
     """
     side = lambda k: reps.select(F.col("rep").alias(k), F.col("p2").alias(f"{k}2"), F.col("p3").alias(f"{k}3"))
