@@ -35,6 +35,20 @@ def text_rows(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
+_STATE: dict = {}
+
+
+def shared_state(key: tuple, make: Callable):
+    """A task's state that the next task of the same operator in this worker process takes over.
+
+    One operator's at a time: another operator's tasks let it go, so it doesn't add to their memory.
+    """
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 def map_batches(df: DataFrame, fn: Callable[..., dict], schema: str, init: Callable | None = None) -> DataFrame:
     """``mapInArrow`` where ``fn(state, columns as lists by name)`` returns output columns by name."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -44,6 +58,8 @@ def map_batches(df: DataFrame, fn: Callable[..., dict], schema: str, init: Calla
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = init() if init else None
+        if not any(state is x for x in _STATE.values()):
+            _STATE.clear()
         for batch in batches:
             if batch.num_rows == 0:
                 continue

@@ -44,7 +44,7 @@ PERCENT = 85
 WIDTH = 4
 EXTEND = 1.5
 HOT = 20
-MEMO_WORDS = 500_000
+MEMO_WORDS = 200_000
 
 _U = np.uint64
 _ORDERS = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9))

@@ -36,7 +36,7 @@ VOCABULARY = 12_000
 MIN_DOCS = 8
 HIDDEN = 32
 CUT = 0.7
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 
 
 _RUNS = re.compile(rb"([a-z\x80-\xff])[a-z\x80-\xff]*|([A-Z])[A-Z]*|([0-9])[0-9]*|([^a-zA-Z0-9\x80-\xff])\4*")

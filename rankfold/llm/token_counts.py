@@ -15,13 +15,12 @@ Repeated rows give repeated rows.
 from __future__ import annotations
 
 from array import array
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 
 from rankfold.llm import unigram
-from rankfold.llm.common import map_batches, text_rows
+from rankfold.llm.common import map_batches, shared_state, text_rows
 
 #: Chunks remembered per worker; beyond it the memory starts anew.
 CACHE_CHUNKS = 600_000
@@ -73,12 +72,6 @@ class Counter:
                 float(np.frombuffer(self.scores, np.float64)[at].sum()))
 
 
-@lru_cache(maxsize=1)
-def shared_counter(path: str) -> Counter:
-    """One per worker process: what it remembers serves the next task, too."""
-    return Counter(path)
-
-
 def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_chars, n_tokens and the best score of every whole text."""
     path = path or unigram.default_path()
@@ -90,4 +83,4 @@ def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
                 "n_tokens": [c for c, _ in got], "score": [s for _, s in got]}
 
     return map_batches(text_rows(docs, id_col, text_col), run,
-                       f"`{id_col}` {ids}, n_chars long, n_tokens long, score double", init=lambda: shared_counter(path))
+                       f"`{id_col}` {ids}, n_chars long, n_tokens long, score double", init=lambda: shared_state(("counter", path), lambda: Counter(path)))
