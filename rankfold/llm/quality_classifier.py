@@ -36,7 +36,7 @@ VOCABULARY = 12_000
 MIN_DOCS = 8
 HIDDEN = 32
 CUT = 0.7
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
 
 
 _RUNS = re.compile(rb"([a-z\x80-\xff])[a-z\x80-\xff]*|([A-Z])[A-Z]*|([0-9])[0-9]*|([^a-zA-Z0-9\x80-\xff])\4*")
@@ -123,6 +123,8 @@ def fit_vectors(train: DataFrame, text_col: str) -> Vectors:
         memo: dict[bytes, tuple] = {}
         for t in cols[text_col]:
             words = split(t)
+            if len(memo) > 30_000:
+                memo.clear()
             for w in words:
                 if w not in memo:
                     memo[w] = (index_vector(b"w" + w), at.get(b"w" + w, len(at)), at.get(b"s" + shape(w), len(at)))
