@@ -1,69 +1,36 @@
-"""K4: Student-t two-sided p-value for a regression t statistic.
+"""K4: Student-t two-sided p-value for a regression t statistic, as a column expression.
 
-Applied to aggregated rows only (one per group), through an Arrow-batched
-pandas UDF; the regression itself is Spark's regr_* / corr aggregates.
+For whole degrees of freedom the distribution function is a finite sum in
+the angle theta = atan(|t| / sqrt(df)): about df/2 terms, each the previous one
+times a ratio, folded by ``aggregate`` in the JVM.
 """
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction for the regularized incomplete beta (modified Lentz)."""
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 500):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c if abs(1.0 + aa / c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c if abs(1.0 + aa / c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < 1e-15:
-            break
-    return h
-
-
-def reg_inc_beta(a: float, b: float, x: float) -> float:
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    ln_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    front = math.exp(ln_front)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
-
-
-def t_two_sided_p(t: float, df: float) -> float:
-    """P(|T| >= |t|) for Student's t with ``df`` degrees of freedom."""
-    if t is None or df is None or df <= 0 or math.isnan(t):
-        return float("nan")
-    if math.isinf(t):
-        return 0.0
-    return reg_inc_beta(df / 2.0, 0.5, df / (df + t * t))
-
-
-@F.pandas_udf(T.DoubleType())
-def _p_udf(t: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([None if (pd.isna(a) or pd.isna(b)) else t_two_sided_p(float(a), float(b))
-                      for a, b in zip(t, df)], dtype="float64")
+from pyspark.sql import Column, functions as F
 
 
 def t_p_value(t: Column, df: Column) -> Column:
-    """Two-sided p-value column; null where t or df is null."""
-    return _p_udf(t.cast("double"), df.cast("double"))
+    """Two-sided p-value P(|T| >= |t|) for whole ``df`` of at least 1; null where t or df is null."""
+    nu = df.cast("long")
+    odd = nu % 2 == 1
+    theta = F.atan(F.abs(t.cast("double")) / F.sqrt(nu.cast("double")))
+    cos2 = F.cos(theta) * F.cos(theta)
+    # terms: even df 1, 1/2 c^2, 3/8 c^4, ...; odd df c, 2/3 c^3, 8/15 c^5, ... (none for df = 1)
+    n_terms = F.floor(nu / 2)
+    one = F.lit(1.0)
+
+    def add(acc: Column, j: Column) -> Column:
+        i = j.cast("double")
+        ratio = F.when(odd, 2 * i / (2 * i + 1)).otherwise((2 * i - 1) / (2 * i))
+        term = acc["term"] * ratio * cos2
+        return F.struct((acc["total"] + term).alias("total"), term.alias("term"))
+
+    first = F.when(odd, F.cos(theta)).otherwise(one)
+    steps = F.when(n_terms > 1, F.sequence(F.lit(1).cast("long"), n_terms - 1)).otherwise(
+        F.array().cast("array<bigint>"))
+    total = F.aggregate(steps, F.struct(first.alias("total"), first.alias("term")), add, lambda acc: acc["total"])
+    total = F.when(n_terms == 0, F.lit(0.0)).otherwise(total)
+    inside = F.when(odd, (theta + F.sin(theta) * total) * (2.0 / 3.141592653589793)).otherwise(F.sin(theta) * total)
+    p = F.greatest(F.lit(0.0), one - inside)
+    return F.when(t.isNotNull() & (nu >= 1), p)

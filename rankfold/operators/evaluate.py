@@ -100,11 +100,14 @@ def evaluate(run: DataFrame, qrels: DataFrame, max_num: int = 100, rank_col: str
 
 
 def run_summary(flagged: DataFrame, n_rel: DataFrame) -> DataFrame:
-    """Per query: answer size, judged total, retrieved relevant, missing."""
+    """Per judged query: answer size, judged total, retrieved relevant, missing.
+
+    A judged query without any answer is kept, with zero answers and all missing.
+    """
     agg = flagged.groupBy("query_id").agg(
         F.count(F.lit(1)).alias("n_answers"),
         F.sum(F.col("relevant").cast("long")).alias("n_retrieved_relevant"))
-    return (agg.join(n_rel, "query_id")
+    return (n_rel.join(agg, "query_id", "left").fillna(0, subset=["n_answers", "n_retrieved_relevant"])
             .select("query_id", "n_answers", F.col("n_rel").cast("long").alias("n_rel"),
                     F.col("n_retrieved_relevant").cast("long").alias("n_retrieved_relevant"),
                     (F.col("n_rel") - F.col("n_retrieved_relevant")).cast("long").alias("n_missing")))

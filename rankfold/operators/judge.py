@@ -4,10 +4,13 @@ Text: a document is relevant to a passage query when it contains the passage
 verbatim. Exact, without a cross join: every term of the passage that does
 not touch its ends is a whole term of any document containing it, so the
 passage's rarest such term (smallest document frequency) is an equi-join key
-into the postings; candidates are then verified with ``contains`` on the
-full text. Passages without such a term (fewer than three word runs, or
-only stop words inside) are matched by a broadcast scan - they are only
-taken when present, and their count is bounded before broadcasting.
+into the postings; a passage with such a term that no document has matches
+nothing and drops out at once. A passage without any such term (fewer than
+three word runs, or only stop words inside) is keyed by its first characters
+instead, which are joined to the documents' character n-grams. Candidates of
+both kinds are verified with ``contains`` on the full text. No count of
+passages is limited, and no plan pairs passages with documents other than
+through a key.
 """
 
 from __future__ import annotations
@@ -19,48 +22,63 @@ from rankfold.operators.lexical import LexicalIndex, build_index
 from rankfold.session import fits, materialize as _materialize
 
 MAX_BROADCAST_KEYS = 2_000_000
-MAX_FALLBACK_PASSAGES = 10_000
+GRAM_CHARS = 8  # key length of passages without an interior term (whole passage when shorter)
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if fits(df, MAX_BROADCAST_KEYS) else df
+
+
+def _term_candidates(q: DataFrame, index: LexicalIndex, materialize: bool) -> DataFrame:
+    """query_id, doc_id: documents with the rarest interior term of the passage."""
+    qterms = q.select("query_id", F.explode("terms").alias("term"))
+    small = fits(qterms, MAX_BROADCAST_KEYS)
+    vocab = qterms.select("term").distinct()
+    tdf = index.term_stats.join(F.broadcast(vocab) if small else vocab, "term", "left_semi")
+    pick = Window.partitionBy("query_id").orderBy(F.col("df").asc(), F.col("term").asc())
+    keys = (qterms.join(F.broadcast(tdf) if small else tdf, "term", "left")
+            .withColumn("df", F.coalesce("df", F.lit(0)))
+            .withColumn("_r", F.row_number().over(pick)).where((F.col("_r") == 1) & (F.col("df") > 0))
+            .select("query_id", "term"))
+    keys = _materialize(keys, "containment-keys") if materialize else keys
+    return index.postings.select("term", "doc_id").join(_small(keys), "term").select("query_id", "doc_id")
+
+
+def _gram_candidates(q: DataFrame, docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """query_id, doc_id: documents with the passage's first characters, one pass a key length."""
+    keys = q.select("query_id", F.substring("passage", 1, GRAM_CHARS).alias("gram"))
+    # Every position starts a gram: a look-ahead matches without consuming.
+    grams = F.array_distinct(F.flatten(F.array(*[
+        F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{{n}}}))"), 1) for n in lengths])))
+    # no inner explode: see build_index
+    rows = docs.select("doc_id", F.explode_outer(grams).alias("gram")).where(F.col("gram").isNotNull())
+    return rows.join(_small(keys), "gram").select("query_id", "doc_id")
 
 
 def containment_qrels(queries: DataFrame, corpus: DataFrame, index: LexicalIndex | None = None,
                       query_col: str = "query", materialize: bool = True) -> DataFrame:
     """query_id, doc_id for every document whose text contains the query text.
 
-    The judgement table is small and read by several consumers (flags,
-    relevant counts, missing documents), so it is written once by default.
+    Null and empty passages match nothing. The judgement table is small and
+    read by several consumers (flags, relevant counts, missing documents), so
+    it is written once by default.
     """
     index = index or build_index(corpus)
     q = queries.select("query_id", F.col(query_col).alias("passage")).where(
         F.col("passage").isNotNull() & (F.length("passage") > 0))
-    qterms = q.select("query_id", F.explode(F.array_distinct(interior_terms("passage"))).alias("term"))
-    small = fits(qterms, MAX_BROADCAST_KEYS)
-    vocab = qterms.select("term").distinct()
-    tdf = (index.term_stats.join(F.broadcast(vocab) if small else vocab, "term", "left_semi")
-           .join(F.broadcast(qterms) if small else qterms, "term"))
-    pick = Window.partitionBy("query_id").orderBy(F.col("df").asc(), F.col("term").asc())
-    # One key per passage: a small table, written once and read by the size
-    # bound, the candidate join and the keyless check below.
-    key_rows = (tdf.withColumn("_r", F.row_number().over(pick)).where(F.col("_r") == 1)
-                .select("query_id", "term", "df"))
-    key_rows = _materialize(key_rows, "containment-keys") if materialize else key_rows
-    keys = key_rows.select("query_id", "term").join(q, "query_id")
-    cand = index.postings.select("term", "doc_id").join(F.broadcast(keys) if small else keys, "term")
+    q = q.withColumn("terms", F.array_distinct(interior_terms("passage")))
     docs = corpus.select("doc_id", "text")
-    # candidate rows = sum of the keys' document frequencies: bounded without
-    # touching the postings
-    n_cand = key_rows.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
-    cand_small = small and n_cand <= MAX_BROADCAST_KEYS
-    hits = (docs.join(F.broadcast(cand) if cand_small else cand, "doc_id")
+    cand = _term_candidates(q.where(F.size("terms") > 0), index, materialize)
+    keyless = q.where(F.size("terms") == 0)
+    # at most GRAM_CHARS different key lengths
+    lengths = sorted(r[0] for r in keyless.select(
+        F.least(F.length("passage"), F.lit(GRAM_CHARS))).distinct().collect())
+    if lengths:
+        cand = cand.unionByName(_gram_candidates(keyless, docs, lengths))
+    cand = _materialize(cand, "containment-candidates") if materialize else cand
+    hits = (docs.join(_small(cand), "doc_id").join(_small(q.select("query_id", "passage")), "query_id")
             .where(F.col("text").contains(F.col("passage")))
             .select("query_id", "doc_id"))
-    # Passages with no interior term: exact scan, only when any exist.
-    keyless = q.join(key_rows.select("query_id"), "query_id", "left_anti")
-    if keyless.limit(1).count() > 0:
-        if not fits(keyless, MAX_FALLBACK_PASSAGES):
-            raise ValueError("too many passages without an interior term to scan exactly")
-        extra = (docs.join(F.broadcast(keyless), F.col("text").contains(F.col("passage")))
-                 .select("query_id", "doc_id"))
-        hits = hits.unionByName(extra)
     return _materialize(hits, "qrels") if materialize else hits
 
 

@@ -20,9 +20,10 @@ from rankfold.functions.scoring import bm25_weight, idf
 from rankfold.functions.text import tokenize
 from rankfold.operators.rank import top_k
 from rankfold.schemas import require_columns
-from rankfold.session import default_shards, fits, materialize_bucketed
+from rankfold.session import default_shards, fits, materialize as write_table, materialize_bucketed
 
-# Query-term tables at most this long are broadcast into the postings scan.
+# Query-term tables at most this long (and within the byte bound of ``fits``) are
+# broadcast into the postings scan.
 MAX_BROADCAST_QUERY_TERMS = 2_000_000
 
 
@@ -85,18 +86,27 @@ def build_index(corpus: DataFrame, dedupe: str | None = None, materialize: bool
                 .select("term", "doc_id", "dl", "tf"))
     if materialize:
         postings = materialize_bucketed(postings, "postings", "doc_id", shards)
-    # Both statistics stay lazy over the written postings: doc_stats groups by
-    # the bucket key (no exchange); term_stats is only ever needed for a query
-    # vocabulary, and a left-semi join with it is pushed below the aggregation.
+    # doc_stats groups by the bucket key (no exchange) and stays lazy.
     doc_stats = postings.groupBy("doc_id").agg(F.max("dl").alias("dl"), F.count(F.lit(1)).alias("n_terms"))
     term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = docs.select(F.count(F.lit(1)).alias("n_docs"))
     total = postings.select(F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_len"))
     corpus_stats = (n_docs.select(F.col("n_docs"), total.select("total_len").scalar().alias("total_len"))
-                    .withColumn("avgdl", F.col("total_len").cast("double") / F.col("n_docs").cast("double")))
+                    .withColumn("avgdl", F.try_divide(F.col("total_len").cast("double"), F.col("n_docs").cast("double"))))
+    if materialize:
+        # Every search needs both; written once, scoring is the only scan of the postings.
+        term_stats = write_table(term_stats, "term-stats")
+        corpus_stats = write_table(corpus_stats, "corpus-stats")
     return LexicalIndex(postings, term_stats, corpus_stats, doc_stats)
 
 
+def corpus_statistics(corpus: DataFrame, dedupe: str | None = None) -> DataFrame:
+    """D8 alone: n_docs, total_len, avgdl (null for no documents) in one narrow pass, without an index."""
+    one = index_documents(corpus, dedupe).select(F.size(tokenize("text")).alias("dl")).agg(
+        F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("dl"), F.lit(0)).cast("long").alias("total_len"))
+    return one.withColumn("avgdl", F.try_divide(F.col("total_len").cast("double"), F.col("n_docs").cast("double")))
+
+
 def query_terms(queries: DataFrame, query_col: str = "query") -> DataFrame:
     """query_id, term, qtf: repeated query words count repeatedly."""
     require_columns(queries, "query_id", query_col, what="queries")
@@ -110,8 +120,8 @@ def bm25_scores(queries: DataFrame, index: LexicalIndex, k1: float = 1.5, b: flo
     """All (query_id, doc_id, score) with at least one shared term; score rounded."""
     qt = query_terms(queries, query_col)
     small = fits(qt, broadcast_limit)
-    # df only for the query vocabulary: the semi join is pushed below the df
-    # aggregation, so only postings of query terms are counted.
+    # df only for the query vocabulary (over lazy statistics the semi join is
+    # pushed below the df aggregation).
     vocab = qt.select("term").distinct()
     tdf = index.term_stats.join(F.broadcast(vocab) if small else vocab, "term", "left_semi")
     weights = (qt.join(F.broadcast(tdf) if small else tdf, "term")
@@ -140,15 +150,23 @@ def overlap_scores(pairs: DataFrame, queries: DataFrame, index: LexicalIndex,
     Jaccard of distinct terms = m / (|Q| + n_terms(d) - m), m = distinct query
     terms present in d (matching postings). Document texts are never
     re-tokenised: the (pair, query term) rows are probed against the postings
-    (broadcast into the postings scan when their size allows).
+    when their size allows a broadcast. Otherwise the pairs go to the postings'
+    doc_id shards and meet each answered document's term list there; the
+    postings themselves are not shuffled.
     """
     qv = queries.select("query_id", F.array_distinct(tokenize(query_col)).alias("qv"))
     probe = (pairs.select("query_id", "doc_id").join(qv, "query_id")
              .select("query_id", "doc_id", F.explode("qv").alias("term")))
-    small = fits(probe, broadcast_limit)
-    hits = (index.postings.select("term", "doc_id")
-            .join(F.broadcast(probe) if small else probe, ["term", "doc_id"])
-            .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("m")))
+    if fits(probe, broadcast_limit):
+        hits = (index.postings.select("term", "doc_id").join(F.broadcast(probe), ["term", "doc_id"])
+                .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("m")))
+    else:
+        keys = pairs.select("query_id", "doc_id").distinct().join(qv, "query_id")
+        terms = (index.postings.select("doc_id", "term")
+                 .join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
+                 .groupBy("doc_id").agg(F.collect_list("term").alias("terms")))
+        hits = terms.join(keys, "doc_id").select(
+            "query_id", "doc_id", F.size(F.array_intersect("qv", "terms")).cast("long").alias("m"))
     ds = index.doc_stats.select("doc_id", "n_terms")
     full = (pairs.join(qv.select("query_id", F.size("qv").cast("long").alias("nq")), "query_id", "left")
             .join(ds, "doc_id", "left").join(hits, ["query_id", "doc_id"], "left")

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rankfold.session import materialize
+
 _HEX15 = float(16 ** 15)
-_BUCKET_SHIFT = 50  # 60-bit hash -> 1024 range buckets for distributed positions
+_HASH_BITS = 60
+_RING_BUCKET = 65_536  # ids ranked together when the pool is laid on the ring
 _STEP_BLOCK = 65_536  # walk steps ranked together; bounds the rows of one window task
 
 
@@ -37,19 +40,27 @@ def split_by_query(judged: DataFrame, n_test: int):
     return train, test
 
 
-def _pool_positions(pool: DataFrame, seed: int) -> DataFrame:
-    """Dense positions 0..P-1 of the pool in md5 order, without a global sort.
+def _pool_positions(pool: DataFrame, size: int, seed: int) -> DataFrame:
+    """Dense positions 0..size-1 of the pool in md5 order, without a global sort.
 
     Hash range buckets are ranked locally; bucket offsets come from a cumulative
-    sum over the (at most 1024) bucket counts.
+    sum over the bucket counts. The number of buckets (a power of two) grows with
+    the pool, about ``_RING_BUCKET`` ids each.
     """
-    h = pool.withColumn("h", md5_long(F.lit(seed), F.lit("d"), F.col("doc_id")))
-    h = h.withColumn("bucket", F.shiftright("h", _BUCKET_SHIFT))
-    counts = h.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"))
-    offsets = counts.select("bucket", (F.sum("c").over(Window.orderBy("bucket")) - F.col("c")).alias("off"))
+    bits = min(59, max(4, (size // _RING_BUCKET).bit_length()))
+    h = pool.select("doc_id", md5_long(F.lit(seed), F.lit("d"), F.col("doc_id")).alias("h"))
+    h = h.withColumn("bucket", F.shiftright("h", _HASH_BITS - bits))
+    # Counts of buckets are summed in two levels, so no window holds all buckets.
+    counts = (h.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"))
+              .withColumn("top", F.shiftright("bucket", bits // 2)))
+    tops = counts.groupBy("top").agg(F.sum("c").alias("n"))
+    tops = tops.select("top", (F.sum("n").over(Window.orderBy("top")) - F.col("n")).alias("base"))
+    inner = F.sum("c").over(Window.partitionBy("top").orderBy("bucket")) - F.col("c")
+    offsets = (counts.withColumn("inner", inner).join(tops, "top")
+               .select("bucket", (F.col("base") + F.col("inner")).alias("off")))
     local = F.row_number().over(Window.partitionBy("bucket").orderBy("h", "doc_id")) - 1
-    return (h.withColumn("local", local).join(F.broadcast(offsets), "bucket")
-            .select("doc_id", "text", (F.col("off") + F.col("local")).alias("pos")))
+    return (h.withColumn("local", local).join(offsets, "bucket")
+            .select("doc_id", (F.col("off") + F.col("local")).alias("pos")))
 
 
 def negative_pairs(judged: DataFrame, seed: int = 42) -> DataFrame:
@@ -59,26 +70,30 @@ def negative_pairs(judged: DataFrame, seed: int = 42) -> DataFrame:
     laid on a ring in md5 order; query q starts at md5(seed, q) mod P and walks
     2*n_pos positions (at most P), dropping its own positives, and keeps the
     first n_pos. Rows produced are linear in the judged table - no
-    query x pool product. Output: query_id, doc_id, query, text, label (0).
+    query x pool product. Only ids take part; query and text are attached to
+    the kept rows. Output: query_id, doc_id, query, text, label (0).
     A query gets fewer negatives only when the pool itself is too small.
     """
-    pos_pairs = judged.select("query_id", "doc_id").distinct()
-    pool = judged.groupBy("doc_id").agg(F.min("text").alias("text"))
-    ring = _pool_positions(pool, seed)
-    p = pool.select(F.count(F.lit(1))).scalar()
-    per_q = judged.groupBy("query_id").agg(F.first("query").alias("query"),
-                                          F.countDistinct("doc_id").alias("n_pos"))
-    start = F.pmod(md5_long(F.lit(seed), F.lit("q"), F.col("query_id")), p)
-    walk = F.least(2 * F.col("n_pos"), p)
-    steps = (per_q.withColumn("start", start)
-             .select("query_id", "query", "n_pos", "start",
-                     F.explode(F.sequence(F.lit(0).cast("long"), (walk - 1).cast("long"))).alias("j"))
-             .withColumn("pos", F.pmod(F.col("start") + F.col("j"), p)))
-    cand = (steps.join(ring, "pos")
-            .join(pos_pairs, ["query_id", "doc_id"], "left_anti")
-            .withColumn("block", F.floor(F.col("j") / _STEP_BLOCK)))
-    # Keep the first n_pos surviving steps of each query. A query may own a
-    # third of all judged rows, so steps are ranked inside fixed-size blocks and
+    pos_pairs = materialize(judged.select("query_id", "doc_id").distinct(), "judged-ids")
+    pool = pos_pairs.select("doc_id").distinct()
+    p = pool.count()
+    ring = _pool_positions(pool, p, seed)
+    per_q = pos_pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_pos"))
+    start = F.pmod(md5_long(F.lit(seed), F.lit("q"), F.col("query_id")), F.lit(max(p, 1)).cast("long"))
+    walk = F.least(2 * F.col("n_pos"), F.lit(p).cast("long"))
+    # A query may own a third of all judged rows: its walk is cut into blocks,
+    # the blocks are spread over tasks, and only then become single steps.
+    first = F.col("block") * _STEP_BLOCK
+    steps = (per_q.withColumn("start", start).withColumn("walk", walk)
+             .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                       F.floor((F.col("walk") - 1) / _STEP_BLOCK))))
+             .repartition("query_id", "block")
+             .withColumn("j", F.explode(F.sequence(first, F.least(F.col("walk"), first + _STEP_BLOCK) - 1)))
+             .select("query_id", "n_pos", "block", "j",
+                     F.pmod(F.col("start") + F.col("j"), F.lit(max(p, 1)).cast("long")).alias("pos")))
+    cand = materialize(steps.join(ring, "pos").join(pos_pairs, ["query_id", "doc_id"], "left_anti")
+                       .select("query_id", "doc_id", "n_pos", "block", "j"), "negative-steps")
+    # Keep the first n_pos surviving steps of each query, ranked inside blocks and
     # shifted by the counts of earlier blocks (never one window over a query).
     per_block = cand.groupBy("query_id", "block").agg(F.count(F.lit(1)).alias("c"))
     offsets = per_block.select(
@@ -86,7 +101,11 @@ def negative_pairs(judged: DataFrame, seed: int = 42) -> DataFrame:
         (F.sum("c").over(Window.partitionBy("query_id").orderBy("block")) - F.col("c")).alias("before"))
     in_block = F.row_number().over(Window.partitionBy("query_id", "block").orderBy("j"))
     ranked = cand.withColumn("_r", in_block).join(offsets, ["query_id", "block"])
-    return (ranked.where(F.col("before") + F.col("_r") <= F.col("n_pos"))
+    kept = ranked.where(F.col("before") + F.col("_r") <= F.col("n_pos")).select("query_id", "doc_id")
+    # Left joins on grouped keys: the optimizer drops them where only ids are read.
+    names = judged.groupBy("query_id").agg(F.first("query").alias("query"))
+    texts = judged.groupBy("doc_id").agg(F.min("text").alias("text"))
+    return (kept.join(names, "query_id", "left").join(texts, "doc_id", "left")
             .select("query_id", "doc_id", "query", "text", F.lit(0).alias("label")))
 
 
@@ -105,18 +124,13 @@ def group_split(pairs: DataFrame, frac: float = 0.25, seed: int = 42):
     return (pairs.join(ids, "query_id", "left_semi"), pairs.join(ids, "query_id", "left_anti"))
 
 
-def labelled_pairs(pairs: DataFrame, max_chars: int = 5000) -> DataFrame:
-    """(query, text truncated to ``max_chars``, label INT)."""
+def labelled_pairs(pairs: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """(query, text, label INT); texts are whole unless ``max_chars`` asks for a cut."""
     lab = F.col("label")
     if dict(pairs.dtypes).get("label") == "string":
         lab = F.when(F.col("label") == "yes", 1).when(F.col("label") == "no", 0)
-    return pairs.select("query_id", "doc_id", "query",
-                        F.substring("text", 1, max_chars).alias("text"), lab.cast("int").alias("label"))
-
-
-def relevant_label(label: Column) -> Column:
-    """Export edge: 1/0 -> 'yes'/'no'."""
-    return F.when(label == 1, F.lit("yes")).otherwise(F.lit("no"))
+    text = F.col("text") if max_chars is None else F.substring("text", 1, max_chars).alias("text")
+    return pairs.select("query_id", "doc_id", "query", text, lab.cast("int").alias("label"))
 
 
 def split_profile(parts: dict[str, DataFrame]) -> DataFrame:

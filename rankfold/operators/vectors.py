@@ -1,28 +1,32 @@
 """Exact k-nearest-neighbour search (squared L2, L2, cosine).
 
-No (query, document) pair is ever a row. Each task computes a distance block
-with one matrix product, keeps the candidates within a proven tolerance of
-the k-th distance, recomputes those exactly in float64 and emits at most k
-rows per query; a final per-query top-k (partial + final WindowGroupLimit)
-merges the partial lists.
+No (query, document) pair is ever a row. A task computes distance blocks with
+one matrix product per Arrow batch, keeps the candidates within a proven
+tolerance of the k-th distance, recomputes those exactly in float64, and merges
+them into a running top-k, so it emits at most k rows per query whatever the
+batch size; a final per-query top-k (partial + final WindowGroupLimit) merges
+the tasks' lists.
 
 Strategies:
-  * ``broadcast``: the query matrix (at most ``MAX_BROADCAST_BYTES``) is shipped to every task,
-    documents are scanned where they lie - no shuffle of the corpus.
+  * ``broadcast``: the query matrix (at most ``MAX_BROADCAST_BYTES``, checked also when the
+    strategy is asked for) is shipped to every task, documents are scanned where they lie -
+    no shuffle of the corpus.
   * ``grid``: queries and documents are hashed into blocks; each
     (query-block, doc-block) cell is one cogroup task. Used when the query
-    set is too large to broadcast; memory per task is bounded by the blocks.
+    set is too large to broadcast; memory per task is bounded by the block
+    sizes, which are parameters.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rankfold.operators.rank import top_k
 from rankfold.schemas import require_columns
-from rankfold.session import fits
+from rankfold.session import table_size
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024  # query matrix shipped to every task (float64)
 GRID_QUERY_BLOCK = 4_096
@@ -101,16 +105,20 @@ def _block_top_k(qids, Q, dids, D, k, metric, squared, exclude_self, digits):
             key = np.round(score, digits)
         score = np.round(score, digits)
         q_ids, d_ids = qc[qi], dids[di]
-        order = np.lexsort((d_ids, key, q_ids))
-        q_s, d_s, sc_s = q_ids[order], d_ids[order], score[order]
-        # keep the first k per query in (key, doc_id) order
-        starts = np.r_[0, np.nonzero(np.diff(q_s))[0] + 1]
-        pos = np.arange(len(q_s)) - np.repeat(starts, np.diff(np.r_[starts, len(q_s)]))
-        keep = pos < k
-        out.append(pd.DataFrame({"query_id": q_s[keep], "doc_id": d_s[keep], "score": sc_s[keep]}))
+        out.append(_first_k(q_ids, d_ids, score, key, k))
     return out
 
 
+def _first_k(q_ids, d_ids, score, key, k) -> pd.DataFrame:
+    """The first k rows of each query in (key, doc_id) order."""
+    order = np.lexsort((d_ids, key, q_ids))
+    q_s, d_s, sc_s = q_ids[order], d_ids[order], score[order]
+    starts = np.r_[0, np.nonzero(np.diff(q_s))[0] + 1]
+    pos = np.arange(len(q_s)) - np.repeat(starts, np.diff(np.r_[starts, len(q_s)]))
+    keep = pos < k
+    return pd.DataFrame({"query_id": q_s[keep], "doc_id": d_s[keep], "score": sc_s[keep]})
+
+
 def _broadcast_search(queries, docs, k, metric, squared, exclude_self, digits, dim):
     spark = docs.sparkSession
     tbl = queries.select("query_id", "embedding").toArrow()
@@ -120,20 +128,31 @@ def _broadcast_search(queries, docs, k, metric, squared, exclude_self, digits, d
 
     def run(batches):
         qids_, Q_ = bq.value
-        for pdf in batches:
-            D = _as_matrix(pdf["embedding"].tolist(), Q_.shape[1] if len(Q_) else dim)
-            dids = pdf["doc_id"].to_numpy(dtype=np.int64)
-            for part in _block_top_k(qids_, Q_, dids, D, k, metric, squared, exclude_self, digits):
-                yield part
-
-    return docs.select("doc_id", "embedding").mapInPandas(run, OUT_SCHEMA)
-
-
-def _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim):
+        best = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            D = _arrow_matrix(batch.column("embedding"), Q_.shape[1] if len(Q_) else dim)
+            dids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            parts = _block_top_k(qids_, Q_, dids, D, k, metric, squared, exclude_self, digits)
+            if best is not None and parts:
+                both = pd.concat([best, *parts], ignore_index=True)
+                score = both["score"].to_numpy()
+                best = _first_k(both["query_id"].to_numpy(), both["doc_id"].to_numpy(), score,
+                                -score if metric == "cosine" else score, k)
+            elif parts:
+                best = pd.concat(parts, ignore_index=True)
+        if best is not None:
+            yield pa.RecordBatch.from_pandas(best, preserve_index=False)
+
+    return docs.select("doc_id", "embedding").mapInArrow(run, OUT_SCHEMA)
+
+
+def _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim, query_block, doc_block, min_blocks):
     n_q = queries.count()
     n_d = docs.count()
-    nqb = max(1, -(-n_q // GRID_QUERY_BLOCK))
-    ndb = max(1, -(-n_d // GRID_DOC_BLOCK))
+    nqb = max(min_blocks, -(-n_q // query_block))
+    ndb = max(min_blocks, -(-n_d // doc_block))
     q = (queries.select("query_id", "embedding",
                         F.pmod(F.xxhash64("query_id"), F.lit(nqb)).alias("qb"))
          .withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(ndb - 1)))))
@@ -159,32 +178,30 @@ def _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim):
 def knn_search(queries: DataFrame, docs: DataFrame, k: int = 10, metric: str = "l2",
                squared: bool = True, exclude_self: bool = False, digits: int = 6,
                strategy: str = "auto", dim: int | None = None,
-               max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES, query_block: int = GRID_QUERY_BLOCK,
+               doc_block: int = GRID_DOC_BLOCK, min_blocks: int = 1) -> DataFrame:
     """Exact top-k per query: query_id, doc_id, score, rnk.
 
     ``queries``: query_id, embedding; ``docs``: doc_id, embedding.
     metric ``'l2'`` (``squared=True`` gives the squared distance, ascending)
     or ``'cosine'`` (similarity, descending; a zero vector scores 0).
-    Vectors of unequal length raise. Ties break by doc_id.
+    Vectors of unequal length raise. Ties break by doc_id. The grid has cells of
+    ``query_block`` x ``doc_block`` rows on average, at least ``min_blocks`` a side.
     """
     require_columns(queries, "query_id", "embedding", what="query vectors")
     require_columns(docs, "doc_id", "embedding", what="document vectors")
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
-    if strategy == "auto":
-        # the broadcast bound is in bytes: rows allowed = bytes / (8 * dim)
-        width = dim or (queries.select(F.size("embedding")).first() or [1])[0]
-        max_rows = max(1, max_broadcast_bytes // (8 * max(1, width)))
-        strategy = "broadcast" if fits(queries, max_rows) else "grid"
+    if strategy in ("auto", "broadcast"):
+        size = table_size(queries.select("query_id", "embedding"))[1]
+        if strategy == "broadcast" and size > max_broadcast_bytes:
+            raise ValueError(f"{size} bytes of query vectors are over the broadcast bound {max_broadcast_bytes}")
+        strategy = "broadcast" if size <= max_broadcast_bytes else "grid"
     if strategy == "broadcast":
         part = _broadcast_search(queries, docs, k, metric, squared, exclude_self, digits, dim)
     elif strategy == "grid":
-        part = _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim)
+        part = _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim,
+                            query_block, doc_block, min_blocks)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return top_k(part, k, descending=(metric == "cosine"))
-
-
-def append_vectors(index: DataFrame, new: DataFrame) -> DataFrame:
-    """The index is a table; adding vectors is a union (streaming form in M1)."""
-    return index.unionByName(new.select(*index.columns))

@@ -48,13 +48,14 @@ def _hash_vectors(df, id_col, text_col, out_id):
 def _hash_run(spark, sf, k, metric="l2"):
     docs, qs = _text(spark, sf)
     dv = _hash_vectors(docs, "doc_id", "text", "doc_id")
-    qv = _hash_vectors(qs, "query_id", "query", "query_id")
+    # read twice (size check, broadcast): written once
+    qv = materialize(_hash_vectors(qs, "query_id", "query", "query_id"), "query-vectors")
     return vectors.knn_search(qv, dv, k=k, metric=metric)
 
 
-def _vec_run(spark, sf, k, metric="l2", squared=True, strategy="auto"):
+def _vec_run(spark, sf, k, metric="l2", squared=True, strategy="auto", **kw):
     return vectors.knn_search(T.query_vectors(spark, sf), T.doc_vectors(spark, sf), k=k, metric=metric,
-                              squared=squared, exclude_self=True, strategy=strategy)
+                              squared=squared, exclude_self=True, strategy=strategy, **kw)
 
 
 def _vec_curve(spark, sf, run):
@@ -78,7 +79,7 @@ def tokenize_terms(spark, sf):
 
 
 def corpus_stats(spark, sf):
-    return lexical.build_index(T.corpus(spark, sf)).corpus_stats
+    return lexical.corpus_statistics(T.corpus(spark, sf))
 
 
 def doc_lengths(spark, sf):
@@ -86,11 +87,11 @@ def doc_lengths(spark, sf):
 
 
 def term_doc_freq(spark, sf):
-    return lexical.build_index(T.corpus(spark, sf)).term_stats
+    return lexical.build_index(T.corpus(spark, sf), materialize=False).term_stats
 
 
 def postings_tf(spark, sf):
-    return lexical.build_index(T.corpus(spark, sf)).postings
+    return lexical.build_index(T.corpus(spark, sf), materialize=False).postings
 
 
 # ---------------------------------------------------------------- BM25
@@ -165,7 +166,7 @@ def cosine_top10(spark, sf):
 
 
 def l2_top10_grid(spark, sf):
-    return _vec_run(spark, sf, K_SMALL, strategy="grid")
+    return _vec_run(spark, sf, K_SMALL, strategy="grid", min_blocks=2)
 
 
 def l2_curve(spark, sf):
@@ -214,6 +215,14 @@ def rrf_nlists(spark, sf):
     return rank.rrf_many({"bm25": lex, "hash_l2": vec})
 
 
+def rrf_three_lists(spark, sf):
+    """J3 over three runs: BM25, hash vectors, BM25 reranked by overlap."""
+    _, _, _, rr = _overlap_reranked(spark, sf)
+    _, _, _, lex, vec = _fused(spark, sf)
+    third = rr.select("query_id", "doc_id", F.col("new_rnk").alias("rnk"))
+    return rank.rrf_many({"bm25": lex, "hash_l2": vec, "bm25_overlap": third})
+
+
 def rrf_mean_curve(spark, sf):
     docs, qs, idx, lex, vec = _fused(spark, sf)
     fused = rank.rrf_two(lex, vec)
@@ -243,6 +252,16 @@ def rerank_overlap_mean_curve(spark, sf):
     return ev.mean_curve(ev.evaluate(out, qrels, max_num=K_LARGE, rank_col="new_rnk"))
 
 
+def hash_l2_rerank_overlap(spark, sf):
+    return _overlap_reranked(spark, sf, base="hash_l2")[3]
+
+
+def hash_l2_rerank_overlap_mean_curve(spark, sf):
+    docs, qs, idx, out = _overlap_reranked(spark, sf, base="hash_l2")
+    qrels = _text_qrels(spark, sf, docs, qs, idx)
+    return ev.mean_curve(ev.evaluate(out, qrels, max_num=K_LARGE, rank_col="new_rnk"))
+
+
 def softmax_pair_probability(spark, sf):
     out = rerank_overlap(spark, sf)
     logits = F.array(-F.col("rerank"), F.col("rerank"))
@@ -254,14 +273,16 @@ def method_comparison_at5(spark, sf):
     idx = lexical.build_index(docs)
     qrels = judge.containment_qrels(qs, docs, idx)
     lex = lexical.bm25_search(qs, idx, k=K_LARGE)
-    vec = _hash_run(spark, sf, K_LARGE)
+    vec = materialize(_hash_run(spark, sf, K_LARGE), "run")
     lex = materialize(lex, "run")
     fused = rank.rrf_two(lex, vec)
     rr = rank.rerank(lexical.overlap_scores(lex, qs, idx))
+    vr = rank.rerank(lexical.overlap_scores(vec, qs, idx))
     curves = {
         "bm25": ev.mean_curve(ev.evaluate(lex, qrels)),
         "hash_l2": ev.mean_curve(ev.evaluate(vec, qrels)),
         "bm25_overlap": ev.mean_curve(ev.evaluate(rr, qrels, rank_col="new_rnk")),
+        "hash_l2_overlap": ev.mean_curve(ev.evaluate(vr, qrels, rank_col="new_rnk")),
         "rrf": ev.mean_curve(ev.evaluate(fused, qrels)),
     }
     return ev.method_table(curves, at=5)
@@ -463,9 +484,12 @@ QUERIES = {
     "hash_l2_missing_docs": hash_l2_missing_docs,
     "rrf_two_lists": rrf_two_lists,
     "rrf_nlists": rrf_nlists,
+    "rrf_three_lists": rrf_three_lists,
     "rrf_mean_curve": rrf_mean_curve,
     "rerank_overlap": rerank_overlap,
     "rerank_overlap_mean_curve": rerank_overlap_mean_curve,
+    "hash_l2_rerank_overlap": hash_l2_rerank_overlap,
+    "hash_l2_rerank_overlap_mean_curve": hash_l2_rerank_overlap_mean_curve,
     "softmax_pair_probability": softmax_pair_probability,
     "method_comparison_at5": method_comparison_at5,
     "score_regression": score_regression,

@@ -7,7 +7,11 @@ simplest (theta joins, all pairs) since the oracle runs on small data.
 
 from __future__ import annotations
 
-from rankfold.functions.text import STOP_WORDS
+# The 33 English stop words, stated apart from the engine's own list.
+STOP_WORDS = (
+    "a an and are as at be but by for if in into is it no not of on or such "
+    "that the their then there these they this to was will with"
+).split()
 
 _STOPS = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
 _HEX15 = "1152921504606846976.0"
@@ -255,6 +259,14 @@ BM100 = bm25("lex", 100)
 HASH100 = hash_run("vec", 100)
 PAIR_RUN = overlap("ov", "lex")
 
+SCORE_REGRESSION = _with(INDEX, BM100, PAIR_RUN) + """,
+g AS (SELECT query_id, regr_count(rerank, score)::BIGINT AS n, regr_slope(rerank, score) AS slope,
+             regr_intercept(rerank, score) AS intercept, corr(rerank, score) AS r
+      FROM ov GROUP BY query_id)
+SELECT query_id, n, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(r, 6) AS r,
+       round(CASE WHEN n > 2 AND abs(r) < 1 THEN r * sqrt((n - 2)::DOUBLE / (1.0 - r * r)) END, 6) AS t
+FROM g"""
+
 ORACLE_SQL = {
     "tokenize_terms": f"""
 SELECT doc_id, len({tok('text')})::BIGINT AS n_terms, len(list_distinct({tok('text')}))::BIGINT AS n_distinct
@@ -282,8 +294,9 @@ nrel AS (SELECT query_id, count(*)::BIGINT AS n_rel FROM qrels GROUP BY query_id
 agg AS (
   SELECT r.query_id, count(*)::BIGINT AS n_answers, sum((q.doc_id IS NOT NULL)::BIGINT)::BIGINT AS hit
   FROM run r LEFT JOIN qrels q ON q.query_id = r.query_id AND q.doc_id = r.doc_id GROUP BY r.query_id)
-SELECT a.query_id, a.n_answers, n.n_rel, a.hit AS n_retrieved_relevant, (n.n_rel - a.hit)::BIGINT AS n_missing
-FROM agg a JOIN nrel n USING (query_id)""",
+SELECT n.query_id, coalesce(a.n_answers, 0)::BIGINT AS n_answers, n.n_rel,
+       coalesce(a.hit, 0)::BIGINT AS n_retrieved_relevant, (n.n_rel - coalesce(a.hit, 0))::BIGINT AS n_missing
+FROM nrel n LEFT JOIN agg a USING (query_id)""",
     "bm25_curve": _with(INDEX, BM100, QRELS, curve("cur", "lex")) + "\nSELECT * FROM cur",
     "bm25_mean_curve": _with(INDEX, BM100, QRELS, curve("cur", "lex"), mean("m", "cur")) + "\nSELECT * FROM m",
     "l2_top10": _with(vec_run("run", 10)) + "\nSELECT * FROM run",
@@ -295,8 +308,9 @@ FROM agg a JOIN nrel n USING (query_id)""",
     "l2_run_summary": _with(vec_run("run", 10), label_curve("cur", "run")) + """,
 agg AS (SELECT query_id, count(*)::BIGINT AS n_answers, sum(relevant::BIGINT)::BIGINT AS hit
         FROM cur_flag GROUP BY query_id)
-SELECT a.query_id, a.n_answers, n.n_rel, a.hit AS n_retrieved_relevant, (n.n_rel - a.hit)::BIGINT AS n_missing
-FROM agg a JOIN cur_nrel n USING (query_id)""",
+SELECT n.query_id, coalesce(a.n_answers, 0)::BIGINT AS n_answers, n.n_rel,
+       coalesce(a.hit, 0)::BIGINT AS n_retrieved_relevant, (n.n_rel - coalesce(a.hit, 0))::BIGINT AS n_missing
+FROM cur_nrel n LEFT JOIN agg a USING (query_id)""",
     "hash_embed_docs": _with(hash_cells("hd", "documents", "doc_id", "text")) + """
 SELECT c.id AS doc_id, c.dim, round(c.v / n.nrm, 9) AS value
 FROM hd_c c JOIN hd_n n USING (id) WHERE c.v <> 0""",
@@ -325,18 +339,41 @@ SELECT query_id, doc_id, round(1.0 / (1.0 + exp((-rerank) - rerank)), 9) AS p_re
     "method_comparison_at5": _with(
         INDEX, BM100, HASH100, rrf2("fz", "lex", "vec"), PAIR_RUN, QRELS,
         curve("c1", "lex"), mean("m1", "c1"), curve("c2", "vec"), mean("m2", "c2"),
-        curve("c3", "ov", "new_rnk"), mean("m3", "c3"), curve("c4", "fz"), mean("m4", "c4")) + """
+        curve("c3", "ov", "new_rnk"), mean("m3", "c3"), curve("c4", "fz"), mean("m4", "c4"),
+        overlap("vo", "vec"), curve("c5", "vo", "new_rnk"), mean("m5", "c5")) + """
 SELECT 'bm25' AS method, * FROM m1 WHERE top_k = 5
 UNION ALL SELECT 'hash_l2' AS method, * FROM m2 WHERE top_k = 5
 UNION ALL SELECT 'bm25_overlap' AS method, * FROM m3 WHERE top_k = 5
+UNION ALL SELECT 'hash_l2_overlap' AS method, * FROM m5 WHERE top_k = 5
 UNION ALL SELECT 'rrf' AS method, * FROM m4 WHERE top_k = 5""",
-    "score_regression": _with(INDEX, BM100, PAIR_RUN) + """,
-g AS (SELECT query_id, regr_count(rerank, score)::BIGINT AS n, regr_slope(rerank, score) AS slope,
-             regr_intercept(rerank, score) AS intercept, corr(rerank, score) AS r
-      FROM ov GROUP BY query_id)
-SELECT query_id, n, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(r, 6) AS r,
-       round(CASE WHEN n > 2 AND abs(r) < 1 THEN r * sqrt((n - 2)::DOUBLE / (1.0 - r * r)) END, 6) AS t
-FROM g""",
+    "hash_l2_rerank_overlap": _with(HASH100, overlap("ov", "vec")) + "\nSELECT * FROM ov",
+    "hash_l2_rerank_overlap_mean_curve": _with(HASH100, overlap("ov", "vec"), QRELS, curve("cur", "ov", "new_rnk"),
+                                               mean("m", "cur")) + "\nSELECT * FROM m",
+    "rrf_three_lists": _with(INDEX, BM100, HASH100, PAIR_RUN) + """,
+tagged AS (SELECT query_id, doc_id, (rnk - 1)::DOUBLE AS r FROM lex
+           UNION ALL SELECT query_id, doc_id, (rnk - 1)::DOUBLE AS r FROM vec
+           UNION ALL SELECT query_id, doc_id, (new_rnk - 1)::DOUBLE AS r FROM ov),
+pd AS (SELECT query_id, doc_id, sum(1.0 / (60.0 + r)) AS present, count(*)::BIGINT AS n_lists
+       FROM tagged GROUP BY query_id, doc_id),
+pn AS (SELECT *, (count(*) OVER (PARTITION BY query_id))::DOUBLE AS n FROM pd),
+sc AS (SELECT query_id, doc_id, n_lists, round(present + (3 - n_lists) * (1.0 / (60.0 + n)), 9) AS rerank FROM pn)
+SELECT query_id, doc_id, n_lists, rerank,
+       (row_number() OVER (PARTITION BY query_id ORDER BY rerank DESC, doc_id ASC))::INTEGER AS rnk
+FROM sc""",
+    "score_regression": SCORE_REGRESSION,
+    # The distribution function of Student's t for whole df, by the closed form of each term.
+    "score_regression_pvalue": f"""
+WITH reg AS ({SCORE_REGRESSION}),
+ang AS (SELECT *, (n - 2) AS nu, atan(abs(t) / sqrt((n - 2)::DOUBLE)) AS th FROM reg WHERE t IS NOT NULL),
+ser AS (
+  SELECT query_id, nu, th, CASE WHEN nu = 1 THEN 0.0 ELSE list_sum(list_transform(range(0, nu // 2), lambda j:
+    CASE WHEN nu % 2 = 1
+         THEN exp(2 * j * ln(2) + 2 * lgamma(j + 1) - lgamma(2 * j + 2)) * cos(th) ** (2 * j + 1)
+         ELSE exp(lgamma(2 * j + 1) - 2 * j * ln(2) - 2 * lgamma(j + 1)) * cos(th) ** (2 * j) END)) END AS s
+  FROM ang),
+pv AS (SELECT query_id, round(greatest(0.0, 1.0 - CASE WHEN nu % 2 = 1 THEN (th + sin(th) * s) * 2 / pi()
+                                                       ELSE sin(th) * s END), 6) AS p FROM ser)
+SELECT reg.*, pv.p FROM reg LEFT JOIN pv USING (query_id)""",
     "split_by_query": _with(SPLIT) + """
 SELECT query_id, doc_id, 'train' AS part FROM train UNION ALL SELECT query_id, doc_id, 'test' AS part FROM test""",
     "split_profile": _with(SPLIT) + """
@@ -350,7 +387,7 @@ SELECT query_id, doc_id, label, CASE WHEN query_id IN (SELECT query_id FROM hit_
                                      THEN 'train' ELSE 'validation' END AS part
 FROM pairs""",
     "labelled_pairs": _with(NEGATIVES) + """
-SELECT query_id, doc_id, query, substring(text, 1, 5000) AS text, label FROM pairs""",
+SELECT query_id, doc_id, query, text, label FROM pairs""",
     "frequency_tables": _with(JUDGED) + """
 SELECT 'query' AS kind, query_id AS key, count(*)::BIGINT AS n FROM judged GROUP BY query_id
 UNION ALL SELECT 'doc' AS kind, doc_id AS key, count(*)::BIGINT AS n FROM judged GROUP BY doc_id""",

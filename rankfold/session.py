@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+_UNKNOWN_BYTES = 1 << 60  # what Spark reports for sources without statistics
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -36,11 +39,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment and only read here. A
-    scratch folder is made only when the setting is absent (local tests).
+    On a cluster the folder is set by the deployment and only read here; a
+    missing setting raises there. A scratch folder is made only in local mode
+    (one machine), where it is shared by definition.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="rankfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
@@ -52,13 +59,46 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def table_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df``: one aggregate of partial sums, no rows move.
 
-    The check stops after ``max_rows + 1`` rows, so it stays cheap on large
-    inputs; it is the size bound required before a side is broadcast.
+    Bytes count the values of strings and arrays, 8 for any other column, and
+    16 a row.
+    """
+    width = F.lit(16).cast("long")
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind == "string":
+            width = width + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind == "array<string>":
+            width = width + F.coalesce(F.octet_length(F.concat_ws("", c)) + 8 * F.size(c), F.lit(0))
+        elif kind.startswith("array<"):
+            width = width + 8 * F.greatest(F.size(c), F.lit(0))
+        else:
+            width = width + 8
+    n, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return n, size or 0
+
+
+def fits(df: DataFrame, max_rows: int | None = None, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` may be broadcast: at most ``max_rows`` rows and ``max_bytes`` bytes."""
+    n, size = table_size(df)
+    return size <= max_bytes and (max_rows is None or n <= max_rows)
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files ``df`` is read from, by plan statistics; None when a source has none.
+
+    Nothing runs. Joins and aggregations above the scans don't change it.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return None if any(s >= _UNKNOWN_BYTES for s in sizes) else sum(sizes)
+
+
+def _split_bytes(spark: SparkSession) -> int:
+    conf = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
+    return conf.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
 
 
 def materialize(df: DataFrame, name: str, partition_cols: list[str] | None = None) -> DataFrame:
@@ -86,8 +126,10 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     every core tokenise. On a cluster, inputs have far more splits than cores
     and this is a no-op.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() < target:
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism * factor
+    size = input_bytes(df)
+    if size is not None and size < target * _split_bytes(spark):
         return df.repartition(target)
     return df
 
@@ -112,15 +154,16 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> Da
 def default_shards(spark: SparkSession, df: DataFrame | None = None) -> int:
     """Shard count for document-partitioned tables.
 
-    Grows with the input (two shards per input split, i.e. per
-    ``maxPartitionBytes`` of files), capped by the shuffle partition setting,
-    and never below two tasks per core so uneven documents leave no core idle.
+    Grows with the input without an upper limit (two shards per
+    ``maxPartitionBytes`` of files), and never below two tasks per core so
+    uneven documents leave no core idle. Inputs of unknown size take the
+    shuffle partition setting.
     """
     floor = 2 * spark.sparkContext.defaultParallelism
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if df is None:
-        return max(floor, cap)
-    return max(floor, min(cap, 2 * df.rdd.getNumPartitions()))
+    size = None if df is None else input_bytes(df)
+    if size is None:
+        return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(floor, -(-2 * size // _split_bytes(spark)))
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -81,7 +81,7 @@ def load_ingested_index(spark: SparkSession, root: str) -> LexicalIndex:
     doc_stats = r.parquet(os.path.join(root, "doc_stats")).drop("batch_id")
     d = r.parquet(os.path.join(root, "corpus_deltas")).agg(
         F.sum("n_docs").cast("long").alias("n_docs"), F.sum("total_len").cast("long").alias("total_len"))
-    corpus_stats = d.withColumn("avgdl", F.col("total_len").cast("double") / F.col("n_docs").cast("double"))
+    corpus_stats = d.withColumn("avgdl", F.try_divide(F.col("total_len").cast("double"), F.col("n_docs").cast("double")))
     return LexicalIndex(postings.select("term", "doc_id", "dl", "tf"), term_stats, corpus_stats, doc_stats)
 
 

@@ -131,3 +131,37 @@ def test_save_as_bucketed_tables_keeps_shard_local_search(spark, index, queries,
                                                             "query_id", "doc_id", "score")
     run.collect()
     assert "Bucketed: true" in run._jdf.queryExecution().executedPlan().toString()
+
+
+def test_index_statistics_are_stored_and_postings_not_shuffled(spark):
+    from rankfold.sources import tables as T
+
+    sf = "/root/testdata/sf0.001"
+    docs, qs = T.corpus(spark, sf), T.text_queries(spark, sf)
+    idx = lexical.build_index(docs)
+    run = lexical.bm25_search(qs, idx, k=5)
+    plan = run._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len([line for line in scans if "rankfold_postings" in line]) == 1
+    assert not any("documents" in line for line in scans)
+    pairs = run.select("query_id", "doc_id")
+    small = rows(lexical.overlap_scores(pairs, qs, idx), "query_id", "doc_id", "rerank")
+    large = lexical.overlap_scores(pairs, qs, idx, broadcast_limit=0)
+    assert rows(large, "query_id", "doc_id", "rerank") == small
+    assert rows(lexical.corpus_statistics(docs), "n_docs", "total_len", "avgdl") == rows(
+        idx.corpus_stats, "n_docs", "total_len", "avgdl")
+
+
+def test_shards_follow_the_bytes_read(spark):
+    from rankfold import session
+    from rankfold.sources import tables as T
+
+    docs = T.corpus(spark, "/root/testdata/sf0.001")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        assert session.default_shards(spark, docs) > int(spark.conf.get("spark.sql.shuffle.partitions")) * 4
+        dedup = lexical.index_documents(docs, "text")
+        assert session.input_bytes(dedup) == session.input_bytes(docs)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

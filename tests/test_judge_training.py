@@ -82,5 +82,50 @@ def test_group_split_partitions_queries(spark):
 def test_labelled_pairs_truncate_and_encode(spark):
     df = spark.createDataFrame([(1, 2, "q", "x" * 6000, "yes"), (1, 3, "q", "short", "no")],
                                "query_id long, doc_id long, query string, text string, label string")
-    out = {r["doc_id"]: (len(r["text"]), r["label"]) for r in training.labelled_pairs(df).collect()}
+    out = {r["doc_id"]: (len(r["text"]), r["label"]) for r in training.labelled_pairs(df, max_chars=5000).collect()}
     assert out == {2: (5000, 1), 3: (5, 0)}
+    whole = {r["doc_id"]: len(r["text"]) for r in training.labelled_pairs(df).collect()}
+    assert whole == {2: 6000, 3: 5}
+
+
+def test_many_out_of_vocabulary_passages_match_nothing(spark):
+    docs = spark.createDataFrame([(1, "flow heat shock wave")], "doc_id long, text string")
+    qs = spark.range(12_000).selectExpr("id AS query_id", "concat('aa zz', id, ' yy', id, ' bb') AS query")
+    assert judge.containment_qrels(qs, docs).count() == 0
+
+
+def test_short_passages_match_brute_force(spark):
+    texts = ["heat shock", "a", "", None, "xx  heat shock\nwave", "été naïf \U0001f600 ok", "aaaa", "HEAT", "\U0001f600"]
+    passages = ["heat shock", "a", "aa", " ", "\n", "shock\nwa", "t s", "naïf", "\U0001f600", "heat shock\nwaves",
+                "of the a", "", None, "heat shock", "zz"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    qs = spark.createDataFrame(list(enumerate(passages)), "query_id long, query string")
+    want = sorted((i, j) for i, p in enumerate(passages) for j, t in enumerate(texts) if p and t and p in t)
+    assert rows(judge.containment_qrels(qs, docs), "query_id", "doc_id") == want
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert judge.containment_qrels(qs, none).count() == 0
+    assert judge.containment_qrels(qs.limit(0), docs).count() == 0
+
+
+def test_containment_plan_has_no_pair_product(spark):
+    docs = spark.createDataFrame([(1, "heat shock")], "doc_id long, text string")
+    qs = spark.createDataFrame([(1, "heat"), (2, "a heat shock b")], "query_id long, query string")
+    plan = judge.containment_qrels(qs, docs, materialize=False)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_negative_pairs_cut_walks_and_many_ring_buckets(spark, monkeypatch):
+    judged = _judged(spark)
+    want = rows(training.negative_pairs(judged, seed=42), "query_id", "doc_id", "query", "text", "label")
+    monkeypatch.setattr(training, "_STEP_BLOCK", 3)
+    monkeypatch.setattr(training, "_RING_BUCKET", 1)
+    assert rows(training.negative_pairs(judged, seed=42), "query_id", "doc_id", "query", "text", "label") == want
+
+
+def test_negative_ids_need_no_text(spark):
+    out = training.negative_pairs(_judged(spark)).select("query_id", "doc_id")
+    assert "text" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_negative_pairs_of_nothing(spark):
+    assert training.negative_pairs(_judged(spark).limit(0)).count() == 0

@@ -76,6 +76,10 @@ def test_flag_and_summary(spark):
     s = ev.run_summary(flagged, ev.relevant_counts(qrels)).first()
     assert (s["n_answers"], s["n_rel"], s["n_retrieved_relevant"], s["n_missing"]) == (3, 2, 1, 1)
     assert rows(ev.missing_documents(run, qrels), "query_id", "doc_id") == [(1, 99)]
+    more = qrels.unionByName(spark.createDataFrame([(2, 50)], "query_id long, doc_id long"))
+    got = rows(ev.run_summary(ev.flag_relevant(run, more), ev.relevant_counts(more)),
+               "query_id", "n_answers", "n_rel", "n_retrieved_relevant", "n_missing")
+    assert got == [(1, 3, 2, 1, 1), (2, 0, 1, 0, 1)]
 
 
 def test_mean_curve_counts_queries_reaching_rank(spark):

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rankfold.functions.stats import t_p_value, t_two_sided_p
+from rankfold.functions.stats import t_p_value
 from rankfold.operators import lexical
 from rankfold.sources import io
 from conftest import rows
@@ -19,10 +19,15 @@ def test_regression_golden(spark):
     assert r["p"] == pytest.approx(0.124027, abs=1e-6)
 
 
-def test_t_p_known_values():
-    assert t_two_sided_p(0.0, 5) == pytest.approx(1.0)
-    assert t_two_sided_p(2.570582, 5) == pytest.approx(0.05, abs=1e-6)
-    assert t_two_sided_p(1.959964, 1e7) == pytest.approx(0.05, abs=1e-5)
+def test_t_p_known_values(spark):
+    want = [(0.0, 5, 1.0), (2.570582, 5, 0.05), (-2.570582, 5, 0.05), (1.959964, 10_000_000, 0.05),
+            (1.0, 1, 0.5), (4.302653, 2, 0.05), (3.182446, 3, 0.05), (2.228139, 10, 0.05), (1e9, 4, 0.0)]
+    df = spark.createDataFrame([(i, t, n) for i, (t, n, _) in enumerate(want)], "i int, t double, n long")
+    got = {r["i"]: r["p"] for r in df.select("i", t_p_value(F.col("t"), F.col("n")).alias("p")).collect()}
+    for i, (_, n, p) in enumerate(want):
+        assert got[i] == pytest.approx(p, abs=1e-5 if n > 1000 else 1e-6)
+    empty = spark.createDataFrame([(None, 3), (1.0, None), (1.0, 0)], "t double, n long")
+    assert [r[0] for r in empty.select(t_p_value(F.col("t"), F.col("n"))).collect()] == [None, None, None]
 
 
 def test_tsv_and_jsonl_round_trip(spark, tmp_path):

@@ -80,3 +80,28 @@ def test_plan_has_no_pair_rows(spark):
     plan = vectors.knn_search(q, d, k=3)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_task_emits_at_most_k_rows_a_query(spark):
+    Q, D, q, d = _random(spark, 11, 240, 8, seed=5)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(size)
+    spark.conf.set(size, "20")
+    try:
+        part = vectors._broadcast_search(q, d.coalesce(1), 4, "l2", True, False, 6, None)
+        assert part.count() == 11 * 4
+        for metric in ("l2", "cosine"):
+            a = rows(vectors.knn_search(q, d.coalesce(1), k=4, metric=metric), "query_id", "doc_id", "rnk", "score")
+            b = rows(vectors.knn_search(q, d, k=4, metric=metric, strategy="grid", query_block=4, doc_block=50),
+                     "query_id", "doc_id", "rnk", "score")
+            assert a == b
+    finally:
+        spark.conf.set(size, old)
+
+
+def test_broadcast_is_checked_in_bytes(spark):
+    _, _, q, d = _random(spark, 30, 40, 8)
+    with pytest.raises(ValueError, match="broadcast bound"):
+        vectors.knn_search(q, d, k=2, strategy="broadcast", max_broadcast_bytes=500)
+    a = rows(vectors.knn_search(q, d, k=2, max_broadcast_bytes=500, min_blocks=2), "query_id", "doc_id", "rnk")
+    assert a == rows(vectors.knn_search(q, d, k=2), "query_id", "doc_id", "rnk")
