@@ -14,10 +14,17 @@ from rankfold.session import ensure_checkpoint_dir, materialize, ship_package
 SPACES = " \t\n\x0b\x0c\r"
 
 
+#: Rows of an Arrow batch at most: a batch of whole texts is held by the JVM and by Python, several times over.
+BATCH_ROWS = 1_000
+
+
 def prepare(spark: SparkSession) -> None:
-    """Set up what every operator needs: the shared folder and this package on the executors."""
+    """Set up what every operator needs: the shared folder, this package on the executors, and batches of bounded size."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
