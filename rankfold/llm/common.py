@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -56,6 +58,15 @@ def shared_state(key: tuple, make: Callable):
     return _STATE[key]
 
 
+def hand_back() -> None:
+    """What a task has freed goes back to the system: a Python worker outlives its tasks, and allocators keep free memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[..., dict], schema: str, init: Callable | None = None) -> DataFrame:
     """``mapInArrow`` where ``fn(state, columns as lists by name)`` returns output columns by name."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -65,14 +76,17 @@ def map_batches(df: DataFrame, fn: Callable[..., dict], schema: str, init: Calla
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = init() if init else None
-        if not any(state is x for x in _STATE.values()):
+        if _STATE and not any(state is x for x in _STATE.values()):
             _STATE.clear()
+            hand_back()
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             cols = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
             out = fn(state, cols)
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
+        state = batch = cols = out = None
+        hand_back()
 
     return df.mapInArrow(run, schema)
 

@@ -26,7 +26,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from rankfold.llm.common import counter_hash, map_batches, text_rows, written
+from rankfold.llm.common import counter_hash, hand_back, map_batches, text_rows, written
 
 DIM = 64
 NONZERO = 6
@@ -252,5 +252,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame
             if b.num_rows:
                 good = network(np.array([vectors.pooled(t) for t in b.column(place).to_pylist()])) >= cut
                 yield b.filter(pa.array(good))
+        vectors.rows = b = None
+        hand_back()
 
     return docs.mapInArrow(run, schema)
