@@ -40,16 +40,15 @@ def split_by_query(judged: DataFrame, n_test: int):
     return train, test
 
 
-def _pool_positions(pool: DataFrame, size: int, seed: int) -> DataFrame:
-    """Dense positions 0..size-1 of the pool in md5 order, without a global sort.
+def _dense_positions(hashed: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """``keys`` and their dense position 0..size-1 in the order of hash ``h`` (then keys), without a global sort.
 
     Hash range buckets are ranked locally; bucket offsets come from a cumulative
     sum over the bucket counts. The number of buckets (a power of two) grows with
-    the pool, about ``_RING_BUCKET`` ids each.
+    the rows, about ``_RING_BUCKET`` each.
     """
     bits = min(59, max(4, (size // _RING_BUCKET).bit_length()))
-    h = pool.select("doc_id", md5_long(F.lit(seed), F.lit("d"), F.col("doc_id")).alias("h"))
-    h = h.withColumn("bucket", F.shiftright("h", _HASH_BITS - bits))
+    h = hashed.withColumn("bucket", F.shiftright("h", _HASH_BITS - bits))
     # Counts of buckets are summed in two levels, so no window holds all buckets.
     counts = (h.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"))
               .withColumn("top", F.shiftright("bucket", bits // 2)))
@@ -58,9 +57,9 @@ def _pool_positions(pool: DataFrame, size: int, seed: int) -> DataFrame:
     inner = F.sum("c").over(Window.partitionBy("top").orderBy("bucket")) - F.col("c")
     offsets = (counts.withColumn("inner", inner).join(tops, "top")
                .select("bucket", (F.col("base") + F.col("inner")).alias("off")))
-    local = F.row_number().over(Window.partitionBy("bucket").orderBy("h", "doc_id")) - 1
+    local = F.row_number().over(Window.partitionBy("bucket").orderBy("h", *keys)) - 1
     return (h.withColumn("local", local).join(offsets, "bucket")
-            .select("doc_id", (F.col("off") + F.col("local")).alias("pos")))
+            .select(*keys, (F.col("off") + F.col("local")).alias("pos")))
 
 
 def negative_pairs(judged: DataFrame, seed: int = 42) -> DataFrame:
@@ -77,7 +76,7 @@ def negative_pairs(judged: DataFrame, seed: int = 42) -> DataFrame:
     pos_pairs = materialize(judged.select("query_id", "doc_id").distinct(), "judged-ids")
     pool = pos_pairs.select("doc_id").distinct()
     p = pool.count()
-    ring = _pool_positions(pool, p, seed)
+    ring = _dense_positions(pool.select("doc_id", md5_long(F.lit(seed), F.lit("d"), F.col("doc_id")).alias("h")), ["doc_id"], p)
     per_q = pos_pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_pos"))
     start = F.pmod(md5_long(F.lit(seed), F.lit("q"), F.col("query_id")), F.lit(max(p, 1)).cast("long"))
     walk = F.least(2 * F.col("n_pos"), F.lit(p).cast("long"))
@@ -116,14 +115,33 @@ def training_pairs(judged: DataFrame, seed: int = 42) -> DataFrame:
     return pos.unionByName(negative_pairs(judged, seed))
 
 
-def group_split(pairs: DataFrame, frac: float = 0.25, seed: int = 42):
-    """L4: sample ``frac`` of the pair rows by row hash; every query hit goes to
-    train, all other queries to validation. Returns (train, validation)."""
-    hit = pairs.where(md5_unit(F.lit(seed), F.col("query_id"), F.col("doc_id"), F.col("label")) < frac)
+def group_split(pairs: DataFrame, frac: float = 0.25, seed: int = 42, exact: bool = False):
+    """L4/H8: sample ``frac`` of the pair rows by row hash; every query hit goes to
+    train, all other queries to validation. Returns (train, validation).
+
+    ``exact`` takes floor(rows * frac) rows, those first in hash order; otherwise
+    the sample has that size on average, without a pass for the row count.
+    """
+    if exact:
+        keys = ["query_id", "doc_id", "label"]
+        n = pairs.count()
+        hashed = pairs.select(*keys, md5_long(F.lit(seed), *[F.col(c) for c in keys]).alias("h"))
+        hit = _dense_positions(hashed, keys, n).where(F.col("pos") < int(n * frac))
+    else:
+        hit = pairs.where(md5_unit(F.lit(seed), F.col("query_id"), F.col("doc_id"), F.col("label")) < frac)
     ids = hit.select("query_id").distinct()
     return (pairs.join(ids, "query_id", "left_semi"), pairs.join(ids, "query_id", "left_anti"))
 
 
+def label_profile(parts: dict[str, DataFrame]) -> DataFrame:
+    """Rows per label of every named pair table."""
+    from functools import reduce
+
+    rows = [df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "label", "n")
+            for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def labelled_pairs(pairs: DataFrame, max_chars: int | None = None) -> DataFrame:
     """(query, text, label INT); texts are whole unless ``max_chars`` asks for a cut."""
     lab = F.col("label")

@@ -329,6 +329,24 @@ def group_split(spark, sf):
             .unionByName(va.select("query_id", "doc_id", "label", F.lit("validation").alias("part"))))
 
 
+def _exact_split(spark, sf):
+    train, _ = training.split_by_query(_judged(spark, sf), N_TEST_QUERIES)
+    pairs = materialize(training.training_pairs(train, SEED).select("query_id", "doc_id", "label"), "pairs")
+    return training.group_split(pairs, 0.25, SEED, exact=True)
+
+
+def group_split_exact(spark, sf):
+    """L4 with a sample of exactly floor(rows * 0.25) pairs."""
+    tr, va = _exact_split(spark, sf)
+    return (tr.select("query_id", "doc_id", "label", F.lit("train").alias("part"))
+            .unionByName(va.select("query_id", "doc_id", "label", F.lit("validation").alias("part"))))
+
+
+def label_profile(spark, sf):
+    tr, va = _exact_split(spark, sf)
+    return training.label_profile({"train": tr, "validation": va})
+
+
 def labelled_pairs(spark, sf):
     train, _ = training.split_by_query(_judged(spark, sf), N_TEST_QUERIES)
     return training.labelled_pairs(training.training_pairs(train, SEED))
@@ -401,7 +419,8 @@ def per_query_export(spark, sf):
 
 # ---------------------------------------------------------------- learned scorer
 
-def _scored_pairs(spark, sf):
+def _fitted_scorer(spark, sf):
+    """(queries, index, judgements, model, featured validation pairs)."""
     docs, qs = _text(spark, sf)
     idx = lexical.build_index(docs)
     qrels = judge.containment_qrels(qs, docs, idx)
@@ -413,10 +432,62 @@ def _scored_pairs(spark, sf):
     tr, va = training.group_split(pairs, 0.25, SEED)
     tr_f = materialize(scorer.pair_features(tr, qs, idx), "scorer-train")
     va_f = materialize(scorer.pair_features(va, qs, idx), "scorer-valid")
-    model = scorer.fit_scorer(tr_f)
+    return qs, idx, qrels, scorer.fit_scorer(tr_f), va_f
+
+
+def _scored_pairs(spark, sf):
+    *_, model, va_f = _fitted_scorer(spark, sf)
     return scorer.score_with(model, va_f)
 
 
+def pair_features(spark, sf):
+    """The scorer's features of all training pairs."""
+    docs, qs = _text(spark, sf)
+    idx = lexical.build_index(docs)
+    judged = materialize(judge.judged_table(qs, judge.containment_qrels(qs, docs, idx), docs), "judged")
+    train, _ = training.split_by_query(judged, N_TEST_QUERIES)
+    pairs = materialize(training.training_pairs(train, SEED).select("query_id", "doc_id", "label"), "pairs")
+    f = scorer.pair_features(pairs, qs, idx)
+    return f.select("query_id", "doc_id", "label", F.round("bm25", 6).alias("bm25"), "overlap",
+                    F.round("log_dl", 9).alias("log_dl"), "nq")
+
+
+def learned_rerank_mean_curve(spark, sf):
+    """The BM25 run reranked by the fitted scorer, averaged curve."""
+    qs, idx, qrels, model, _ = _fitted_scorer(spark, sf)
+    run = materialize(lexical.bm25_search(qs, idx, k=K_LARGE), "run")
+    out = rank.rerank(scorer.score_with(model, scorer.pair_features(run, qs, idx)))
+    return ev.mean_curve(ev.evaluate(out, qrels, max_num=K_LARGE, rank_col="new_rnk"))
+
+
+# ---------------------------------------------------------------- model hooks
+
+def _counting_encoder():
+    """A stand-in for a user's encoder: characters, spaces and e's of a text."""
+    import numpy as np
+
+    return lambda texts: np.array([[len(t or ""), (t or "").count(" "), (t or "").count("e")] for t in texts], np.float32)
+
+
+def _length_scorer():
+    """A stand-in for a user's pair model: two logits from the lengths of query and text."""
+    import numpy as np
+
+    return lambda q, t: np.array([[len(a or "") / 100, len(b or "") / 1000] for a, b in zip(q, t)])
+
+
+def model_hook_vectors(spark, sf):
+    v = encode.encode_with(spread(T.corpus(spark, sf)), "text", _counting_encoder, 3)
+    return v.select("doc_id", *[F.col("embedding")[i].cast("long").alias(n) for i, n in enumerate(("chars", "spaces", "letters_e"))])
+
+
+def model_hook_scores(spark, sf):
+    docs, qs, _, run = _bm25_run(spark, sf, K_SMALL)
+    pairs = run.select("query_id", "doc_id").join(qs, "query_id").join(docs, "doc_id")
+    scored = encode.score_pairs_with(pairs, _length_scorer)
+    return scored.select("query_id", "doc_id", F.round("rerank", 9).alias("p_relevant"))
+
+
 def pair_scorer_predictions(spark, sf):
     return _scored_pairs(spark, sf).select("query_id", "doc_id", "label", "rerank", "predicted")
 
@@ -497,6 +568,8 @@ QUERIES = {
     "split_profile": split_profile,
     "negative_pairs": negative_pairs,
     "group_split": group_split,
+    "group_split_exact": group_split_exact,
+    "label_profile": label_profile,
     "labelled_pairs": labelled_pairs,
     "frequency_tables": frequency_tables,
     "query_snapshot20": query_snapshot20,
@@ -506,8 +579,12 @@ QUERIES = {
     "answers_tsv_roundtrip": answers_tsv_roundtrip,
     "answers_jsonl_roundtrip": answers_jsonl_roundtrip,
     "per_query_export": per_query_export,
+    "pair_features": pair_features,
     "pair_scorer_predictions": pair_scorer_predictions,
     "pair_scorer_quality": pair_scorer_quality,
+    "learned_rerank_mean_curve": learned_rerank_mean_curve,
+    "model_hook_vectors": model_hook_vectors,
+    "model_hook_scores": model_hook_scores,
     "incremental_index_state": incremental_index_state,
     "incremental_corpus_stats": incremental_corpus_stats,
     "stream_answers": stream_answers,

@@ -250,6 +250,13 @@ hit_ids AS (
   WHERE {md5_long("'42|' || query_id::VARCHAR || '|' || doc_id::VARCHAR || '|' || label::VARCHAR")}::DOUBLE
         / {_HEX15} < 0.25)"""
 
+EXACT_GROUPS = NEGATIVES + f""",
+hashed AS (SELECT query_id, row_number() OVER (ORDER BY {md5_long("'42|' || query_id::VARCHAR || '|' || doc_id::VARCHAR || '|' || label::VARCHAR")},
+                  query_id, doc_id, label) AS pos FROM pairs),
+hit_ids AS (SELECT DISTINCT query_id FROM hashed WHERE pos <= (SELECT floor(count(*) * 0.25) FROM pairs)),
+parts AS (SELECT query_id, doc_id, label, CASE WHEN query_id IN (SELECT query_id FROM hit_ids)
+                                               THEN 'train' ELSE 'validation' END AS part FROM pairs)"""
+
 
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip("\n") for c in ctes)
@@ -386,6 +393,21 @@ SELECT 'test' AS part, count(*)::BIGINT, count(DISTINCT query_id)::BIGINT, count
 SELECT query_id, doc_id, label, CASE WHEN query_id IN (SELECT query_id FROM hit_ids)
                                      THEN 'train' ELSE 'validation' END AS part
 FROM pairs""",
+    "group_split_exact": _with(EXACT_GROUPS) + "\nSELECT query_id, doc_id, label, part FROM parts",
+    "label_profile": _with(EXACT_GROUPS) + "\nSELECT part, label, count(*)::BIGINT AS n FROM parts GROUP BY part, label",
+    "pair_features": _with(INDEX, bm25("lex", 1), NEGATIVES, "pt AS (SELECT query_id, doc_id, label, 0.0 AS score, 0 AS rnk FROM pairs)",
+                           overlap("po", "pt")) + f"""
+SELECT p.query_id, p.doc_id, p.label, coalesce(l.score, 0.0) AS bm25, o.rerank AS overlap,
+       round(ln(1.0 + len({tok('d.text')})), 9) AS log_dl, len({tok('b.text')})::DOUBLE AS nq
+FROM pt p JOIN po o USING (query_id, doc_id) LEFT JOIN lex_sc l USING (query_id, doc_id)
+JOIN documents d ON d.doc_id = p.doc_id JOIN benchmark b ON b.item_id = p.query_id""",
+    "model_hook_vectors": """
+SELECT doc_id, length(t)::BIGINT AS chars, (length(t) - length(replace(t, ' ', '')))::BIGINT AS spaces,
+       (length(t) - length(replace(t, 'e', '')))::BIGINT AS letters_e
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""",
+    "model_hook_scores": _with(INDEX, bm25("run", 10)) + """
+SELECT query_id, r.doc_id, round(1.0 / (1.0 + exp(length(coalesce(b.text, '')) / 100.0 - length(coalesce(d.text, '')) / 1000.0)), 9) AS p_relevant
+FROM run r JOIN benchmark b ON b.item_id = r.query_id JOIN documents d ON d.doc_id = r.doc_id""",
     "labelled_pairs": _with(NEGATIVES) + """
 SELECT query_id, doc_id, query, text, label FROM pairs""",
     "frequency_tables": _with(JUDGED) + """

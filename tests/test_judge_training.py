@@ -72,6 +72,25 @@ def test_negative_plan_has_no_pair_product(spark):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
+def test_exact_group_split_samples_the_floor_of_the_share(spark, monkeypatch):
+    monkeypatch.setattr(training, "_RING_BUCKET", 4)  # many buckets
+    pairs = spark.range(203).selectExpr("id as query_id", "id % 7 as doc_id", "1 as label")
+    tr, va = training.group_split(pairs, 0.25, 42, exact=True)
+    assert (tr.count(), va.count()) == (50, 153)
+    h = training.md5_long(F.lit(42), F.col("query_id"), F.col("doc_id"), F.col("label"))
+    first = {r[0] for r in pairs.orderBy(h).limit(50).collect()}
+    assert {r["query_id"] for r in tr.collect()} == first
+    none, rest = training.group_split(pairs.where("query_id < 3"), 0.25, 42, exact=True)
+    assert (none.count(), rest.count()) == (0, 3)
+    assert [x.count() for x in training.group_split(pairs.limit(0), exact=True)] == [0, 0]
+
+
+def test_label_profile_counts_rows_per_label(spark):
+    a = spark.createDataFrame([(1, 1, 1), (1, 2, 0), (2, 3, 0)], "query_id long, doc_id long, label int")
+    got = training.label_profile({"train": a, "validation": a.limit(0)}).collect()
+    assert sorted(map(tuple, got)) == [("train", 0, 2), ("train", 1, 1)]
+
+
 def test_group_split_partitions_queries(spark):
     pairs = training.training_pairs(_judged(spark))
     tr, va = training.group_split(pairs, 0.25, 42)
