@@ -18,9 +18,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more) stays."""
     prepare(spark)
-    return jaccard_join.drop_near_duplicates(docs)
+    return jaccard_join.drop_near_duplicates(docs, percent=80, width=5)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import os
+import random
 
 import duckdb
 import pytest
@@ -38,3 +39,18 @@ def test_stages_against_their_operators(spark):
     mixed = corpus_pipeline.source_mixing(spark, clean, SF001)
     assert mixed.columns == docs.columns and {r.doc_id for r in mixed.collect()} <= {r.doc_id for r in clean.collect()}
     assert corpus_pipeline.run(spark, SF001).where("not decodes").isEmpty()
+
+
+def test_near_duplicates_by_brute_force(spark):
+    rng, rows = random.Random(5), []
+    word = lambda: f"w{rng.randrange(5000)}"
+    for i in range(0, 60, 2):
+        w = [word() for _ in range(rng.choice([104, 304, 1004]))]
+        rows += [(i, " ".join(w)), (i + 1, " ".join(w + [word() for _ in range(int(len(w) * rng.uniform(0.05, 0.4)))]))]
+    rows += [(100, " ".join(f"a{i}" for i in range(1004))), (101, " ".join(f"a{i}" for i in range(1204)))]  # 1000 of 1200
+    rows += [(102, " ".join(f"b{i}" for i in range(1004))), (103, " ".join(f"b{i}" for i in range(1255)))]  # 1000 of 1251
+    grams = {i: {tuple(w[k: k + 5]) for k in range(len(w) - 4)} for i, t in rows for w in [t.split()]}
+    kept = {i for i, s in grams.items() if not any(j < i and 10 * len(s & u) >= 8 * len(s | u) for j, u in grams.items())}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF001).collect()} == kept
+    assert 101 not in kept and 103 in kept
