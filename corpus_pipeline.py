@@ -36,9 +36,9 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of every document."""
+    """Sampled segmentations of every document, with their ids."""
     prepare(spark)
-    return segment_sampling.sample_segmentations(docs)
+    return segment_sampling.sample_segmentations(docs, with_ids=True)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("secrets", secret_scan), ("mixing", source_mixing),

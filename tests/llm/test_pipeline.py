@@ -1,11 +1,13 @@
 import os
 import random
+import zlib
 
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from rankfold.llm import jaccard_join, quality_classifier, queries, secrets
+from rankfold.llm import jaccard_join, quality_classifier, queries, secrets, segment_sampling
 from rankfold.llm.common import table
 
 SF001 = "/root/testdata/sf0.001"
@@ -54,3 +56,12 @@ def test_near_duplicates_by_brute_force(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF001).collect()} == kept
     assert 101 not in kept and 103 in kept
+
+
+def test_encoding_keeps_the_ids(spark):
+    texts = {1: "two words", 2: "", 3: "Naïve  café ok", 4: "x" * 300, 5: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = segment_sampling.decode(corpus_pipeline.encoding(spark, docs, SF001)).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    assert all(r.text == (texts[r.doc_id] or "") and len(r.ids) == r.n_pieces for r in rows)
+    assert all(zlib.crc32(np.array(r.ids, "<i4").tobytes()) == r.ids_crc for r in rows)
