@@ -7,7 +7,8 @@ what encloses it. A decision tree, grown here on the labelled blocks of
 
 Null and empty pages give the empty text. Markup may be broken: an end tag
 without a start is ignored, an unclosed one ends with its parent, an unclosed
-script or comment takes the rest of the page. Pages are read whole, whatever
+script, style, textarea, title or comment takes the rest of the page; of other
+elements without text of the page, an unclosed one hides nothing. Pages are read whole, whatever
 their length. Repeated rows give repeated rows; a null page_id is passed
 through.
 """
@@ -22,7 +23,10 @@ from pyspark.sql import DataFrame
 from rankfold.llm.common import map_batches, text_rows
 
 # Elements that hold no text of the page, blocks, and elements without an end tag (fixed HTML values).
-RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|textarea|select|button|title"
+RAW = frozenset("script style noscript template svg math iframe object canvas audio video textarea select button title".split())
+TO_THE_END = frozenset("script style textarea title".split())  # also when unclosed
+FOREIGN = frozenset("svg math".split())  # may close themselves
+UNNESTED = frozenset("iframe canvas audio video select button".split())  # a second start means that the first is unclosed
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -37,9 +41,9 @@ HINT = re.compile(
 EDGE_HINT = re.compile(r"(?:^|[\W_])(?:header|footer|masthead|topbar|copyright|colophon|contentinfo)(?:$|[\W_])", re.I)
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[a-zA-Z/!?][^>]*>?|(?P<text>[^<]+|<)", re.S | re.I)
+RAW_ENDS = {tag: re.compile(rf"<{'/?' if tag in UNNESTED else '/'}{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\b(hidden)\b|(display\s*:\s*none)", re.I)
 
 IN_BOILERPLATE, HINTED, IN_ARTICLE, HEADING = 1, 2, 4, 8
@@ -58,6 +62,24 @@ def enter(flags: int, tag: str, names: str) -> int:
     return flags
 
 
+def tokens(page: str):
+    """Matches of TOKEN, without elements that hold no text of the page."""
+    at, unclosed = 0, set()
+    while m := TOKEN.match(page, at):
+        at = m.end()
+        tag = m["tag"] and m["tag"].lower()
+        if tag not in RAW or m["end"]:
+            yield m
+        elif tag not in unclosed and not (tag in FOREIGN and m["attrs"].endswith("/")):
+            stop = RAW_ENDS[tag].search(page, at)
+            if stop and stop[0][1] == "/":
+                at = stop.end()
+            elif tag in TO_THE_END:
+                at = len(page)
+            elif not stop:
+                unclosed.add(tag)
+
+
 def blocks(page: str) -> list[tuple[str, int, int, int]]:
     """The flat blocks of a page with text: (text, words, linked words, flags)."""
     out: list[tuple[str, int, int, int]] = []
@@ -72,7 +94,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
             parts.clear()
             link_parts.clear()
 
-    for m in TOKEN.finditer(page):
+    for m in tokens(page):
         text = m["text"]
         if text is not None:
             parts.append(text)

@@ -99,6 +99,28 @@ def test_broken_pages(broken):
     html_text.main_text(html_text.grow(*html_text.labelled_rows()), broken)
 
 
+ARTICLE = "<article><h1>The head line</h1><p>" + "word " * 40 + "</p><p>Short.</p></article>"
+ARTICLE_TEXT = "The head line\n" + " ".join(["word"] * 40) + "\nShort."
+
+
+@pytest.mark.parametrize("before", [
+    '<svg class="icon"/>', "<math/>", "<svg />", "<title-block></title-block>", "<button-group>", '<div><svg class="a"/></div>',
+    *(f"<{x}>" for x in ("button", "select", "iframe", "object", "audio", "video", "canvas", "noscript", "template", "svg", "math")),
+    "<svg><text>gone</text></svg>", "<script>gone</script>", "<BUTTON type='a>b'>gone</BUTTON >", "<svg><svg/>gone</svg>"])
+def test_elements_without_text_hide_no_article(before):
+    tree = html_text.grow(*html_text.labelled_rows())
+    assert html_text.main_text(tree, before + ARTICLE) == ARTICLE_TEXT
+    tail = "<p>Some more words of it</p>"
+    assert html_text.main_text(tree, ARTICLE[:-10] + before + tail + "</article>") == ARTICLE_TEXT + "\nSome more words of it"
+
+
+def test_second_start_shows_the_first_unclosed():
+    tree = html_text.grow(*html_text.labelled_rows())
+    assert html_text.main_text(tree, "<button>" + ARTICLE + "<button>gone</button>") == ARTICLE_TEXT
+    for x in ("script", "style", "textarea", "title"):
+        assert html_text.main_text(tree, ARTICLE + f"<{x}>" + ARTICLE) == ARTICLE_TEXT
+
+
 # ---------------------------------------------------------------- quotes
 
 def test_quotation_links(spark):
