@@ -2,7 +2,9 @@
 
 A page is cut into flat blocks at block-level tags. A block is described by its
 word count and link density, those of the blocks before and behind it, and
-what encloses it. A decision tree, grown here on the labelled blocks of
+what encloses it. Names such as "sidebar" describe what is inside an element,
+except on html, body, main, article and the wrapper of a page's text (see
+``settled``), whose names tell of the page's layout. A decision tree, grown here on the labelled blocks of
 ``LABELLED``, says which blocks belong to the article.
 
 Null and empty pages give the empty text. Markup may be broken: an end tag
@@ -49,14 +51,20 @@ NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']
 IN_BOILERPLATE, HINTED, IN_ARTICLE, HEADING = 1, 2, 4, 8
 
 
-def enter(flags: int, tag: str, names: str) -> int:
-    """Flags inside an element, from those outside it."""
+LAYOUT = frozenset("html body main article".split())  # their names tell of the page
+
+
+def hinted(flags: int, tag: str, names: str) -> bool:
+    """Whether an element with these flags inside is named as something beside the article."""
+    return bool(names) and tag not in LAYOUT and bool(HINT.search(names) or not flags & IN_ARTICLE and EDGE_HINT.search(names))
+
+
+def enter(flags: int, tag: str) -> int:
+    """Flags inside an element, from those outside it; HINTED isn't among them."""
     if tag in ("article", "main"):
         flags = IN_ARTICLE  # an article is its own place, also where something before it was left open
     if tag in BOILERPLATE or tag == "header" and not flags & IN_ARTICLE:
         flags |= IN_BOILERPLATE
-    if names and (HINT.search(names) or not flags & IN_ARTICLE and EDGE_HINT.search(names)):
-        flags |= HINTED
     if len(tag) == 2 and tag[0] == "h" and tag[1].isdigit():
         flags |= HEADING
     return flags
@@ -80,17 +88,46 @@ def tokens(page: str):
                 unclosed.add(tag)
 
 
+def settled(found: list[tuple], outer: list[int]) -> list[tuple[str, int, int, int]]:
+    """Blocks with flags, of (text, words, linked words, flags, innermost hinted element or -1, top heading).
+
+    ``outer`` has the hinted element (or -1) around each hinted element. A hinted element is the wrapper of the
+    page's text, and its hint is none, if no unhinted article and no unhinted top heading stands outside it, and
+    it holds either a top heading and more unlinked words than all that is neither hinted nor boilerplate outside
+    it, or most unlinked words of the page in three blocks or more.
+    """
+    total = plain = places = 0
+    inside = [[0, 0, 0] for _ in outer]  # unlinked words, blocks, top headings
+    for _, words, linked, flags, hint, top in found:
+        total += words - linked
+        if hint >= 0:
+            inside[hint] = [x + y for x, y in zip(inside[hint], (words - linked, 1, top))]
+        elif not flags & IN_BOILERPLATE:
+            plain += words - linked
+            places += bool(flags & IN_ARTICLE or top)
+    for e in range(len(outer) - 1, -1, -1):  # inner ones have larger numbers
+        if outer[e] >= 0:
+            inside[outer[e]] = [x + y for x, y in zip(inside[outer[e]], inside[e])]
+    holds: list[bool] = []  # whether a hint holds in it
+    for (words, n, tops), o in zip(inside, outer):
+        wrapper = not places and (tops and words > plain or n >= 3 and 2 * words > total)
+        holds.append(not wrapper or o >= 0 and holds[o])
+    return [(text, words, linked, flags | (HINTED if hint >= 0 and holds[hint] else 0)) for text, words, linked, flags, hint, _ in found]
+
+
 def blocks(page: str) -> list[tuple[str, int, int, int]]:
     """The flat blocks of a page with text: (text, words, linked words, flags)."""
-    out: list[tuple[str, int, int, int]] = []
-    stack: list[tuple[str, int]] = []
+    out: list[tuple] = []
+    stack: list[tuple[str, int, int]] = []
     flags, linked, parts, link_parts = 0, False, [], []
+    hint, top = -1, False
+    outer: list[int] = []
 
     def flush() -> None:
         if parts:
             words = html.unescape("".join(parts)).split()
             if words:
-                out.append((" ".join(words), len(words), len(html.unescape(" ".join(link_parts)).split()), flags))
+                out.append((" ".join(words), len(words), len(html.unescape(" ".join(link_parts)).split()), flags, hint, top))
             parts.clear()
             link_parts.clear()
 
@@ -115,19 +152,25 @@ def blocks(page: str) -> list[tuple[str, int, int, int]]:
             if m["end"]:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
-                        flags = stack[i][1]
+                        flags, hint = stack[i][1:]
                         del stack[i:]
                         break
             elif tag not in VOID:
                 if stack and stack[-1][0] == tag and tag in ("p", "li", "td", "th", "tr", "dt", "dd"):
-                    flags = stack.pop()[1]
+                    flags, hint = stack.pop()[1:]
                 elif stack and stack[-1][0] == "p":
-                    flags = stack.pop()[1]
-                stack.append((tag, flags))
+                    flags, hint = stack.pop()[1:]
+                stack.append((tag, flags, hint))
                 names = " ".join(x for g in NAMES.findall(m["attrs"]) for x in g if x) if m["attrs"] else ""
-                flags = enter(flags, tag, names)
+                flags = enter(flags, tag)
+                if tag in ("article", "main"):
+                    hint = -1
+                if hinted(flags, tag, names):
+                    outer.append(hint)
+                    hint = len(outer) - 1
+            top = tag == "h1" and not m["end"]
     flush()
-    return out
+    return settled(out, outer)
 
 
 def features(found: list[tuple[str, int, int, int]]) -> list[tuple[float, ...]]:
@@ -163,20 +206,37 @@ LABELLED = (
     (("nav li", 1, 1, 0), ("div.ad", 3, 0, 0), ("article h1", 1, 0, 1), ("article p", 3, 0, 1), ("footer", 4, 0, 0)),
     (("div.ad", 60, 0, 0), ("div.ad p", 1, 0, 0), ("aside", 90, 0, 0), ("footer p", 100, 0, 0), ("nav li", 12, 0, 0)),
     (("p", 70, 0, 1), ("p", 30, 0, 1), ("p", 2, 0, 1), ("p", 44, 1, 1)),
+    (("body.no-sidebar.comments-open nav li", 1, 1, 0), ("body.no-sidebar.comments-open div.content h1", 5, 0, 1),
+     ("body.no-sidebar.comments-open div.content p", 62, 0, 1), ("body.no-sidebar.comments-open div.content p", 3, 0, 1),
+     ("body.no-sidebar.comments-open div.comments p", 35, 0, 0), ("body.no-sidebar.comments-open footer", 9, 1, 0)),
+    (("nav li", 2, 2, 0), ("article.has-sidebar h1", 6, 0, 1), ("article.has-sidebar p", 51, 2, 1),
+     ("article.has-sidebar p", 4, 0, 1), ("article.has-sidebar div.sidebar p", 21, 0, 0), ("footer p", 15, 0, 0)),
+    (("main.search-results h1", 3, 0, 1), ("main.search-results p", 48, 1, 1), ("main.search-results p", 30, 0, 1),
+     ("main.search-results div.related li", 4, 4, 0), ("footer", 11, 0, 0)),
+    (("div.menu li", 1, 1, 0), ("div.has-sidebar h1", 7, 0, 1), ("div.has-sidebar p", 58, 0, 1), ("div.has-sidebar p", 2, 0, 1),
+     ("div.has-sidebar div.sidebar p", 24, 0, 0), ("div.comments p", 40, 0, 0), ("div.footer", 12, 2, 0)),
 )
 
 
 def labelled_rows() -> tuple[list[tuple[float, ...]], list[int]]:
     rows, labels = [], []
     for page in LABELLED:
-        found = []
+        found, outer, known = [], [], {}
         for path, words, links, _ in page:
-            flags = 0
-            for step in path.split():
+            flags, hint, steps = 0, -1, path.split()
+            for i, step in enumerate(steps):
                 tag, _, name = step.partition(".")
-                flags = enter(flags, tag, name)
-            found.append(("", words, links, flags))
-        rows += features(found)
+                flags = enter(flags, tag)
+                if tag in ("article", "main"):
+                    hint = -1
+                if hinted(flags, tag, name):
+                    at = " ".join(steps[: i + 1])
+                    if at not in known:
+                        known[at] = len(outer)
+                        outer.append(hint)
+                    hint = known[at]
+            found.append(("", words, links, flags, hint, steps[-1] == "h1"))
+        rows += features(settled(found, outer))
         labels += [x[3] for x in page]
     return rows, labels
 

@@ -121,6 +121,30 @@ def test_second_start_shows_the_first_unclosed():
         assert html_text.main_text(tree, ARTICLE + f"<{x}>" + ARTICLE) == ARTICLE_TEXT
 
 
+@pytest.mark.parametrize("wrapped", [
+    "<body class='page no-sidebar comments-open'><div class='content'>{}</div></body>", "<article class='post has-sidebar'>{}</article>",
+    "<main class='search-results'>{}</main>", "<html class='no-banner'><body id=search>{}</body></html>",
+    "<div class='layout has-sidebar'>{}</div>", "<div class='search-page'><section class='share-on'>{}</section></div>"])
+@pytest.mark.parametrize("heading", ["<h1>The head line</h1>", "<h2>The head line</h2>"])
+def test_names_of_wrappers_hide_no_article(wrapped, heading):
+    tree = html_text.grow(*html_text.labelled_rows())
+    aside = "<div class='sidebar'><p>" + "aside " * 22 + "</p></div><div class='comments'><p>" + "comment " * 30 + "</p></div>"
+    body = heading + "<p>" + "word " * 60 + "</p><p>Short.</p><p>" + "more " * 45 + "</p>"
+    want = "The head line\n" + " ".join(["word"] * 60) + "\nShort.\n" + " ".join(["more"] * 45)
+    page = "<nav><ul><li><a href=x>Home</a></li></ul></nav>" + wrapped.format(body + aside) + "<footer>All rights are kept here</footer>"
+    assert html_text.main_text(tree, page) == want
+
+
+def test_named_parts_beside_an_article_stay_out():
+    tree = html_text.grow(*html_text.labelled_rows())
+    long = "<h2>Comments</h2>" + "".join("<p>" + "comment " * 40 + "</p>" for _ in range(9))
+    for part in (f"<div class='comments'>{long}</div>", "<div class='header'><h1>Site</h1></div>", "<div class='cookie-notice'>" + "x " * 300 + "</div>"):
+        assert html_text.main_text(tree, part + ARTICLE) == ARTICLE_TEXT
+        assert html_text.main_text(tree, ARTICLE + part) == ARTICLE_TEXT
+        assert html_text.main_text(tree, ARTICLE.replace("article>", "div>") + part) == ARTICLE_TEXT
+    html_text.main_text(tree, "<div class='sidebar'>x" * 20000)
+
+
 # ---------------------------------------------------------------- quotes
 
 def test_quotation_links(spark):
