@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankfold.llm import (hash_tree, html_text, jaccard_join, mih, mixing, quality_classifier, quality_rules, quotes, secrets,
-                          segment_sampling, token_counts)
+from rankfold.llm import (conversation_repair, hash_tree, html_text, jaccard_join, mih, mixing, quality_classifier, quality_rules, quotes, reversed_search,
+                          secrets, segment_sampling, token_counts)
 from rankfold.llm.common import table
 
 
@@ -53,10 +53,19 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.op11(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.op12(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.op13(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_extraction, op3_quotation_linking, op4_ngram_jaccard_join, op5_sentencepiece_sampling,
                                    op6_quality_classifier, op7_secret_scan, op8_multi_index_hashing, op9_token_counts, op10_temperature_mixing,
-                                   op11_sharding)}
+                                   op11_sharding, op12_ranked_search, op13_conversation_repair)}
 
 ORACLE_SQL = {"op1_quality_rules": quality_rules.ORACLE, "op3_quotation_linking": quotes.ORACLE,
               "op4_ngram_jaccard_join": jaccard_join.ORACLE,
-              "op10_temperature_mixing": mixing.ORACLE, "op11_sharding": hash_tree.ORACLE}
+              "op10_temperature_mixing": mixing.ORACLE, "op11_sharding": hash_tree.ORACLE, "op12_ranked_search": reversed_search.ORACLE,
+              "op13_conversation_repair": conversation_repair.ORACLE}
