@@ -1,7 +1,10 @@
 """Encoders and pair scorers.
 
 Built-in, model-free and deterministic:
-  * ``hash_embed``: signed feature hashing of the index terms, L2-normalised.
+  * ``hash_cells`` / ``hash_vectors``: signed feature hashing of the index terms,
+    L2-normalised, summed from an index's postings (or a query set's terms) in
+    the shards they lie in: no text is tokenised again and nothing leaves the JVM.
+  * ``hash_embed``: the same vector from a text column alone.
     md5 of each term is computed JVM-side; one NumPy bincount per row turns
     the hashes into a dense vector (Arrow-batched pandas UDF).
   * ``token_overlap``: Jaccard similarity of the distinct terms of query and
@@ -60,6 +63,31 @@ def hash_embed_cells(df: DataFrame, id_col: str, text_col: str, dim: int = HASH_
             .select(id_col, F.col("dim").cast("int").alias("dim"), F.round("value", 9).alias("value")))
 
 
+def _cell_lists(postings: DataFrame, key: str, weight: str, dim: int) -> DataFrame:
+    """key, cells (the non-zero cells as (dim, v) structs), norm."""
+    h = F.conv(F.substring(F.md5("term"), 1, 15), 16, 10).cast("long")
+    sign = F.lit(1) - F.lit(2) * (F.expr(f"h div {dim}") % 2)  # whole numbers: h has 60 bits
+    x = postings.select(F.col(key), F.col(weight).alias("n"), h.alias("h"))
+    x = x.groupBy(key, (F.col("h") % dim).cast("int").alias("dim")).agg(F.sum(sign * F.col("n")).cast("double").alias("v")).where("v <> 0")
+    return x.groupBy(key).agg(F.collect_list(F.struct("dim", "v")).alias("cells"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+
+
+def hash_cells(postings: DataFrame, key: str = "doc_id", weight: str = "tf", dim: int = HASH_DIM) -> DataFrame:
+    """key, dim, value: the non-zero cells of the hash vectors of (key, term, weight) rows."""
+    x = _cell_lists(postings, key, weight, dim).select(key, "norm", F.explode("cells").alias("c"))
+    return x.select(key, F.col("c.dim").alias("dim"), F.round(F.col("c.v") / F.col("norm"), 9).alias("value"))
+
+
+def hash_vectors(postings: DataFrame, ids: DataFrame, key: str = "doc_id", weight: str = "tf", dim: int = HASH_DIM,
+                 out: str = "embedding") -> DataFrame:
+    """key, ``out`` (dense ARRAY<DOUBLE>) for every row of ``ids``: all-zero where no term is."""
+    cells = F.map_from_entries("cells")
+    x = _cell_lists(postings, key, weight, dim).select(F.col(key), cells.alias("cells"), "norm")
+    x = ids.select(key).join(x, key, "left")
+    value = lambda i: F.coalesce(F.try_element_at("cells", i) / F.col("norm"), F.lit(0.0))
+    return x.select(key, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), value).alias(out))
+
+
 def encode_with(df: DataFrame, text_col: str, make_predict_fn: Callable, dim: int,
                 out: str = "embedding", batch_size: int = 64) -> DataFrame:
     """I3/I4 with a user encoder: ``make_predict_fn()`` returns f(np.ndarray[str]) -> (n, dim)."""

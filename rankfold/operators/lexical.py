@@ -5,6 +5,7 @@ Index tables:
   term_stats   term STRING, df LONG
   doc_stats    doc_id LONG, dl INT, n_terms LONG          (documents with >= 1 term)
   corpus_stats n_docs LONG, total_len LONG, avgdl DOUBLE   (one row)
+  texts        doc_id LONG, text STRING                    (optional, beside the postings)
 
 N and avgdl reach the scoring expression as scalar subqueries (one value
 each, computed once per query plan) - no cross join and no driver loop.
@@ -12,15 +13,17 @@ each, computed once per query plan) - no cross join and no driver loop.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from rankfold.functions.scoring import bm25_weight, idf
 from rankfold.functions.text import tokenize
 from rankfold.operators.rank import top_k
 from rankfold.schemas import require_columns
-from rankfold.session import default_shards, fits, materialize as write_table, materialize_bucketed
+from rankfold.session import Owner, default_shards, fits, materialize as write_table, materialize_bucketed, owned
 
 # Query-term tables at most this long (and within the byte bound of ``fits``) are
 # broadcast into the postings scan.
@@ -32,7 +35,25 @@ class LexicalIndex:
     postings: DataFrame
     term_stats: DataFrame
     corpus_stats: DataFrame
-    doc_stats: DataFrame
+    lazy_doc_stats: DataFrame
+    texts: DataFrame | None = None
+    #: Buckets of the written tables; 0 for an index that is a plan only.
+    shards: int = 0
+    #: Rows and bytes of text the build has read.
+    profile: dict = field(default_factory=dict)
+    owner: Owner | None = None
+
+    @cached_property
+    def doc_stats(self) -> DataFrame:
+        """Written beside the postings on first use (grouped by the bucket key, no exchange), then probed."""
+        if not self.shards:
+            return self.lazy_doc_stats
+        with owned(self.postings.sparkSession, drop=False) as own:
+            out = materialize_bucketed(self.lazy_doc_stats, "doc_stats", "doc_id", self.shards)
+        if self.owner:
+            self.owner.tables += own.tables
+            self.owner.paths += own.paths
+        return out
 
     def n_docs(self):
         return self.corpus_stats.select(F.col("n_docs").cast("double")).scalar()
@@ -40,6 +61,17 @@ class LexicalIndex:
     def avgdl(self):
         return self.corpus_stats.select("avgdl").scalar()
 
+    def drop(self) -> None:
+        """Remove the tables the build has written."""
+        if self.owner:
+            self.owner.drop()
+
+    def __enter__(self) -> LexicalIndex:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
+
 
 def index_documents(corpus: DataFrame, dedupe: str | None = None) -> DataFrame:
     """The documents the index holds (doc_id, text).
@@ -59,8 +91,17 @@ def index_documents(corpus: DataFrame, dedupe: str | None = None) -> DataFrame:
     raise ValueError(f"unknown dedupe rule {dedupe!r}")
 
 
+def observed(seen: Observation, *names: str) -> dict[str, int]:
+    """What an observation has counted while its plan ran."""
+    try:
+        got = seen.get
+    except Py4JJavaError:  # the plan turned out to be empty and was dropped, with the operator that counts
+        got = {}
+    return {n: got.get(n) or 0 for n in names}
+
+
 def build_index(corpus: DataFrame, dedupe: str | None = None, materialize: bool = True,
-                shards: int | None = None) -> LexicalIndex:
+                shards: int | None = None, keep_text: bool = False) -> LexicalIndex:
     """I1 + D8: a document-sharded inverted index.
 
     Documents are hash-partitioned by doc_id into ``shards`` (one shuffle of the
@@ -71,33 +112,49 @@ def build_index(corpus: DataFrame, dedupe: str | None = None, materialize: bool
     bucketed by doc_id, so searches aggregate per (query, document) inside each
     shard and only per-shard top-k rows are shuffled. A frequent term's
     postings are spread over all shards, so hot terms cause no skew.
+
+    ``keep_text`` writes the texts into the same shards, so that a candidate's
+    text is met there without an exchange. What is written belongs to the index:
+    ``drop`` (or ``with build_index(...) as idx``) removes it. ``profile`` tells
+    the rows and bytes the build has read, observed while it wrote.
     """
     spark = corpus.sparkSession
     docs = index_documents(corpus, dedupe)
     shards = shards or default_shards(spark, docs)
-    sharded = docs.repartition(shards, "doc_id")
-    toks = sharded.select("doc_id", tokenize("text").alias("tokens"))
-    # explode_outer + null filter: an inner explode makes Catalyst infer
-    # size(tokens) > 0 below the projection, which tokenises every row twice.
-    postings = (toks.select("doc_id", F.size("tokens").cast("int").alias("dl"),
-                            F.explode_outer("tokens").alias("term"))
-                .where(F.col("term").isNotNull())
-                .groupBy("doc_id", "term").agg(F.max("dl").alias("dl"), F.count(F.lit(1)).alias("tf"))
-                .select("term", "doc_id", "dl", "tf"))
-    if materialize:
-        postings = materialize_bucketed(postings, "postings", "doc_id", shards)
-    # doc_stats groups by the bucket key (no exchange) and stays lazy.
-    doc_stats = postings.groupBy("doc_id").agg(F.max("dl").alias("dl"), F.count(F.lit(1)).alias("n_terms"))
-    term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = docs.select(F.count(F.lit(1)).alias("n_docs"))
-    total = postings.select(F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_len"))
-    corpus_stats = (n_docs.select(F.col("n_docs"), total.select("total_len").scalar().alias("total_len"))
-                    .withColumn("avgdl", F.try_divide(F.col("total_len").cast("double"), F.col("n_docs").cast("double"))))
-    if materialize:
-        # Every search needs both; written once, scoring is the only scan of the postings.
-        term_stats = write_table(term_stats, "term-stats")
-        corpus_stats = write_table(corpus_stats, "corpus-stats")
-    return LexicalIndex(postings, term_stats, corpus_stats, doc_stats)
+    seen = Observation("index documents")
+    with owned(spark, drop=False) as owner:
+        source = docs
+        if materialize:
+            source = docs.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("text")).alias("bytes"),
+                                  F.count("text").alias("texts"))
+        sharded, texts = source.repartition(shards, "doc_id"), None
+        if keep_text and materialize:
+            sharded = texts = materialize_bucketed(sharded, "texts", "doc_id", shards)
+        toks = sharded.select("doc_id", tokenize("text").alias("tokens"))
+        # explode_outer + null filter: an inner explode makes Catalyst infer
+        # size(tokens) > 0 below the projection, which tokenises every row twice.
+        postings = (toks.select("doc_id", F.size("tokens").cast("int").alias("dl"),
+                                F.explode_outer("tokens").alias("term"))
+                    .where(F.col("term").isNotNull())
+                    .groupBy("doc_id", "term").agg(F.max("dl").alias("dl"), F.count(F.lit(1)).alias("tf"))
+                    .select("term", "doc_id", "dl", "tf"))
+        profile = {}
+        if materialize:
+            postings = materialize_bucketed(postings, "postings", "doc_id", shards)
+            profile = observed(seen, "rows", "texts", "bytes")
+        doc_stats = postings.groupBy("doc_id").agg(F.max("dl").alias("dl"), F.count(F.lit(1)).alias("n_terms"))
+        term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        n_docs = docs.select(F.count(F.lit(1)).alias("n_docs"))
+        if materialize:  # counted while the documents were read
+            n_docs = spark.range(1).select(F.lit(profile["rows"]).cast("long").alias("n_docs"))
+        total = postings.select(F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_len"))
+        corpus_stats = (n_docs.select(F.col("n_docs"), total.select("total_len").scalar().alias("total_len"))
+                        .withColumn("avgdl", F.try_divide(F.col("total_len").cast("double"), F.col("n_docs").cast("double"))))
+        if materialize:
+            # Every search needs both; written once, scoring is the only scan of the postings.
+            term_stats = write_table(term_stats, "term-stats")
+            corpus_stats = write_table(corpus_stats, "corpus-stats")
+    return LexicalIndex(postings, term_stats, corpus_stats, doc_stats, texts, shards if materialize else 0, profile, owner)
 
 
 def corpus_statistics(corpus: DataFrame, dedupe: str | None = None) -> DataFrame:

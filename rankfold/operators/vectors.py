@@ -11,18 +11,23 @@ Strategies:
   * ``broadcast``: the query matrix (at most ``MAX_BROADCAST_BYTES``, checked also when the
     strategy is asked for) is shipped to every task, documents are scanned where they lie -
     no shuffle of the corpus.
-  * ``grid``: queries and documents are hashed into blocks; each
-    (query-block, doc-block) cell is one cogroup task. Used when the query
-    set is too large to broadcast; memory per task is bounded by the block
-    sizes, which are parameters.
+  * ``cells``: beyond that bound the documents are laid out in cells and only the cells that
+    can hold an answer are searched (see ``vector_store``); a corpus that is searched more than
+    once is better kept as a store.
+  * ``grid``: queries and documents are hashed into blocks; each (query-block, doc-block)
+    cell is one cogroup task; memory per task is bounded by the block sizes, which are
+    parameters. Every pair of blocks meets, whatever the vectors.
+
+Ids may be whole numbers or strings.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from rankfold.operators.rank import top_k
 from rankfold.schemas import require_columns
@@ -33,21 +38,33 @@ GRID_QUERY_BLOCK = 4_096
 GRID_DOC_BLOCK = 65_536
 _CHUNK_CELLS = 4_000_000  # distance-matrix cells computed at once in a task
 
-OUT_SCHEMA = T.StructType([
-    T.StructField("query_id", T.LongType()),
-    T.StructField("doc_id", T.LongType()),
-    T.StructField("score", T.DoubleType()),
-])
 
+def answer_ddl(queries: DataFrame, docs: DataFrame) -> str:
+    """The schema of (query_id, doc_id, score) for these tables' ids."""
+    kinds = [df.select(c).schema[0].dataType.simpleString() for df, c in ((queries, "query_id"), (docs, "doc_id"))]
+    return f"query_id {kinds[0]}, doc_id {kinds[1]}, score double"
+
+
+def _ids(col) -> np.ndarray:
+    """Ids of an Arrow column: int64, or objects for strings."""
+    if pa.types.is_integer(col.type):
+        return col.to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.array(col.to_pylist(), dtype=object)
+
+
+def _order(ids: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of the ids."""
+    return ids if ids.dtype != object else np.unique(ids, return_inverse=True)[1]
 
-def _as_matrix(values, dim: int | None) -> np.ndarray:
-    rows = [np.asarray(v, dtype=np.float64) for v in values]
-    if not rows:
-        return np.zeros((0, dim or 0))
-    lens = {r.shape[0] for r in rows}
-    if len(lens) != 1 or (dim is not None and lens != {dim}):
-        raise ValueError(f"vector length mismatch: found lengths {sorted(lens)}, expected {dim}")
-    return np.vstack(rows)
+
+def _arrow_schema(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def answer_batch(parts: list[tuple], target: pa.Schema) -> pa.RecordBatch:
+    """(query ids, doc ids, scores) parts as one Arrow batch."""
+    cols = [np.concatenate(c) for c in zip(*parts)] if parts else [[], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, target)], schema=target)
 
 
 def _arrow_matrix(col, dim: int | None) -> np.ndarray:
@@ -109,22 +126,31 @@ def _block_top_k(qids, Q, dids, D, k, metric, squared, exclude_self, digits):
     return out
 
 
-def _first_k(q_ids, d_ids, score, key, k) -> pd.DataFrame:
-    """The first k rows of each query in (key, doc_id) order."""
-    order = np.lexsort((d_ids, key, q_ids))
-    q_s, d_s, sc_s = q_ids[order], d_ids[order], score[order]
+def _first_k(q_ids, d_ids, score, key, k) -> tuple:
+    """The first k rows of each query in (key, doc_id) order: query ids, doc ids, scores."""
+    q = _order(q_ids)
+    order = np.lexsort((_order(d_ids), key, q))
+    q_s = q[order]
     starts = np.r_[0, np.nonzero(np.diff(q_s))[0] + 1]
     pos = np.arange(len(q_s)) - np.repeat(starts, np.diff(np.r_[starts, len(q_s)]))
-    keep = pos < k
-    return pd.DataFrame({"query_id": q_s[keep], "doc_id": d_s[keep], "score": sc_s[keep]})
+    keep = order[pos < k]
+    return q_ids[keep], d_ids[keep], score[keep]
+
+
+def merged(parts: list[tuple], k: int, metric: str) -> tuple:
+    """One top-k per query from several lists."""
+    q, d, score = (np.concatenate(c) for c in zip(*parts))
+    return _first_k(q, d, score, -score if metric == "cosine" else score, k)
 
 
 def _broadcast_search(queries, docs, k, metric, squared, exclude_self, digits, dim):
     spark = docs.sparkSession
     tbl = queries.select("query_id", "embedding").toArrow()
-    qids = np.asarray(tbl.column("query_id").to_numpy(zero_copy_only=False), dtype=np.int64)
+    qids = _ids(tbl.column("query_id").combine_chunks())
     Q = _arrow_matrix(tbl.column("embedding").combine_chunks(), dim)
     bq = spark.sparkContext.broadcast((qids, Q))
+    ddl = answer_ddl(queries, docs)
+    target = _arrow_schema(ddl)
 
     def run(batches):
         qids_, Q_ = bq.value
@@ -133,19 +159,27 @@ def _broadcast_search(queries, docs, k, metric, squared, exclude_self, digits, d
             if batch.num_rows == 0:
                 continue
             D = _arrow_matrix(batch.column("embedding"), Q_.shape[1] if len(Q_) else dim)
-            dids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            parts = _block_top_k(qids_, Q_, dids, D, k, metric, squared, exclude_self, digits)
-            if best is not None and parts:
-                both = pd.concat([best, *parts], ignore_index=True)
-                score = both["score"].to_numpy()
-                best = _first_k(both["query_id"].to_numpy(), both["doc_id"].to_numpy(), score,
-                                -score if metric == "cosine" else score, k)
-            elif parts:
-                best = pd.concat(parts, ignore_index=True)
+            parts = _block_top_k(qids_, Q_, _ids(batch.column("doc_id")), D, k, metric, squared, exclude_self, digits)
+            if parts:
+                best = merged([*([best] if best else []), *parts], k, metric)
         if best is not None:
-            yield pa.RecordBatch.from_pandas(best, preserve_index=False)
+            yield answer_batch([best], target)
 
-    return docs.select("doc_id", "embedding").mapInArrow(run, OUT_SCHEMA)
+    return docs.select("doc_id", "embedding").mapInArrow(run, ddl)
+
+
+def search_blocks(q: DataFrame, d: DataFrame, by: list[str], ddl: str, k, metric, squared, exclude_self, digits, dim=None) -> DataFrame:
+    """The top-k lists of every group of ``by``: one task searches a block of vectors for a block of queries."""
+    target = _arrow_schema(ddl)
+
+    def cell(qt: pa.Table, dt: pa.Table) -> pa.Table:
+        Q = _arrow_matrix(qt["embedding"].combine_chunks(), dim)
+        D = _arrow_matrix(dt["embedding"].combine_chunks(), Q.shape[1] if len(Q) else dim)
+        parts = _block_top_k(_ids(qt["query_id"].combine_chunks()), Q, _ids(dt["doc_id"].combine_chunks()), D,
+                             k, metric, squared, exclude_self, digits)
+        return pa.Table.from_batches([answer_batch(parts, target)])
+
+    return q.groupBy(*by).cogroup(d.groupBy(*by)).applyInArrow(cell, ddl)
 
 
 def _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim, query_block, doc_block, min_blocks):
@@ -158,21 +192,7 @@ def _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim, q
          .withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(ndb - 1)))))
     d = (docs.select("doc_id", "embedding", F.pmod(F.xxhash64("doc_id"), F.lit(ndb)).alias("db"))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1)))))
-
-    def cell(qpdf: pd.DataFrame, dpdf: pd.DataFrame) -> pd.DataFrame:
-        Q = _as_matrix(qpdf["embedding"].tolist(), dim)
-        D = _as_matrix(dpdf["embedding"].tolist(), Q.shape[1] if len(Q) else dim)
-        parts = _block_top_k(qpdf["query_id"].to_numpy(dtype=np.int64), Q,
-                             dpdf["doc_id"].to_numpy(dtype=np.int64), D,
-                             k, metric, squared, exclude_self, digits)
-        if not parts:
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"),
-                                 "doc_id": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
-        return pd.concat(parts, ignore_index=True)
-
-    return (q.groupBy("qb", "db").cogroup(d.groupBy("qb", "db"))
-            .applyInPandas(cell, OUT_SCHEMA))
+    return search_blocks(q, d, ["qb", "db"], answer_ddl(queries, docs), k, metric, squared, exclude_self, digits, dim)
 
 
 def knn_search(queries: DataFrame, docs: DataFrame, k: int = 10, metric: str = "l2",
@@ -185,8 +205,8 @@ def knn_search(queries: DataFrame, docs: DataFrame, k: int = 10, metric: str = "
     ``queries``: query_id, embedding; ``docs``: doc_id, embedding.
     metric ``'l2'`` (``squared=True`` gives the squared distance, ascending)
     or ``'cosine'`` (similarity, descending; a zero vector scores 0).
-    Vectors of unequal length raise. Ties break by doc_id. The grid has cells of
-    ``query_block`` x ``doc_block`` rows on average, at least ``min_blocks`` a side.
+    Vectors of unequal length raise. Ties break by doc_id. A task of ``cells`` and ``grid``
+    holds ``query_block`` x ``doc_block`` rows on average; the grid has at least ``min_blocks`` a side.
     """
     require_columns(queries, "query_id", "embedding", what="query vectors")
     require_columns(docs, "doc_id", "embedding", what="document vectors")
@@ -196,12 +216,16 @@ def knn_search(queries: DataFrame, docs: DataFrame, k: int = 10, metric: str = "
         size = table_size(queries.select("query_id", "embedding"))[1]
         if strategy == "broadcast" and size > max_broadcast_bytes:
             raise ValueError(f"{size} bytes of query vectors are over the broadcast bound {max_broadcast_bytes}")
-        strategy = "broadcast" if size <= max_broadcast_bytes else "grid"
+        strategy = "broadcast" if size <= max_broadcast_bytes else "cells"
     if strategy == "broadcast":
         part = _broadcast_search(queries, docs, k, metric, squared, exclude_self, digits, dim)
     elif strategy == "grid":
         part = _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim,
                             query_block, doc_block, min_blocks)
+    elif strategy == "cells":
+        from rankfold.operators.vector_store import search_once
+
+        return search_once(queries, docs, k, metric, squared, exclude_self, digits, query_block, doc_block)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return top_k(part, k, descending=(metric == "cosine"))

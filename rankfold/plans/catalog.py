@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from rankfold.functions.scoring import safe_div, softmax_positive
 from rankfold.functions.text import query_slug, tokenize
 from rankfold.functions.stats import t_p_value
-from rankfold.operators import encode, evaluate as ev, judge, lexical, rank, scorer, training, vectors
+from rankfold.operators import encode, evaluate as ev, judge, lexical, rank, scorer, training, vector_store, vectors
 from rankfold.session import checkpoint_path, materialize, spread
 from rankfold.sources import io, tables as T
 from rankfold import streaming
@@ -29,9 +29,9 @@ def _text(spark, sf):
     return T.corpus(spark, sf), T.text_queries(spark, sf)
 
 
-def _bm25_run(spark, sf, k, variant="lucene"):
+def _bm25_run(spark, sf, k, variant="lucene", keep_text=False):
     docs, qs = _text(spark, sf)
-    idx = lexical.build_index(docs)
+    idx = lexical.build_index(docs, keep_text=keep_text)
     return docs, qs, idx, lexical.bm25_search(qs, idx, k=k, variant=variant)
 
 
@@ -41,16 +41,16 @@ def _text_qrels(spark, sf, docs=None, qs=None, idx=None):
     return judge.containment_qrels(qs, docs, idx)
 
 
-def _hash_vectors(df, id_col, text_col, out_id):
-    return spread(df).select(F.col(id_col).alias(out_id), encode.hash_embed(text_col).alias("embedding"))
+def _query_hash_vectors(qs):
+    # read twice (size check, broadcast): written once
+    return materialize(encode.hash_vectors(lexical.query_terms(qs), qs, "query_id", "qtf"), "query-vectors")
 
 
-def _hash_run(spark, sf, k, metric="l2"):
+def _hash_run(spark, sf, k, metric="l2", idx=None):
+    """Hash vectors summed from the index's postings; without an index, in one pass over the texts."""
     docs, qs = _text(spark, sf)
-    dv = _hash_vectors(docs, "doc_id", "text", "doc_id")
-    # read twice (size check, broadcast): written once
-    qv = materialize(_hash_vectors(qs, "query_id", "query", "query_id"), "query-vectors")
-    return vectors.knn_search(qv, dv, k=k, metric=metric)
+    postings = (idx or lexical.build_index(docs, materialize=False)).postings
+    return vectors.knn_search(_query_hash_vectors(qs), encode.hash_vectors(postings, docs), k=k, metric=metric)
 
 
 def _vec_run(spark, sf, k, metric="l2", squared=True, strategy="auto", **kw):
@@ -125,25 +125,25 @@ def query_docs_count(spark, sf):
 # ---------------------------------------------------------------- BM25 evaluation
 
 def bm25_flagged(spark, sf):
-    docs, qs, idx, run = _bm25_run(spark, sf, K_SMALL)
+    docs, qs, idx, run = _bm25_run(spark, sf, K_SMALL, keep_text=True)
     qrels = _text_qrels(spark, sf, docs, qs, idx)
     return ev.flag_relevant(run, qrels).join(docs, "doc_id").select(
         "query_id", "doc_id", "score", "rnk", "relevant", "text")
 
 
 def bm25_missing_docs(spark, sf):
-    docs, qs, idx, run = _bm25_run(spark, sf, K_SMALL)
+    docs, qs, idx, run = _bm25_run(spark, sf, K_SMALL, keep_text=True)
     return ev.missing_documents(run, _text_qrels(spark, sf, docs, qs, idx))
 
 
 def bm25_run_summary(spark, sf):
-    docs, qs, idx, run = _bm25_run(spark, sf, K_SMALL)
+    docs, qs, idx, run = _bm25_run(spark, sf, K_SMALL, keep_text=True)
     qrels = _text_qrels(spark, sf, docs, qs, idx)
     return ev.run_summary(ev.flag_relevant(run, qrels), ev.relevant_counts(qrels))
 
 
 def bm25_curve(spark, sf):
-    docs, qs, idx, run = _bm25_run(spark, sf, K_LARGE)
+    docs, qs, idx, run = _bm25_run(spark, sf, K_LARGE, keep_text=True)
     return ev.evaluate(run, _text_qrels(spark, sf, docs, qs, idx), max_num=K_LARGE)
 
 
@@ -169,6 +169,31 @@ def l2_top10_grid(spark, sf):
     return _vec_run(spark, sf, K_SMALL, strategy="grid", min_blocks=2)
 
 
+def l2_top10_cells(spark, sf):
+    """I6 by cells with lower bounds: only cells that can hold an answer are searched."""
+    return _vec_run(spark, sf, K_SMALL, strategy="cells")
+
+
+def vector_store_top10(spark, sf):
+    """A stored vector table, filled by two appends (the second sent twice), searched in another handle."""
+    docs = T.doc_vectors(spark, sf)
+    path = _scratch(spark, "vector-store")
+    store = vector_store.create(docs, path)
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    store.append(docs.where(half == 0), 0)
+    store.append(docs.where(half == 1), 1)
+    store.append(docs.where(half == 1), 1)
+    again = vector_store.VectorStore(spark, path)
+    return again.search(T.query_vectors(spark, sf), K_SMALL, exclude_self=True)
+
+
+def qrels_single_words(spark, sf):
+    """C1 for passages without a key: the first word of every benchmark text, found verbatim in the documents."""
+    docs, qs = _text(spark, sf)
+    words = qs.select("query_id", F.regexp_extract("query", r"^[^\x20\x09-\x0D]+", 0).alias("query"))
+    return judge.containment_qrels(words, docs)
+
+
 def l2_curve(spark, sf):
     return _vec_curve(spark, sf, _vec_run(spark, sf, K_LARGE))
 
@@ -186,7 +211,7 @@ def l2_run_summary(spark, sf):
 # ---------------------------------------------------------------- text vectors (I3, I4) and hybrid
 
 def hash_embed_docs(spark, sf):
-    return encode.hash_embed_cells(spread(T.corpus(spark, sf)), "doc_id", "text")
+    return encode.hash_cells(lexical.build_index(T.corpus(spark, sf), materialize=False).postings)
 
 
 def hash_l2_top10(spark, sf):
@@ -199,9 +224,9 @@ def hash_l2_missing_docs(spark, sf):
     return ev.missing_documents(_hash_run(spark, sf, K_SMALL), _text_qrels(spark, sf, docs, qs))
 
 
-def _fused(spark, sf):
-    docs, qs, idx, lex = _bm25_run(spark, sf, K_LARGE)
-    vec = _hash_run(spark, sf, K_LARGE)
+def _fused(spark, sf, keep_text=False):
+    docs, qs, idx, lex = _bm25_run(spark, sf, K_LARGE, keep_text=keep_text)
+    vec = _hash_run(spark, sf, K_LARGE, idx=idx)
     return docs, qs, idx, lex, vec
 
 
@@ -216,15 +241,15 @@ def rrf_nlists(spark, sf):
 
 
 def rrf_three_lists(spark, sf):
-    """J3 over three runs: BM25, hash vectors, BM25 reranked by overlap."""
-    _, _, _, rr = _overlap_reranked(spark, sf)
-    _, _, _, lex, vec = _fused(spark, sf)
-    third = rr.select("query_id", "doc_id", F.col("new_rnk").alias("rnk"))
+    """J3 over three runs of one index: BM25, hash vectors, BM25 reranked by overlap."""
+    docs, qs, idx, lex, vec = _fused(spark, sf)
+    lex = materialize(lex, "run")
+    third = rank.rerank(lexical.overlap_scores(lex, qs, idx)).select("query_id", "doc_id", F.col("new_rnk").alias("rnk"))
     return rank.rrf_many({"bm25": lex, "hash_l2": vec, "bm25_overlap": third})
 
 
 def rrf_mean_curve(spark, sf):
-    docs, qs, idx, lex, vec = _fused(spark, sf)
+    docs, qs, idx, lex, vec = _fused(spark, sf, keep_text=True)
     fused = rank.rrf_two(lex, vec)
     qrels = _text_qrels(spark, sf, docs, qs, idx)
     return ev.mean_curve(ev.evaluate(fused, qrels, max_num=K_LARGE))
@@ -232,10 +257,10 @@ def rrf_mean_curve(spark, sf):
 
 # ---------------------------------------------------------------- rerank
 
-def _overlap_reranked(spark, sf, base="bm25"):
+def _overlap_reranked(spark, sf, base="bm25", keep_text=False):
     docs, qs = _text(spark, sf)
-    idx = lexical.build_index(docs)
-    run = lexical.bm25_search(qs, idx, k=K_LARGE) if base == "bm25" else _hash_run(spark, sf, K_LARGE)
+    idx = lexical.build_index(docs, keep_text=keep_text)
+    run = lexical.bm25_search(qs, idx, k=K_LARGE) if base == "bm25" else _hash_run(spark, sf, K_LARGE, idx=idx)
     # a run is small (queries x k) and is read twice by the scorer: write it once
     run = materialize(run.select("query_id", "doc_id", "score", "rnk"), "run")
     scored = lexical.overlap_scores(run, qs, idx)
@@ -247,7 +272,7 @@ def rerank_overlap(spark, sf):
 
 
 def rerank_overlap_mean_curve(spark, sf):
-    docs, qs, idx, out = _overlap_reranked(spark, sf)
+    docs, qs, idx, out = _overlap_reranked(spark, sf, keep_text=True)
     qrels = _text_qrels(spark, sf, docs, qs, idx)
     return ev.mean_curve(ev.evaluate(out, qrels, max_num=K_LARGE, rank_col="new_rnk"))
 
@@ -257,7 +282,7 @@ def hash_l2_rerank_overlap(spark, sf):
 
 
 def hash_l2_rerank_overlap_mean_curve(spark, sf):
-    docs, qs, idx, out = _overlap_reranked(spark, sf, base="hash_l2")
+    docs, qs, idx, out = _overlap_reranked(spark, sf, base="hash_l2", keep_text=True)
     qrels = _text_qrels(spark, sf, docs, qs, idx)
     return ev.mean_curve(ev.evaluate(out, qrels, max_num=K_LARGE, rank_col="new_rnk"))
 
@@ -270,10 +295,10 @@ def softmax_pair_probability(spark, sf):
 
 def method_comparison_at5(spark, sf):
     docs, qs = _text(spark, sf)
-    idx = lexical.build_index(docs)
+    idx = lexical.build_index(docs, keep_text=True)
     qrels = judge.containment_qrels(qs, docs, idx)
     lex = lexical.bm25_search(qs, idx, k=K_LARGE)
-    vec = materialize(_hash_run(spark, sf, K_LARGE), "run")
+    vec = materialize(_hash_run(spark, sf, K_LARGE, idx=idx), "run")
     lex = materialize(lex, "run")
     fused = rank.rrf_two(lex, vec)
     rr = rank.rerank(lexical.overlap_scores(lex, qs, idx))
@@ -422,7 +447,7 @@ def per_query_export(spark, sf):
 def _fitted_scorer(spark, sf):
     """(queries, index, judgements, model, featured validation pairs)."""
     docs, qs = _text(spark, sf)
-    idx = lexical.build_index(docs)
+    idx = lexical.build_index(docs, keep_text=True)
     qrels = judge.containment_qrels(qs, docs, idx)
     # Written tables cut the lineage: the pair table feeds several branches and
     # MLlib runs several actions over its input.
@@ -443,7 +468,7 @@ def _scored_pairs(spark, sf):
 def pair_features(spark, sf):
     """The scorer's features of all training pairs."""
     docs, qs = _text(spark, sf)
-    idx = lexical.build_index(docs)
+    idx = lexical.build_index(docs, keep_text=True)
     judged = materialize(judge.judged_table(qs, judge.containment_qrels(qs, docs, idx), docs), "judged")
     train, _ = training.split_by_query(judged, N_TEST_QUERIES)
     pairs = materialize(training.training_pairs(train, SEED).select("query_id", "doc_id", "label"), "pairs")
@@ -547,6 +572,9 @@ QUERIES = {
     "l2_distance_top10": l2_distance_top10,
     "cosine_top10": cosine_top10,
     "l2_top10_grid": l2_top10_grid,
+    "l2_top10_cells": l2_top10_cells,
+    "vector_store_top10": vector_store_top10,
+    "qrels_single_words": qrels_single_words,
     "l2_curve": l2_curve,
     "l2_mean_curve": l2_mean_curve,
     "l2_run_summary": l2_run_summary,

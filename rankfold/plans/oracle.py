@@ -310,6 +310,12 @@ FROM nrel n LEFT JOIN agg a USING (query_id)""",
     "l2_distance_top10": _with(vec_run("run", 10, "dist")) + "\nSELECT * FROM run",
     "cosine_top10": _with(vec_run("run", 10, "cosine")) + "\nSELECT * FROM run",
     "l2_top10_grid": _with(vec_run("run", 10)) + "\nSELECT * FROM run",
+    "l2_top10_cells": _with(vec_run("run", 10)) + "\nSELECT * FROM run",
+    "vector_store_top10": _with(vec_run("run", 10)) + "\nSELECT * FROM run",
+    "qrels_single_words": r"""
+SELECT DISTINCT b.item_id AS query_id, d.doc_id
+FROM (SELECT item_id, regexp_extract(text, '^[^\x20\x09-\x0D]+') AS word FROM benchmark) b JOIN documents d ON contains(d.text, b.word)
+WHERE length(b.word) > 0""",
     "l2_curve": _with(vec_run("run", 100), label_curve("cur", "run")) + "\nSELECT * FROM cur",
     "l2_mean_curve": _with(vec_run("run", 100), label_curve("cur", "run"), mean("m", "cur")) + "\nSELECT * FROM m",
     "l2_run_summary": _with(vec_run("run", 10), label_curve("cur", "run")) + """,

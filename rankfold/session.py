@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -49,6 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="rankfold-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
@@ -59,6 +64,17 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever file system it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def table_size(df: DataFrame) -> tuple[int, int]:
     """(rows, bytes) of ``df``: one aggregate of partial sums, no rows move.
 
@@ -101,6 +117,47 @@ def _split_bytes(spark: SparkSession) -> int:
     return conf.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
 
 
+class Owner:
+    """What a block of code has written (tables and folders), to be removed together."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.tables, self.paths = spark, [], []
+
+    def drop(self) -> None:
+        """Remove everything owned; what reads it fails afterwards."""
+        for t in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+        for p in self.paths:
+            remove_path(self.spark, p)
+        self.tables, self.paths = [], []
+
+
+_OWNERS: ContextVar[tuple[Owner, ...]] = ContextVar("rankfold_owners", default=())
+
+
+@contextmanager
+def owned(spark: SparkSession, drop: bool = True):
+    """Everything ``materialize`` and ``materialize_bucketed`` write inside belongs to the yielded owner.
+
+    With ``drop`` it is removed at the end of the block; otherwise when the owner's ``drop`` is called.
+    """
+    owner = Owner(spark)
+    token = _OWNERS.set((*_OWNERS.get(), owner))
+    try:
+        yield owner
+    finally:
+        _OWNERS.reset(token)
+        if drop:
+            owner.drop()
+
+
+def _record(path: str, table: str | None = None) -> None:
+    for owner in _OWNERS.get():
+        owner.paths.append(path)
+        if table:
+            owner.tables.append(table)
+
+
 def materialize(df: DataFrame, name: str, partition_cols: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
@@ -112,6 +169,7 @@ def materialize(df: DataFrame, name: str, partition_cols: list[str] | None = Non
 
     spark = df.sparkSession
     path = checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
+    _record(path)
     w = df.write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
@@ -146,8 +204,9 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> Da
 
     spark = df.sparkSession
     table = f"rankfold_{name}_{uuid.uuid4().hex[:12]}"
-    (df.write.bucketBy(buckets, key).option("path", checkpoint_path(spark, table))
-     .mode("overwrite").saveAsTable(table))
+    path = checkpoint_path(spark, table)
+    _record(path, table)
+    df.write.bucketBy(buckets, key).option("path", path).mode("overwrite").saveAsTable(table)
     return spark.table(table)
 
 
