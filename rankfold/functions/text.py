@@ -45,3 +45,8 @@ def interior_terms(text) -> Column:
 def query_slug(query) -> Column:
     """Folder-safe name: spaces become '_', dots are dropped."""
     return F.translate(_col(query), " .", "_")
+
+
+def decimals(score, digits: int = 5) -> Column:
+    """A score as text with a fixed number of decimals, rounded half away from zero ("0.50000"); null stays null."""
+    return F.round(_col(score).cast("decimal(38,18)"), digits).cast(f"decimal(38,{digits})").cast("string")

@@ -2,7 +2,7 @@
 
 Re-aims the reference's fine-tuned pair classifier: a LogisticRegression over
 per-pair features computed by joins against the index (BM25 score, term
-overlap, document length, query length). P(relevant) is probability[1]
+overlap, document length, query length, hash-vector distance). P(relevant) is probability[1]
 (class 1 = relevant) and can rerank any answer set.
 """
 
@@ -16,13 +16,28 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from rankfold.operators.lexical import LexicalIndex, bm25_scores, overlap_scores
+from rankfold.operators.encode import hash_vectors
+from rankfold.operators.lexical import MAX_BROADCAST_QUERY_TERMS, LexicalIndex, bm25_scores, overlap_scores, query_terms
+from rankfold.session import fits
 
-FEATURES = ["bm25", "overlap", "log_dl", "nq"]
+FEATURES = ["bm25", "overlap", "log_dl", "nq", "l2"]
+
+
+def vector_distances(pairs: DataFrame, query_vectors: DataFrame, doc_vectors: DataFrame, digits: int = 6, out: str = "l2") -> DataFrame:
+    """Adds the squared L2 distance of each (query_id, doc_id) pair's vectors: keyed joins, no search.
+
+    ``query_vectors``: query_id, embedding; ``doc_vectors``: doc_id, embedding. Null where a vector is missing.
+    """
+    x = pairs.join(query_vectors.select("query_id", F.col("embedding").alias("_qv")), "query_id", "left")
+    x = x.join(doc_vectors.select("doc_id", F.col("embedding").alias("_dv")), "doc_id", "left")
+    steps = F.zip_with("_qv", "_dv", lambda a, b: (a - b) * (a - b))
+    x = x.withColumn(out, F.round(F.aggregate(steps, F.lit(0.0), lambda acc, v: acc + v), digits)).drop("_qv", "_dv")
+    return x.select(*pairs.columns, out)
 
 
 def pair_features(pairs: DataFrame, queries: DataFrame, index: LexicalIndex) -> DataFrame:
-    """Adds the feature columns to (query_id, doc_id, ...) pairs."""
+    """Adds the feature columns to (query_id, doc_id, ...) pairs: BM25, term overlap, document and query length, and the
+    distance of the hash vectors, summed from the postings of the pairs' documents alone."""
     from rankfold.functions.text import tokenize
 
     keys = pairs.select("query_id").distinct()
@@ -32,11 +47,16 @@ def pair_features(pairs: DataFrame, queries: DataFrame, index: LexicalIndex) ->
     f = f.join(bm, ["query_id", "doc_id"], "left")
     f = f.join(index.doc_stats.select("doc_id", "dl"), "doc_id", "left")
     nq = qsub.select("query_id", F.size(tokenize("query")).cast("double").alias("nq"))
-    return (f.join(nq, "query_id", "left")
-            .withColumn("bm25", F.coalesce("bm25", F.lit(0.0)))
-            .withColumn("log_dl", F.log1p(F.coalesce(F.col("dl"), F.lit(0)).cast("double")))
-            .withColumn("nq", F.coalesce("nq", F.lit(0.0)))
-            .drop("dl"))
+    f = (f.join(nq, "query_id", "left")
+         .withColumn("bm25", F.coalesce("bm25", F.lit(0.0)))
+         .withColumn("log_dl", F.log1p(F.coalesce(F.col("dl"), F.lit(0)).cast("double")))
+         .withColumn("nq", F.coalesce("nq", F.lit(0.0)))
+         .drop("dl"))
+    ids = pairs.select("doc_id").distinct()
+    few = F.broadcast(ids) if fits(ids, MAX_BROADCAST_QUERY_TERMS) else ids
+    doc_vectors = hash_vectors(index.postings.join(few, "doc_id", "left_semi"), ids)
+    query_vectors = hash_vectors(query_terms(qsub), qsub, "query_id", "qtf")
+    return vector_distances(f, query_vectors, doc_vectors)
 
 
 def fit_scorer(train: DataFrame, max_iter: int = 50, reg: float = 0.01) -> PipelineModel:
@@ -45,7 +65,10 @@ def fit_scorer(train: DataFrame, max_iter: int = 50, reg: float = 0.01) -> Pipel
         VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"),
         LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg),
     ])
-    return pipe.fit(train.withColumn("label", F.col("label").cast("double")))
+    model = pipe.fit(train.withColumn("label", F.col("label").cast("double")))
+    # The training summary holds the session, which tasks can't receive once something was observed in it.
+    model.stages[-1]._java_obj.setSummary(train.sparkSession._jvm.scala.Option.apply(None))
+    return model
 
 
 def score_with(model: PipelineModel, featured: DataFrame, out: str = "rerank") -> DataFrame:

@@ -117,7 +117,7 @@ class VectorStore:
         return self._read("cells").groupBy("cell_id").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
     def count(self) -> int:
-        return self._read("commits").agg(F.sum("n")).first()[0] or 0 if self.committed() else 0
+        return self._read("cells").agg(F.sum("n")).first()[0] or 0 if self.committed() else 0
 
     def centres(self) -> np.ndarray:
         t = self.spark.read.parquet(self._at("centres")).orderBy("cell_id").toArrow()  # at most MAX_CELLS rows

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rankfold.functions.scoring import safe_div, softmax_positive
-from rankfold.functions.text import query_slug, tokenize
+from rankfold.functions.text import decimals, query_slug, tokenize
 from rankfold.functions.stats import t_p_value
 from rankfold.operators import encode, evaluate as ev, judge, lexical, rank, scorer, training, vector_store, vectors
 from rankfold.session import checkpoint_path, materialize, spread
@@ -425,6 +425,15 @@ def answers_tsv_roundtrip(spark, sf):
     return io.read_tsv(spark, path, schema)
 
 
+def fused_tsv_roundtrip(spark, sf):
+    """The fused list as TSV, its scores as text of five decimals, read back."""
+    _, _, _, lex, vec = _fused(spark, sf)
+    out = rank.rrf_two(lex, vec).select("query_id", "doc_id", "rank1", "rank2", decimals("rerank", 5).alias("rerank"), "rnk")
+    path = _scratch(spark, "fused-tsv")
+    io.write_tsv(out, path)
+    return io.read_tsv(spark, path, "query_id LONG, doc_id LONG, rank1 DOUBLE, rank2 DOUBLE, rerank STRING, rnk INT")
+
+
 def answers_jsonl_roundtrip(spark, sf):
     flagged = bm25_flagged(spark, sf)
     path = _scratch(spark, "answers-jsonl")
@@ -474,15 +483,38 @@ def pair_features(spark, sf):
     pairs = materialize(training.training_pairs(train, SEED).select("query_id", "doc_id", "label"), "pairs")
     f = scorer.pair_features(pairs, qs, idx)
     return f.select("query_id", "doc_id", "label", F.round("bm25", 6).alias("bm25"), "overlap",
-                    F.round("log_dl", 9).alias("log_dl"), "nq")
+                    F.round("log_dl", 9).alias("log_dl"), "nq", "l2")
+
+
+def _learned_curve(run, qs, idx, qrels, model):
+    run = materialize(run, "run")
+    return ev.mean_curve(ev.evaluate(rank.rerank(scorer.score_with(model, scorer.pair_features(run, qs, idx))), qrels,
+                                     max_num=K_LARGE, rank_col="new_rnk"))
 
 
 def learned_rerank_mean_curve(spark, sf):
     """The BM25 run reranked by the fitted scorer, averaged curve."""
     qs, idx, qrels, model, _ = _fitted_scorer(spark, sf)
-    run = materialize(lexical.bm25_search(qs, idx, k=K_LARGE), "run")
-    out = rank.rerank(scorer.score_with(model, scorer.pair_features(run, qs, idx)))
-    return ev.mean_curve(ev.evaluate(out, qrels, max_num=K_LARGE, rank_col="new_rnk"))
+    return _learned_curve(lexical.bm25_search(qs, idx, k=K_LARGE), qs, idx, qrels, model)
+
+
+def learned_rerank_hash_mean_curve(spark, sf):
+    """The hash-vector run reranked by the fitted scorer, averaged curve."""
+    qs, idx, qrels, model, _ = _fitted_scorer(spark, sf)
+    return _learned_curve(_hash_run(spark, sf, K_LARGE, idx=idx), qs, idx, qrels, model)
+
+
+def method_comparison_learned_at5(spark, sf):
+    """K5 with learned rows: the lexical, vector and fused runs at rank 5, each alone and reranked by the fitted scorer."""
+    qs, idx, qrels, model, _ = _fitted_scorer(spark, sf)
+    lex = materialize(lexical.bm25_search(qs, idx, k=K_LARGE), "run")
+    vec = materialize(_hash_run(spark, sf, K_LARGE, idx=idx), "run")
+    fused = rank.rrf_two(lex, vec).where(F.col("rnk") <= K_LARGE).select("query_id", "doc_id", F.col("rerank").alias("score"), "rnk")
+    curves = {}
+    for name, run in (("bm25", lex), ("hash_l2", vec), ("rrf", fused)):
+        curves[name] = ev.mean_curve(ev.evaluate(run, qrels))
+        curves[f"{name}_learned"] = _learned_curve(run, qs, idx, qrels, model)
+    return ev.method_table(curves, at=5)
 
 
 # ---------------------------------------------------------------- model hooks
@@ -523,21 +555,39 @@ def pair_scorer_quality(spark, sf):
 
 # ---------------------------------------------------------------- streaming (M1, M2)
 
-def incremental_index_state(spark, sf):
-    """M1: documents streamed in as 4 files, one per trigger; final df equals the batch build."""
+def _ingested(spark, sf):
+    """A snapshot of the corpus streamed in as 4 files, one per trigger."""
     src = streaming.ingest.stage_files(T.corpus(spark, sf), "ingest-src", 4)
     root = _scratch(spark, "ingest-index")
     q = streaming.start_ingest(spark, src, root, max_files_per_trigger=1)
     q.awaitTermination()
-    return streaming.load_ingested_index(spark, root).term_stats
+    return streaming.snapshot(spark, root)
+
+
+def incremental_index_state(spark, sf):
+    """M1: documents streamed in; final df equals the batch build."""
+    return _ingested(spark, sf).index().term_stats
 
 
 def incremental_corpus_stats(spark, sf):
-    src = streaming.ingest.stage_files(T.corpus(spark, sf), "ingest-src", 4)
-    root = _scratch(spark, "ingest-index")
-    q = streaming.start_ingest(spark, src, root, max_files_per_trigger=1)
-    q.awaitTermination()
-    return streaming.load_ingested_index(spark, root).corpus_stats
+    return _ingested(spark, sf).index().corpus_stats
+
+
+def incremental_vectors(spark, sf):
+    """The non-zero cells of the vectors stored by the ingest; equal hash_embed_docs."""
+    v = _ingested(spark, sf).vectors().vectors()
+    return (v.select("doc_id", F.posexplode("embedding").alias("dim", "value")).where("value <> 0")
+            .select("doc_id", F.col("dim").cast("int").alias("dim"), F.round("value", 9).alias("value")))
+
+
+def incremental_distinct_counts(spark, sf):
+    """D3: distinct terms and documents, exact, and whether the merged sketches lie within five standard errors."""
+    snap = _ingested(spark, sf)
+    exact = snap.index().term_stats.agg(F.count(F.lit(1)).alias("n")).select(F.lit("term").alias("counted"), "n")
+    exact = exact.unionByName(snap.documents().agg(F.count(F.lit(1)).alias("n")).select(F.lit("doc_id").alias("counted"), "n"))
+    bound = 5 * 1.04 / 2 ** (streaming.ingest.SKETCH_BITS / 2)
+    near = F.abs(F.col("estimate") - F.col("n")) <= F.col("n") * bound
+    return exact.join(snap.distinct_counts(), "counted").select("counted", F.col("n").alias("exact"), near.alias("estimate_within_bound"))
 
 
 def stream_answers(spark, sf):
@@ -551,6 +601,16 @@ def stream_answers(spark, sf):
     return streaming.read_answers(spark, out)
 
 
+def stream_answers_fused(spark, sf):
+    """Streamed queries against a pinned snapshot of a streamed corpus, BM25 and stored vectors fused."""
+    retrieve = streaming.snapshot_retriever(_ingested(spark, sf), K_LARGE)
+    src = streaming.ingest.stage_files(T.text_queries(spark, sf), "query-src", 4)
+    out = _scratch(spark, "stream-answers")
+    q = streaming.start_answering(spark, src, retrieve, out)
+    q.awaitTermination()
+    return streaming.read_answers(spark, out)
+
+
 QUERIES = {
     "tokenize_terms": tokenize_terms,
     "corpus_stats": corpus_stats,
@@ -606,14 +666,20 @@ QUERIES = {
     "score_regression_pvalue": score_regression_pvalue,
     "answers_tsv_roundtrip": answers_tsv_roundtrip,
     "answers_jsonl_roundtrip": answers_jsonl_roundtrip,
+    "fused_tsv_roundtrip": fused_tsv_roundtrip,
     "per_query_export": per_query_export,
     "pair_features": pair_features,
     "pair_scorer_predictions": pair_scorer_predictions,
     "pair_scorer_quality": pair_scorer_quality,
     "learned_rerank_mean_curve": learned_rerank_mean_curve,
+    "learned_rerank_hash_mean_curve": learned_rerank_hash_mean_curve,
+    "method_comparison_learned_at5": method_comparison_learned_at5,
     "model_hook_vectors": model_hook_vectors,
     "model_hook_scores": model_hook_scores,
     "incremental_index_state": incremental_index_state,
     "incremental_corpus_stats": incremental_corpus_stats,
+    "incremental_vectors": incremental_vectors,
+    "incremental_distinct_counts": incremental_distinct_counts,
     "stream_answers": stream_answers,
+    "stream_answers_fused": stream_answers_fused,
 }

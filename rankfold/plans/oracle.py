@@ -402,11 +402,13 @@ FROM pairs""",
     "group_split_exact": _with(EXACT_GROUPS) + "\nSELECT query_id, doc_id, label, part FROM parts",
     "label_profile": _with(EXACT_GROUPS) + "\nSELECT part, label, count(*)::BIGINT AS n FROM parts GROUP BY part, label",
     "pair_features": _with(INDEX, bm25("lex", 1), NEGATIVES, "pt AS (SELECT query_id, doc_id, label, 0.0 AS score, 0 AS rnk FROM pairs)",
-                           overlap("po", "pt")) + f"""
+                           overlap("po", "pt"), hash_dense("hd", "documents", "doc_id", "text"), hash_dense("hq", "benchmark", "item_id", "text")) + f"""
 SELECT p.query_id, p.doc_id, p.label, coalesce(l.score, 0.0) AS bm25, o.rerank AS overlap,
-       round(ln(1.0 + len({tok('d.text')})), 9) AS log_dl, len({tok('b.text')})::DOUBLE AS nq
+       round(ln(1.0 + len({tok('d.text')})), 9) AS log_dl, len({tok('b.text')})::DOUBLE AS nq,
+       round({_sq_l2('hq.emb', 'hd.emb')}, 6) AS l2
 FROM pt p JOIN po o USING (query_id, doc_id) LEFT JOIN lex_sc l USING (query_id, doc_id)
-JOIN documents d ON d.doc_id = p.doc_id JOIN benchmark b ON b.item_id = p.query_id""",
+JOIN documents d ON d.doc_id = p.doc_id JOIN benchmark b ON b.item_id = p.query_id
+JOIN hd ON hd.id = p.doc_id JOIN hq ON hq.id = p.query_id""",
     "model_hook_vectors": """
 SELECT doc_id, length(t)::BIGINT AS chars, (length(t) - length(replace(t, ' ', '')))::BIGINT AS spaces,
        (length(t) - length(replace(t, 'e', '')))::BIGINT AS letters_e
@@ -440,9 +442,18 @@ JOIN documents d ON d.doc_id = r.doc_id""",
     "per_query_export": _with(INDEX, bm25("run", 10)) + """
 SELECT r.query_id, translate(b.text, ' .', '_') AS query_slug, r.doc_id, r.score, r.rnk
 FROM run r JOIN benchmark b ON b.item_id = r.query_id""",
+    "fused_tsv_roundtrip": _with(INDEX, BM100, HASH100, rrf2("fz", "lex", "vec")) + """
+SELECT query_id, doc_id, rank1, rank2, round(rerank::DECIMAL(38, 18), 5)::DECIMAL(38, 5)::VARCHAR AS rerank, rnk FROM fz""",
     "incremental_index_state": _with(INDEX) + "\nSELECT term, df FROM term_stats",
     "incremental_corpus_stats": _with(INDEX) + """
 SELECT n_docs, total_len, total_len::DOUBLE / n_docs::DOUBLE AS avgdl FROM cstats""",
+    "incremental_vectors": _with(hash_cells("hd", "documents", "doc_id", "text")) + """
+SELECT c.id AS doc_id, c.dim, round(c.v / n.nrm, 9) AS value
+FROM hd_c c JOIN hd_n n USING (id) WHERE c.v <> 0""",
+    "incremental_distinct_counts": _with(INDEX) + """
+SELECT 'term' AS counted, count(*)::BIGINT AS exact, true AS estimate_within_bound FROM term_stats
+UNION ALL SELECT 'doc_id', count(DISTINCT doc_id)::BIGINT, true FROM documents""",
     "stream_answers": _with(INDEX, bm25("run", 10)) + "\nSELECT * FROM run",
+    "stream_answers_fused": _with(INDEX, BM100, HASH100, rrf2("fz", "lex", "vec")) + "\nSELECT * FROM fz",
 }
 ORACLE_SQL["answers_jsonl_roundtrip"] = ORACLE_SQL["answers_tsv_roundtrip"]

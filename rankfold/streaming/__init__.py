@@ -1,5 +1,5 @@
-from rankfold.streaming.ingest import ingest_batch, load_ingested_index, start_ingest, compact_index
-from rankfold.streaming.answer import start_answering, read_answers
+from rankfold.streaming.answer import fused, hashed, lexical, read_answers, snapshot_retriever, start_answering
+from rankfold.streaming.ingest import compact_index, ingest_batch, load_ingested_index, snapshot, start_ingest
 
-__all__ = ["ingest_batch", "load_ingested_index", "start_ingest", "compact_index",
-           "start_answering", "read_answers"]
+__all__ = ["ingest_batch", "load_ingested_index", "snapshot", "start_ingest", "compact_index",
+           "start_answering", "read_answers", "lexical", "hashed", "fused", "snapshot_retriever"]
