@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,17 +17,45 @@ from rankfold.session import ensure_checkpoint_dir, materialize, ship_package
 SPACES = " \t\n\x0b\x0c\r"
 
 
-#: Rows of an Arrow batch at most: a batch of whole texts is held by the JVM and by Python, several times over.
-BATCH_ROWS = 1_000
+#: Rows and bytes of an Arrow batch at most: a batch of whole texts is held by the JVM and by Python, several times over.
+BATCH_ROWS, BATCH_BYTES = 1_000, 2 * 1024 * 1024
 
 
 def prepare(spark: SparkSession) -> None:
-    """Set up what every operator needs: the shared folder, this package on the executors, and batches of bounded size."""
+    """Set up what every operator needs: the shared folder, and this package on the executors."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
-        spark.conf.set(rows, str(BATCH_ROWS))
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """While it lasts, Arrow batches of bounded rows and bytes; the session's own settings come back after it."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for k, most in limits.items():
+        spark.conf.set(k, str(most))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of bounded rows and, about, bytes (one row at least), whatever the session's batches are."""
+    step = max(1, min(BATCH_ROWS, BATCH_BYTES * batch.num_rows // max(1, batch.nbytes)))
+    for start in range(0, batch.num_rows, step):
+        yield batch.slice(start, step)
+
+
+def free_executors(spark: SparkSession) -> None:
+    """Have the executors collect garbage and give the heap they don't need back to the system.
+
+    An executor's heap grows to its limit over a long job, whatever lives in it, and what a stage needs beside the
+    heap (Python workers, Arrow buffers) comes on top. Called between stages, from which nothing lives on.
+    """
+    n = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')")).write.format("noop").mode("overwrite").save()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +65,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared folder and read back: cuts the lineage, computed once."""
-    return materialize(df, f"llm-{name}")
+    with small_batches(df.sparkSession):
+        return materialize(df, f"llm-{name}")
 
 
 def text_rows(df: DataFrame, *cols: str) -> DataFrame:
@@ -58,6 +88,13 @@ def shared_state(key: tuple, make: Callable):
     return _STATE[key]
 
 
+def forget() -> None:
+    """Let go of what another operator's tasks have left in this worker process."""
+    if _STATE:
+        _STATE.clear()
+        hand_back()
+
+
 def hand_back() -> None:
     """What a task has freed goes back to the system: a Python worker outlives its tasks, and allocators keep free memory."""
     gc.collect()
@@ -68,7 +105,7 @@ def hand_back() -> None:
 
 
 def map_batches(df: DataFrame, fn: Callable[..., dict], schema: str, init: Callable | None = None) -> DataFrame:
-    """``mapInArrow`` where ``fn(state, columns as lists by name)`` returns output columns by name."""
+    """``mapInArrow`` where ``fn(state, columns as lists by name)`` returns output columns by name, or yields them in parts."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -76,16 +113,15 @@ def map_batches(df: DataFrame, fn: Callable[..., dict], schema: str, init: Calla
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = init() if init else None
-        if _STATE and not any(state is x for x in _STATE.values()):
-            _STATE.clear()
-            hand_back()
+        if not any(state is x for x in _STATE.values()):
+            forget()
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            cols = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
-            out = fn(state, cols)
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
-        state = batch = cols = out = None
+            for part in slices(batch):
+                cols = {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
+                got = fn(state, cols)
+                for out in (got,) if isinstance(got, dict) else got:
+                    yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
+        state = batch = part = cols = got = out = None
         hand_back()
 
     return df.mapInArrow(run, schema)

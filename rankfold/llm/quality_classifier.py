@@ -24,9 +24,10 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rankfold.llm.common import counter_hash, hand_back, map_batches, text_rows, written
+from rankfold.llm.common import counter_hash, forget, map_batches, text_rows, written
 
 DIM = 64
 NONZERO = 6
@@ -200,8 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, text_c
     labelled = text_rows(labels, "doc_id", label_col).where(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull() & ~held_out())
     labelled = labelled.groupBy("doc_id").agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
     chosen = written(labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows), "quality-sample")
-    train = text_rows(docs, "doc_id", text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", text_col, "y")
-    train = written(train.dropDuplicates(["doc_id"]), "quality-train")
+    train = text_rows(docs, "doc_id", text_col).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min(text_col).alias(text_col))
+    train = written(train.select("doc_id", text_col, "y"), "quality-train")
     counts = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = counts.get(1, 0) / sum(counts.values()) if counts else 1.0
     if len(counts) < 2:
@@ -236,23 +237,16 @@ def op6(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
-    """The documents scoring ``cut`` or more, all columns; scored where they stand, without a join."""
+    """The documents scoring ``cut`` or more, all columns; only the texts go through Python, and nothing is joined."""
     vectors, network, share = fit(docs, labels)
     if network is None:
         return docs if share >= cut else docs.limit(0)
-    from pyspark.sql.pandas.types import to_arrow_schema
-    import pyarrow as pa
-
-    schema, place = docs.schema, docs.columns.index("text")
-    to_arrow_schema(schema)
-
-    def run(batches):
-        vectors.start()
-        for b in batches:
-            if b.num_rows:
-                good = network(np.array([vectors.pooled(t) for t in b.column(place).to_pylist()])) >= cut
-                yield b.filter(pa.array(good))
-        vectors.rows = b = None
-        hand_back()
-
-    return docs.mapInArrow(run, schema)
+
+    @F.arrow_udf("boolean")
+    def good(text: pa.Array) -> pa.Array:
+        if not hasattr(vectors, "rows"):
+            forget()
+            vectors.start()
+        return pa.array(network(np.array([vectors.pooled(t.as_py()) for t in text])) >= cut)
+
+    return docs.where(good("text"))

@@ -31,8 +31,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from rankfold.llm.common import hand_back, map_batches, written
+from rankfold.llm.common import forget, hand_back, map_batches, slices, written
 from rankfold.session import table_size
 
 TOP = 20
@@ -102,8 +104,9 @@ def document_counts(docs: DataFrame, vocabulary, id_col: str = "doc_id", text_co
     schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("terms", pa.list_(pa.int32())), ("tfs", pa.list_(pa.int32()))])
 
     def run(batches):
+        forget()
         number = {t.encode(): i for t, i in vocabulary.value.items()}
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             out: list[list] = [[], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1))):
                 words = terms(text)
@@ -125,7 +128,11 @@ def weights(df: dict[int, int], n_terms: int, n_docs: int) -> np.ndarray:
 
 def _search_block(counts: DataFrame, index, weight: np.ndarray, n_docs: int, total: int, k: int, kind: str) -> DataFrame:
     """item, doc, score: each task's heaps."""
+    ddl = f"item {kind}, doc long, score long"
+    target = to_arrow_schema(StructType.fromDDL(ddl))
+
     def run(batches):
+        forget()
         ix = index.value
         heaps: list[list[tuple[int, int]]] = [[] for _ in ix.items]
         floor = np.zeros(len(ix.items), np.int64)  # an item's worst score that still counts
@@ -151,11 +158,10 @@ def _search_block(counts: DataFrame, index, weight: np.ndarray, n_docs: int, tot
                         floor[i] = heap[0][0]
         out = [(ix.items[i], None if -d == _LAST else -d, s) for i, heap in enumerate(heaps) for s, d in heap]
         if out:
-            yield pa.RecordBatch.from_pydict({"item": [o[0] for o in out], "doc": pa.array([o[1] for o in out], pa.int64()),
-                                              "score": pa.array([o[2] for o in out], pa.int64())})
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), target)], schema=target)
         hand_back()
 
-    return counts.mapInArrow(run, f"item {kind}, doc long, score long")
+    return counts.mapInArrow(run, ddl)
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = TOP, item_col: str = "item_id", item_text: str = "text", id_col: str = "doc_id",

@@ -24,9 +24,10 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rankfold.llm.common import map_batches, text_rows, written
+from rankfold.llm.common import forget, hand_back, map_batches, slices, text_rows, written
 
 TRAIN_DOCS = 20_000
 MARK = "<SECRET>"
@@ -340,11 +341,17 @@ def redact(docs: DataFrame) -> DataFrame:
     """The documents with secrets replaced; n_chars (if there) follows the text. All columns are kept."""
     field = fit(docs)
 
-    @F.pandas_udf("string")
-    def clean(text):
-        return text.map(lambda t: redacted(t, field))
+    place = docs.columns.index("text")
 
-    out = docs.withColumn("text", clean("text"))
+    def run(batches):
+        forget()
+        for batch in (part for whole in batches for part in slices(whole)):
+            text = batch.column(place)
+            clean = pa.array((redacted(t.as_py(), field) for t in text), text.type, size=len(text))
+            yield batch.set_column(place, batch.schema.field(place), clean)
+        hand_back()
+
+    out = docs.mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out

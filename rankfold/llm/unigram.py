@@ -54,11 +54,8 @@ class Vocabulary:
         self.ids = {self.pieces[i]: i for i in self.normal}
         self.single = {p for p in self.ids if len(p) == 1}
         self.longest = max(map(len, self.ids))
-        self.automaton = ahocorasick.Automaton()
-        for p, i in self.ids.items():
-            self.automaton.add_word(p, (len(p), i, self.logp[i]))
-        self.automaton.make_automaton()
-        self.matcher = ahocorasick.Automaton()  # the same matches, giving ids alone
+        self.lengths = [len(p) for p in self.pieces]
+        self.matcher = ahocorasick.Automaton()
         for p, i in self.ids.items():
             self.matcher.add_word(p, i)
         self.matcher.make_automaton()
@@ -99,13 +96,13 @@ class Vocabulary:
         the others with that end: the tokenizer meets it last, too.
         """
         s = chunk.replace(" ", MARK)
-        at = 0
-        for end, (length, i, p) in self.automaton.iter(s):
+        at, lengths, logp = 0, self.lengths, self.logp
+        for end, i in self.matcher.iter(s):
             while at < end:
                 at += 1
                 if s[at - 1] not in self.single:
                     yield at, 1, -1, self.unknown
-            yield end + 1, length, i, p
+            yield end + 1, lengths[i], i, logp[i]
         while at < len(s):
             at += 1
             if s[at - 1] not in self.single:
