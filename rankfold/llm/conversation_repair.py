@@ -37,11 +37,12 @@ import hashlib
 from dataclasses import dataclass
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from rankfold.llm.common import hand_back, written
+from rankfold.llm.common import forget, hand_back, slices, written
 from rankfold.llm.oracle_parts import CRC_TABLE, crc32
 from rankfold.session import table_size
 
@@ -224,36 +225,39 @@ def plain(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", r
 
 
 def ordered(rows: DataFrame, part_rows: int = PART_ROWS, part_bytes: int = PART_BYTES) -> DataFrame:
-    """Distinct rows in order (part, seq), each with its symbols: ``symbol`` of the first copy, ``rest`` of the others."""
+    """Distinct rows in order (part, seq), with their copies, the symbol of a first occurrence and its fault, if any."""
     rows = rows.groupBy("conv", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
     rows = written(rows.withColumn("digest", F.sha2("text", 256)), "repair-rows")
     n, size = table_size(rows)
-    first = rows.groupBy("conv", "role", "digest").agg(F.min(F.struct(F.col("turn").isNotNull().alias("some"), "turn")).alias("least"))
-    first = first.select(F.col("conv").alias("c"), F.col("role").alias("r"), F.col("digest").alias("d"), F.col("least.turn").alias("t"))
-    on = (F.col("conv").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")) & (F.col("role") == F.col("r")) & (F.col("digest") == F.col("d")))
-    rows = rows.join(first, on, "left")
     end = F.right(F.rtrim("text", F.lit(_BLANKS)), F.lit(1))
-    kind = F.when(end == "", "blank").when(F.col("c").isNull() & F.col("d").isNull(), "duplicate").when(
-        ~end.isin(".", "!", "?"), "truncated").otherwise("")
+    kind = F.when(end == "", "blank").when(~end.isin(".", "!", "?"), "truncated").otherwise("")
     initial = F.left("role", F.lit(1))
-    symbol = 1 + 2 * F.when(initial == "s", 0).when(initial == "u", 1).when(initial == "a", 2).otherwise(3) + (F.col("kind") == "truncated").cast("int")
-    rows = rows.select("conv", "turn", "role", "text", "copies", kind.alias("kind"))
-    rows = rows.withColumn("symbol", F.when(F.col("kind").isin("blank", "duplicate"), MUST_DELETE).otherwise(symbol).cast("int"))
+    symbol = F.when(initial == "s", 1).when(initial == "u", 3).when(initial == "a", 5).otherwise(7) + (F.col("kind") == "truncated").cast("int")
+    rows = rows.withColumn("kind", kind).withColumn("symbol", F.when(F.col("kind") == "blank", MUST_DELETE).otherwise(symbol).cast("int"))
     parts = max(1, -(-n // part_rows), -(-size // part_bytes))
     rows = rows.repartitionByRange(parts, "conv", "turn", "role", "text").sortWithinPartitions("conv", "turn", "role", "text")
     return written(rows.select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("seq"), "*"), "repair-ordered")
 
 
+def with_duplicates(rows: DataFrame) -> DataFrame:
+    """What the automaton needs of ordered rows, without texts; those whose role and text were seen before are marked."""
+    small = rows.select("part", "seq", "conv", "role", "digest", "symbol", "copies", "kind")
+    first = small.groupBy("conv", "role", "digest").agg(F.min("seq").alias("first")).select("first")
+    again = F.col("first").isNull() & (F.col("kind") != "blank")
+    x = small.join(first, F.col("seq") == F.col("first"), "left")
+    return x.select("part", "seq", "conv", F.when(again, MUST_DELETE).otherwise(F.col("symbol")).alias("symbol"), "copies",
+                    F.when(again, "duplicate").otherwise(F.col("kind")).alias("kind"), F.left("role", F.lit(1)).alias("initial"))
+
+
 def _streamed(df: DataFrame, fn, schema: str, batch: int = 2_000) -> DataFrame:
     """``fn(rows)`` turns an iterator of tuples into tuples, row by row; results leave in batches."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
+        forget()
+
         def rows():
-            for b in batches:
+            for b in (part for whole in batches for part in slices(whole)):
                 yield from zip(*[b.column(i).to_pylist() for i in range(b.num_columns)])
 
         out = []
@@ -321,8 +325,7 @@ def fragments(rows: DataFrame, kind: str) -> DataFrame:
         return (now[0], now[1], s["frag"], [r[0] for r in s["runs"]], [r[1] for r in s["runs"]], [x for row in matrix for x in row],
                 s["blank"], s["duplicate"], s["truncated"], s["illegal"], s["head"], s["tail"])
 
-    small = rows.select("part", "seq", "conv", "symbol", "copies", "kind", F.left("role", F.lit(1)).alias("initial"))
-    small = small.repartition("part").sortWithinPartitions("part", "seq")
+    small = with_duplicates(rows).repartition("part").sortWithinPartitions("part", "seq")
     return written(_streamed(small, collapse, f"part int, conv {kind}, frag long, symbols array<int>, lengths array<long>, matrix array<long>, "
                              "blank long, duplicate long, truncated long, illegal long, head string, tail string"), "repair-fragments")
 
