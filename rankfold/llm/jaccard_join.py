@@ -349,14 +349,15 @@ def op4(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """One document of each component stays (the one of smallest doc_id); null doc_ids stay. All columns are kept."""
     x = written(jaccard_components(docs, percent, width), "near-duplicates")
-    gone = written(x.where("doc <> component").select(F.col("doc").alias("_llm_id")).distinct(), "near-duplicates-gone")
-    left = docs.join(ids_side(gone), F.col("doc_id") == F.col("_llm_id"), "left_anti")
-    twice = written(x.where("doc = component").groupBy("doc").count().where("count > 1").select(F.col("doc").alias("_llm_id")), "near-duplicates-twice")
+    gone = written(x.where("doc <> component").select(F.col("doc").alias("id")).distinct(), "near-duplicates-gone")
+    on = F.col("own.doc_id") == F.col("ids.id")  # by alias: the documents' columns may have any name
+    met = lambda d, ids, how: d.alias("own").join(ids.alias("ids"), on, how)
+    left = met(docs, ids_side(gone), "left_anti")
+    twice = written(x.where("doc = component").groupBy("doc").count().where("count > 1").select(F.col("doc").alias("id")), "near-duplicates-twice")
     if twice.isEmpty():
         return left
     twice = ids_side(twice)
-    once = left.join(twice, F.col("doc_id") == F.col("_llm_id"), "left_anti")
-    return once.unionByName(left.join(twice, F.col("doc_id") == F.col("_llm_id"), "left_semi").dropDuplicates(["doc_id"]))
+    return met(left, twice, "left_anti").unionByName(met(left, twice, "left_semi").dropDuplicates(["doc_id"]))
 
 
 ORACLE = r"""

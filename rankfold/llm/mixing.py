@@ -98,15 +98,19 @@ def budgets(stats: DataFrame, alpha: float, total_tokens: int | None = None) ->
 
 def realise(docs: DataFrame, plan: DataFrame, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source",
             text_col: str = "text") -> DataFrame:
-    """The documents as often as their source's budget says, with _mix_epoch, _mix_block, _mix_order, _mix_tokens."""
-    doc = F.col(f"`{id_col}`")
-    on = F.col(f"`{source_col}`").eqNullSafe(F.col("_mix_key"))
+    """The documents as often as their source's budget says: ``doc`` (a struct of all input columns), epoch, block, position, n_tokens.
+
+    Packed as one column, the documents' own columns can't clash with those of the plan.
+    """
+    x = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    doc, source, text = (F.col("doc")[c] for c in (id_col, source_col, text_col))
+    on = source.eqNullSafe(F.col("_mix_key"))
     keyed = plan.select(F.col("_mix_source").alias("_mix_key"), "_mix_full", "_mix_rest", "_mix_blocks")
-    tokens = F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORDS)), F.lit(0)).cast("long")
+    tokens = F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
     id_text = F.coalesce(doc.cast("string"), F.lit(""))
     # the part of an epoch: where the rest of the budget ends
-    part = docs.select(doc, F.col(f"`{source_col}`"), tokens.alias("_mix_tokens")).join(keyed, on).where("_mix_rest > 0")
-    part = part.select("_mix_key", "_mix_rest", "_mix_tokens", id_text.alias("_mix_id"), draw(seed, F.col("_mix_full"), doc).alias("_mix_order"),
+    part = x.join(keyed, on).where("_mix_rest > 0")
+    part = part.select("_mix_key", "_mix_rest", tokens.alias("_mix_tokens"), id_text.alias("_mix_id"), draw(seed, F.col("_mix_full"), doc).alias("_mix_order"),
                        "_mix_blocks").withColumn("_mix_block", F.col("_mix_order") % F.col("_mix_blocks"))
     part = written(part.drop("_mix_blocks"), "mix-part")
     # blocks of a source in order; a null source is a key like any other
@@ -121,30 +125,41 @@ def realise(docs: DataFrame, plan: DataFrame, seed: int = SEED, id_col: str = "d
     last = edge.groupBy("k").agg(F.max(F.struct("_mix_order", "_mix_id")).alias("cut_last"))
     cuts = cut.select("k", "cut_block").join(last.withColumnRenamed("k", "lk"), F.col("k").eqNullSafe(F.col("lk")), "left").drop("lk")
     cuts = written(keyed.join(cuts, F.col("_mix_key").eqNullSafe(F.col("k")), "left").drop("k"), "mix-cuts")  # a row a source
-    x = docs.join(cuts, on).withColumn("_mix_part", draw(seed, F.col("_mix_full"), doc))
+    x = x.join(cuts, on).withColumn("_mix_part", draw(seed, F.col("_mix_full"), doc))
     block = F.col("_mix_part") % F.col("_mix_blocks")
     under = F.struct(F.col("_mix_part").alias("_mix_order"), id_text.alias("_mix_id")) <= F.col("cut_last")
     extra = (F.col("_mix_rest") > 0) & (F.col("cut_block").isNull() | (block < F.col("cut_block"))
                                         | ((block == F.col("cut_block")) & F.coalesce(under, F.lit(False))))
     copies = F.col("_mix_full") + F.when(extra, 1).otherwise(0)
     x = x.withColumn("_mix_copies", copies).where("_mix_copies > 0")
-    x = x.withColumn("_mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_mix_copies") - 1)))
-    x = x.withColumn("_mix_order", draw(seed, F.col("_mix_epoch"), doc)).withColumn("_mix_block", F.col("_mix_order") % F.col("_mix_blocks"))
-    return x.withColumn("_mix_tokens", tokens).drop("_mix_key", "_mix_full", "_mix_rest", "_mix_blocks", "cut_block", "cut_last",
-                                                    "_mix_part", "_mix_copies")
+    x = x.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_mix_copies") - 1)))
+    x = x.withColumn("position", draw(seed, F.col("epoch"), doc))
+    return x.select("doc", "epoch", (F.col("position") % F.col("_mix_blocks")).alias("block"), "position", tokens.alias("n_tokens"))
 
 
-def mix(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, max_repeats: float = MAX_REPEATS, seed: int = SEED,
-        total_tokens: int | None = None) -> DataFrame:
-    """The mixed documents: all input columns and the four _mix_ columns."""
+def placed(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, max_repeats: float = MAX_REPEATS, seed: int = SEED,
+           total_tokens: int | None = None) -> DataFrame:
+    """The mixed documents as ``doc`` structs with their epoch, block, position and n_tokens."""
     stats = source_stats(docs)
     plan = budgets(stats, exponent(stats, target_entropy, max_repeats), total_tokens)
     return realise(docs, plan, seed)
 
 
+def mixed(docs: DataFrame, **kw) -> DataFrame:
+    """The mixed documents with the columns of the input, whatever their names."""
+    return placed(docs, **kw).select("doc.*")
+
+
+def mix(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, max_repeats: float = MAX_REPEATS, seed: int = SEED,
+        total_tokens: int | None = None) -> DataFrame:
+    """The mixed documents: all input columns and _mix_epoch, _mix_block, _mix_order, _mix_tokens (in place of input columns so named)."""
+    x = placed(docs, target_entropy, max_repeats, seed, total_tokens)
+    own = {"_mix_epoch": "epoch", "_mix_block": "block", "_mix_order": "position", "_mix_tokens": "n_tokens"}
+    return x.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c not in own], *[F.col(c).alias(n) for n, c in own.items()])
+
+
 def op10(docs: DataFrame) -> DataFrame:
-    return mix(docs).select("doc_id", "source", F.col("_mix_epoch").alias("epoch"), F.col("_mix_block").alias("block"),
-                            F.col("_mix_order").alias("position"), F.col("_mix_tokens").alias("n_tokens"))
+    return placed(docs).select("doc.doc_id", "doc.source", "epoch", "block", "position", "n_tokens")
 
 
 def _oracle() -> str:
