@@ -4,8 +4,11 @@ A page is cut into flat blocks at block-level tags. A block is described by its
 word count and link density, those of the blocks before and behind it, and
 what encloses it. Names such as "sidebar" describe what is inside an element,
 except on html, body, main, article and the wrapper of a page's text (see
-``settled``), whose names tell of the page's layout. A decision tree, grown here on the labelled blocks of
-``LABELLED``, says which blocks belong to the article.
+``settled``), whose names tell of the page's layout. A decision tree says which
+blocks belong to the article. It is grown here on a small labelled table: the pages
+of ``LABELLED``, and pages built by rule: some with an article element, whose blocks are
+of any size (``tagged_pages``, ``twins``), and some that have neither telling tags nor names, where
+word counts and link densities of a block and its neighbours have to decide (``plain_pages``).
 
 Null and empty pages give the empty text. Markup may be broken: an end tag
 without a start is ignored, an unclosed one ends with its parent, an unclosed
@@ -18,6 +21,7 @@ through.
 from __future__ import annotations
 
 import html
+import random
 import re
 
 from pyspark.sql import DataFrame
@@ -218,9 +222,86 @@ LABELLED = (
 )
 
 
+PLAIN_SEED, PLAIN_PAGES = 8, 240
+
+
+def plain_pages(seed: int = PLAIN_SEED, n: int = PLAIN_PAGES, named: bool = False) -> list[tuple]:
+    """Labelled pages of divs, paragraphs and headings, in the form of ``LABELLED``: masthead, menu, notice, article, links, imprint;
+    with ``named``, some have parts whose names tell beside the article."""
+    rng, pages = random.Random(seed), []
+    for _ in range(n):
+        page = []
+        if named and rng.random() < 0.5:
+            page.append((rng.choice(("div.cookie-notice", "div.comments p", "div.header h1")), rng.randrange(1, 320), 0, 0))
+        if not named or rng.random() < 0.3:
+            if rng.random() < 0.5:
+                page.append(("div", w := rng.randrange(1, 5), w if rng.random() < 0.5 else 0, 0))
+            for _ in range(rng.randrange(3, 9)):
+                page.append(("div", w := rng.randrange(1, 4), w, 0))
+        if not named and rng.random() < 0.4:  # a notice or advert under the menu
+            page.append(("div", w := rng.randrange(5, 16), rng.choice((0, 0, w // 2)), 0))
+            page.append(("div", w := rng.randrange(1, 4), w, 0))
+        if rng.random() < 0.8:
+            page.append(("div h1", rng.randrange(3, 13), 0, 1))
+        else:
+            page.append(("div p", rng.randrange(20, 90), 0, 1))
+        for k in range(rng.randrange(2, 7)):
+            page.append(("div p", w := rng.choice((rng.randrange(18, 130), rng.randrange(18, 130), rng.randrange(18, 1000))), rng.choice((0, 0, w // 12)), 1))
+            if rng.random() < 0.3:
+                page.append(("div h2", rng.randrange(2, 8), 0, 1))
+                page.append(("div p", w := rng.randrange(18, 130), 0, 1))
+            elif rng.random() < 0.3:  # short paragraphs between long ones
+                for _ in range(rng.randrange(1, 3)):
+                    page.append(("div p", rng.randrange(1, 11), 0, 1))
+                page.append(("div p", rng.randrange(18, 90), 0, 1))
+        if named:
+            if rng.random() < 0.4:
+                page.append(("div p", rng.randrange(1, 11), 0, 1))
+            if rng.random() < 0.7:
+                part = rng.choice(("div.comments p", "div.cookie-notice", "div.sidebar p"))
+                page += [(part, rng.randrange(1, 320), 0, 0) for _ in range(rng.randrange(1, 9))]
+            pages.append(tuple(page))
+            continue
+        for _ in range(rng.randrange(2, 7)):
+            page.append(("div", w := rng.randrange(2, 9), w, 0))
+        if rng.random() < 0.7:
+            page.append(("div", w := rng.randrange(4, 15), rng.choice((0, w // 3)), 0))
+        pages.append(tuple(page))
+    return pages
+
+
+def tagged_pages(seed: int = PLAIN_SEED, n: int = PLAIN_PAGES) -> list[tuple]:
+    """Labelled pages with an article of their own, whose blocks are of any size and density; so are those around it."""
+    rng, pages = random.Random(seed + 1), []
+    for _ in range(n):
+        def block(path, label):
+            words = rng.choice((rng.randrange(1, 9), rng.randrange(1, 130), rng.randrange(1, 130), rng.randrange(1, 10 ** rng.randrange(1, 7))))
+            page.append((path, words, rng.choice((0, 0, 0, words, words // 3)), label))
+
+        page: list[tuple] = []
+        root = rng.choice(("article", "article", "main", "article.post", "main div.content"))
+        for path in rng.sample(("nav li", "nav li", "header", "div.menu li", "div.ad", "div.cookie-notice", "form", "aside p"), rng.randrange(0, 6)):
+            block(path, 0)
+        if rng.random() < 0.8:
+            block(f"{root} h1", 1)
+        for _ in range(rng.randrange(1, 12)):
+            block(f"{root} {rng.choice(('p', 'p', 'p', 'li', 'h2', 'td', 'blockquote', 'div'))}", 1)
+            if rng.random() < 0.15:
+                block(f"{root} {rng.choice(('aside', 'div.ad', 'div.share', 'form', 'nav li', 'div.related li', 'div.comments p'))}", 0)
+        for path in rng.sample(("footer", "footer p", "div.comments p", "div.sidebar li", "div.newsletter", "aside", "nav li"), rng.randrange(0, 5)):
+            block(path, 0)
+        pages.append(tuple(page))
+    return pages
+
+
+def twins(pages: list[tuple]) -> list[tuple]:
+    """The same pages inside an article element: every block belongs to it, whatever its size."""
+    return [tuple(("article " + path.split()[-1], words, linked, 1) for path, words, linked, _ in page if "." not in path) for page in pages]
+
+
 def labelled_rows() -> tuple[list[tuple[float, ...]], list[int]]:
     rows, labels = [], []
-    for page in LABELLED:
+    for page in (*LABELLED, *plain_pages(), *twins(plain_pages()), *plain_pages(named=True), *twins(plain_pages(named=True)), *tagged_pages()):
         found, outer, known = [], [], {}
         for path, words, links, _ in page:
             flags, hint, steps = 0, -1, path.split()
@@ -241,7 +322,7 @@ def labelled_rows() -> tuple[list[tuple[float, ...]], list[int]]:
     return rows, labels
 
 
-def grow(rows: list[tuple[float, ...]], labels: list[int], depth: int = 6):
+def grow(rows: list[tuple[float, ...]], labels: list[int], depth: int = 24):
     """A decision tree by Gini impurity: a label, or (feature, threshold, tree if at most, tree if above)."""
     ones, n = sum(labels), len(labels)
     if depth == 0 or ones in (0, n):
