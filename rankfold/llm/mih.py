@@ -1,23 +1,25 @@
 """Approximate nearest neighbours by multi-index hashing.
 
 Codes: vectors are centred, rotated by principal axes and an iteratively
-learned rotation, and cut to signs. The rotation is fitted on a bounded sample
-(``SAMPLE`` vectors of smallest id hash); every vector is coded and indexed. A code
-is split into m substrings of about log2(n) bits, so a substring's value is held by
-about one code by chance. The index is one table, a row per code and substring,
-bucketed by (substring, value): it is built once and probed by equi-joins.
-
+learned rotation, and cut to signs (about ``BITS`` of them). The rotation is fitted
+on a bounded sample (``SAMPLE`` vectors of smallest id hash); every vector is
+coded and indexed. Vectors are dealt into blocks, queries too; a task indexes one
+block of vectors, searches it for one block of queries and returns k rows a query,
+which are merged.
+
+In a block of n codes a code is split into m substrings of about log2(n) bits, each
+with an index from value to codes, so a value is held by about one code by chance.
 Round w probes, in every substring, the values that differ from the query's in w
 bits. If two codes differ in at most r bits, then by the pigeonhole principle some
 substring differs in at most r // m bits, so after round w every code within
 m * (w + 1) - 1 bits has been met; most codes not much farther have, too. The
-``near`` nearest codes met (and all that tie with the last) are reranked by exact
-cosine in double precision. A query is done when codes as far away as its k best
-are would have been met with a probability of ``SURE``; the others go on to the
-next round, at last to all values.
+``near`` nearest codes met are reranked by exact cosine in double precision. A query
+is done with a block when codes as far away as the k best found there would have
+been met with a probability of ``SURE``. Fewer index entries are read than a scan of
+all codes would read (see the tests).
 
-Equal vectors are one entry with their k + 1 smallest ids (a query needs no more of
-them), so a vector held by a third of all rows is one entry.
+Equal vectors are one index entry with their k + 1 smallest ids (a query needs
+no more of them), so a vector held by a third of all rows is one entry.
 
 Null, zero and non-finite vectors, vectors with null components, and null ids
 take no part. Vectors of other lengths than the most frequent one take no part
@@ -28,20 +30,19 @@ all are returned. Empty tables give an empty result.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
-from rankfold.llm.common import forget, text_rows, written
-from rankfold.session import default_shards, materialize_bucketed, owned
+from rankfold.llm.common import text_rows, written
 
 BITS = 128  # about; substrings are of equal length
 SAMPLE = 10_000
 NEAR = 320
 SURE = 0.95
+BLOCK_VECTORS, BLOCK_QUERIES = 8192, 2048
 EVERY = 50
 K = 5
 
@@ -75,127 +76,118 @@ def learn(sample: np.ndarray, bits: int = BITS, rounds: int = 30, seed: int = 5)
     return mean, np.hstack(out)
 
 
-def encode(vectors: np.ndarray, model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Codes as bytes, one substring each."""
+def layout(n: int, bits: int = BITS) -> tuple[int, int]:
+    """(length of a substring, number of substrings) for a block of n codes."""
+    length = max(4, min(16, int(math.log2(max(n, 2)))))
+    return length, max(1, round(bits / length))
+
+
+def encode(vectors: np.ndarray, model: tuple[np.ndarray, np.ndarray], length: int = 8) -> np.ndarray:
+    """Codes as whole numbers, one a substring."""
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    return np.packbits((unit - model[0]) @ model[1] > 0, axis=1)
+    bits = (unit - model[0]) @ model[1] > 0
+    return (bits.reshape(len(bits), -1, length) @ (1 << np.arange(length))).astype(np.uint16)
+
+
+@lru_cache(maxsize=None)
+def reach(w: int, length: int, m: int, sure: float = SURE) -> int:
+    """The largest number of differing bits at which a code is met by round w with that probability."""
+    for h in range(length * m, -1, -1):
+        q = h / (length * m)
+        one = sum(math.comb(length, i) * q ** i * (1 - q) ** (length - i) for i in range(w + 1))
+        if 1 - (1 - one) ** m >= sure:
+            return h
+    return 0
 
 
-POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-#: Substring differences by weight: weight -> all bytes with so many bits.
-RINGS = [np.flatnonzero(POPCOUNT == w).astype(np.uint8) for w in range(9)]
+POPCOUNT = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
+
+
+@lru_cache(maxsize=None)
+def ring(length: int, w: int) -> np.ndarray:
+    """All substring differences of w bits."""
+    return np.flatnonzero(POPCOUNT[: 1 << length] == w)
 
 
 class MultiIndex:
-    """The index in memory, over codes of one block given as bytes: one list per substring of 8 bits."""
+    """One index per substring over a block of codes."""
 
-    def __init__(self, codes: np.ndarray):
-        self.codes = codes
+    def __init__(self, codes: np.ndarray, length: int = 8):
+        self.codes, self.length = codes, length
         self.order = np.argsort(codes, axis=0, kind="stable")
-        self.starts = [np.searchsorted(np.sort(codes[:, j]), np.arange(257)) for j in range(codes.shape[1])]
+        self.starts = [np.searchsorted(np.sort(codes[:, j]), np.arange((1 << length) + 1)) for j in range(codes.shape[1])]
+        self.read = 0  # index entries read so far
+
+    def probe(self, code: np.ndarray, w: int, distance: np.ndarray) -> np.ndarray:
+        """Fills in the distances (-1: not met) of the codes some substring of which differs in w bits; returns the new ones."""
+        found = []
+        for j in range(self.codes.shape[1]):
+            values = int(code[j]) ^ ring(self.length, w)
+            lo = self.starts[j][values]
+            size = self.starts[j][values + 1] - lo
+            stop = np.cumsum(size)
+            self.read += int(stop[-1])
+            rows = self.order[np.repeat(lo - stop + size, size) + np.arange(stop[-1]), j]
+            rows = rows[distance[rows] < 0]
+            distance[rows] = POPCOUNT[self.codes[rows] ^ code].sum(1, dtype=np.int16)
+            found.append(rows)
+        return np.concatenate(found)
 
     def within(self, code: np.ndarray, near: int) -> np.ndarray:
         """Rows of every code within the smallest probed radius that holds ``near`` codes (all rows, if fewer)."""
         n, m = self.codes.shape
-        distance = np.full(n, 255, np.uint8)
-        for w in range(9):  # after probing weight w in all substrings, radius m * (w + 1) - 1 is complete
-            for j in range(m):
-                values = (code[j] ^ RINGS[w]).astype(np.int64)
-                lo = self.starts[j][values]
-                size = self.starts[j][values + 1] - lo
-                stop = np.cumsum(size)
-                rows = self.order[np.repeat(lo - stop + size, size) + np.arange(stop[-1]), j]
-                rows = rows[distance[rows] == 255]
-                distance[rows] = POPCOUNT[self.codes[rows] ^ code].sum(1)
-            radius = min(m * (w + 1) - 1, 8 * m)
-            count = int((distance <= radius).sum())
-            if count >= min(near, n):
+        distance = np.full(n, -1, np.int16)
+        for w in range(self.length + 1):  # after weight w in all substrings, radius m * (w + 1) - 1 is complete
+            self.probe(code, w, distance)
+            radius = min(m * (w + 1) - 1, self.length * m)
+            inside = distance[(distance >= 0) & (distance <= radius)]
+            if len(inside) >= min(near, n):
                 # the smallest radius inside the complete one that holds enough
-                sizes = np.cumsum(np.bincount(distance[distance <= radius], minlength=radius + 1))
-                return np.flatnonzero(distance <= int(np.searchsorted(sizes, min(near, n))))
+                sizes = np.cumsum(np.bincount(inside, minlength=radius + 1))
+                return np.flatnonzero((distance >= 0) & (distance <= int(np.searchsorted(sizes, min(near, n)))))
         return np.arange(n)
 
+    def rounds(self, code: np.ndarray, near: int):
+        """After each round: (round, rows of the ``near`` nearest codes met and all that tie with the last, their distances)."""
+        distance = np.full(len(self.codes), -1, np.int16)
+        met = np.zeros(0, np.int64)
+        for w in range(self.length + 1):
+            met = np.concatenate([met, self.probe(code, w, distance)])
+            d = distance[met]
+            if len(met) > near:
+                cut = np.partition(d, near - 1)[near - 1]
+                yield w, met[d <= cut], d[d <= cut]
+            else:
+                yield w, met, d
+
+
+def search_block(ids: list[list[int]], vectors: np.ndarray, query_ids, queries: np.ndarray, model, k: int, near: int, length: int = 8,
+                 sure: float = SURE, index: MultiIndex | None = None):
+    """The k nearest of a block for each query: (query_id, vec_id, score), ties to the smaller id."""
+    index = index or MultiIndex(encode(vectors, model, length), length)
+    m = index.codes.shape[1]
+    norms = np.linalg.norm(vectors, axis=1)
+    out = []
+    for q, vec, code in zip(query_ids, queries, encode(queries, model, length)):
+        size = np.linalg.norm(vec)
+        for w, rows, distance in index.rounds(code, near):
+            last = w == length
+            if len(rows) <= k and not last:
+                continue
+            cosine = (vectors[rows] * vec).sum(1) / (norms[rows] * size)
+            # the query's own entry may be among them, so k + 1 entries, and all that tie with the last
+            edge = np.partition(cosine, -(k + 1))[-(k + 1)] if len(rows) > k + 1 else -np.inf
+            best = cosine >= edge
+            if last or distance[best].mean() <= reach(w, length, m, sure):
+                break
+        found = [(-float(c), i) for c, r in zip(cosine[best], rows[best]) for i in ids[r] if i != q]
+        out += [(q, i, -c) for c, i in sorted(found)[:k]]
+    return out
 
-def layout(n: int, bits: int = BITS) -> tuple[int, int]:
-    """(length of a substring, number of substrings) for n codes."""
-    length = max(4, min(20, int(math.log2(max(n, 2)))))
-    return length, max(1, min(round(bits / length), 192 // length))
-
-
-def reach(w: int, length: int, m: int, sure: float = SURE) -> int:
-    """The largest number of differing bits at which a code is met by round w with that probability."""
-    for h in range(length * m, -1, -1):
-        q = h / (length * m)
-        one = sum(math.comb(length, i) * q ** i * (1 - q) ** (length - i) for i in range(w + 1))
-        if 1 - (1 - one) ** m >= sure:
-            return h
-    return 0
-
-
-def coded(x: DataFrame, model: tuple[np.ndarray, np.ndarray], length: int, m: int) -> DataFrame:
-    """``x`` (with a column ``vec``) and each vector's substrings ``subs``, code words c0, c1, c2 and norm."""
-    ddl = x.schema
-    target = to_arrow_schema(StructType([*ddl.fields, *StructType.fromDDL("subs array<int>, c0 long, c1 long, c2 long, norm double").fields]))
-    place = x.columns.index("vec")
 
-    def run(batches):
-        forget()
-        for b in batches:
-            if not b.num_rows:
-                continue
-            v = b.column(place).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-            norm = np.linalg.norm(v, axis=1)
-            bits = (v / norm[:, None] - model[0]) @ model[1] > 0
-            subs = bits.reshape(len(v), m, length) @ (1 << np.arange(length))
-            wide = np.zeros((len(v), 192), bool)
-            wide[:, : bits.shape[1]] = bits
-            words = np.ascontiguousarray(np.packbits(wide, axis=1)).view(np.int64)
-            cols = [*b.columns, pa.array(list(subs.astype(np.int32))), *(pa.array(words[:, i]) for i in range(3)), pa.array(norm)]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, target)], schema=target)
-
-    return x.mapInArrow(run, StructType([*ddl.fields, *StructType.fromDDL("subs array<int>, c0 long, c1 long, c2 long, norm double").fields]))
-
-
-def slot(j, value):
-    """The key of a substring's value."""
-    return F.shiftleft(j.cast("long"), 20) + value
-
-
-def probe(asked: DataFrame, index: DataFrame, w: int, length: int) -> DataFrame:
-    """query_id, entry, dist, hits: the codes whose some substring differs from the query's in exactly w bits."""
-    masks = F.filter(F.sequence(F.lit(0), F.lit((1 << length) - 1)), lambda x: F.bit_count(x) == w)  # folded to a constant
-    x = asked.select("query_id", F.col("c0").alias("q0"), F.col("c1").alias("q1"), F.col("c2").alias("q2"), F.posexplode("subs").alias("j", "v"))
-    x = x.select("query_id", "q0", "q1", "q2", "j", F.explode(F.transform(masks, lambda mask: mask.bitwiseXOR(F.col("v")))).alias("value"))
-    x = x.select("query_id", "q0", "q1", "q2", slot(F.col("j"), F.col("value")).alias("slot")).join(index, "slot")
-    dist = sum(F.bit_count(F.col(f"q{i}").bitwiseXOR(F.col(f"c{i}"))) for i in range(3))
-    return x.groupBy("query_id", "entry").agg(F.min(dist).alias("dist"), F.count(F.lit(1)).alias("hits"))
-
-
-def nearest(met: DataFrame, near: int) -> DataFrame:
-    """Of the codes met, each query's ``near`` nearest and all that tie with the last."""
-    sizes = met.groupBy("query_id", "dist").agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.partitionBy("query_id").orderBy("dist").rowsBetween(Window.unboundedPreceding, -1))
-    cut = sizes.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < near).groupBy("query_id").agg(F.max("dist").alias("cut"))
-    return met.join(cut, "query_id").where("dist <= cut").drop("cut")
-
-
-def reranked(best: DataFrame, asked: DataFrame, entries: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score, dist: exact cosine of the candidates, k a query, ties to the smaller id."""
-    x = best.join(entries.select(F.col("first").alias("entry"), "ids", "vec", "norm"), "entry")
-    x = x.join(asked.select("query_id", F.col("vec").alias("q"), F.col("norm").alias("qn")), "query_id")
-    dot = F.aggregate(F.zip_with("vec", "q", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    x = x.select("query_id", "ids", "dist", (dot / (F.col("norm") * F.col("qn"))).alias("score"))
-    x = x.select("query_id", "dist", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return x.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "dist")
-
-
-def search(vectors: DataFrame, queries: DataFrame, k: int = K, near: int = NEAR, bits: int = BITS, sure: float = SURE,
-           log: list | None = None) -> DataFrame:
-    """query_id, rank, vec_id, score; both inputs are (id, vec) as ``usable`` gives them.
-
-    ``log`` receives (round, queries that took part, index rows met) of every round.
-    """
+def search(vectors: DataFrame, queries: DataFrame, k: int = K, near: int = NEAR, bits: int = BITS, block_vectors: int = BLOCK_VECTORS,
+           block_queries: int = BLOCK_QUERIES) -> DataFrame:
+    """query_id, rank, vec_id, score; both inputs are (id, vec) as ``usable`` gives them."""
     spark = vectors.sparkSession
     entries = written(vectors.distinct().groupBy("vec").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")), "mih-entries")
     # the k + 1 smallest ids of equal vectors
@@ -203,45 +195,32 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, near: int = NEAR,
     shared = shared.distinct().withColumn("r", F.row_number().over(Window.partitionBy("vec").orderBy("id"))).where(F.col("r") <= k + 1)
     shared = shared.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("more"))
     entries = written(entries.join(shared, "vec", "left").select("vec", F.coalesce("more", F.array("id")).alias("ids"), F.col("id").alias("first")), "mih-index")
-    asked = written(queries.distinct().select(F.col("id").alias("query_id"), "vec"), "mih-queries")
-    n = entries.count()
-    empty = "query_id long, rank int, vec_id long, score double"
-    if not n or asked.isEmpty():
-        return spark.createDataFrame([], empty)
+    asked = written(queries.distinct().select(F.col("id").alias("query_id"), F.col("vec").alias("query")), "mih-queries")
+    n, nq = entries.count(), asked.count()
+    if not n or not nq:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = entries.orderBy(F.xxhash64("first"), "first").limit(SAMPLE).select("vec").toArrow()
-    length, m = layout(n, bits)
+    length, m = layout(min(n, block_vectors), bits)
     model = learn(np.array(sample["vec"].to_pylist()), length * m)
-    entries = written(coded(entries, model, length, m), "mih-coded")
-    asked = written(coded(asked, model, length, m), "mih-asked")
-    done, best = [], None
-    with owned(spark) as owner:  # the index goes when the search is over
-        rows = entries.select(F.col("first").alias("entry"), "c0", "c1", "c2", F.posexplode("subs").alias("j", "v"))
-        index = materialize_bucketed(rows.select(slot(F.col("j"), F.col("v")).alias("slot"), "entry", "c0", "c1", "c2"), "mih_slots", "slot",
-                                     default_shards(spark, entries))
-        mine = list(owner.tables), list(owner.paths)
-        for w in range(length + 1):
-            met = written(probe(asked, index, w, length), "mih-met")
-            if log is not None:
-                log.append((w, asked.count(), met.agg(F.coalesce(F.sum("hits"), F.lit(0))).first()[0]))
-            met = met.drop("hits")
-            if best is not None:
-                met = met.unionByName(best.join(asked.select("query_id"), "query_id", "left_semi"))
-                met = met.groupBy("query_id", "entry").agg(F.min("dist").alias("dist"))
-            best = written(nearest(met, near), "mih-near")
-            found = written(reranked(best, asked, entries, k), "mih-found")
-            enough = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.avg("dist").alias("d"))
-            enough = written(enough.where((F.col("n") >= k) & (F.col("d") <= reach(w, length, m, sure))).select("query_id"), "mih-done")
-            last = w == length
-            done.append(found if last else found.join(enough, "query_id", "left_semi"))
-            asked = asked.join(enough, "query_id", "left_anti")
-            if last or asked.isEmpty():
-                break
-            asked = written(asked, "mih-asked")
-        owner.tables, owner.paths = mine
-    out = done[0]
-    for x in done[1:]:
-        out = out.unionByName(x)
-    return out.drop("dist")
+    nb, qb = -(-n // block_vectors), -(-nq // block_queries)
+    cells = lambda x, key, own, own_n, other, other_n: x.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_n)).cast("int")).withColumn(
+        other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))))
+    left = cells(entries, "first", "vb", nb, "qb", qb)
+    right = cells(asked, "query_id", "qb", qb, "vb", nb)
+    kind = vectors.schema["id"].dataType.simpleString()
+    target = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+    def cell(a: pa.Table, b: pa.Table) -> pa.Table:
+        rows = []
+        if a.num_rows and b.num_rows:
+            matrix = lambda t, c: t[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)
+            rows = search_block(a["ids"].to_pylist(), matrix(a, "vec"), b["query_id"].to_pylist(), matrix(b, "query"), model, k, near,
+                                length)
+        return pa.table([[r[i] for r in rows] for i in range(3)], schema=target)
+
+    found = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInArrow(cell, f"query_id {kind}, vec_id {kind}, score double")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op8(embeddings: DataFrame) -> DataFrame:

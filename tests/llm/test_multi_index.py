@@ -1,51 +1,39 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from rankfold.llm import mih
 
 
-def table(spark, x, name="id"):
-    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"{name} long, vec array<double>")
+def block(kind, n=8192, dim=64, seed=6):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    return x if kind == "isotropic" else rng.normal(size=(40, dim))[rng.integers(0, 40, n)] + 0.5 * x
 
 
-def parts(spark, x, length, m):
-    model = mih.learn(x, length * m)
-    rows = mih.coded(table(spark, x).select("id", "vec"), model, length, m)
-    index = rows.select(F.col("id").alias("entry"), "c0", "c1", "c2", F.posexplode("subs").alias("j", "v"))
-    return rows, index.select(mih.slot(F.col("j"), F.col("v")).alias("slot"), "entry", "c0", "c1", "c2")
-
-
-def test_code_words_hold_the_substrings(spark):
-    x = np.random.default_rng(1).normal(size=(50, 16))
-    length, m = 7, 5
-    rows, _ = parts(spark, x, length, m)
-    model = mih.learn(x, length * m)
+def test_substrings_are_the_bits():
+    x = block("isotropic", 50, 16)
+    model = mih.learn(x, 35)
     bits = (x / np.linalg.norm(x, axis=1, keepdims=True) - model[0]) @ model[1] > 0
-    for r in rows.collect():
-        assert r.subs == [int(sum(int(b) << i for i, b in enumerate(part))) for part in bits[r.id].reshape(m, length)]
-    d = {(a.id, b.id): sum(bin((getattr(a, c) ^ getattr(b, c)) & (2 ** 64 - 1)).count("1") for c in ("c0", "c1", "c2"))
-         for a in rows.collect() for b in rows.collect()}
-    assert all(n == int((bits[i] != bits[j]).sum()) for (i, j), n in d.items())
+    codes = mih.encode(x, model, 7)
+    for row, code in zip(bits, codes):
+        assert code.tolist() == [sum(int(b) << i for i, b in enumerate(part)) for part in row.reshape(5, 7)]
 
 
-def test_rounds_meet_every_code_within_the_radius(spark):
-    x = np.random.default_rng(2).normal(size=(300, 16))
-    length, m = 6, 4
-    rows, index = parts(spark, x, length, m)
-    model = mih.learn(x, length * m)
-    bits = (x / np.linalg.norm(x, axis=1, keepdims=True) - model[0]) @ model[1] > 0
-    asked = rows.where("id < 8").withColumnRenamed("id", "query_id")
-    met = {}
-    for w in range(length + 1):
-        got = mih.probe(asked, index, w, length).collect()
-        for r in got:
-            assert r.dist == int((bits[r.query_id] != bits[r.entry]).sum())
-            met.setdefault(r.query_id, set()).add(r.entry)
-        for q in range(8):
-            d = (bits != bits[q]).sum(1)
-            assert set(np.flatnonzero(d <= m * (w + 1) - 1).tolist()) <= met[q]
-    assert all(len(met[q]) == 300 for q in range(8))
+def test_rounds_meet_every_code_within_the_radius():
+    rng = np.random.default_rng(2)
+    length, m = 9, 4
+    codes = rng.integers(0, 1 << length, (700, m)).astype(np.uint16)
+    index = mih.MultiIndex(codes, length)
+    for q in range(5):
+        d = mih.POPCOUNT[codes ^ codes[q]].sum(1)
+        distance = np.full(700, -1, np.int16)
+        for w in range(length + 1):
+            index.probe(codes[q], w, distance)
+            met = distance >= 0
+            assert met[d <= m * (w + 1) - 1].all() and (distance[met] == d[met]).all()
+        assert met.all()
+        for w, rows, dist in index.rounds(codes[q], 40):
+            assert len(set(rows)) == len(rows) and (dist == d[rows]).all()
 
 
 def test_reach_is_a_probability():
@@ -57,29 +45,36 @@ def test_reach_is_a_probability():
         assert (flips.min(1) <= w).mean() >= 0.94
 
 
-def test_nearest_keeps_ties(spark):
-    met = spark.createDataFrame([(1, e, d) for e, d in enumerate([5, 3, 3, 9, 4, 3])] + [(2, 0, 7)], "query_id long, entry long, dist int")
-    assert sorted(tuple(r) for r in mih.nearest(met, 2).collect()) == [(1, 1, 3), (1, 2, 3), (1, 5, 3), (2, 0, 7)]
-    assert mih.nearest(met, 4).where("query_id = 1").count() == 4
+@pytest.mark.parametrize("kind, most", [("isotropic", 1.0), ("clustered", 0.3)])
+def test_recall_and_entries_read_in_a_full_block(kind, most):
+    x = block(kind, mih.BLOCK_VECTORS)
+    length, m = mih.layout(len(x))
+    model = mih.learn(x[::2], length * m)
+    index = mih.MultiIndex(mih.encode(x, model, length), length)
+    asked = np.arange(0, len(x), 100)
+    got = mih.search_block([[i] for i in range(len(x))], x, asked.tolist(), x[asked], model, 5, mih.NEAR, length, index=index)
+    u, by = x / np.linalg.norm(x, axis=1, keepdims=True), {}
+    for q, i, score in got:
+        assert abs(score - u[q] @ u[i]) < 1e-12
+        by.setdefault(q, set()).add(i)
+    hit = 0
+    for q in asked:
+        c = u @ u[q]
+        c[q] = -2
+        hit += len(by[q] & set(np.argsort(-c)[:5].tolist()))
+    assert hit / (5 * len(asked)) >= 0.9
+    assert index.read < most * len(asked) * len(x)  # a scan reads every code for every query
 
 
-@pytest.mark.parametrize("kind", ["isotropic", "clustered"])
-def test_recall_and_rows_probed(spark, kind):
-    rng, n = np.random.default_rng(6), 8192
-    x = rng.normal(size=(n, 64))
-    if kind == "clustered":
-        x = rng.normal(size=(40, 64))[rng.integers(0, 40, n)] + 0.5 * x
-    df = table(spark, x).repartition(8)
-    log = []
-    got = mih.search(df, df.where("id % 128 = 0"), log=log).collect()
-    u, by = x / np.linalg.norm(x, axis=1, keepdims=True), {}
-    for r in got:
-        assert abs(r.score - u[r.query_id] @ u[r.vec_id]) < 1e-12
+def test_several_full_blocks(spark):
+    n = 3 * mih.BLOCK_VECTORS
+    x = block("clustered", n, 16, 9)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>").repartition(8)
+    u, hit, by = x / np.linalg.norm(x, axis=1, keepdims=True), 0, {}
+    for r in mih.search(df, df.where("id % 400 = 0")).collect():
         by.setdefault(r.query_id, set()).add(r.vec_id)
-    hit = 0
     for q in by:
         c = u @ u[q]
         c[q] = -2
         hit += len(by[q] & set(np.argsort(-c)[:5].tolist()))
-    assert len(by) == 64 and hit / (5 * 64) >= 0.9
-    assert sum(met for *_, met in log) < 64 * n  # fewer index rows than a scan of all codes
+    assert len(by) == -(-n // 400) and hit / (5 * len(by)) >= 0.9
