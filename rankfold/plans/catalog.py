@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from rankfold.functions.scoring import safe_div, softmax_positive
 from rankfold.functions.text import decimals, query_slug, tokenize
 from rankfold.functions.stats import t_p_value
-from rankfold.operators import encode, evaluate as ev, judge, lexical, rank, scorer, training, vector_store, vectors
+from rankfold.operators import encode, evaluate as ev, impact, judge, lexical, rank, scorer, training, vector_store, vectors
 from rankfold.session import checkpoint_path, materialize, spread
 from rankfold.sources import io, tables as T
 from rankfold import streaming
@@ -108,6 +108,12 @@ def bm25_top100(spark, sf):
     return _bm25_run(spark, sf, K_LARGE)[3]
 
 
+def bm25_impacts_top10(spark, sf):
+    """I1/I2 over precomputed impacts: blocks and terms below the threshold are skipped; equals bm25_top10."""
+    docs, qs = _text(spark, sf)
+    return impact.impact_search(qs, impact.build_impacts(lexical.build_index(docs)), k=K_SMALL)
+
+
 # ---------------------------------------------------------------- judgements
 
 def qrels_contains(spark, sf):
@@ -620,6 +626,7 @@ QUERIES = {
     "bm25_top10": bm25_top10,
     "bm25_okapi_top10": bm25_okapi_top10,
     "bm25_top100": bm25_top100,
+    "bm25_impacts_top10": bm25_impacts_top10,
     "qrels_contains": qrels_contains,
     "judged_table": judged_table,
     "query_docs_count": query_docs_count,

@@ -284,6 +284,7 @@ SELECT n_docs, total_len, total_len::DOUBLE / n_docs::DOUBLE AS avgdl FROM cstat
     "term_doc_freq": _with(INDEX) + "\nSELECT term, df FROM term_stats",
     "postings_tf": _with(INDEX) + "\nSELECT term, doc_id, dl, tf FROM postings",
     "bm25_top10": _with(INDEX, bm25("run", 10)) + "\nSELECT * FROM run",
+    "bm25_impacts_top10": _with(INDEX, bm25("run", 10)) + "\nSELECT * FROM run",
     "bm25_okapi_top10": _with(INDEX, bm25("run", 10, okapi=True)) + "\nSELECT * FROM run",
     "bm25_top100": _with(INDEX, bm25("run", 100)) + "\nSELECT * FROM run",
     "qrels_contains": _with(QRELS) + "\nSELECT query_id, doc_id FROM qrels",
