@@ -9,7 +9,7 @@ counts as its UTF-8 bytes.
 
 Null and empty texts have no tokens and score 0. Texts of any length are cut
 into chunks exactly (see ``unigram``), so memory does not grow with a text.
-Repeated rows give repeated rows.
+Repeated rows give repeated rows; a null id is passed through.
 """
 
 from __future__ import annotations

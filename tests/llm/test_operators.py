@@ -263,6 +263,67 @@ def test_counts_equal_library(library, spark):
     assert token_counts.token_counts(docs.limit(0)).count() == 0
 
 
+def test_counts_equal_library_on_a_whole_table(library, spark):
+    _, lib = library
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(None, "null id"), (None, None)], docs.schema))
+    want = sorted(((r.doc_id, len(lib.encode(r.text or ""))) for r in docs.collect()), key=str)
+    assert sorted(((r.doc_id, r.n_tokens) for r in token_counts.token_counts(docs).collect()), key=str) == want
+
+
+def every_segmentation(vocab, text):
+    """Ids (unknown characters as one id -1) and weight of every segmentation of a text, by plain recursion."""
+    s = ("\u2581" + text.replace(" ", "\u2581")) if text else ""
+    if not s:
+        return [((), 0.0)]
+
+    def rest(at):
+        if at == len(s):
+            return [((), 0.0)]
+        out = []
+        for end in range(at + 1, len(s) + 1):
+            piece = s[at:end]
+            if piece in vocab.ids:
+                i = vocab.ids[piece]
+                out += [((i, *t), vocab.logp[i] + w) for t, w in rest(end)]
+        if s[at] not in vocab.single:
+            out += [((-1, *t), vocab.unknown + w) for t, w in rest(at + 1)]
+        return out
+
+    return rest(0)
+
+
+@pytest.mark.parametrize("text", ["the hat", "a cat", "in it"])
+def test_samples_against_every_segmentation(text):
+    vocab = unigram.vocabulary(unigram.default_path())
+    every = every_segmentation(vocab, text)
+    assert 5 < len(every) < 5000
+    total = np.logaddexp.reduce([w for _, w in every])
+    logp = {ids: w - total for ids, w in every}
+    k, n = 2, 4000
+    s = segment_sampling.Sampler(unigram.default_path(), k, 3, nodes=10_000)
+    seen = {}
+    for got in s.samples([segment_sampling.row_key(3, i) for i in range(n)], [text] * n):
+        assert len({tuple(p) for *_, p in got}) == k
+        values = [v for v, *_ in got]
+        assert values == sorted(values, reverse=True)
+        for _, lp, inclusion, pieces in got:
+            assert abs(lp - logp[tuple(pieces.tolist())]) < 1e-9 and 0 < inclusion <= 1
+        first = tuple(got[0][3].tolist())
+        seen[first] = seen.get(first, 0) + 1
+    for ids, lp in logp.items():  # the first sample is drawn by probability
+        p = np.exp(lp)
+        assert abs(seen.get(ids, 0) / n - p) < 5 * np.sqrt(p * (1 - p) / n) + 1e-3
+
+
+def test_few_segmentations_are_all_given():
+    vocab = unigram.vocabulary(unigram.default_path())
+    every = every_segmentation(vocab, "a")
+    s = segment_sampling.Sampler(unigram.default_path(), len(every) + 3, 1, nodes=10_000)
+    got, = s.samples([1], ["a"])
+    assert {tuple(p.tolist()) for *_, p in got} == {ids for ids, _ in every} and all(inc == 1.0 for _, _, inc, _ in got)
+
+
 def test_samples_are_distinct_and_decode(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate([*TEXTS, None])] + [(None, "null key")], "doc_id long, text string")
     enc = segment_sampling.sample_segmentations(docs, k=3, with_ids=True)
@@ -285,8 +346,36 @@ def test_sampling_without_replacement_is_unbiased():
     assert abs(np.mean(weights) - 1) < 0.03
 
 
+# ---------------------------------------------------------------- names
+
+def test_documents_may_have_columns_of_any_name(spark):
+    names = ("cut_block", "_mix_full", "_mix_key", "_llm_id", "epoch", "position", "doc", "k", "id", "n", "rep", "a", "b", "tok")
+    base = spark.createDataFrame([(i, " ".join(f"w{j % 50}" for j in range(i % 7 * 20, i % 7 * 20 + 60)), "s" if i % 3 else None) for i in range(60)],
+                                 "doc_id long, text string, source string")
+    docs = base.selectExpr("*", *[f"doc_id * 2 AS `{n}`" for n in names])
+    mixed = mixing.mixed(docs)
+    assert mixed.columns == docs.columns and all(r[n] == r.doc_id * 2 for r in mixed.collect() for n in names)
+    plain = sorted((r.doc_id, r.source or "") for r in mixing.mixed(base).collect())
+    assert sorted((r.doc_id, r.source or "") for r in mixed.collect()) == plain
+    assert mixing.op10(docs).count() == mixed.count()
+    single = jaccard_join.drop_near_duplicates(docs)
+    assert single.columns == docs.columns
+    assert sorted(r.doc_id for r in single.collect()) == sorted(r.doc_id for r in jaccard_join.drop_near_duplicates(base).collect())
+
+
 # ---------------------------------------------------------------- classifier
 
+def test_repeated_ids_train_the_same_model(spark):
+    rng = random.Random(2)
+    good = lambda: " ".join(rng.choice("the of and to in is was".split()) for _ in range(40))
+    rows = [(i, good() if i % 2 else good().upper(), i % 2) for i in range(200)] + [(i, f"another text {i}", i % 2) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    labels = docs.select("doc_id", "quality").distinct()
+    a, b = (sorted((r.doc_id, r.predicted, round(r.score, 4)) for r in quality_classifier.op6(d.select("doc_id", "text"), labels).collect())
+            for d in (docs, docs.orderBy(docs.text.desc()).repartition(3)))
+    assert a == b
+
+
 def test_classifier(spark, odd_docs, no_docs):
     rng = random.Random(5)
     good = lambda: " ".join(rng.choice("the of and to in is was on for with".split()) + rng.choice("abcd") for _ in range(60))
