@@ -1,24 +1,8 @@
-"""Table schemas of the engine and a plan-time column check."""
+"""A plan-time check of the columns an operator needs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, types as T
-
-CORPUS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
-QUERIES = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("query", T.StringType())])
-QRELS = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("doc_id", T.LongType())])
-VECTORS = T.StructType([T.StructField("doc_id", T.LongType()),
-                        T.StructField("embedding", T.ArrayType(T.FloatType()))])
-QUERY_VECTORS = T.StructType([T.StructField("query_id", T.LongType()),
-                              T.StructField("embedding", T.ArrayType(T.FloatType()))])
-POSTINGS = T.StructType([T.StructField("term", T.StringType()), T.StructField("doc_id", T.LongType()),
-                         T.StructField("dl", T.IntegerType()), T.StructField("tf", T.LongType())])
-RUN = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("doc_id", T.LongType()),
-                    T.StructField("score", T.DoubleType()), T.StructField("rnk", T.IntegerType())])
-CURVE = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("top_k", T.IntegerType()),
-                      T.StructField("tp", T.LongType()), T.StructField("n_rel", T.LongType()),
-                      T.StructField("precision", T.DoubleType()), T.StructField("recall", T.DoubleType()),
-                      T.StructField("f1", T.DoubleType())])
+from pyspark.sql import DataFrame
 
 
 def require_columns(df: DataFrame, *cols: str, what: str = "input") -> None:

@@ -40,7 +40,3 @@ def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").cast("long").alias("query_id"), "embedding", "label")
 
-
-def pair_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id LONG, quality INT, toxic INT."""
-    return load_table(spark, sf_dir, "labels")

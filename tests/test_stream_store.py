@@ -132,3 +132,11 @@ def test_null_ids_and_empty_batches(spark, tmp_path):
     assert rows(streaming.snapshot(spark, root).documents(), "doc_id") == [(1,), (2,)]
     with pytest.raises(ValueError, match="no batch"):
         streaming.snapshot(spark, str(tmp_path / "none")).documents()
+
+
+def test_compacted_index_equals_the_snapshot(spark, world, tmp_path):
+    _, root, _ = world
+    got, want = streaming.compact_index(spark, root, str(tmp_path / "flat")), streaming.snapshot(spark, root).index()
+    for table, cols in (("postings", ("term", "doc_id", "dl", "tf")), ("term_stats", ("term", "df")), ("doc_stats", ("doc_id", "dl", "n_terms"))):
+        assert rows(getattr(got, table), *cols) == rows(getattr(want, table), *cols)
+    assert got.corpus_stats.first() == want.corpus_stats.first()
