@@ -1,22 +1,26 @@
 """Exact k-nearest-neighbour search (squared L2, L2, cosine).
 
-No (query, document) pair is ever a row. A task computes distance blocks with
-one matrix product per Arrow batch, keeps the candidates within a proven
-tolerance of the k-th distance, recomputes those exactly in float64, and merges
-them into a running top-k, so it emits at most k rows per query whatever the
-batch size; a final per-query top-k (partial + final WindowGroupLimit) merges
-the tasks' lists.
+No (query, document) pair is ever a row. A task computes distances in tiles of
+``TILE_ROWS`` queries and ``TILE_COLS`` documents, keeps the candidates within a
+proven tolerance of the k-th distance found so far, recomputes those exactly in
+float64, and merges them into a running top-k, so it emits at most k rows per
+query whatever the batch size; a final per-query top-k (partial + final
+WindowGroupLimit) merges the tasks' lists. Documents are met by rising id: once
+a query has k answers, equal distances no longer make candidates, so groups of
+equal vectors cost no more than others. A vector with a component that is no
+finite number answers nothing.
 
 Strategies:
   * ``broadcast``: the query matrix (at most ``MAX_BROADCAST_BYTES``, checked also when the
     strategy is asked for) is shipped to every task, documents are scanned where they lie -
-    no shuffle of the corpus.
-  * ``cells``: beyond that bound the documents are laid out in cells and only the cells that
-    can hold an answer are searched (see ``vector_store``); a corpus that is searched more than
-    once is better kept as a store.
-  * ``grid``: queries and documents are hashed into blocks; each (query-block, doc-block)
-    cell is one cogroup task; memory per task is bounded by the block sizes, which are
+    no shuffle of the corpus. Taken for few queries, whose answers are few as well: each task
+    holds the k best of every query.
+  * ``grid``: beyond that, queries and documents are hashed into blocks; each (query-block,
+    doc-block) cell is one cogroup task; memory per task is bounded by the block sizes, which are
     parameters. Every pair of blocks meets, whatever the vectors.
+  * ``cells``: the documents are laid out in cells and only the cells that can hold an answer are
+    searched (see ``vector_store``): for clustered vectors; a corpus that is searched more than
+    once is better kept as a store.
 
 Ids may be whole numbers or strings.
 """
@@ -33,10 +37,12 @@ from rankfold.operators.rank import top_k
 from rankfold.schemas import require_columns
 from rankfold.session import table_size
 
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024  # query matrix shipped to every task (float64)
-GRID_QUERY_BLOCK = 4_096
+MAX_BROADCAST_BYTES = 16 * 1024 * 1024  # query matrix shipped to every task (float64)
+MAX_BROADCAST_ANSWERS = 500_000  # queries x k: the running lists of every task
+GRID_QUERY_BLOCK = 16_384
 GRID_DOC_BLOCK = 65_536
-_CHUNK_CELLS = 4_000_000  # distance-matrix cells computed at once in a task
+TILE_ROWS, TILE_COLS = 512, 4_096  # distances computed at once in a task
+_CANDIDATES = 50_000  # candidates recomputed exactly at once
 
 
 def answer_ddl(queries: DataFrame, docs: DataFrame) -> str:
@@ -81,48 +87,100 @@ def _arrow_matrix(col, dim: int | None) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, width)
 
 
-def _block_top_k(qids, Q, dids, D, k, metric, squared, exclude_self, digits):
-    """Top-k (by rounded score, then doc_id) of one query block x doc block."""
+def _largest(x: np.ndarray) -> float:
+    return float(x[np.isfinite(x)].max(initial=0))
+
+
+def _block_top_k(qids, Q, dids, D, k, metric, squared, exclude_self, digits, last=None, wants=None, part=None):
+    """Top-k (by rounded score, then doc_id) of one query block x doc block.
+
+    ``last``: per query a k-th score that is known (NaN: none); what is behind it is left out. ``wants`` and ``part``:
+    the query's wanted parts as bits of a whole number, and the part (0 to 62) each document lies in.
+    """
     out = []
     if len(dids) == 0 or len(qids) == 0:
         return out
-    dn = (D * D).sum(1)
-    qn = (Q * Q).sum(1)
-    if metric == "cosine":
-        dnorm = np.sqrt(dn)
-        qnorm = np.sqrt(qn)
-        Dh = np.divide(D, dnorm[:, None], out=np.zeros_like(D), where=dnorm[:, None] > 0)
-        Qh = np.divide(Q, qnorm[:, None], out=np.zeros_like(Q), where=qnorm[:, None] > 0)
-    step = max(1, _CHUNK_CELLS // max(1, len(dids)))
-    tol = 10.0 ** (-digits) + 1e-9 * (1.0 + float(qn.max(initial=0)) + float(dn.max(initial=0)))
-    for s in range(0, len(qids), step):
-        qc, Qc = qids[s:s + step], Q[s:s + step]
-        if metric == "cosine":
-            approx = -(Qh[s:s + step] @ Dh.T)
-        else:
-            approx = qn[s:s + step, None] + dn[None, :] - 2.0 * (Qc @ D.T)
-        if exclude_self:
-            approx[qc[:, None] == dids[None, :]] = np.inf
-        kk = min(k, len(dids))
-        kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
-        # finite: a block holding only excluded (self) pairs must yield nothing
-        qi, di = np.nonzero((approx <= (kth + tol)[:, None]) & np.isfinite(approx))
-        if len(qi) == 0:
-            continue
-        if metric == "cosine":
-            num = np.einsum("ij,ij->i", Qc[qi], D[di])
-            den = np.sqrt(qn[s:s + step][qi]) * np.sqrt(dn[di])
-            score = np.divide(num, den, out=np.zeros_like(num), where=den > 0)
-            key = -np.round(score, digits)
-        else:
-            diff = Qc[qi] - D[di]
-            score = (diff * diff).sum(1)
-            if not squared:
-                score = np.sqrt(score)
-            key = np.round(score, digits)
-        score = np.round(score, digits)
-        q_ids, d_ids = qc[qi], dids[di]
-        out.append(_first_k(q_ids, d_ids, score, key, k))
+    cosine, gap = metric == "cosine", 10.0 ** -digits
+    root = not cosine and not squared
+    order = np.argsort(_order(dids), kind="stable")
+    dids, D = dids[order], D[order]
+    dn, qn = (D * D).sum(1), (Q * Q).sum(1)
+    err = 1e-9 * (1.0 + _largest(qn) + _largest(dn))
+    rows = np.arange(len(qids))
+    if wants is not None:
+        part, rows = part[order], np.argsort(wants, kind="stable")
+
+    def within(key, more):
+        """The largest value of the matrix product that can lie ``more`` behind a key."""
+        if not root:
+            return key + more + err
+        return np.where(key + more > 0, np.square(key + more) + err, -np.inf)
+
+    def tile(Qt, Qn, Dt, Dn):
+        if cosine:
+            Qn, Dn = np.sqrt(Qn)[:, None], np.sqrt(Dn)[:, None]
+            Qt = np.divide(Qt, Qn, out=np.zeros_like(Qt), where=Qn != 0)
+            Dt = np.divide(Dt, Dn, out=np.zeros_like(Dt), where=Dn != 0)
+            return -(Qt @ Dt.T)
+        far = Qt @ Dt.T
+        far *= -2.0
+        far += Dn[None, :]
+        far += Qn[:, None]
+        return far
+
+    def exact(Qc, Dc, Qn, Dn):
+        if cosine:
+            num = np.einsum("ij,ij->i", Qc, Dc)
+            den = np.sqrt(Qn) * np.sqrt(Dn)
+            return np.round(np.divide(num, den, out=np.zeros_like(num), where=den != 0), digits)
+        score = np.square(Qc - Dc).sum(1)
+        return np.round(np.sqrt(score) if root else score, digits)
+
+    for s in range(0, len(rows), TILE_ROWS):
+        r = rows[s:s + TILE_ROWS]
+        Qt, Qn, q_ids = Q[r], qn[r], qids[r]
+        limit = np.full(len(r), np.inf)
+        if last is not None:
+            known = ~np.isnan(last[r])
+            limit[known] = within(-last[r][known] if cosine else last[r][known], gap)
+        cols, want = np.arange(len(dids)), None
+        if wants is not None:
+            want = (wants[r][:, None] >> np.arange(63)) & 1 == 1
+            cols = np.flatnonzero(want.any(0)[part])
+        best, fresh = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), 0
+        for t in range(0, len(cols), TILE_COLS):
+            c = cols[t:t + TILE_COLS]
+            far = tile(Qt, Qn, D[c], dn[c])
+            if exclude_self:
+                far[q_ids[:, None] == dids[c][None, :]] = np.inf
+            now, some = limit, np.flatnonzero(np.isposinf(limit))
+            if len(some):
+                near = far[some] if want is None else np.where(want[some][:, part[c]], far[some], np.inf)
+                kk = min(k, len(c))
+                kth = np.partition(near, kk - 1, axis=1)[:, kk - 1]
+                kth = np.where(np.isfinite(kth), np.maximum(kth + err, 0) if root else kth + err, np.inf)
+                now = limit.copy()
+                now[some] = within(np.sqrt(kth) if root else kth, gap)
+            qi, di = np.nonzero(far <= now[:, None])
+            keep = np.isfinite(far[qi, di])  # a tile holding only excluded (self) pairs must yield nothing
+            if want is not None:
+                keep &= want[qi, part[c[di]]]
+            qi, di = qi[keep], c[di[keep]]
+            for i in range(0, len(qi), _CANDIDATES):
+                q, d = qi[i:i + _CANDIDATES], di[i:i + _CANDIDATES]
+                score = exact(Qt[q], D[d], Qn[q], dn[d])
+                new = _first_k(q, d, score, -score if cosine else score, k)
+                best, fresh = tuple(np.concatenate(x) for x in zip(best, new)), fresh + len(new[0])
+                if 2 * fresh >= len(r) * k or len(some):
+                    best, fresh = merged([best], k, metric), 0
+            if not fresh and len(best[0]):
+                # documents come by rising id: behind k answers only a better key still counts
+                count = np.bincount(best[0], minlength=len(r))
+                full = count == k
+                key = best[2][np.cumsum(count)[full] - 1]
+                limit[full] = np.minimum(limit[full], within(-key if cosine else key, -gap / 2))
+        q, d, score = merged([best], k, metric)
+        out.append((q_ids[q], dids[d], score))
     return out
 
 
@@ -169,14 +227,20 @@ def _broadcast_search(queries, docs, k, metric, squared, exclude_self, digits, d
 
 
 def search_blocks(q: DataFrame, d: DataFrame, by: list[str], ddl: str, k, metric, squared, exclude_self, digits, dim=None) -> DataFrame:
-    """The top-k lists of every group of ``by``: one task searches a block of vectors for a block of queries."""
+    """The top-k lists of every group of ``by``: one task searches a block of vectors for a block of queries.
+
+    Columns ``last`` and ``wants`` of the queries and ``part`` of the documents are those of :func:`_block_top_k`.
+    """
     target = _arrow_schema(ddl)
 
+    def column(t: pa.Table, name: str):
+        return t[name].to_numpy() if name in t.column_names else None
+
     def cell(qt: pa.Table, dt: pa.Table) -> pa.Table:
         Q = _arrow_matrix(qt["embedding"].combine_chunks(), dim)
         D = _arrow_matrix(dt["embedding"].combine_chunks(), Q.shape[1] if len(Q) else dim)
         parts = _block_top_k(_ids(qt["query_id"].combine_chunks()), Q, _ids(dt["doc_id"].combine_chunks()), D,
-                             k, metric, squared, exclude_self, digits)
+                             k, metric, squared, exclude_self, digits, *(column(*x) for x in ((qt, "last"), (qt, "wants"), (dt, "part"))))
         return pa.Table.from_batches([answer_batch(parts, target)])
 
     return q.groupBy(*by).cogroup(d.groupBy(*by)).applyInArrow(cell, ddl)
@@ -185,12 +249,15 @@ def search_blocks(q: DataFrame, d: DataFrame, by: list[str], ddl: str, k, metric
 def _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim, query_block, doc_block, min_blocks):
     n_q = queries.count()
     n_d = docs.count()
-    nqb = max(min_blocks, -(-n_q // query_block))
     ndb = max(min_blocks, -(-n_d // doc_block))
+    # smaller blocks while they would leave cores idle
+    idle = min(-(-2 * docs.sparkSession.sparkContext.defaultParallelism // ndb), -(-n_q // TILE_ROWS))
+    nqb = max(min_blocks, -(-n_q // query_block), idle)
     q = (queries.select("query_id", "embedding",
-                        F.pmod(F.xxhash64("query_id"), F.lit(nqb)).alias("qb"))
+                        F.pmod(F.xxhash64("query_id", "embedding"), F.lit(nqb)).cast("int").alias("qb"))
          .withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(ndb - 1)))))
-    d = (docs.select("doc_id", "embedding", F.pmod(F.xxhash64("doc_id"), F.lit(ndb)).alias("db"))
+    # both sides' keys are of one type: others hash to other partitions
+    d = (docs.select("doc_id", "embedding", F.pmod(F.xxhash64("doc_id", "embedding"), F.lit(ndb)).cast("int").alias("db"))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1)))))
     return search_blocks(q, d, ["qb", "db"], answer_ddl(queries, docs), k, metric, squared, exclude_self, digits, dim)
 
@@ -213,10 +280,11 @@ def knn_search(queries: DataFrame, docs: DataFrame, k: int = 10, metric: str = "
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
     if strategy in ("auto", "broadcast"):
-        size = table_size(queries.select("query_id", "embedding"))[1]
+        n, size = table_size(queries.select("query_id", "embedding"))
         if strategy == "broadcast" and size > max_broadcast_bytes:
             raise ValueError(f"{size} bytes of query vectors are over the broadcast bound {max_broadcast_bytes}")
-        strategy = "broadcast" if size <= max_broadcast_bytes else "cells"
+        few = size <= max_broadcast_bytes and n * k <= MAX_BROADCAST_ANSWERS
+        strategy = "broadcast" if few or strategy == "broadcast" else "grid"
     if strategy == "broadcast":
         part = _broadcast_search(queries, docs, k, metric, squared, exclude_self, digits, dim)
     elif strategy == "grid":

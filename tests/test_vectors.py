@@ -105,3 +105,76 @@ def test_broadcast_is_checked_in_bytes(spark):
         vectors.knn_search(q, d, k=2, strategy="broadcast", max_broadcast_bytes=500)
     a = rows(vectors.knn_search(q, d, k=2, max_broadcast_bytes=500, min_blocks=2), "query_id", "doc_id", "rnk")
     assert a == rows(vectors.knn_search(q, d, k=2), "query_id", "doc_id", "rnk")
+
+
+def _brute(qids, Q, dids, D, k, metric, squared, exclude_self):
+    out = {}
+    with np.errstate(invalid="ignore", divide="ignore"):
+        for i, x in zip(qids, Q):
+            if metric == "cosine":
+                norm = np.sqrt((x * x).sum()) * np.sqrt((D * D).sum(1))
+                score = np.where(norm > 0, (D @ x) / norm, 0.0)
+                score = np.where(np.isfinite(D).all(1), score, np.nan)
+            else:
+                score = ((D - x) ** 2).sum(1)
+                score = score if squared else np.sqrt(score)
+            score = np.round(score, 6)
+            key = -score if metric == "cosine" else score
+            ranked = sorted((key[j], d, score[j]) for j, d in enumerate(dids) if np.isfinite(score[j]) and not (exclude_self and d == i))
+            out[int(i)] = [(int(d), float(s) + 0.0) for _, d, s in ranked[:k]]
+    return out
+
+
+@pytest.mark.parametrize("metric, squared", [("l2", True), ("l2", False), ("cosine", True)])
+def test_tiles_give_the_brute_force_answers(monkeypatch, metric, squared):
+    for name, size in (("TILE_ROWS", 3), ("TILE_COLS", 5), ("_CANDIDATES", 7)):
+        monkeypatch.setattr(vectors, name, size)
+    rng = np.random.default_rng(4)
+    for k in (1, 4, 90):
+        D = rng.integers(-2, 3, size=(60, 3)) * 0.7  # many equal vectors and distances, some zero vectors
+        D[7, 1] = np.nan
+        dids, qids = rng.permutation(60), np.arange(20)
+        Q = rng.integers(-2, 3, size=(20, 3)) * 0.7
+        for exclude in (False, True):
+            got = {int(i): [] for i in qids}
+            for q, d, s in vectors._block_top_k(qids, Q, dids, D, k, metric, squared, exclude, 6):
+                for a, b, c in zip(q, d, s):
+                    got[int(a)].append((int(b), float(c) + 0.0))
+            assert got == _brute(qids, Q, dids, D, k, metric, squared, exclude)
+
+
+def test_memory_of_a_block_is_bounded_on_equal_vectors():
+    import tracemalloc
+
+    D = np.tile(np.linspace(0.0, 1.0, 64), (2_000, 1))
+    ids = np.arange(2_000)
+    tracemalloc.start()
+    parts = vectors._block_top_k(ids, D, ids, D, 3, "l2", True, False, 6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(len(p[0]) for p in parts) == 6_000 and all((p[1] < 3).all() for p in parts)
+    assert peak < 250e6
+
+
+def test_many_answers_are_searched_in_blocks(spark, monkeypatch):
+    _, _, q, d = _random(spark, 30, 40, 8)
+    want = rows(vectors.knn_search(q, d, k=4, strategy="broadcast"), "query_id", "doc_id", "rnk", "score")
+    monkeypatch.setattr(vectors, "MAX_BROADCAST_ANSWERS", 100)
+    found = vectors.knn_search(q, d, k=4)
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found, "query_id", "doc_id", "rnk", "score") == want
+    assert "FlatMapCoGroupsInArrow" not in vectors.knn_search(q, d, k=3)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_blocks_meet_in_whatever_partitions(spark):
+    _, _, q, d = _random(spark, 40, 60, 8)
+    want = rows(vectors.knn_search(q, d, k=4, strategy="broadcast"), "query_id", "doc_id", "rnk", "score")
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    before = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        assert rows(vectors.knn_search(q, d, k=4, strategy="grid", query_block=10, doc_block=20), "query_id", "doc_id", "rnk", "score") == want
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
