@@ -17,9 +17,13 @@ max(0, |q - c| - hi, lo - |q - c|). The cells nearest to a query that hold k
 vectors are searched first; the k-th distance found there bounds the answer, and
 only cells whose lower bound doesn't exceed it are searched as well. The vectors
 of cells that no query needs are never read (the folders are pruned while the
-job runs). A task searches a block of one cell's vectors for a block of the
+job runs). A first task searches a block of one cell's vectors for a block of the
 queries that need the cell, so a cell holding a third of all vectors is many
-tasks, and queries travel to cells, not to every block.
+tasks, and queries travel to cells, not to every block. For the second part, in
+which a query may need every cell (vectors without clusters), neighbouring cells
+lie together in groups: a query travels once to each group that it needs, with
+its cells as bits of one number and its k-th distance so far, and a group's
+vectors travel once to each block of the queries that need it.
 
 ``metric='cosine'`` keeps the cells of the unit vectors; on these, squared
 distance is 2 - 2 cosine, so the same bounds hold. A zero vector has cosine 0;
@@ -39,7 +43,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from rankfold.operators.rank import top_k
-from rankfold.operators.vectors import GRID_DOC_BLOCK, GRID_QUERY_BLOCK, _arrow_matrix, answer_ddl, search_blocks
+from rankfold.operators.vectors import GRID_DOC_BLOCK, GRID_QUERY_BLOCK, TILE_ROWS, _arrow_matrix, answer_ddl, search_blocks
 from rankfold.schemas import require_columns
 from rankfold.session import checkpoint_path, materialize, path_exists
 
@@ -48,6 +52,8 @@ SAMPLE, MAX_CELLS = 20_000, 1_024
 ROUNDS = 8
 #: Rows of one cell's file; a larger cell is written by several tasks.
 FILE_ROWS = 200_000
+#: Cells of a group at most: one bit each of a whole number.
+GROUP_CELLS = 63
 
 
 def _unit(x: np.ndarray, metric: str) -> np.ndarray:
@@ -62,13 +68,18 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(sq, 0.0))
 
 
+def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest centre of every vector, some vectors at once."""
+    return np.concatenate([np.zeros(0, np.int64), *(_distances(x[i:i + TILE_ROWS], centres).argmin(1) for i in range(0, len(x), TILE_ROWS))])
+
+
 def fit_centres(sample: np.ndarray, n_cells: int, rounds: int = ROUNDS, seed: int = 11) -> np.ndarray:
     """k-means by Lloyd's rounds from distinct starting vectors; cells left empty are dropped."""
     distinct = np.unique(sample, axis=0)
     rng = np.random.default_rng(seed)
     centres = distinct[rng.choice(len(distinct), min(n_cells, len(distinct)), replace=False)]
     for _ in range(rounds):
-        own = _distances(sample, centres).argmin(1)
+        own = _nearest(sample, centres)
         n = np.bincount(own, minlength=len(centres))
         sums = np.zeros_like(centres)
         np.add.at(sums, own, sample)
@@ -76,6 +87,36 @@ def fit_centres(sample: np.ndarray, n_cells: int, rounds: int = ROUNDS, seed: in
     return centres
 
 
+def group_cells(centres: np.ndarray, n: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Group and place in it of every cell: neighbouring cells of at most ``rows`` rows together, one cell at least."""
+    group, place = np.zeros(len(n), np.int32), np.zeros(len(n), np.int32)
+    left, at, g, p, held = np.ones(len(n), bool), 0, -1, 0, 0
+    for i in range(len(n)):
+        if i == 0 or p + 1 == GROUP_CELLS or held + n[at] > rows:
+            g, p, held = g + 1, 0, 0
+        else:
+            p += 1
+        group[at], place[at], held, left[at] = g, p, held + n[at], False
+        if left.any():
+            away = _distances(centres[at:at + 1], centres)[0]
+            at = int(np.where(left, away, np.inf).argmin())
+    return group, place
+
+
+def _cells_of(x: np.ndarray, table: tuple, metric: str, home: bool, need: int, reach: np.ndarray | None):
+    """(vectors x cells) booleans: the nearest cells that hold ``need`` vectors at home, else all others within ``reach``; the nearest cell."""
+    centres, ids, n, lo, hi = table
+    away = _distances(_unit(x, metric), centres[ids])
+    order = np.argsort(away, axis=1, kind="stable")
+    before = np.cumsum(n[order], axis=1) - n[order]
+    near = np.zeros(away.shape, bool)
+    np.put_along_axis(near, order, before < need, axis=1)
+    if not home:
+        low = np.maximum(0.0, np.maximum(away - hi, lo - away))
+        near = ~near & (low <= reach[:, None] + 1e-7 * (1.0 + away))
+    return near, order[:, 0]
+
+
 @dataclass(frozen=True)
 class VectorStore:
     """A store at ``path``. ``batches``: the visible batches, by default those committed here."""
@@ -162,7 +203,7 @@ class VectorStore:
                 if not b.num_rows:
                     continue
                 v = _unit(_arrow_matrix(b.column(1), c.shape[1]), metric)
-                own = _distances(v, c).argmin(1)
+                own = _nearest(v, c)
                 away = np.sqrt(((v - c[own]) ** 2).sum(1))
                 cols = [b.column(0), b.column(1), pa.array(own, pa.int32()), pa.array(away)]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(cols, target)], schema=target)
@@ -196,22 +237,15 @@ class VectorStore:
         target = to_arrow_schema(StructType.fromDDL(ddl))
 
         def run(batches):
-            centres, ids, n, lo, hi = shared.value
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                away = _distances(_unit(_arrow_matrix(b.column(1), centres.shape[1]), metric), centres[ids])
-                low = np.maximum(0.0, np.maximum(away - hi, lo - away))
-                order = np.argsort(away, axis=1, kind="stable")
-                before = np.cumsum(n[order], axis=1) - n[order]
-                near = np.zeros(low.shape, bool)  # the nearest cells that hold enough vectors
-                np.put_along_axis(near, order, before < need, axis=1)
-                if not home:
-                    reach = b.column(2).to_numpy(zero_copy_only=False)
-                    near = ~near & (low <= reach[:, None] + 1e-7 * (1.0 + away))
-                row, cell = np.nonzero(near)
-                cols = [b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(ids[cell], pa.int32())]
-                yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(cols, target)], schema=target)
+            centres, ids = shared.value[:2]
+            for whole in batches:
+                for start in range(0, whole.num_rows, TILE_ROWS):  # all cells of few queries at once
+                    b = whole.slice(start, TILE_ROWS)
+                    reach = None if home else b.column(2).to_numpy(zero_copy_only=False)
+                    near, _ = _cells_of(_arrow_matrix(b.column(1), centres.shape[1]), shared.value, metric, home, need, reach)
+                    row, cell = np.nonzero(near)
+                    cols = [b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(ids[cell], pa.int32())]
+                    yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(cols, target)], schema=target)
 
         cols = ["query_id", "embedding", *([] if home else ["reach"])]
         return materialize(queries.select(*cols).mapInArrow(run, ddl), "store-wanted")
@@ -233,6 +267,57 @@ class VectorStore:
         d = d.select("cell_id", F.col("qb").cast("long").alias("qb"), "db", "doc_id", "embedding")
         return search_blocks(q, d, ["cell_id", "qb", "db"], ddl, k, metric, squared, exclude_self, digits)
 
+    def _asked(self, queries: DataFrame, cells: np.ndarray, table: tuple, groups: tuple, need: int) -> DataFrame:
+        """query_id, embedding, last, home, grp, wants: a row for each group that holds cells within a query's ``reach``.
+
+        ``wants`` has the bits of these cells, without those searched at home; ``home`` is the nearest cell's group.
+        """
+        shared, metric = self.spark.sparkContext.broadcast((cells, *table)), self.metric
+        kinds = [queries.schema[c].dataType.simpleString() for c in ("query_id", "embedding")]
+        ddl = f"query_id {kinds[0]}, embedding {kinds[1]}, last double, home int, grp int, wants long"
+        target = to_arrow_schema(StructType.fromDDL(ddl))
+        group, place = groups
+        bits = np.left_shift(np.int64(1), place.astype(np.int64))
+
+        def run(batches):
+            centres = shared.value[0]
+            for whole in batches:
+                for start in range(0, whole.num_rows, TILE_ROWS):
+                    b = whole.slice(start, TILE_ROWS)
+                    reach = b.column(2).to_numpy(zero_copy_only=False)
+                    near, first = _cells_of(_arrow_matrix(b.column(1), centres.shape[1]), shared.value, metric, False, need, reach)
+                    for g in range(int(group.max()) + 1):
+                        wants = near[:, group == g] @ bits[group == g]
+                        row = pa.array(np.flatnonzero(wants))
+                        some = b.take(row) if len(row) else b.slice(0, 0)
+                        cols = [some.column(0), some.column(1), some.column(3), pa.array(group[first[row]]),
+                                pa.array(np.full(len(row), g, np.int32)), pa.array(wants[row])]
+                        yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(cols, target)], schema=target)
+
+        return materialize(queries.select("query_id", "embedding", "reach", "last").mapInArrow(run, ddl), "store-asked")
+
+    def _search_groups(self, queries: DataFrame, cells: np.ndarray, table: tuple, need: int, ddl: str, k, metric, squared, exclude_self,
+                       digits, query_block: int, doc_block: int) -> DataFrame:
+        """The top-k of the cells within each query's ``reach`` that were not searched at home."""
+        ids, n = table[:2]
+        groups = group, place = group_cells(cells[ids], n, doc_block)
+        asked = self._asked(queries, cells, table, groups, need)
+        pairs = materialize(asked.groupBy("home", "grp").agg(  # a row a pair of groups
+            F.ceil(F.count(F.lit(1)) / query_block).cast("int").alias("query_blocks"), F.expr("bit_or(wants)").alias("any")), "store-pairs")
+        rows = np.bincount(group, n).astype(np.int64)
+        places = self.spark.createDataFrame(
+            [(int(i), int(g), int(p), int(-(-rows[g] // doc_block))) for i, g, p in zip(ids, group, place)], "cell_id int, grp int, part int, doc_blocks int")
+        q = asked.join(F.broadcast(pairs.drop("any")), ["home", "grp"]).join(F.broadcast(places.select("grp", "doc_blocks").distinct()), "grp")
+        q = q.withColumn("qb", F.pmod(F.xxhash64("query_id", "embedding"), F.col("query_blocks")).cast("int"))
+        q = q.withColumn("db", F.explode(F.sequence(F.lit(0), F.col("doc_blocks") - 1)))
+        wanted = materialize(pairs.join(places, "grp").where(F.expr("shiftright(any, part) & 1 = 1")).drop("any"), "store-needed")
+        d = self.vectors().join(F.broadcast(wanted.where("query_blocks > 0")), "cell_id")
+        d = d.withColumn("db", F.pmod(F.xxhash64("doc_id"), F.col("doc_blocks")).cast("int"))
+        d = d.withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
+        by = ["grp", "home", "qb", "db"]
+        return search_blocks(q.select(*by, "query_id", "embedding", "last", "wants"), d.select(*by, "doc_id", "embedding", "part"), by, ddl,
+                             k, metric, squared, exclude_self, digits)
+
     def search(self, queries: DataFrame, k: int = 10, squared: bool = True, exclude_self: bool = False, digits: int = 6,
                query_block: int = GRID_QUERY_BLOCK, doc_block: int = GRID_DOC_BLOCK) -> DataFrame:
         """Exact top-k per query: query_id, doc_id, score, rnk; the same answers as ``vectors.knn_search``."""
@@ -255,9 +340,9 @@ class VectorStore:
         else:
             reach = F.sqrt(F.col("last") + step) if squared else F.col("last") + step
         reach = F.when(F.col("found") >= k, reach).otherwise(F.lit(float("inf")))
-        asked = queries.join(last.select("query_id", reach.alias("reach")), "query_id", "left").fillna(float("inf"), subset=["reach"])
-        rest = store._wanted(asked, centres, table, False, enough)
-        more = store._search_cells(rest, store.needed(rest, query_block, doc_block), *args)
+        last = last.select("query_id", reach.alias("reach"), F.when(F.col("found") >= k, F.col("last")).alias("last"))
+        asked = queries.join(last, "query_id", "left").fillna(float("inf"), subset=["reach"])
+        more = store._search_groups(asked, centres, table, enough, *args, query_block, doc_block)
         return top_k(first.unionByName(more), k, descending=metric == "cosine")
 
 

@@ -122,3 +122,46 @@ def test_empty_store(spark):
         vector_store.create(none)
     q = _table(spark, [1], np.ones((1, 2), np.float32), "query_id")
     assert vectors.knn_search(q, none, 3, max_broadcast_bytes=1).count() == 0
+
+
+def test_queries_travel_once_to_a_group_of_cells(spark):
+    x = np.random.default_rng(3).normal(size=(300, 16)).astype(np.float32)  # no clusters: every query needs every cell
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    d, q = _table(spark, list(range(300)), x, "doc_id"), _table(spark, list(range(300)), x, "query_id")
+    store = vector_store.create(d, n_cells=100)
+    store.append(d, 0)
+    cells = store.cells().orderBy("cell_id").toArrow()
+    table = tuple(cells.column(c).to_numpy() for c in ("cell_id", "n", "lo", "hi"))
+    groups = vector_store.group_cells(store.centres()[table[0]], table[1], 1_000)
+    assert groups[0].max() == 1 and groups[1].max() < vector_store.GROUP_CELLS
+    assert np.bincount(groups[0]).sum() == len(table[0]) > 63 and len(set(zip(*groups))) == len(table[0])
+    far = q.withColumn("reach", F.lit(float("inf"))).withColumn("last", F.lit(None).cast("double"))
+    assert store._asked(far, store.centres(), table, groups, 2).count() == 600
+    want = _answers(vectors.knn_search(q, d, 6, exclude_self=True, strategy="broadcast"))
+    assert _answers(store.search(q, 6, exclude_self=True)) == want
+    assert _answers(store.search(q, 6, exclude_self=True, query_block=70, doc_block=40)) == want
+
+
+def test_rows_of_wanted_cells_leave_in_bounded_batches(spark, monkeypatch):
+    x = np.random.default_rng(5).normal(size=(2_000, 4)).astype(np.float32)
+    d, q = _table(spark, list(range(2_000)), x, "doc_id"), _table(spark, list(range(2_000)), x, "query_id").coalesce(1)
+    store = vector_store.create(d, n_cells=20)
+    store.append(d, 0)
+    sizes = []
+    monkeypatch.setattr(vector_store, "_cells_of", lambda x, *a, real=vector_store._cells_of: sizes.append(len(x)) or real(x, *a))
+
+    class Mapped:
+        """Runs what the search maps over Arrow batches here, to see its batches."""
+        schema, sparkSession = q.schema, spark
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            sizes.extend(b.num_rows // 20 for b in run(iter(q.toArrow().to_batches())))
+            return q
+
+    monkeypatch.setattr(vector_store, "materialize", lambda df, _: df)
+    cells = store.cells().orderBy("cell_id").toArrow()
+    store._wanted(Mapped(), store.centres(), tuple(cells.column(c).to_numpy() for c in ("cell_id", "n", "lo", "hi")), True, 10_000)
+    assert sizes and max(sizes) <= vectors.TILE_ROWS
