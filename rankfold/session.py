@@ -12,6 +12,9 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+#: Bytes of files a shard at most. A task that turns a shard's texts into postings holds some 50 times as much
+#: (one row a document and term, in a hash table or a sort).
+SHARD_BYTES = 8 * 1024 * 1024
 _UNKNOWN_BYTES = 1 << 60  # what Spark reports for sources without statistics
 
 
@@ -214,15 +217,16 @@ def default_shards(spark: SparkSession, df: DataFrame | None = None) -> int:
     """Shard count for document-partitioned tables.
 
     Grows with the input without an upper limit (two shards per
-    ``maxPartitionBytes`` of files), and never below two tasks per core so
-    uneven documents leave no core idle. Inputs of unknown size take the
+    ``maxPartitionBytes`` of files, and one per ``SHARD_BYTES``), so that a
+    task's memory stays the same, and never below two tasks per core so uneven
+    documents leave no core idle. Inputs of unknown size take the
     shuffle partition setting.
     """
     floor = 2 * spark.sparkContext.defaultParallelism
     size = None if df is None else input_bytes(df)
     if size is None:
         return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(floor, -(-2 * size // _split_bytes(spark)))
+    return max(floor, -(-size // max(1, min(_split_bytes(spark) // 2, SHARD_BYTES))))
 
 
 def ship_package(spark: SparkSession) -> None:

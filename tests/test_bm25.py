@@ -165,3 +165,12 @@ def test_shards_follow_the_bytes_read(spark):
         assert session.input_bytes(dedup) == session.input_bytes(docs)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_shard_keeps_its_size_as_the_input_grows(spark, monkeypatch):
+    from rankfold import session
+
+    docs = spark.range(1)
+    for size in (1 << 20, 1 << 30, 6 << 30, 30 << 30):
+        monkeypatch.setattr(session, "input_bytes", lambda _, size=size: size)
+        assert size / session.default_shards(spark, docs) <= session.SHARD_BYTES <= 8 << 20
