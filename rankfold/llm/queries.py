@@ -8,6 +8,9 @@ from rankfold.llm import (conversation_repair, hash_tree, html_text, jaccard_joi
                           secrets, segment_sampling, token_counts)
 from rankfold.llm.common import table
 
+#: Segmentations drawn of each document: enough that sets opened by the search are opened again.
+SEGMENTATIONS = 8
+
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op1(table(spark, sf_dir, "documents"))
@@ -26,7 +29,7 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment_sampling.sample_segmentations(table(spark, sf_dir, "documents"))
+    return segment_sampling.sample_segmentations(table(spark, sf_dir, "documents"), k=SEGMENTATIONS)
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

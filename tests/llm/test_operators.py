@@ -507,3 +507,19 @@ def test_mixing_meets_budgets(spark, odd_docs, no_docs):
     mixed = mixing.mix(odd_docs)
     assert set(odd_docs.columns) <= set(mixed.columns) and mixed.where("doc_id = 8").count() % 2 == 0
     assert mixing.op10(no_docs).count() == 0
+
+
+def test_op5_draws_more_than_the_first_opened_set(spark, tmp_path):
+    from rankfold.llm import queries
+
+    texts = [(1, "the quick brown fox jumps over the lazy dog"), (2, "heat transfer in hypersonic flow"), (3, "a"), (4, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op5_sentencepiece_sampling(spark, str(tmp_path)).collect()
+    by = {d: sorted((r for r in got if r.doc_id == d), key=lambda r: r["sample"]) for d, _ in texts}
+    assert [len(by[d]) for d in (1, 2, 4)] == [8, 8, 1] and all(r.decodes for r in got)
+    for d in (1, 2):
+        assert len({r.ids_crc for r in by[d]}) == 8
+        assert [r.perturbed for r in by[d]] == sorted((r.perturbed for r in by[d]), reverse=True)
+    two = {(r.doc_id, r["sample"]): (r.perturbed, r.ids_crc) for r in segment_sampling.sample_segmentations(docs, k=2).collect()}
+    assert two == {(r.doc_id, r["sample"]): (r.perturbed, r.ids_crc) for r in got if r["sample"] < 2}
