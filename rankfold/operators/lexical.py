@@ -23,7 +23,7 @@ from rankfold.functions.scoring import bm25_weight, idf
 from rankfold.functions.text import tokenize
 from rankfold.operators.rank import top_k
 from rankfold.schemas import require_columns
-from rankfold.session import Owner, default_shards, fits, materialize as write_table, materialize_bucketed, owned
+from rankfold.session import Owner, default_shards, fits, materialize as write_table, materialize_bucketed, owned, table_size
 
 # Query-term tables at most this long (and within the byte bound of ``fits``) are
 # broadcast into the postings scan.
@@ -105,9 +105,10 @@ def build_index(corpus: DataFrame, dedupe: str | None = None, materialize: bool
     """I1 + D8: a document-sharded inverted index.
 
     Documents are hash-partitioned by doc_id into ``shards`` (one shuffle of the
-    text, which is smaller than the postings it yields); tokenising, exploding
-    and counting (doc_id, term) then happen inside each shard with no further
-    exchange, and document length rides along each posting. With
+    text, which is smaller than the postings it yields), as many as the bytes of
+    the texts ask for (one pass over them counts those first); tokenising,
+    exploding and counting (doc_id, term) then happen inside each shard with no
+    further exchange, and document length rides along each posting. With
     ``materialize`` the postings and per-document stats are written as tables
     bucketed by doc_id, so searches aggregate per (query, document) inside each
     shard and only per-shard top-k rows are shuffled. A frequent term's
@@ -120,7 +121,7 @@ def build_index(corpus: DataFrame, dedupe: str | None = None, materialize: bool
     """
     spark = corpus.sparkSession
     docs = index_documents(corpus, dedupe)
-    shards = shards or default_shards(spark, docs)
+    shards = shards or default_shards(spark, docs, table_size(corpus.select("doc_id", "text"))[1])
     seen = Observation("index documents")
     with owned(spark, drop=False) as owner:
         source = docs

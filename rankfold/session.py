@@ -12,8 +12,9 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
-#: Bytes of files a shard at most. A task that turns a shard's texts into postings holds some 50 times as much
-#: (one row a document and term, in a hash table or a sort).
+#: Bytes of files and of rows a shard at most. A task that turns a shard's texts into postings holds some 50 times as
+#: much (one row a document and term, in a hash table or a sort). Files alone say little: a dictionary or compression
+#: stores repeated texts once.
 SHARD_BYTES = 8 * 1024 * 1024
 _UNKNOWN_BYTES = 1 << 60  # what Spark reports for sources without statistics
 
@@ -213,16 +214,17 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> Da
     return spark.table(table)
 
 
-def default_shards(spark: SparkSession, df: DataFrame | None = None) -> int:
+def default_shards(spark: SparkSession, df: DataFrame | None = None, row_bytes: int = 0) -> int:
     """Shard count for document-partitioned tables.
 
     Grows with the input without an upper limit (two shards per
-    ``maxPartitionBytes`` of files, and one per ``SHARD_BYTES``), so that a
-    task's memory stays the same, and never below two tasks per core so uneven
-    documents leave no core idle. Inputs of unknown size take the
-    shuffle partition setting.
+    ``maxPartitionBytes`` of files, one per ``SHARD_BYTES`` of files or of
+    ``row_bytes``, as ``table_size`` counts them), so that a task's memory stays
+    the same, and never below two tasks per core so uneven documents leave no
+    core idle. Inputs whose files have no known size take the shuffle partition
+    setting, or more by their rows.
     """
-    floor = 2 * spark.sparkContext.defaultParallelism
+    floor = max(2 * spark.sparkContext.defaultParallelism, -(-row_bytes // SHARD_BYTES))
     size = None if df is None else input_bytes(df)
     if size is None:
         return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -174,3 +174,20 @@ def test_a_shard_keeps_its_size_as_the_input_grows(spark, monkeypatch):
     for size in (1 << 20, 1 << 30, 6 << 30, 30 << 30):
         monkeypatch.setattr(session, "input_bytes", lambda _, size=size: size)
         assert size / session.default_shards(spark, docs) <= session.SHARD_BYTES <= 8 << 20
+
+
+def test_shards_follow_the_texts_where_files_hold_them_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from rankfold import session
+
+    one = " ".join(f"w{i}" for i in range(5000))
+    spark.range(400).select(F.col("id").alias("doc_id"), F.lit(one).alias("text")).coalesce(1).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    texts, limit = 400 * len(one), 100_000
+    assert session.input_bytes(docs) < texts / 20
+    monkeypatch.setattr(session, "SHARD_BYTES", limit)
+    with lexical.build_index(docs) as idx:
+        assert idx.shards >= texts / limit > 2 * spark.sparkContext.defaultParallelism
+        assert idx.postings.count() == 400 * 5000
+    plan = lexical.build_index(docs, materialize=False).postings
+    assert plan.rdd.getNumPartitions() >= texts / limit
