@@ -250,9 +250,11 @@ def bm25_search_padded(queries: DataFrame, index: LexicalIndex, corpus: DataFram
     scored = bm25_scores(queries, index, **kw)
     pad_ids = corpus.select("doc_id").distinct().orderBy("doc_id").limit(k).agg(
         F.sort_array(F.collect_list("doc_id")).alias("ids")).scalar()
+    # the filter goes down to the postings of those k documents, so no other score is computed or moved for the pads
+    matched = scored.where(F.array_contains(pad_ids, F.col("doc_id"))).select("query_id", "doc_id")
     pads = (queries.select("query_id").distinct()
             .select("query_id", F.explode(pad_ids).alias("doc_id"), F.lit(0.0).alias("score"))
-            .join(scored.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti"))
+            .join(matched, ["query_id", "doc_id"], "left_anti"))
     return top_k(scored.unionByName(pads), k)
 
 

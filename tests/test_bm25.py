@@ -191,3 +191,16 @@ def test_shards_follow_the_texts_where_files_hold_them_once(spark, tmp_path, mon
         assert idx.postings.count() == 400 * 5000
     plan = lexical.build_index(docs, materialize=False).postings
     assert plan.rdd.getNumPartitions() >= texts / limit
+
+
+def test_padding_scores_only_the_documents_it_may_add(spark):
+    rows_ = [(i, "wing flow" if i % 2 else "heat shock") for i in range(60)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string")
+    queries = spark.createDataFrame([(1, "wing"), (2, "heat"), (3, "nothing")], "query_id long, query string")
+    with lexical.build_index(docs) as idx:
+        padded = lexical.bm25_search_padded(queries, idx, docs, k=40)
+        got = {q: [r.doc_id for r in sorted(padded.where(f"query_id = {q}").collect(), key=lambda r: r.rnk)] for q in (1, 2, 3)}
+        odd, even = list(range(1, 60, 2)), list(range(0, 60, 2))
+        assert got == {1: odd + even[:10], 2: even + odd[:10], 3: list(range(40))}
+        plan = padded._jdf.queryExecution().optimizedPlan().toString()
+        assert any("Filter" in line and "array_contains" in line for line in plan.splitlines())
