@@ -23,7 +23,6 @@ Texts of any length are done whole: memory is one text's chunks. Repeated rows
 
 from __future__ import annotations
 
-import heapq
 import math
 import zlib
 from itertools import chain
@@ -34,9 +33,12 @@ from pyspark.sql import DataFrame
 from rankfold.llm import unigram
 from rankfold.llm.common import counter_hash, map_batches, shared_state, text_rows, to_unit, uniform
 
-#: Lattice nodes remembered per worker (about 35 bytes each), and chunks drawn at once.
+#: Lattice nodes remembered per worker (about 50 bytes each), and characters of texts drawn at once.
 CACHE_NODES = 4_000_000
-BATCH_CHUNKS = 40_000
+BATCH_CHARS = 600_000
+#: Steps of a leaf looked at at once for the sets beside it.
+WINDOW = 384
+
 
 def row_key(seed: int, key) -> int:
     """The counter-hash key of a row."""
@@ -47,7 +49,8 @@ def row_key(seed: int, key) -> int:
 class Lattices:
     """Backward edge probabilities of every node of the chunks met so far.
 
-    Edges into a node lie together, from ``first[node]`` to the one whose ``cdf`` is 2.
+    Edges into a node lie together, from ``first[node]`` (-1 at a chunk's start) to the one whose ``cdf`` is 2. An edge
+    comes from node ``prev``; ``lp`` is its log probability given the node it leads into.
     """
 
     def __init__(self, vocab: unigram.Vocabulary, nodes: int = CACHE_NODES):
@@ -63,14 +66,15 @@ class Lattices:
 
     def reset(self) -> None:
         few = self.room // 8
-        self.first, self.alpha = np.zeros(few, np.int32), np.zeros(few)
+        self.first = np.zeros(few, np.int32)
         self.cdf, self.piece = np.zeros(2 * few, np.float32), np.zeros(2 * few, np.uint16)
+        self.prev, self.lp = np.zeros(2 * few, np.int32), np.zeros(2 * few)
         self.nodes = self.edges = 0
         self.end: dict[str, int] = {}
         self.unknown: dict[int, bytes] = {}
 
     def grow(self, nodes: int, edges: int) -> None:
-        for names, used, wanted in ((("first", "alpha"), self.nodes, nodes), (("cdf", "piece"), self.edges, edges)):
+        for names, used, wanted in ((("first",), self.nodes, nodes), (("cdf", "piece", "prev", "lp"), self.edges, edges)):
             for name in names:
                 old = getattr(self, name)
                 if used + wanted > len(old):
@@ -105,15 +109,16 @@ class Lattices:
         for a, b in zip(levels[:-1], levels[1:]):
             lo, hi = stops[a], stops[b]
             alpha[end[first[a:b]]] = np.logaddexp.reduceat(alpha[before[lo:hi]] + score[lo:hi], first[a:b] - lo)
-        p = np.exp(alpha[before] + score - alpha[end])
+        lp = alpha[before] + score - alpha[end]
+        p = np.exp(lp)
         total = np.cumsum(p)
         cdf = total - np.repeat((total - p)[first], np.diff(stops))
         cdf[stops[1:] - 1] = 2.0
         self.grow(len(text), len(end))
+        self.first[base + start] = -1
         self.first[base + end[first]] = edge0 + first
-        self.alpha[base: base + len(text)] = alpha
-        self.cdf[edge0: edge0 + len(end)] = cdf
-        self.piece[edge0: edge0 + len(end)] = piece
+        for store, x in ((self.cdf, cdf), (self.piece, piece), (self.prev, base + before), (self.lp, lp)):
+            store[edge0: edge0 + len(end)] = x
         self.nodes, self.edges = base + len(text), edge0 + len(end)
         self.end.update(zip(chunks, (base + start + size).tolist()))
 
@@ -124,12 +129,21 @@ class Lattices:
             self.add(new[i: i + 20_000])
         return np.fromiter(map(self.end.__getitem__, chunks), np.int64, len(chunks))
 
-    def into(self, node: int) -> list[int]:
+    def into(self, node: int) -> np.ndarray:
         """The edges into a node."""
-        a = b = int(self.first[node])
-        while self.cdf[b] < 1.5:
-            b += 1
-        return list(range(a, b + 1))
+        a = int(self.first[node])
+        return np.arange(a, a + 1 + int((self.cdf[a: a + self.vocab.longest + 2] > 1.5).argmax()))
+
+
+class Leaf:
+    """A drawn segmentation, as steps: the ``head`` of an earlier leaf, left at its last step ``t0``, and what was drawn
+    behind it, edges ``a`` to ``b`` of its round. ``banned`` edges of the step ``t0`` belong to sets opened before."""
+
+    __slots__ = ("edges", "lp", "chunks", "t0", "banned", "rest", "a", "b", "same")
+
+    def __init__(self, edges, lp, chunks, banned=(), rest=0.0):
+        self.edges, self.lp, self.chunks, self.banned, self.rest = edges, lp, chunks, banned, rest
+        self.t0 = max(0, len(edges) - 1)
 
 
 class Sampler:
@@ -138,172 +152,229 @@ class Sampler:
         self.lattices = Lattices(self.vocab, nodes)
         self.k, self.seed = k, seed
 
-    def draw(self, node, left, key, sample, chunk):
-        """Backward draws for many chunks at once, from ``node`` with ``left`` characters to go.
+    def draw(self, node, base):
+        """Backward draws for many chunks at once, from ``node`` to the chunk's start, by the counter hash ``base``.
 
-        Returns occurrence, node and edge of every step, in order of occurrence and step.
+        Returns the edges of all steps chunk by chunk, the same in text order, and where each chunk's begin.
         """
         lat = self.lattices
-        who = np.flatnonzero(left)
-        node, left, parts, step = node.copy(), left.copy(), [], 0
-        base = counter_hash(key, sample, chunk)
-        count = np.zeros(len(node), np.int64)
+        e = lat.first[node].astype(np.int64)
+        who = np.flatnonzero(e >= 0)
+        e, base, parts, step = e[who], base[who], [], 0
         while len(who):
-            at = node[who]
-            u = to_unit(counter_hash(base[who], step)).astype(np.float32)
-            e = lat.first[at].astype(np.int64)
+            u = to_unit(counter_hash(base, step)).astype(np.float32)
             more = np.flatnonzero(lat.cdf[e] <= u)
             while len(more):
                 e[more] += 1
                 more = more[lat.cdf[e[more]] <= u[more]]
-            parts.append((who, at, e))
-            size = lat.lengths[lat.piece[e]]
-            count[who] += 1
-            node[who] = at - size
-            left[who] -= size
-            who = who[left[who] > 0]
+            parts.append((who, e))
+            after = lat.first[lat.prev[e]]
+            on = np.flatnonzero(after >= 0)
+            who, e, base = who[on], after[on].astype(np.int64), base[on]
             step += 1
-        total = int(count.sum())
-        start = np.cumsum(count) - count
-        occ, nd, ed = (np.empty(total, np.int64) for _ in range(3))
-        for st, (who, at, e) in enumerate(parts):
-            place = start[who] + st
-            occ[place], nd[place], ed[place] = who, at, e
-        return occ, nd, ed
-
-    def step_logp(self, node, edge):
-        """Log probability of each backward step given its node."""
-        lat = self.lattices
-        piece = lat.piece[edge]
-        return lat.alpha[node - lat.lengths[piece]] + lat.logp[piece] - lat.alpha[node]
+        who = np.concatenate([np.empty(0, np.int64), *(w for w, _ in parts)])
+        e = np.concatenate([np.empty(0, np.int64), *(x for _, x in parts)])
+        st = np.repeat(np.arange(step), [len(w) for w, _ in parts])
+        start = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(node)))])
+        back, forth = np.empty(len(e), np.int64), np.empty(len(e), np.int64)
+        back[start[who] + st] = e
+        forth[start[who + 1] - 1 - st] = e
+        return back, forth, start
 
     def samples(self, keys: list[int], texts: list[str]) -> list[list[tuple]]:
         """Per text its samples: (perturbed value, log probability, inclusion, pieces in order)."""
+        found, ids, stops = self.search(keys, texts)
+        pieces = iter(np.split(ids, stops[:-1]) if len(stops) else ())
+        return [[(*x, next(pieces)) for x in rows] for rows in found]
+
+    def search(self, keys: list[int], texts: list[str]) -> tuple[list[list[tuple]], np.ndarray, np.ndarray]:
+        """Per text (perturbed value, log probability, inclusion) of its samples; the pieces of all samples, and where each ends."""
         chunks = [self.vocab.chunks(t) for t in texts]
         lat = self.lattices
         if lat.nodes > lat.room:
             lat.reset()
         size = np.array([len(c) for c in chunks], np.int64)
         first = np.concatenate([[0], np.cumsum(size)])
-        flat = list(chain.from_iterable(chunks))
-        end = lat.ends(flat)
-        length = np.fromiter(map(len, flat), np.int64, len(flat))
-        owner = np.repeat(np.arange(len(texts)), size)
-        chunk = np.arange(len(flat)) - first[owner]
-        key = np.array(keys, np.uint64)
+        end = lat.ends(list(chain.from_iterable(chunks)))
         n = len(texts)
-        agenda: list[list] = [[] for _ in texts]
+        chunk = np.arange(len(end)) - np.repeat(first[:-1], size)
+        key = np.array(keys, np.uint64)
         done: list[list] = [[] for _ in texts]
-        root = -np.log(-np.log(uniform(key, 1 << 20)))
-        # what is opened next: its value, and where it leaves an earlier leaf (step, banned edges, leaf, edge)
-        opened: list = [(float(g), None) for g in root]
+        leaves: list[list[Leaf]] = [[] for _ in texts]
+        rounds: list[tuple] = []
+        agenda = Agenda(n)
+        # what is opened next: texts, values, leaves without what is drawn behind their heads
+        live, value = np.arange(n), -np.log(-np.log(uniform(key, 1 << 20)))
+        none = np.empty(0, np.int64)
+        new = [Leaf(none, np.empty(0), none) for _ in texts]
         for r in range(self.k):
-            live = [d for d in range(n) if opened[d] is not None]
-            if not live:
+            if not len(live):
                 break
-            side, turn_u = counter_hash(key, 1 << 21, r), uniform(key, 1 << 22, r + 1)
             # drawn anew: the rest of the chunk where an opened set leaves its leaf, and all chunks behind it
-            mask, node, left = np.zeros(len(flat), bool), end.copy(), length.copy()
-            for d in live:
-                if opened[d][1] is None:
-                    mask[first[d]: first[d + 1]] = True
-                    continue
-                t, _, leaf, edge = opened[d][1]
-                c = first[d] + leaf["chunk"][t]
-                node[c] = leaf["node"][t] - lat.lengths[lat.piece[edge]]
-                left[c] = length[c] - (end[c] - node[c])
-                mask[c: first[d + 1]] = True
-            pick = np.flatnonzero(mask)
-            occ, nd, ed = self.draw(node[pick], left[pick], key[owner[pick]], r, chunk[pick])
-            occ = pick[occ]
-            bounds = np.searchsorted(occ, first)
-            new_lp, new_chunk = self.step_logp(nd, ed), chunk[occ]
-            for d in live:
-                value, start = opened[d]
-                a, b = bounds[d], bounds[d + 1]
-                new = {"chunk": new_chunk[a:b], "node": nd[a:b], "edge": ed[a:b], "lp": new_lp[a:b]}
-                t0, banned = 0, ()
-                if start is not None:
-                    t0, banned, old, edge = start
-                    turn = {"chunk": old["chunk"][t0], "node": old["node"][t0], "edge": edge,
-                            "lp": self.step_logp(old["node"][t0], edge)}
-                    new = {x: np.concatenate([old[x][:t0], [turn[x]], new[x]]) for x in new}
-                done[d].append((value, float(new["lp"].sum()), new))
-                if len(new["lp"]):
-                    self.push(agenda[d], new, t0, banned, value, side[d], r)
-                opened[d] = None
-                if agenda[d]:
-                    v, t, bans, leaf = heapq.heappop(agenda[d])[2:]
-                    opened[d] = (v, (t, bans, leaf, self.other_edge(leaf["node"][t], bans, turn_u[d])))
+            turned = np.array([len(x.edges) > 0 for x in new])
+            low, high = first[live], first[live + 1]
+            low[turned] = [x.chunks[-1] for x in new if len(x.edges)]
+            place = np.concatenate([[0], np.cumsum(high - low)])
+            pick = np.arange(place[-1]) + np.repeat(low - place[:-1], high - low)
+            node = end[pick]
+            node[place[:-1][turned]] = lat.prev[[x.edges[-1] for x in new if len(x.edges)]]
+            back, forth, start = self.draw(node, counter_hash(np.repeat(counter_hash(key[live], r), high - low), chunk[pick]))
+            lp = lat.lp[back]
+            rounds.append((back, forth, start, pick, lp))
+            cuts = start[place].tolist()
+            for i, d in enumerate(live.tolist()):
+                leaf = new[i]
+                leaf.a, leaf.b = cuts[i], cuts[i + 1]
+                leaf.same = int(start[place[i] + 1]) - leaf.a if turned[i] else 0
+                whole = np.concatenate([leaf.lp, lp[leaf.a: leaf.b]]) if turned[i] else lp[leaf.a: leaf.b]
+                done[d].append((float(value[i]), float(whole.sum())))
+                leaves[d].append(leaf)
+            agenda.keep(self.k - r)
+            self.push(agenda, live, new, value, lp, counter_hash(key[live], 1 << 21, r), r)
+            live, value, rs, ts = agenda.pop()
+            if r + 1 < self.k:
+                turn_u = uniform(key, 1 << 22, r + 1)
+                new = [self.turn(leaves[d][q], t, rounds[q], turn_u[d]) for d, q, t in zip(live.tolist(), rs.tolist(), ts.tolist())]
         # of the (k + 1)-th segmentation only the value is needed
-        return [self.finish(x, opened[d][0] if opened[d] else -math.inf) for d, x in enumerate(done)]
+        kappa = np.full(n, -math.inf)
+        kappa[live] = value
+        ids, stops = self.pieces(leaves, rounds)
+        return [[(v, lp, self.inclusion(lp, kp)) for v, lp in x] for x, kp in zip(done, kappa.tolist())], ids, stops
 
-    def push(self, agenda, leaf, t0, banned, value, side, r, window: int = 384) -> None:
-        """The sets beside a leaf: another edge at a step from ``t0`` on.
+    def push(self, agenda, live, leaves, value, lp, side, r) -> None:
+        """The sets beside the leaves of a round: another edge at a step from ``t0`` on.
 
-        Only the k + 1 best can still be opened. A set's value lies less than 40 above its log mass (the
-        smallest -log u is 2^-53), and the mass of later steps only falls: steps whose mass lies 40 below the
-        (k + 1)-th value found are left out without changing the result.
+        Only as many of a text as can still be opened go on its agenda. A set's value lies less than 40 above its log
+        mass (the smallest -log u is 2^-53), and the mass of later steps only falls: steps whose mass lies 40 below the
+        last value wanted are left out without changing the result.
         """
-        lp = leaf["lp"][t0:]
-        mass0 = float(leaf["lp"][:t0].sum())
-        kept: list[tuple] = []
-        for lo in range(0, len(lp), window):
-            if len(kept) > self.k and mass0 < kept[self.k][0] - 40:
-                break
-            part = lp[lo: lo + window]
-            before = mass0 + np.cumsum(part) - part
-            rest = -np.expm1(part)
-            edge = leaf["edge"][t0 + lo: t0 + lo + window]
-            node = leaf["node"][t0 + lo: t0 + lo + window]
-            rest[self.lattices.cdf[self.lattices.first[node]] > 1.5] = 0.0  # one edge only
-            if lo == 0 and banned:
-                open_edges = [e for e in self.lattices.into(node[0]) if e != edge[0] and e not in banned]
-                rest[0] = np.exp(self.step_logp(np.full(len(open_edges), node[0]), open_edges)).sum() if open_edges else 0.0
-            alive = np.flatnonzero(rest > 0)
-            mass = before[alive] + np.log(rest[alive])
-            u = to_unit(counter_hash(side, t0 + lo + alive))
-            v = -np.logaddexp(-value, np.log(-np.log(u)) - mass)
-            best = np.argpartition(-v, self.k)[: self.k + 1] if len(v) > self.k + 1 else range(len(v))
-            kept = sorted([*kept, *((float(v[i]), t0 + lo + int(alive[i])) for i in best)], key=lambda x: (-x[0], x[1]))[: self.k + 1]
-            mass0 += float(part.sum())
-        for v, t in kept:
-            bans = (*(banned if t == t0 else ()), int(leaf["edge"][t]))
-            heapq.heappush(agenda, (-v, (r, t), v, t, bans, leaf))
-
-    def other_edge(self, node, banned, u) -> int:
-        """An edge of the node that isn't banned, by probability."""
-        edges = np.array([e for e in self.lattices.into(node) if e not in banned])
-        p = np.cumsum(np.exp(self.step_logp(np.full(len(edges), node), edges)))
-        return int(edges[min(np.searchsorted(p, u * p[-1], side="right"), len(edges) - 1)])
-
-    def finish(self, found, kappa: float) -> list[tuple]:
-        out = []
-        for value, total, leaf in found:
-            inclusion = 1.0 if kappa == -math.inf else -math.expm1(-math.exp(min(total - kappa, 50.0)))
-            out.append((value, total, inclusion, self.pieces(leaf)))
-        return out
-
-    def pieces(self, leaf) -> np.ndarray:
-        """Ids in text order: chunks in order, steps of a chunk backwards; unknown characters as bytes."""
-        ch, ids = leaf["chunk"], self.lattices.piece[leaf["edge"]].astype(np.int32)
-        if not len(ch):
-            return ids
-        starts = np.flatnonzero(np.concatenate([[True], ch[1:] != ch[:-1]]))
-        stops = np.append(starts[1:], len(ch))
-        within = np.arange(len(ch)) - np.repeat(starts, stops - starts)
-        order = np.repeat(stops, stops - starts) - 1 - within
-        ids = ids[order]
+        t0 = np.array([x.t0 for x in leaves])
+        turned = np.array([len(x.edges) > 0 for x in leaves])
+        a = np.array([x.a for x in leaves]) - turned
+        length = np.array([x.b for x in leaves]) - a
+        mass0 = np.array([x.lp[:x.t0].sum() for x in leaves])
+        turn_lp = np.array([x.lp[-1] if len(x.lp) else 0.0 for x in leaves])
+        turn_rest = np.array([x.rest for x in leaves])
+        rows, lo = np.flatnonzero(length > 0), 0
+        lp = lp if len(lp) else np.zeros(1)
+        while len(rows):
+            cols = lo + np.arange(min(WINDOW, int(length[rows].max()) - lo))
+            part = lp[np.minimum(a[rows, None] + cols, len(lp) - 1)]
+            part[cols >= length[rows, None]] = 0.0
+            odd = np.flatnonzero(turned[rows]) if lo == 0 else []
+            if len(odd):
+                part[odd, 0] = turn_lp[rows[odd]]
+            before = mass0[rows, None] + np.cumsum(part, axis=1) - part
+            alive = part < 0  # 0: one edge only
+            if len(odd):
+                alive[odd, 0] = turn_rest[rows[odd]] > 0
+            least = agenda.least[live[rows]]
+            alive &= before >= least[:, None] - 40
+            i, j = np.nonzero(alive)
+            rest = -np.expm1(part[i, j])
+            if len(odd):
+                here = np.flatnonzero((j == 0) & turned[rows[i]])
+                rest[here] = turn_rest[rows[i[here]]]
+            row, t = rows[i], t0[rows[i]] + lo + j
+            mass = before[i, j] + np.log(rest)
+            v = -np.logaddexp(-value[row], np.log(-np.log(to_unit(counter_hash(side[row], t)))) - mass)
+            good = np.flatnonzero(v > least[i])
+            agenda.push(live[row[good]], v[good], r, t[good])
+            mass0[rows] += part.sum(axis=1)
+            lo += len(cols)
+            rows = rows[(length[rows] > lo) & (mass0[rows] >= agenda.least[live[rows]] - 40)]
+
+    def turn(self, leaf: Leaf, t: int, drawn: tuple, u: float) -> Leaf:
+        """The head of a new leaf: a leaf up to its step ``t``, and there another edge that isn't banned, by probability."""
+        lat, h = self.lattices, len(leaf.edges)
+        if t < h:
+            edges, lp, chunks, old = (leaf.edges[:t],), (leaf.lp[:t],), leaf.chunks, leaf.edges[t]
+        else:
+            back, _, start, pick, step_lp = drawn
+            stop = leaf.a + t - h
+            edges, lp, old = (leaf.edges, back[leaf.a: stop]), (leaf.lp, step_lp[leaf.a: stop]), back[stop]
+            chunks = np.concatenate([leaf.chunks, pick[start.searchsorted(np.arange(leaf.a, stop + 1), side="right") - 1]])
+        banned = (*(leaf.banned if t == leaf.t0 else ()), int(old))
+        into = lat.into(int(lat.prev[old]) + int(lat.lengths[lat.piece[old]]))
+        into = into[[e not in banned for e in into.tolist()]]
+        into_lp = lat.lp[into]
+        p = np.exp(into_lp)
+        total = p.cumsum()
+        i = min(int(total.searchsorted(u * total[-1], side="right")), len(into) - 1)
+        return Leaf(np.concatenate([*edges, into[i: i + 1]]), np.concatenate([*lp, into_lp[i: i + 1]]), chunks, banned,
+                    float(np.concatenate([p[:i], p[i + 1:]]).sum()))
+
+    @staticmethod
+    def inclusion(total: float, kappa: float) -> float:
+        return 1.0 if kappa == -math.inf else -math.expm1(-math.exp(min(total - kappa, 50.0)))
+
+    def pieces(self, leaves: list[list[Leaf]], rounds: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all leaves in text order, and where each leaf's end: chunks in order, steps of a chunk backwards;
+        unknown characters as bytes."""
+        lat, every = self.lattices, [(x, r) for own in leaves for r, x in enumerate(own)]
+        # all heads at once; of their last chunk what was drawn behind them comes first
+        size = np.array([len(x.edges) for x, _ in every], np.int64)
+        heads = np.concatenate([np.empty(0, np.int64), *(x.edges for x, _ in every)])
+        owner = np.repeat(np.arange(len(every)), size)
+        chunk = np.concatenate([np.empty(0, np.int64), *(x.chunks for x, _ in every)])
+        begins = np.flatnonzero(np.concatenate([[True], (chunk[1:] != chunk[:-1]) | (owner[1:] != owner[:-1])])) if len(heads) else heads
+        ends = np.append(begins[1:], len(heads))
+        heads = heads[np.repeat(begins + ends - 1, ends - begins) - np.arange(len(heads))]
+        stops = np.cumsum(size)
+        lasts = begins[np.searchsorted(begins, stops - 1, side="right") - 1].tolist() if len(heads) else [0] * len(every)
+        parts = [np.empty(0, np.int64)]
+        for (x, r), at, last, stop in zip(every, (stops - size).tolist(), lasts, stops.tolist()):
+            forth = rounds[r][1]
+            if at < stop:
+                parts += [heads[at: last], forth[x.a: x.a + x.same], heads[last: stop], forth[x.a + x.same: x.b]]
+            else:
+                parts.append(forth[x.a: x.b])
+        edges = np.concatenate(parts)
+        stops = np.cumsum([len(x.edges) + x.b - x.a for x, _ in every])
+        ids = lat.piece[edges].astype(np.int32)
         odd = np.flatnonzero(ids == 0)
         if len(odd):
-            raw = [self.lattices.unknown[int(leaf["node"][order[i]])] for i in odd]
-            table = np.array(self.vocab.byte_ids, np.int32)
-            parts, last = [], 0
-            for i, b in zip(odd, raw):
-                parts += [ids[last:i], table[np.frombuffer(b, np.uint8)]]
-                last = i + 1
-            ids = np.concatenate([*parts, ids[last:]])
-        return ids
+            raw = [lat.unknown[x] for x in (lat.prev[edges[odd]] + 1).tolist()]
+            width = np.ones(len(ids), np.int64)
+            width[odd] = [len(x) for x in raw]
+            last = np.cumsum(width)
+            ids, is_byte = np.repeat(ids, width), np.repeat(ids == 0, width)
+            ids[is_byte] = np.array(self.vocab.byte_ids, np.int32)[np.frombuffer(b"".join(raw), np.uint8)]
+            stops = np.concatenate([[0], last])[stops]
+        return ids, stops
+
+
+class Agenda:
+    """Sets that may be opened, by text (row) and falling value: leaf ``r`` of the text, left at step ``t``."""
+
+    def __init__(self, n: int):
+        self.row, self.value, self.r, self.t = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.least, self.most = np.full(n, -math.inf), 0
+
+    def keep(self, most: int) -> None:
+        """At most so many a row; ``least`` is the last one's value, minus infinity where there are fewer."""
+        self.most = most
+        rank = np.arange(len(self.row)) - np.searchsorted(self.row, self.row)
+        last = rank == most - 1
+        self.least[:] = -math.inf
+        self.least[self.row[last]] = self.value[last]
+        self._take(rank < most)
+
+    def _take(self, at) -> None:
+        self.row, self.value, self.r, self.t = self.row[at], self.value[at], self.r[at], self.t[at]
+
+    def push(self, row, value, r: int, t) -> None:
+        self.row, self.value = np.concatenate([self.row, row]), np.concatenate([self.value, value])
+        self.r, self.t = np.concatenate([self.r, np.full(len(row), r)]), np.concatenate([self.t, t])
+        self._take(np.lexsort((self.t, self.r, -self.value, self.row)))
+        self.keep(self.most)
+
+    def pop(self) -> tuple:
+        """Every row's best, which leaves the agenda: rows, values, leaves, steps."""
+        best = np.concatenate([[True], self.row[1:] != self.row[:-1]]) if len(self.row) else np.empty(0, bool)
+        out = self.row[best], self.value[best], self.r[best], self.t[best]
+        self._take(~best)
+        return out
 
 
 def groups(texts: list[str], most: int):
@@ -328,15 +399,20 @@ def sample_segmentations(docs: DataFrame, k: int = 2, seed: int = 7, path: str |
 
     def run(sampler, cols):
         keys, texts = cols[id_col], [t or "" for t in cols[text_col]]
-        for a, b in groups(texts, BATCH_CHUNKS * 5):
+        for a, b in groups(texts, BATCH_CHARS):
             out: dict[str, list] = {c: [] for c in (id_col, "sample", "n_pieces", "log_prob", "perturbed", "inclusion",
                                                    "ids_crc", "decodes", *["ids"] * with_ids)}
-            got = sampler.samples([row_key(seed, x) for x in keys[a:b]], texts[a:b])
-            for key, text, rows in zip(keys[a:b], texts[a:b], got):
+            found, ids, stops = sampler.search([row_key(seed, x) for x in keys[a:b]], texts[a:b])
+            decoded, places = sampler.vocab.decode_all(ids, stops)
+            ends, at, byte = zip(stops.tolist(), places), 0, 0
+            for key, text, rows in zip(keys[a:b], texts[a:b], found):
                 plain = (" " * bool(text) + text.replace(unigram.MARK, " ")).encode("utf-8", "surrogatepass")
-                for s, (value, logp, inclusion, pieces) in enumerate(rows):
-                    row = (key, s, len(pieces), logp, value, inclusion, zlib.crc32(pieces.tobytes()),
-                           sampler.vocab.decode_bytes(pieces) == plain, *[pieces] * with_ids)
+                for s, (value, logp, inclusion) in enumerate(rows):
+                    stop, byte_stop = next(ends)
+                    pieces = ids[at: stop]
+                    row = (key, s, len(pieces), logp, value, inclusion, zlib.crc32(pieces), decoded[byte: byte_stop] == plain,
+                           *[pieces] * with_ids)
+                    at, byte = stop, byte_stop
                     for name, x in zip(out, row):
                         out[name].append(x)
             yield out

@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0  # the tokenizer's penalty below the lowest score
@@ -63,6 +64,7 @@ class Vocabulary:
         raw = [p.replace(MARK, " ").encode() for p in self.pieces]
         for b, i in enumerate(self.byte_ids):
             raw[i] = bytes([b])
+        self._raw = pa.array(raw, pa.large_binary())
         self._table = np.frombuffer(b"".join(raw), np.uint8)
         self._sizes = np.array([len(x) for x in raw], np.int64)
         self._places = np.cumsum(self._sizes) - self._sizes
@@ -115,6 +117,12 @@ class Vocabulary:
         stop = np.cumsum(size)
         return self._table[np.repeat(self._places[ids] - stop + size, size) + np.arange(stop[-1] if len(ids) else 0)].tobytes()
 
+    def decode_all(self, ids: np.ndarray, stops: np.ndarray) -> tuple[bytes, list[int]]:
+        """The UTF-8 bytes of many sequences of ids, one behind the other, and where each sequence's end."""
+        got = self._raw.take(pa.array(ids))
+        places = np.frombuffer(got.buffers()[1], np.int64)[got.offset: got.offset + len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        return b"".join(got.buffers()[2:][:len(ids)]), places[stops].tolist()
+
     def decode(self, ids) -> str:
         """The text of a sequence of ids: marks become spaces, byte pieces bytes, one space in front goes."""
         out = self.decode_bytes(ids).decode("utf-8", "surrogatepass")

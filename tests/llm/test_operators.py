@@ -346,6 +346,29 @@ def test_sampling_without_replacement_is_unbiased():
     assert abs(np.mean(weights) - 1) < 0.03
 
 
+def test_sampling_searches_all_texts_of_a_round_at_once(monkeypatch):
+    texts = ["the quick brown fox jumps over the lazy dog " * (1 + i % 7) for i in range(30)] + ["", "a", "漢字 😀 x", "_" * 900 + " heat transfer"]
+    rounds, push = [], segment_sampling.Sampler.push
+
+    def counted(self, *args):
+        rounds.append(1)
+        return push(self, *args)
+
+    monkeypatch.setattr(segment_sampling.Sampler, "push", counted)
+    s = segment_sampling.Sampler(unigram.default_path(), 8, 5)
+    keys = [segment_sampling.row_key(5, i) for i in range(len(texts))]
+    got = s.samples(keys, texts)
+    assert len(rounds) == 8  # one look beside the leaves of all texts, not one a text
+    # the same samples as by a search text by text, and as by the search with one heap a text before
+    alone = [s.samples([key], [text])[0] for key, text in zip(keys, texts)]
+    plain = [[[(round(v, 6), round(lp, 6), round(inc, 6), p.tolist()) for v, lp, inc, p in rows] for rows in x] for x in (got, alone)]
+    assert plain[0] == plain[1] and zlib.crc32(repr(plain[0]).encode()) == 2965827113
+    ids = [p for rows in got for *_, p in rows]
+    stops = np.cumsum([len(p) for p in ids])
+    decoded, places = s.vocab.decode_all(np.concatenate(ids), stops)
+    assert [decoded[a:b] for a, b in zip([0, *places], places)] == [s.vocab.decode_bytes(p) for p in ids]
+
+
 # ---------------------------------------------------------------- names
 
 def test_documents_may_have_columns_of_any_name(spark):
