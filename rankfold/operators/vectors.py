@@ -1,32 +1,40 @@
 """Exact k-nearest-neighbour search (squared L2, L2, cosine).
 
-No (query, document) pair is ever a row. A task computes distances in tiles of
-``TILE_ROWS`` queries and ``TILE_COLS`` documents, keeps the candidates within a
-proven tolerance of the k-th distance found so far, recomputes those exactly in
-float64, and merges them into a running top-k, so it emits at most k rows per
-query whatever the batch size; a final per-query top-k (partial + final
-WindowGroupLimit) merges the tasks' lists. Documents are met by rising id: once
-a query has k answers, equal distances no longer make candidates, so groups of
-equal vectors cost no more than others. A vector with a component that is no
-finite number answers nothing.
+No (query, document) pair is ever a row. A task computes lower bounds of the
+distances in tiles of ``TILE_ROWS`` queries and ``TILE_COLS`` documents (one
+matrix product in float32, whose proven error is taken off in the product
+itself), recomputes exactly in float64 what can still be among the k nearest
+found so far, and keeps k answers a query, so it emits at most k rows per query
+whatever the batch size. Documents are met by rising id: once a query has k
+answers, equal distances no longer make candidates, so groups of equal vectors
+cost no more than others. A vector with a component that is no finite number
+answers nothing.
 
 Strategies:
   * ``broadcast``: the query matrix (at most ``MAX_BROADCAST_BYTES``, checked also when the
     strategy is asked for) is shipped to every task, documents are scanned where they lie -
     no shuffle of the corpus. Taken for few queries, whose answers are few as well: each task
     holds the k best of every query.
-  * ``grid``: beyond that, queries and documents are hashed into blocks; each (query-block,
-    doc-block) cell is one cogroup task; memory per task is bounded by the block sizes, which are
-    parameters. Every pair of blocks meets, whatever the vectors.
+  * ``grid``: queries and documents are hashed into blocks; each (query-block, doc-block) cell is
+    one cogroup task; memory per task is bounded by the block sizes, which are parameters. Every
+    pair of blocks meets, whatever the vectors. Taken beyond ``broadcast`` while the documents are
+    one block.
+  * ``stream``: beyond that, all documents pass every block of queries by rising id. A task holds
+    its queries and their k best, and a tile of documents at a time; its lists are the answers.
+    (Blocks of documents as well, merged by a final top-k, only where the queries' blocks are
+    fewer than the cores.)
   * ``cells``: the documents are laid out in cells and only the cells that can hold an answer are
     searched (see ``vector_store``): for clustered vectors; a corpus that is searched more than
     once is better kept as a store.
 
-Ids may be whole numbers or strings.
+The lists of ``broadcast`` and ``grid`` are merged by a final per-query top-k (partial + final
+WindowGroupLimit). Ids may be whole numbers or strings.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -41,8 +49,11 @@ MAX_BROADCAST_BYTES = 16 * 1024 * 1024  # query matrix shipped to every task (fl
 MAX_BROADCAST_ANSWERS = 500_000  # queries x k: the running lists of every task
 GRID_QUERY_BLOCK = 16_384
 GRID_DOC_BLOCK = 65_536
+STREAM_QUERIES, STREAM_ANSWERS = 32_768, 4_000_000  # queries, and queries x k, of a block that all documents pass
+STREAM_LEAST = 4_096  # queries of such a block at least: each block costs a copy of the documents
 TILE_ROWS, TILE_COLS = 512, 4_096  # distances computed at once in a task
-_CANDIDATES = 50_000  # candidates recomputed exactly at once
+_CANDIDATES = 8_192  # candidates recomputed exactly at once
+_SINGLE = 1e30  # squared norms up to which products fit float32
 
 
 def answer_ddl(queries: DataFrame, docs: DataFrame) -> str:
@@ -68,7 +79,7 @@ def _arrow_schema(ddl: str) -> pa.Schema:
 
 
 def answer_batch(parts: list[tuple], target: pa.Schema) -> pa.RecordBatch:
-    """(query ids, doc ids, scores) parts as one Arrow batch."""
+    """(query ids, doc ids, scores and, if the target has them, ranks) parts as one Arrow batch."""
     cols = [np.concatenate(c) for c in zip(*parts)] if parts else [[], [], []]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, target)], schema=target)
 
@@ -87,100 +98,212 @@ def _arrow_matrix(col, dim: int | None) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, width)
 
 
-def _largest(x: np.ndarray) -> float:
-    return float(x[np.isfinite(x)].max(initial=0))
+def _norms(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore", invalid="ignore"):
+        return (x * x).sum(1)
+
+
+def _slack(dim: int, kind) -> float:
+    """The error of a tile's distance, as a part of |q|^2 + |d|^2 (of 1 for unit vectors): over twice what rounding can do."""
+    return (2 * dim + 16) * float(np.finfo(kind).eps)
+
+
+def _side(x: np.ndarray, norm: np.ndarray, metric: str, kind, query: bool) -> np.ndarray:
+    """One side of a tile's matrix product, whose values are at most the squared distance (the negative cosine)."""
+    slack, one = _slack(x.shape[1], kind), np.ones(len(x))
+    if metric == "cosine":
+        unit = np.divide(x, np.sqrt(norm)[:, None], out=np.zeros_like(x), where=norm[:, None] != 0)
+        cols = (-unit, -slack * one) if query else (unit, one)
+    else:
+        cols = (-2.0 * x, (1 - slack) * norm, one) if query else (x, one, (1 - slack) * norm)
+    return np.column_stack(cols).astype(kind)
+
+
+class _Docs:
+    """Documents by rising id, ready for many tiles of queries; without vectors that are no finite numbers."""
+
+    def __init__(self, ids, D, metric, part=None):
+        norm = _norms(D)
+        if not (ok := np.isfinite(norm)).all():
+            ids, D, norm, part = ids[ok], D[ok], norm[ok], None if part is None else part[ok]
+        self.ids, self.D, self.norm, self.part, self.metric, self.sides = ids, D, norm, part, metric, {}
+        self.most = norm.max(initial=0)
+
+    def side(self, kind) -> np.ndarray:
+        if kind not in self.sides:
+            self.sides[kind] = _side(self.D, self.norm, self.metric, kind, False)
+        return self.sides[kind]
+
+    def tiles(self, some: np.ndarray | None = None):
+        """Tiles of all documents, or of those at the places ``some``."""
+        self.side(np.float32 if self.most < _SINGLE else np.float64)  # once for all tiles
+        for t in range(0, len(self.ids) if some is None else len(some), TILE_COLS):
+            c = slice(t, t + TILE_COLS) if some is None else some[t:t + TILE_COLS]
+            docs = object.__new__(_Docs)
+            docs.ids, docs.D, docs.norm, docs.metric = self.ids[c], self.D[c], self.norm[c], self.metric
+            docs.part, docs.most = None if self.part is None else self.part[c], docs.norm.max(initial=0)
+            docs.sides = {kind: x[c] for kind, x in self.sides.items()}
+            yield docs
+
+
+class _Tile:
+    """A tile of queries with the k best documents of those met so far. Documents must come by rising id.
+
+    ``last``: per query a k-th score that is known (NaN: none); what is behind it is left out. ``want``: (queries x
+    parts) booleans, the parts in which a query looks for documents.
+    """
+
+    scratch: dict = {}  # the last tile's arrays
+
+    def __init__(self, ids, Q, k, metric, squared, exclude_self, digits, last=None, want=None):
+        norm = _norms(Q)
+        ok = np.isfinite(norm)
+        self.ids, self.Q, self.norm = ids, np.where(ok[:, None], Q, 0.0), np.where(ok, norm, 0.0)
+        self.k, self.metric, self.digits, self.gap = k, metric, digits, 10.0 ** -digits
+        self.root, self.exclude_self, self.want = metric != "cosine" and not squared, exclude_self, want
+        self.most, self.sides = self.norm.max(initial=0), {}
+        #: What a tile's value may be at most; the k-th key (score, negative cosine) of k answers.
+        self.limit, self.kth = np.where(ok, np.inf, -np.inf), np.full(len(ids), np.inf)
+        if last is not None:
+            known = ok & ~np.isnan(last)
+            self.limit[known] = self.within(-last[known] if metric == "cosine" else last[known], self.gap)
+        #: Answers so far in the order they came, ``count`` a query; more than k until they are cut.
+        self.width = k + max(k, 16)
+        self.key, self.found, self.count, self.fresh = np.full((len(ids), self.width), np.inf), None, np.zeros(len(ids), np.int64), 0
+
+    def within(self, key, more):
+        """The largest squared distance (negative cosine) that can lie ``more`` behind a key."""
+        if not self.root:
+            return key + more
+        return np.where(key + more > 0, np.square(key + more), -np.inf)
+
+    def room(self, name: str, shape: tuple, kind) -> np.ndarray:
+        n = shape[0] * shape[1]
+        at = (name, kind)
+        if at not in self.scratch or len(self.scratch[at]) < n:
+            self.scratch[at] = np.empty(n, kind)
+        return self.scratch[at][:n].reshape(shape)
+
+    def exact(self, q, d, docs) -> np.ndarray:
+        """Keys of (query, document) pairs."""
+        x, y = self.Q[q], docs.D[d]
+        if self.metric == "cosine":
+            num, den = np.einsum("ij,ij->i", x, y), np.sqrt(self.norm[q]) * np.sqrt(docs.norm[d])
+            return -np.round(np.divide(num, den, out=np.zeros_like(num), where=den != 0), self.digits)
+        x -= y
+        score = np.square(x, out=x).sum(1)
+        return np.round(np.sqrt(score) if self.root else score, self.digits)
+
+    def meet(self, docs: _Docs) -> None:
+        n = len(docs.ids)
+        if n == 0 or len(self.ids) == 0:
+            return
+        kind = np.float32 if max(self.most, docs.most) < _SINGLE else np.float64
+        if kind not in self.sides:
+            self.sides[kind] = _side(self.Q, self.norm, self.metric, kind, True)
+        far = np.matmul(self.sides[kind], docs.side(kind).T, out=self.room("far", (len(self.ids), n), kind))
+        now, some = self.limit, np.flatnonzero(np.isposinf(self.limit))
+        if len(some) and n > self.k:
+            near = far[some]
+            if self.exclude_self:
+                near[self.ids[some][:, None] == docs.ids[None, :]] = np.inf
+            if self.want is not None:
+                near[~self.want[some][:, docs.part]] = np.inf
+            near.partition(self.k - 1, axis=1)
+            kth = near[:, self.k - 1].astype(np.float64)
+            kth += 2 * _slack(self.Q.shape[1], kind) * (1.0 if self.metric == "cosine" else self.norm[some] + docs.most)
+            now = self.limit.copy()
+            now[some] = self.within(np.sqrt(np.maximum(kth, 0)) if self.root else kth, self.gap)
+        with np.errstate(over="ignore"):
+            now = np.nextafter(now.astype(kind), kind(np.inf))[:, None]
+        near = np.less_equal(far, now, out=self.room("near", far.shape, bool))
+        near = np.flatnonzero(near.ravel())
+        q, d = np.divmod(near, n)
+        keep = np.isfinite(far.ravel()[near])
+        if self.exclude_self:
+            keep &= self.ids[q] != docs.ids[d]
+        if self.want is not None:
+            keep &= self.want[q, docs.part[d]]
+        if not keep.all():
+            q, d = q[keep], d[keep]
+        for i in range(0, len(q), _CANDIDATES):
+            self.add(q[i:i + _CANDIDATES], d[i:i + _CANDIDATES], docs)
+        if len(some) or 2 * self.fresh >= len(self.ids) * self.k:
+            self.cut()
+
+    def add(self, q, d, docs: _Docs) -> None:
+        """Pairs in the order of queries and documents become answers."""
+        key = self.exact(q, d, docs)
+        while True:
+            keep = key < self.kth[q]  # behind k answers only a better key still counts
+            q, d, key = q[keep], d[keep], key[keep]
+            if not len(q):
+                return
+            starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
+            at = self.count[q] + np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
+            fits = at < self.width
+            if self.found is None:
+                self.found = np.zeros(self.key.shape, docs.ids.dtype)
+            self.key[q[fits], at[fits]], self.found[q[fits], at[fits]] = key[fits], docs.ids[d[fits]]
+            self.count += np.bincount(q[fits], minlength=len(self.ids))
+            self.fresh += int(fits.sum())
+            if fits.all():
+                return
+            q, d, key = q[~fits], d[~fits], key[~fits]
+            self.cut()
+
+    def cut(self) -> None:
+        """Leaves the k best of every query; of equal keys those that came first."""
+        k, m = self.k, int(self.count.max(initial=0))
+        self.fresh = 0
+        if m < k:
+            return
+        key, found = self.key[:, :m], self.found[:, :m]
+        kth = np.partition(key, k - 1, axis=1)[:, k - 1]  # infinite where fewer are found
+        if m > k:
+            keep = key <= kth[:, None]
+            if (keep.sum(1) > k).any():
+                better, tie = key < kth[:, None], key == kth[:, None]
+                keep = better | (tie & (tie.cumsum(1) <= (k - better.sum(1))[:, None]))
+            self.key[:, :k], self.found[:, :k] = key[keep].reshape(-1, k), found[keep].reshape(-1, k)
+            self.key[:, k:m] = np.inf
+            self.count = np.minimum(self.count, k)
+        self.kth = kth
+        full = np.isfinite(kth)
+        self.limit[full] = np.minimum(self.limit[full], self.within(kth[full], -self.gap / 2))
+
+    def answers(self) -> tuple:
+        """Query ids, doc ids, scores: a query's answers by (score, doc_id)."""
+        self.cut()
+        m = int(self.count.max(initial=0))
+        key = self.key[:, :m]
+        order = np.argsort(key, axis=1, kind="stable")
+        full = np.arange(m) < self.count[:, None]
+        key = np.take_along_axis(key, order, 1)[full]
+        found = np.zeros(0, np.int64) if self.found is None else np.take_along_axis(self.found[:, :m], order, 1)[full]
+        return np.repeat(self.ids, self.count), found, -key if self.metric == "cosine" else key
 
 
 def _block_top_k(qids, Q, dids, D, k, metric, squared, exclude_self, digits, last=None, wants=None, part=None):
     """Top-k (by rounded score, then doc_id) of one query block x doc block.
 
-    ``last``: per query a k-th score that is known (NaN: none); what is behind it is left out. ``wants`` and ``part``:
-    the query's wanted parts as bits of a whole number, and the part (0 to 62) each document lies in.
+    ``last``: as for :class:`_Tile`. ``wants`` and ``part``: the query's wanted parts as bits of a whole number, and the
+    part (0 to 62) each document lies in.
     """
     out = []
     if len(dids) == 0 or len(qids) == 0:
         return out
-    cosine, gap = metric == "cosine", 10.0 ** -digits
-    root = not cosine and not squared
-    order = np.argsort(_order(dids), kind="stable")
-    dids, D = dids[order], D[order]
-    dn, qn = (D * D).sum(1), (Q * Q).sum(1)
-    err = 1e-9 * (1.0 + _largest(qn) + _largest(dn))
-    rows = np.arange(len(qids))
+    order, rows = np.argsort(_order(dids), kind="stable"), np.arange(len(qids))
+    docs = _Docs(dids[order], D[order], metric, None if part is None else part[order])
     if wants is not None:
-        part, rows = part[order], np.argsort(wants, kind="stable")
-
-    def within(key, more):
-        """The largest value of the matrix product that can lie ``more`` behind a key."""
-        if not root:
-            return key + more + err
-        return np.where(key + more > 0, np.square(key + more) + err, -np.inf)
-
-    def tile(Qt, Qn, Dt, Dn):
-        if cosine:
-            Qn, Dn = np.sqrt(Qn)[:, None], np.sqrt(Dn)[:, None]
-            Qt = np.divide(Qt, Qn, out=np.zeros_like(Qt), where=Qn != 0)
-            Dt = np.divide(Dt, Dn, out=np.zeros_like(Dt), where=Dn != 0)
-            return -(Qt @ Dt.T)
-        far = Qt @ Dt.T
-        far *= -2.0
-        far += Dn[None, :]
-        far += Qn[:, None]
-        return far
-
-    def exact(Qc, Dc, Qn, Dn):
-        if cosine:
-            num = np.einsum("ij,ij->i", Qc, Dc)
-            den = np.sqrt(Qn) * np.sqrt(Dn)
-            return np.round(np.divide(num, den, out=np.zeros_like(num), where=den != 0), digits)
-        score = np.square(Qc - Dc).sum(1)
-        return np.round(np.sqrt(score) if root else score, digits)
-
+        rows = np.argsort(wants, kind="stable")
     for s in range(0, len(rows), TILE_ROWS):
         r = rows[s:s + TILE_ROWS]
-        Qt, Qn, q_ids = Q[r], qn[r], qids[r]
-        limit = np.full(len(r), np.inf)
-        if last is not None:
-            known = ~np.isnan(last[r])
-            limit[known] = within(-last[r][known] if cosine else last[r][known], gap)
-        cols, want = np.arange(len(dids)), None
-        if wants is not None:
-            want = (wants[r][:, None] >> np.arange(63)) & 1 == 1
-            cols = np.flatnonzero(want.any(0)[part])
-        best, fresh = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), 0
-        for t in range(0, len(cols), TILE_COLS):
-            c = cols[t:t + TILE_COLS]
-            far = tile(Qt, Qn, D[c], dn[c])
-            if exclude_self:
-                far[q_ids[:, None] == dids[c][None, :]] = np.inf
-            now, some = limit, np.flatnonzero(np.isposinf(limit))
-            if len(some):
-                near = far[some] if want is None else np.where(want[some][:, part[c]], far[some], np.inf)
-                kk = min(k, len(c))
-                kth = np.partition(near, kk - 1, axis=1)[:, kk - 1]
-                kth = np.where(np.isfinite(kth), np.maximum(kth + err, 0) if root else kth + err, np.inf)
-                now = limit.copy()
-                now[some] = within(np.sqrt(kth) if root else kth, gap)
-            qi, di = np.nonzero(far <= now[:, None])
-            keep = np.isfinite(far[qi, di])  # a tile holding only excluded (self) pairs must yield nothing
-            if want is not None:
-                keep &= want[qi, part[c[di]]]
-            qi, di = qi[keep], c[di[keep]]
-            for i in range(0, len(qi), _CANDIDATES):
-                q, d = qi[i:i + _CANDIDATES], di[i:i + _CANDIDATES]
-                score = exact(Qt[q], D[d], Qn[q], dn[d])
-                new = _first_k(q, d, score, -score if cosine else score, k)
-                best, fresh = tuple(np.concatenate(x) for x in zip(best, new)), fresh + len(new[0])
-                if 2 * fresh >= len(r) * k or len(some):
-                    best, fresh = merged([best], k, metric), 0
-            if not fresh and len(best[0]):
-                # documents come by rising id: behind k answers only a better key still counts
-                count = np.bincount(best[0], minlength=len(r))
-                full = count == k
-                key = best[2][np.cumsum(count)[full] - 1]
-                limit[full] = np.minimum(limit[full], within(-key if cosine else key, -gap / 2))
-        q, d, score = merged([best], k, metric)
-        out.append((q_ids[q], dids[d], score))
+        want = None if wants is None else (wants[r][:, None] >> np.arange(63)) & 1 == 1
+        tile = _Tile(qids[r], Q[r], k, metric, squared, exclude_self, digits, None if last is None else last[r], want)
+        for some in docs.tiles(None if want is None else np.flatnonzero(want.any(0)[docs.part])):
+            tile.meet(some)
+        out.append(tile.answers())
     return out
 
 
@@ -262,6 +385,97 @@ def _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim, q
     return search_blocks(q, d, ["qb", "db"], answer_ddl(queries, docs), k, metric, squared, exclude_self, digits, dim)
 
 
+def _stream_blocks(n_q: int, n_d: int, k: int, cores: int, doc_block: int) -> tuple[int, int]:
+    """Blocks of queries, as many for each core where they are large enough; blocks of documents, for cores left idle."""
+    least = -(-n_q // max(1, min(STREAM_QUERIES, STREAM_ANSWERS // k)))
+    n = max(1, least, min(-(-least // cores) * cores, -(-n_q // STREAM_LEAST)))
+    return n, max(1, min(-(-cores // n), -(-n_d // doc_block)))
+
+
+def _doc_tiles(batches, dim: int | None, metric: str):
+    """Tiles of the documents of Arrow batches, some tiles' rows made ready at once."""
+    held, n, most = [], 0, 4 * TILE_COLS
+
+    def tiles():
+        t = pa.Table.from_batches(held).select(["doc_id", "embedding"]).combine_chunks()
+        for i in range(0, len(t), most):
+            some = t.slice(i, most).combine_chunks()
+            D = _arrow_matrix(some["embedding"].combine_chunks(), dim)
+            yield from _Docs(_ids(some["doc_id"].combine_chunks()), D, metric).tiles()
+
+    for b in batches:
+        held, n = [*held, b], n + b.num_rows
+        if n >= most:
+            yield from tiles()
+            held, n = [], 0
+    if n:
+        yield from tiles()
+
+
+def _lists(tiles: list[_Tile], k: int, metric: str):
+    """(query ids, doc ids, scores, ranks) of tiles whose queries come by rising id; queries of one id have one list."""
+    held = None
+    for i, tile in enumerate(tiles):
+        q, d, score = tile.answers()
+        if held is not None or (tile.ids[1:] == tile.ids[:-1]).any():
+            q, d, score = merged([*([held] if held else []), (q, d, score)], k, metric)
+        held, last = None, q == tile.ids[-1]
+        if i + 1 < len(tiles) and tiles[i + 1].ids[0] == tile.ids[-1] and last.any():
+            held, (q, d, score) = (q[last], d[last], score[last]), (q[~last], d[~last], score[~last])
+        tiles[i] = None
+        if len(q):
+            starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
+            yield q, d, score, (np.arange(1, len(q) + 1) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))).astype(np.int32)
+
+
+def _stream_search(queries, docs, k, metric, squared, exclude_self, digits, dim, nqb, ndb) -> DataFrame:
+    """query_id, doc_id, score, rnk: the top-k lists of every pair of blocks, whose documents pass its queries by rising id."""
+    kinds = [df.select(c).schema[0].dataType for df, c in ((queries, "query_id"), (docs, "doc_id"))]
+
+    def block(n, *cols):
+        return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    # rows of one query_id meet in one block: its list is whole
+    q = queries.select(block(nqb, "query_id").alias("qb"), every(ndb).alias("db"), F.lit(False).alias("is_doc"), "query_id",
+                       F.lit(None).cast(kinds[1]).alias("doc_id"), "embedding")
+    d = docs.select(every(nqb).alias("qb"), block(ndb, "doc_id", "embedding").alias("db"), F.lit(True).alias("is_doc"),
+                    F.lit(None).cast(kinds[0]).alias("query_id"), "doc_id", "embedding")
+    both = q.unionByName(d).withColumn("block", F.col("qb") * F.lit(ndb) + F.col("db")).drop("qb", "db")
+    # a partition is one pair of blocks; queries have no doc_id and come first
+    both = both.repartitionById(nqb * ndb, "block").sortWithinPartitions("doc_id", "is_doc").drop("block")
+    ddl = answer_ddl(queries, docs) + ", rnk int"
+    target = _arrow_schema(ddl)
+
+    def run(batches):
+        heads, rest = [], []
+        for b in batches:
+            n = b.column("is_doc").false_count
+            heads, rest = [*heads, *([b.slice(0, n)] if n else [])], [b.slice(n)] if n < b.num_rows else []
+            if rest:
+                break
+        tiles = []
+        if heads:
+            t = pa.Table.from_batches(heads)
+            qids, Q = _ids(t["query_id"].combine_chunks()), _arrow_matrix(t["embedding"].combine_chunks(), dim)
+            order = np.argsort(_order(qids), kind="stable")
+            for s in range(0, len(order), TILE_ROWS):
+                r = order[s:s + TILE_ROWS]
+                tiles.append(_Tile(qids[r], Q[r], k, metric, squared, exclude_self, digits))
+            width, heads, t, Q = Q.shape[1], None, None, None
+            for some in _doc_tiles(itertools.chain(rest, batches), width, metric):
+                for tile in tiles:
+                    tile.meet(some)
+        for _ in batches:  # documents without queries
+            pass
+        for part in _lists(tiles, k, metric):
+            yield answer_batch([part], target)
+
+    return both.mapInArrow(run, ddl)
+
+
 def knn_search(queries: DataFrame, docs: DataFrame, k: int = 10, metric: str = "l2",
                squared: bool = True, exclude_self: bool = False, digits: int = 6,
                strategy: str = "auto", dim: int | None = None,
@@ -284,12 +498,18 @@ def knn_search(queries: DataFrame, docs: DataFrame, k: int = 10, metric: str = "
         if strategy == "broadcast" and size > max_broadcast_bytes:
             raise ValueError(f"{size} bytes of query vectors are over the broadcast bound {max_broadcast_bytes}")
         few = size <= max_broadcast_bytes and n * k <= MAX_BROADCAST_ANSWERS
-        strategy = "broadcast" if few or strategy == "broadcast" else "grid"
+        strategy = "broadcast" if few or strategy == "broadcast" else "grid" if min_blocks > 1 or docs.count() <= doc_block else "stream"
     if strategy == "broadcast":
         part = _broadcast_search(queries, docs, k, metric, squared, exclude_self, digits, dim)
     elif strategy == "grid":
         part = _grid_search(queries, docs, k, metric, squared, exclude_self, digits, dim,
                             query_block, doc_block, min_blocks)
+    elif strategy == "stream":
+        blocks = _stream_blocks(queries.count(), docs.count(), k, docs.sparkSession.sparkContext.defaultParallelism, doc_block)
+        part = _stream_search(queries, docs, k, metric, squared, exclude_self, digits, dim, *blocks)
+        if blocks[1] == 1:
+            return part
+        part = part.drop("rnk")
     elif strategy == "cells":
         from rankfold.operators.vector_store import search_once
 

@@ -178,3 +178,81 @@ def test_blocks_meet_in_whatever_partitions(spark):
     finally:
         for c, v in before.items():
             spark.conf.set(c, v)
+
+
+def _streamed(spark, monkeypatch, ids):
+    """Repeated ids, equal vectors and several tiles and blocks of queries."""
+    for name, size in (("TILE_ROWS", 9), ("STREAM_QUERIES", 60), ("STREAM_LEAST", 16)):
+        monkeypatch.setattr(vectors, name, size)
+    rng = np.random.default_rng(3)
+    V = (rng.integers(-2, 3, size=(200, 4)) * 0.7).astype(np.float32)
+    own = [ids(int(i)) for i in rng.integers(0, 150, size=200)]
+    kind = "string" if isinstance(own[0], str) else "long"
+    items = [(i, v.tolist()) for i, v in zip(own, V)]
+    return (spark.createDataFrame(items, f"query_id {kind}, embedding array<float>").repartition(3),
+            spark.createDataFrame(items, f"doc_id {kind}, embedding array<float>").repartition(5))
+
+
+@pytest.mark.parametrize("ids", [int, str])
+def test_stream_gives_the_answers_of_broadcast(spark, monkeypatch, ids):
+    q, d = _streamed(spark, monkeypatch, ids)
+    cols = "query_id", "doc_id", "score", "rnk"
+    for metric, squared, k, exclude in (("l2", True, 7, True), ("l2", False, 1, False), ("cosine", True, 300, True)):
+        kw = dict(k=k, metric=metric, squared=squared, exclude_self=exclude)
+        want = rows(vectors.knn_search(q, d, strategy="broadcast", **kw), *cols)
+        assert rows(vectors.knn_search(q, d, strategy="stream", **kw), *cols) == want
+        monkeypatch.setattr(vectors, "STREAM_LEAST", 200)  # one block of queries: blocks of documents as well
+        assert rows(vectors.knn_search(q, d, strategy="stream", doc_block=40, **kw), *cols) == want
+        monkeypatch.setattr(vectors, "STREAM_LEAST", 16)
+
+
+def test_lists_of_many_answers_over_many_documents_are_not_merged(spark, monkeypatch):
+    q, d = _streamed(spark, monkeypatch, int)
+    want = rows(vectors.knn_search(q, d, k=4), "query_id", "doc_id", "rnk", "score")
+    monkeypatch.setattr(vectors, "MAX_BROADCAST_ANSWERS", 100)
+    found = vectors.knn_search(q, d, k=4, doc_block=60)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "CoGroups" not in plan and "Window" not in plan
+    assert "ENSURE_REQUIREMENTS" not in plan
+    assert rows(found, "query_id", "doc_id", "rnk", "score") == want
+
+
+def test_blocks_of_the_stream():
+    assert vectors._stream_blocks(600_000, 600_000, 100, 6, 65_536) == (24, 1)
+    assert vectors._stream_blocks(6_000, 10_000_000, 100, 6, 65_536) == (2, 3)
+    assert vectors._stream_blocks(600_000, 600_000, 100_000, 6, 65_536)[0] >= 15_000
+    assert vectors._stream_blocks(0, 0, 10, 6, 65_536) == (1, 1)
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_tile_values_are_lower_bounds(metric):
+    rng = np.random.default_rng(8)
+    scale = 10.0 ** rng.uniform(-6, 6, size=(300, 1))
+    x, y = (rng.normal(size=(300, 64)) * scale).astype(np.float32).astype(np.float64), rng.normal(size=(200, 64))
+    y[:100] = x[:100] * (1 + 1e-6)  # near copies: the terms cancel
+    for kind in (np.float32, np.float64):
+        sides = (vectors._side(v, (v * v).sum(1), metric, kind, query) for v, query in ((x, True), (y, False)))
+        got = np.matmul(next(sides), next(sides).T).astype(np.float64)
+        if metric == "cosine":
+            true = -(x @ y.T) / np.sqrt((x * x).sum(1))[:, None] / np.sqrt((y * y).sum(1))
+            scale = 1.0
+        else:
+            true = np.square(x[:, None, :] - y[None, :, :]).sum(-1)
+            scale = (x * x).sum(1)[:, None] + (y * y).sum(1)
+        assert (got <= true).all() and (true <= got + 2 * vectors._slack(64, kind) * scale).all()
+
+
+@pytest.mark.parametrize("metric, squared", [("l2", True), ("l2", False), ("cosine", True)])
+def test_vectors_of_very_different_lengths_get_exact_answers(monkeypatch, metric, squared):
+    monkeypatch.setattr(vectors, "TILE_COLS", 16)
+    rng = np.random.default_rng(9)
+    D = rng.normal(size=(90, 8)) * 10.0 ** rng.integers(-3, 4, size=(90, 1))
+    D[3], D[40], D[41] = 1e17, 0.0, np.inf  # beyond float32's products, zero, not finite
+    ids = np.arange(90)
+    got = {int(i): [] for i in ids}
+    for q, d, s in vectors._block_top_k(ids, D, ids, D, 5, metric, squared, True, 6):
+        for a, b, c in zip(q, d, s):
+            got[int(a)].append((int(b), float(c) + 0.0))
+    want = _brute(ids, D, ids, D, 5, metric, squared, True)
+    assert {i: [x for x, _ in got[i]] for i in got if i not in (3, 41)} == {i: [x for x, _ in want[i]] for i in want if i not in (3, 41)}
+    assert got[41] == [] and len(got[3]) == 5
