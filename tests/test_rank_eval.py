@@ -98,6 +98,28 @@ def test_label_judgements_exclude_self(spark):
     assert rows(flagged, "doc_id", "relevant") == [(2, True), (3, False)]
 
 
+def test_label_judgements_move_a_run_once(spark, monkeypatch):
+    q = spark.createDataFrame([(i, i % 3) for i in range(9)] + [(4, 2), (8, None)], "query_id long, label int")
+    run = _run(spark, [(i, j, r) for i in range(9) for r, j in enumerate((i + 1, i + 2, i + 5), 1)])
+    d = q.withColumnRenamed("query_id", "doc_id")
+    cols = "query_id", "doc_id", "rnk", "relevant"
+    key = lambda r: tuple(str(x) for x in r)
+    flagged, _ = ev.flag_by_label(run, q, d)
+    got = sorted((tuple(r) for r in flagged.select(*cols).collect()), key=key)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    monkeypatch.setattr(ev, "LABEL_BYTES", 0)
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged, _ = ev.flag_by_label(run, q, d)
+        plan = flagged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2 and plan.count("hashpartitioning(query_id") == 2
+        assert sorted((tuple(r) for r in flagged.select(*cols).collect()), key=key) == got and len(got) == 26
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
 def test_attach_adds_only_missing_columns(spark):
     run = _run(spark, [(1, 10, 1), (1, 11, 2)])
     qrels = spark.createDataFrame([(1, 11)], "query_id long, doc_id long")
